@@ -62,6 +62,10 @@ def derived_weather(rain: str | Column = "weather_rain",
     realtime:   adverse = rain > 5 mm only; left-closed bins; double flags.
     """
     r, w, t = col_(rain), col_(wind), col_(temp)
+    # NaN compares greater than everything in Spark but fails every comparison in pandas
+    r = F.when(~F.isnan(r), r)
+    w = F.when(~F.isnan(w), w)
+    t = F.when(~F.isnan(t), t)
     if mode == "historical":
         strong = w > C.STRONG_WIND_MS
         return {

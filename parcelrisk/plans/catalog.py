@@ -98,3 +98,69 @@ def q_row_contract(spark, sf):
     return rejected.select("delivery_id", *TRACE,
                            F.concat_ws(",", "violations").alias("violations"),
                            F.size("violations").alias("n_violations"))
+
+
+# ------------------------------------------------------------------ weather layer
+from parcelrisk.functions.weather import derived_weather  # noqa: E402
+from parcelrisk.operators import weather as WX  # noqa: E402
+
+
+
+@query("weather_parse")
+def q_weather_parse(spark, sf):
+    return WX.parse_weather(WX.daily_climate_records(X.weather_raw(spark, sf)))
+
+
+@query("weather_join")
+def q_weather_join(spark, sf):
+    return WX.enrich_with_weather(X.deliveries(spark, sf), X.weather_daily(spark, sf))
+
+
+@query("join_coverage")
+def q_join_coverage(spark, sf):
+    return WX.join_coverage(X.deliveries(spark, sf), X.weather_daily(spark, sf))
+
+
+@query("derived_weather")
+def q_derived_weather(spark, sf):
+    w = X.weather_daily(spark, sf)
+    return w.withColumns(derived_weather(mode="historical"))
+
+
+@query("enrichment_validation")
+def q_enrichment_validation(spark, sf):
+    e = WX.enrich_with_weather(X.deliveries(spark, sf), X.weather_daily(spark, sf))
+    return WX.enrichment_validation(e)
+
+
+@query("zone_weather_means")
+def q_zone_weather_means(spark, sf):
+    return WX.zone_weather_means(WX.parse_weather(WX.daily_climate_records(X.weather_raw(spark, sf))))
+
+
+def _conditions(spark, sf):
+    return WX.city_conditions(WX.latest_observation(X.observations(spark, sf)), X.stations(spark))
+
+
+@query("latest_conditions")
+def q_latest_conditions(spark, sf):
+    return _conditions(spark, sf).select("zone", "station", "weather_rain_raw",
+                                         "weather_wind_speed_raw", "weather_temperature_raw")
+
+
+@query("realtime_weather")
+def q_realtime_weather(spark, sf):
+    return WX.realtime_features(_conditions(spark, sf))
+
+
+@query("display_weather")
+def q_display_weather(spark, sf):
+    return WX.display_weather(_conditions(spark, sf))
+
+
+@query("weather_override")
+def q_weather_override(spark, sf):
+    rt = WX.realtime_features(_conditions(spark, sf))
+    d = X.deliveries(spark, sf)
+    out = WX.override_weather(d, rt, feature_cols=list(WX.WEATHER_COLS))
+    return out.select("delivery_id", *TRACE, "zone", *WX.WEATHER_COLS)

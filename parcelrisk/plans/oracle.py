@@ -175,3 +175,150 @@ SELECT delivery_id, {TRACE}, violations, n_violations FROM (
           coalesce(weather_wind_speed, 0.0::DOUBLE) AS weather_wind_speed,
           coalesce(weather_temperature, 15.0::DOUBLE) AS weather_temperature) FROM deliveries_dirty))
 WHERE n_violations > 0""", "deliveries_dirty")
+
+
+# ------------------------------------------------------------------ weather layer
+def _rnd(x: str, d: int) -> str:
+    """NumPy-style half-even rounding of the binary value."""
+    s = f"{10 ** d}.0::DOUBLE"
+    return f"(round_even(({x}) * {s}, 0) / {s})"
+
+
+def _pd(x: str) -> str:
+    return f"TRY_CAST(replace(trim({x}), ',', '.') AS DOUBLE)"
+
+
+_NN = "CASE WHEN isnan({0}) THEN NULL ELSE {0} END"
+
+
+def _hist_flags(r: str, w: str, t: str) -> str:
+    r, w, t = _NN.format(r), _NN.format(w), _NN.format(t)
+    p = f"pow(({w}) * 3.6::DOUBLE, 0.16::DOUBLE)"
+    chill = (f"CASE WHEN ({t}) < 10 THEN 13.12::DOUBLE + 0.6215::DOUBLE * ({t}) - 11.37::DOUBLE * {p} "
+             f"+ 0.3965::DOUBLE * ({t}) * {p} ELSE ({t}) END")
+    return f"""
+  CASE WHEN ({w}) > 10.0::DOUBLE THEN 1 ELSE 0 END AS strong_wind,
+  CASE WHEN ({r}) > 2.0::DOUBLE OR ({w}) > 10.0::DOUBLE THEN 1 ELSE 0 END AS adverse_weather,
+  CASE WHEN ({t}) > -999.0::DOUBLE AND ({t}) <= 5.0::DOUBLE THEN 0
+       WHEN ({t}) > 5.0::DOUBLE AND ({t}) <= 15.0::DOUBLE THEN 1
+       WHEN ({t}) > 15.0::DOUBLE AND ({t}) <= 25.0::DOUBLE THEN 2
+       WHEN ({t}) > 25.0::DOUBLE AND ({t}) <= 999.0::DOUBLE THEN 3 END AS temp_category,
+  CASE WHEN ({chill}) < 0 THEN 1 ELSE 0 END AS feels_like_cold"""
+
+
+PARSED_WEATHER = f"""
+SELECT date, zone, {_rnd('r', 1)} AS weather_rain, {_rnd('w', 2)} AS weather_wind_speed,
+       {_rnd('t', 1)} AS weather_temperature
+FROM (
+  SELECT *, CASE WHEN avg(w0) OVER (PARTITION BY zone) > 20.0::DOUBLE THEN w0 / 3.6::DOUBLE ELSE w0 END AS w,
+         last_value(t0 IGNORE NULLS) OVER (PARTITION BY zone ORDER BY obs_seq
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS t
+  FROM (
+    SELECT zone, obs_seq, TRY_CAST(fecha AS DATE) AS date,
+      CASE WHEN prec IN ('Ip', 'Ip ') THEN 0.1::DOUBLE ELSE coalesce({_pd('prec')}, 0.0::DOUBLE) END AS r,
+      coalesce({_pd('velmedia')}, 0.0::DOUBLE) AS w0,
+      {_pd('tmed')} AS t0
+    FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY station, fecha ORDER BY obs_seq) AS _rn
+                         FROM weather_raw) WHERE _rn = 1)))
+WHERE date IS NOT NULL AND t IS NOT NULL"""
+
+ORACLE["weather_parse"] = W(PARSED_WEATHER, "weather_raw")
+
+_ORIG = ("d.delivery_id, d.date, d.hour, d.day_of_week, d.is_holiday, d.zone, d.zone_type, d.recipient_id, "
+         "d.recipient_failure_rate, d.num_previous_attempts, d.driver_id, d.driver_quality_score, "
+         "d.driver_delivery_load, d.product_type, d.requires_signature, d.is_fragile, d.is_bulky, "
+         "d.weight_kg, d.is_retry, d.delivery_failed, d.src_partkey, d.src_suppkey, d.src_price")
+
+ENRICHED = f"""
+SELECT *, {_hist_flags('weather_rain', 'weather_wind_speed', 'weather_temperature')}
+FROM (
+  SELECT {_ORIG},
+    coalesce(w.weather_rain, d.weather_rain) AS weather_rain,
+    coalesce(w.weather_wind_speed, d.weather_wind_speed) AS weather_wind_speed,
+    coalesce(w.weather_temperature, d.weather_temperature) AS weather_temperature,
+    d.weather_rain AS weather_rain_synthetic,
+    d.weather_wind_speed AS weather_wind_speed_synthetic,
+    d.weather_temperature AS weather_temperature_synthetic,
+    w.weather_rain IS NOT NULL AS _matched
+  FROM deliveries d LEFT JOIN weather_daily w ON d.date = w.date AND d.zone = w.zone)"""
+
+ORACLE["weather_join"] = W("SELECT * EXCLUDE (_matched) FROM enriched", "deliveries", "weather_daily",
+                           extra={"enriched": ENRICHED})
+
+ORACLE["join_coverage"] = W("""
+SELECT total, matched, total - matched AS missing, matched / CAST(total AS DOUBLE) AS matched_share,
+  (total - matched) / CAST(total AS DOUBLE) AS missing_share
+FROM (SELECT CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER (WHERE _matched) AS BIGINT) AS matched
+      FROM enriched)""", "deliveries", "weather_daily", extra={"enriched": ENRICHED})
+
+ORACLE["derived_weather"] = W(f"""
+SELECT date, zone, weather_rain, weather_wind_speed, weather_temperature,
+  {_hist_flags('weather_rain', 'weather_wind_speed', 'weather_temperature')}
+FROM weather_daily""", "weather_daily")
+
+ORACLE["enrichment_validation"] = W("""
+SELECT *, corr_rain_failure < 0 AS rain_sign_warning FROM (
+SELECT
+  CAST(count(*) FILTER (WHERE weather_rain IS NULL OR isnan(weather_rain)) AS BIGINT) AS nulls_weather_rain,
+  CAST(count(*) FILTER (WHERE weather_wind_speed IS NULL OR isnan(weather_wind_speed)) AS BIGINT) AS nulls_weather_wind_speed,
+  CAST(count(*) FILTER (WHERE weather_temperature IS NULL OR isnan(weather_temperature)) AS BIGINT) AS nulls_weather_temperature,
+  CAST(count(*) FILTER (WHERE NOT isnan(weather_rain) AND (weather_rain < 0 OR weather_rain > 200)) AS BIGINT) AS out_of_range_weather_rain,
+  CAST(count(*) FILTER (WHERE NOT isnan(weather_wind_speed) AND (weather_wind_speed < 0 OR weather_wind_speed > 50)) AS BIGINT) AS out_of_range_weather_wind_speed,
+  CAST(count(*) FILTER (WHERE NOT isnan(weather_temperature) AND (weather_temperature < -20 OR weather_temperature > 50)) AS BIGINT) AS out_of_range_weather_temperature,
+  corr(weather_rain, CAST(delivery_failed AS DOUBLE)) AS corr_rain_failure,
+  corr(weather_wind_speed, CAST(delivery_failed AS DOUBLE)) AS corr_wind_failure,
+  avg(adverse_weather) AS share_adverse_weather,
+  avg(strong_wind) AS share_strong_wind,
+  avg(feels_like_cold) AS share_feels_like_cold
+FROM enriched)""", "deliveries", "weather_daily", extra={"enriched": ENRICHED})
+
+ORACLE["zone_weather_means"] = W(f"""
+SELECT zone, {_rnd('avg(weather_rain)', 2)} AS weather_rain,
+  {_rnd('avg(weather_wind_speed)', 2)} AS weather_wind_speed,
+  {_rnd('avg(weather_temperature)', 2)} AS weather_temperature
+FROM parsed GROUP BY zone""", "weather_raw", extra={"parsed": PARSED_WEATHER})
+
+CONDITIONS = """
+SELECT s.zone, s.station,
+  coalesce(TRY_CAST(l.prec AS DOUBLE), 0.0::DOUBLE) AS weather_rain_raw,
+  coalesce(TRY_CAST(l.vv AS DOUBLE), 0.0::DOUBLE) AS weather_wind_speed_raw,
+  coalesce(TRY_CAST(l.ta AS DOUBLE), 0.0::DOUBLE) AS weather_temperature_raw
+FROM stations s LEFT JOIN (
+  SELECT station, arg_max_null(prec, obs_ts) AS prec, arg_max_null(vv, obs_ts) AS vv,
+         arg_max_null(ta, obs_ts) AS ta
+  FROM observations GROUP BY station) l ON s.station = l.station"""
+
+ORACLE["latest_conditions"] = W("SELECT * FROM conditions", "observations", "stations",
+                                extra={"conditions": CONDITIONS})
+
+REALTIME = """
+SELECT zone, weather_rain_raw AS weather_rain, weather_wind_speed_raw AS weather_wind_speed,
+  weather_temperature_raw AS weather_temperature,
+  CASE WHEN weather_wind_speed_raw > 10.0::DOUBLE THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS strong_wind,
+  CASE WHEN weather_rain_raw > 5.0::DOUBLE THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS adverse_weather,
+  CASE WHEN weather_temperature_raw < 5 THEN 0.0::DOUBLE WHEN weather_temperature_raw < 15 THEN 1.0::DOUBLE
+       WHEN weather_temperature_raw < 25 THEN 2.0::DOUBLE ELSE 3.0::DOUBLE END AS temp_category
+FROM conditions"""
+
+ORACLE["realtime_weather"] = W("SELECT * FROM realtime", "observations", "stations",
+                               extra={"conditions": CONDITIONS, "realtime": REALTIME})
+
+ORACLE["display_weather"] = W(f"""
+SELECT zone AS city,
+  CASE WHEN r > 5.0::DOUBLE THEN 1 ELSE 0 END AS weather_rain,
+  {_rnd('r', 1)} AS weather_rain_mm, {_rnd('w', 1)} AS weather_wind_speed,
+  {_rnd('t', 1)} AS weather_temperature, src AS source
+FROM (SELECT zone,
+        CASE WHEN weather_rain_raw IS NOT NULL THEN weather_rain_raw ELSE 0.0::DOUBLE END AS r,
+        CASE WHEN weather_rain_raw IS NOT NULL THEN weather_wind_speed_raw ELSE 2.0::DOUBLE END AS w,
+        CASE WHEN weather_rain_raw IS NOT NULL THEN weather_temperature_raw ELSE 18.0::DOUBLE END AS t,
+        CASE WHEN weather_rain_raw IS NOT NULL THEN 'aemet' ELSE 'fallback' END AS src
+      FROM conditions)""", "observations", "stations", extra={"conditions": CONDITIONS})
+
+ORACLE["weather_override"] = W(f"""
+SELECT d.delivery_id, {TRACE}, d.zone,
+  coalesce(r.weather_rain, d.weather_rain) AS weather_rain,
+  coalesce(r.weather_wind_speed, d.weather_wind_speed) AS weather_wind_speed,
+  coalesce(r.weather_temperature, d.weather_temperature) AS weather_temperature
+FROM deliveries d LEFT JOIN realtime r ON d.zone = r.zone""", "deliveries", "observations", "stations",
+                               extra={"conditions": CONDITIONS, "realtime": REALTIME})
