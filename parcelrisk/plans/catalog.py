@@ -164,3 +164,153 @@ def q_weather_override(spark, sf):
     d = X.deliveries(spark, sf)
     out = WX.override_weather(d, rt, feature_cols=list(WX.WEATHER_COLS))
     return out.select("delivery_id", *TRACE, "zone", *WX.WEATHER_COLS)
+
+
+# ------------------------------------------------------------------ features & split
+from parcelrisk.functions.calendar import day_of_week, is_holiday, is_retry, package_flags  # noqa: E402
+from parcelrisk.functions.common import np_round  # noqa: E402
+from parcelrisk.functions.risk import round_prob  # noqa: E402
+from parcelrisk.functions.scorecard import rule_probability  # noqa: E402
+from parcelrisk.operators import features as FE  # noqa: E402
+from parcelrisk.operators import metrics as M  # noqa: E402
+from parcelrisk.operators.split import stratified_split  # noqa: E402
+
+FEATURE_EXCLUDE = tuple(C.EXCLUDE_COLS) + tuple(X.INGEST_ORDER)
+
+
+def engineered(spark, sf):
+    return FE.engineer_features(X.deliveries(spark, sf))
+
+
+@query("features_39")
+def q_features_39(spark, sf):
+    e = engineered(spark, sf)
+    feats = FE.model_features(e, FEATURE_EXCLUDE)
+    return e.select("delivery_id", *TRACE, *[np_round(F.col(c).cast("double"), 9).alias(c) for c in feats])
+
+
+@query("calendar_flags")
+def q_calendar_flags(spark, sf):
+    d = X.deliveries(spark, sf)
+    return d.select("delivery_id", *TRACE, "date", day_of_week("date").alias("day_of_week"),
+                    is_holiday("date").alias("is_holiday"),
+                    *[v.alias(k) for k, v in package_flags("product_type").items()],
+                    is_retry("num_previous_attempts").alias("is_retry"))
+
+
+@query("zone_failure_rate")
+def q_zone_failure_rate(spark, sf):
+    return FE.zone_failure_rate(X.deliveries(spark, sf))
+
+
+@query("top_correlations")
+def q_top_correlations(spark, sf):
+    d = X.deliveries(spark, sf, with_ingest_order=False)
+    return FE.top_correlations(d).select("feature", np_round("corr", 9).alias("corr"),
+                                         np_round("abs_corr", 9).alias("abs_corr"))
+
+
+def _scaler(spark, sf, enriched=False):
+    d = X.deliveries(spark, sf)
+    if enriched:
+        d = WX.enrich_with_weather(d, X.weather_daily(spark, sf))
+    e = FE.engineer_features(d)
+    feats = FE.model_features(e, FEATURE_EXCLUDE + tuple(f"{c}_synthetic" for c in WX.WEATHER_COLS))
+    return FE.scaler_stats(e, feats)
+
+
+@query("scaler_stats")
+def q_scaler_stats(spark, sf):
+    return _scaler(spark, sf).select("feature", np_round("mean", 9).alias("mean"), np_round("std", 9).alias("std"))
+
+
+@query("zscored")
+def q_zscored(spark, sf):
+    rt = WX.realtime_features(_conditions(spark, sf), scaler_stats=_scaler(spark, sf, enriched=True),
+                              fallback=True)
+    return rt.select("zone", *[np_round(c, 9).alias(c) for c in rt.columns if c != "zone"])
+
+
+def clean_deliveries(spark, sf):
+    """Deduplicated, range- and weather-checked deliveries (silver without the gate action)."""
+    return Q.silver(X.deliveries(spark, sf), gate=False)
+
+
+def split_frame(spark, sf):
+    return stratified_split(clean_deliveries(spark, sf))
+
+
+@query("split_exact")
+def q_split_exact(spark, sf):
+    return split_frame(spark, sf).select("delivery_id", "delivery_failed", "split")
+
+
+@query("split_sizes")
+def q_split_sizes(spark, sf):
+    return split_frame(spark, sf).groupBy("split", F.col("delivery_failed").alias("label")).agg(
+        F.count("*").alias("n"))
+
+
+@query("class_weights")
+def q_class_weights(spark, sf):
+    train = split_frame(spark, sf).filter(F.col("split") == "train")
+    return FE.class_weights(train).select("label", "n", np_round("weight", 9).alias("weight"))
+
+
+# ------------------------------------------------------------------ scoring & metrics
+def scored(spark, sf, enriched: bool = False):
+    d = clean_deliveries(spark, sf)
+    if enriched:
+        d = WX.enrich_with_weather(d, X.weather_daily(spark, sf))
+    return d.withColumns({"score": round_prob(rule_probability()), "label": F.col(C.TARGET)})
+
+
+@query("rule_scores")
+def q_rule_scores(spark, sf):
+    return scored(spark, sf).select("delivery_id", *TRACE, "score", "label")
+
+
+@query("threshold_sweep")
+def q_threshold_sweep(spark, sf):
+    return M.threshold_sweep(scored(spark, sf))
+
+
+@query("best_threshold")
+def q_best_threshold(spark, sf):
+    return M.best_threshold(M.threshold_sweep(scored(spark, sf)))
+
+
+@query("roc_auc")
+def q_roc_auc(spark, sf):
+    return M.roc_auc(scored(spark, sf)).select(np_round("roc_auc", 4).alias("roc_auc"))
+
+
+@query("average_precision")
+def q_average_precision(spark, sf):
+    return M.average_precision(scored(spark, sf)).select(np_round("avg_precision", 4).alias("avg_precision"))
+
+
+def _confusion(spark, sf):
+    s = scored(spark, sf)
+    return M.confusion(s, M.best_threshold(M.threshold_sweep(s)))
+
+
+@query("confusion")
+def q_confusion(spark, sf):
+    return _confusion(spark, sf).drop("positive_rate")
+
+
+@query("classification_report")
+def q_classification_report(spark, sf):
+    return M.classification_report(_confusion(spark, sf))
+
+
+@query("daily_projection")
+def q_daily_projection(spark, sf):
+    return M.daily_projection(_confusion(spark, sf))
+
+
+@query("model_comparison")
+def q_model_comparison(spark, sf):
+    return M.compare_models([("rule_scorecard", M.evaluate(scored(spark, sf))),
+                             ("rule_scorecard_weather", M.evaluate(scored(spark, sf, enriched=True)))])

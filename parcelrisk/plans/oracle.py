@@ -322,3 +322,250 @@ SELECT d.delivery_id, {TRACE}, d.zone,
   coalesce(r.weather_temperature, d.weather_temperature) AS weather_temperature
 FROM deliveries d LEFT JOIN realtime r ON d.zone = r.zone""", "deliveries", "observations", "stations",
                                extra={"conditions": CONDITIONS, "realtime": REALTIME})
+
+
+# ------------------------------------------------------------------ features & split
+_ORIG_NUM = ["hour", "day_of_week", "is_holiday", "recipient_failure_rate", "num_previous_attempts",
+             "driver_quality_score", "driver_delivery_load", "requires_signature", "is_fragile",
+             "is_bulky", "weight_kg", "weather_rain", "weather_wind_speed", "weather_temperature",
+             "is_retry"]
+_TWO_PI = "6.283185307179586::DOUBLE"
+FEATURES = {c: c for c in _ORIG_NUM}
+FEATURES.update({
+    "hour_sin": f"sin(({_TWO_PI} * hour) / 24.0::DOUBLE)",
+    "hour_cos": f"cos(({_TWO_PI} * hour) / 24.0::DOUBLE)",
+    "dow_sin": f"sin(({_TWO_PI} * day_of_week) / 7.0::DOUBLE)",
+    "dow_cos": f"cos(({_TWO_PI} * day_of_week) / 7.0::DOUBLE)",
+    "month": "CAST(month(date) AS DOUBLE)",
+    "quarter": "CAST(quarter(date) AS DOUBLE)",
+})
+for _col, _vals in (("zone", ("barcelona", "madrid", "sevilla", "valencia")),
+                    ("zone_type", ("historic_center", "industrial", "offices", "residential")),
+                    ("product_type", ("bulky", "fragile", "high_value", "signature_required", "standard"))):
+    for _v in _vals:
+        FEATURES[f"{_col}_{_v}"] = f"CASE WHEN {_col} = '{_v}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END"
+FEATURES.update({
+    "load_x_rain": "driver_delivery_load * weather_rain",
+    "fragile_x_bulky": "is_fragile * is_bulky",
+    "score_x_rfr": "driver_quality_score * recipient_failure_rate",
+    "score_x_load": "driver_quality_score * driver_delivery_load",
+    "rfr_x_retry": "recipient_failure_rate * is_retry",
+})
+
+ORACLE["features_39"] = W(
+    f"SELECT delivery_id, {TRACE}, "
+    + ", ".join(f"{_rnd(f'CAST({e} AS DOUBLE)', 9)} AS {k}" for k, e in FEATURES.items())
+    + " FROM deliveries", "deliveries")
+
+ORACLE["calendar_flags"] = W(f"""
+SELECT delivery_id, {TRACE}, date, CAST(isodow(date) - 1 AS INTEGER) AS day_of_week,
+  CASE WHEN strftime(date, '%m-%d') IN ('01-01','01-06','03-28','03-29','04-01','05-01','08-15',
+    '10-12','11-01','12-06','12-08','12-25') THEN 1 ELSE 0 END AS is_holiday,
+  CASE WHEN product_type = 'signature_required' THEN 1 ELSE 0 END AS requires_signature,
+  CASE WHEN product_type = 'fragile' THEN 1 ELSE 0 END AS is_fragile,
+  CASE WHEN product_type = 'bulky' THEN 1 ELSE 0 END AS is_bulky,
+  CASE WHEN num_previous_attempts > 0 THEN 1 ELSE 0 END AS is_retry
+FROM deliveries""", "deliveries")
+
+ORACLE["zone_failure_rate"] = W("""
+SELECT zone, CAST(count(*) AS BIGINT) AS deliveries, avg(CAST(delivery_failed AS DOUBLE)) AS failure_rate
+FROM deliveries GROUP BY zone""", "deliveries")
+
+_CORR_COLS = ["hour", "day_of_week", "is_holiday", "recipient_id", "recipient_failure_rate",
+              "num_previous_attempts", "driver_quality_score", "driver_delivery_load",
+              "requires_signature", "is_fragile", "is_bulky", "weight_kg", "weather_rain",
+              "weather_wind_speed", "weather_temperature", "is_retry"]
+ORACLE["top_correlations"] = W(
+    "SELECT feature, " + _rnd("corr", 9) + " AS corr, " + _rnd("abs(corr)", 9) + " AS abs_corr FROM ("
+    + " UNION ALL ".join(f"SELECT '{c}' AS feature, corr(CAST({c} AS DOUBLE), CAST(delivery_failed AS DOUBLE)) AS corr "
+                         f"FROM deliveries" for c in _CORR_COLS)
+    + ") WHERE corr IS NOT NULL AND NOT isnan(corr) ORDER BY abs(corr) DESC, feature LIMIT 5", "deliveries")
+
+ORACLE["scaler_stats"] = W(
+    " UNION ALL ".join(f"SELECT '{k}' AS feature, {_rnd(f'avg(CAST({e} AS DOUBLE))', 9)} AS mean, "
+                       f"{_rnd(f'stddev_samp(CAST({e} AS DOUBLE))', 9)} AS std FROM deliveries"
+                       for k, e in FEATURES.items()), "deliveries")
+
+_RT6 = ["weather_rain", "weather_wind_speed", "weather_temperature", "strong_wind", "adverse_weather",
+        "temp_category"]
+ORACLE["zscored"] = W(
+    "SELECT r.zone, " + ", ".join(
+        f"{_rnd(f'CASE WHEN s.std_{c} > 0 THEN (r.{c} - s.mean_{c}) / s.std_{c} ELSE 0.0::DOUBLE END', 9)} AS {c}"
+        for c in _RT6)
+    + " FROM realtime r, (SELECT " + ", ".join(
+        f"avg(CAST({c} AS DOUBLE)) AS mean_{c}, stddev_samp(CAST({c} AS DOUBLE)) AS std_{c}" for c in _RT6)
+    + " FROM enriched) s", "deliveries", "weather_daily", "observations", "stations",
+    extra={"enriched": ENRICHED, "conditions": CONDITIONS, "realtime": REALTIME})
+
+CLEAN = (f"SELECT * EXCLUDE (_rn) FROM ({KEEP_FIRST.format(src='deliveries')}) "
+         f"WHERE ({ALL_RANGE}) AND ({ALL_METEO})")
+
+SPLIT = """
+SELECT c.*, CASE WHEN c._r <= q.t THEN 'test' WHEN c._r <= q.t + q.v THEN 'val' ELSE 'train' END AS split
+FROM (SELECT *, row_number() OVER (PARTITION BY delivery_failed ORDER BY md5('42#' || delivery_id)) AS _r
+      FROM clean) c
+JOIN quotas q ON c.delivery_failed = q.lbl"""
+
+QUOTAS = """
+SELECT lbl, n - keep AS t, keep - tr AS v FROM (
+  SELECT *, floor2 + CASE WHEN rk2 <= need2 THEN 1 ELSE 0 END AS tr FROM (
+    SELECT *, row_number() OVER (ORDER BY cont2 - floor2 DESC, lbl) AS rk2,
+           n_train - sum(floor2) OVER () AS need2 FROM (
+      SELECT *, keep * n_train / rest AS cont2, floor(keep * n_train / rest) AS floor2 FROM (
+        SELECT *, floor1 + CASE WHEN rk1 <= need1 THEN 1 ELSE 0 END AS keep FROM (
+          SELECT *, row_number() OVER (ORDER BY cont1 - floor1 DESC, lbl) AS rk1,
+                 rest - sum(floor1) OVER () AS need1 FROM (
+            SELECT c.lbl, c.n, s.rest, s.n_train, c.n * s.rest / s.total AS cont1,
+                   floor(c.n * s.rest / s.total) AS floor1
+            FROM (SELECT delivery_failed AS lbl, count(*) AS n FROM clean GROUP BY 1) c,
+                 (SELECT total, rest, rest - CAST(ceil(0.125::DOUBLE * rest) AS BIGINT) AS n_train FROM (
+                    SELECT total, total - CAST(ceil(0.2::DOUBLE * total) AS BIGINT) AS rest
+                    FROM (SELECT count(*) AS total FROM clean))) s))))))"""
+
+_SPLIT_CTES = {"clean": CLEAN, "quotas": QUOTAS, "split": SPLIT}
+
+ORACLE["split_exact"] = W("SELECT delivery_id, delivery_failed, split FROM split", "deliveries",
+                          extra=_SPLIT_CTES)
+ORACLE["split_sizes"] = W("""
+SELECT split, delivery_failed AS label, CAST(count(*) AS BIGINT) AS n FROM split GROUP BY 1, 2""",
+                          "deliveries", extra=_SPLIT_CTES)
+ORACLE["class_weights"] = W(f"""
+SELECT label, n, {_rnd('sum(n) OVER () / (count(*) OVER () * n)', 9)} AS weight
+FROM (SELECT delivery_failed AS label, CAST(count(*) AS BIGINT) AS n FROM split WHERE split = 'train' GROUP BY 1)""",
+                            "deliveries", extra=_SPLIT_CTES)
+
+
+# ------------------------------------------------------------------ scoring & metrics
+def _lookup(col, pairs):
+    return "CASE " + " ".join(f"WHEN {col} IN ({', '.join(map(str, k))}) THEN {w}::DOUBLE" if isinstance(k, tuple)
+                              else f"WHEN {col} = '{k}' THEN {w}::DOUBLE" for k, w in pairs) + " ELSE 0.0::DOUBLE END"
+
+
+def _truthy(c):
+    return f"coalesce(CAST({c} AS DOUBLE) <> 0, false)"
+
+
+LOGIT = " + ".join([
+    "-2.8::DOUBLE",
+    "weather_rain * 1.1::DOUBLE",
+    "CASE WHEN weather_wind_speed > 10.0 THEN 0.5::DOUBLE WHEN weather_wind_speed > 7.0 THEN 0.2::DOUBLE ELSE 0.0::DOUBLE END",
+    "CASE WHEN abs(weather_temperature) < 2.0 THEN 0.6::DOUBLE WHEN weather_temperature > 35.0 THEN 0.3::DOUBLE ELSE 0.0::DOUBLE END",
+    _lookup("zone_type", [("historic_center", 0.9), ("residential", 0.0), ("offices", -0.1), ("industrial", -0.5)]),
+    _lookup("hour", [((13, 14), 0.5), ((8, 9), -0.2), ((17, 18), -0.1)]),
+    _lookup("day_of_week", [((0,), 0.3), ((4,), 0.2), ((5, 6), -0.3)]),
+    f"CASE WHEN {_truthy('is_holiday')} THEN 0.4::DOUBLE ELSE 0.0::DOUBLE END",
+    "recipient_failure_rate * 2.5::DOUBLE",
+    "(-(driver_quality_score * 1.5::DOUBLE))",
+    "CASE WHEN driver_delivery_load > 40 THEN 0.4::DOUBLE ELSE 0.0::DOUBLE END",
+    f"CASE WHEN {_truthy('is_retry')} THEN 0.7::DOUBLE ELSE 0.0::DOUBLE END",
+    _lookup("product_type", [("fragile", 0.3), ("bulky", 0.4), ("high_value", 0.2), ("signature_required", 0.5),
+                             ("standard", 0.0)]),
+    f"CASE WHEN {_truthy('requires_signature')} THEN 0.2::DOUBLE ELSE 0.0::DOUBLE END",
+    f"CASE WHEN {_truthy('is_bulky')} THEN 0.1::DOUBLE ELSE 0.0::DOUBLE END",
+    "CASE WHEN weight_kg > 20.0 THEN 0.2::DOUBLE ELSE 0.0::DOUBLE END",
+    "num_previous_attempts * 0.5::DOUBLE",
+])
+PROB = f"(1.0::DOUBLE / (1.0::DOUBLE + exp(-({LOGIT}))))"
+SCORE = _rnd(PROB, 4)
+
+SCORED = f"SELECT *, {SCORE} AS score, delivery_failed AS label FROM clean"
+SCORED_W = f"SELECT *, {SCORE} AS score, delivery_failed AS label FROM enriched_clean"
+ENRICHED_CLEAN = ENRICHED.replace("FROM deliveries d LEFT JOIN", "FROM clean d LEFT JOIN")
+
+GRID = ("SELECT 0.2::DOUBLE + i * ((0.2::DOUBLE + 0.02::DOUBLE) - 0.2::DOUBLE) AS threshold "
+        "FROM range(25) t(i)")
+SWEEP = """
+SELECT threshold, tp, fp, fn, CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0::DOUBLE
+  ELSE CAST(2 * tp AS DOUBLE) / CAST(2 * tp + fp + fn AS DOUBLE) END AS f1
+FROM (SELECT g.threshold,
+        CAST(count(*) FILTER (WHERE s.score >= g.threshold AND s.label = 1) AS BIGINT) AS tp,
+        CAST(count(*) FILTER (WHERE s.score >= g.threshold AND s.label = 0) AS BIGINT) AS fp,
+        CAST(count(*) FILTER (WHERE NOT (s.score >= g.threshold) AND s.label = 1) AS BIGINT) AS fn
+      FROM grid g, {src} s GROUP BY g.threshold)"""
+BEST = "SELECT * FROM {sweep} ORDER BY f1 DESC, threshold ASC LIMIT 1"
+CONF = """
+SELECT threshold, tp, fp, tn, fn,
+  CASE WHEN tp + fn = 0 THEN 0.0::DOUBLE ELSE tp / CAST(tp + fn AS DOUBLE) END AS recall,
+  CASE WHEN tp + fp = 0 THEN 0.0::DOUBLE ELSE tp / CAST(tp + fp AS DOUBLE) END AS precision,
+  positive_rate
+FROM (SELECT b.threshold,
+        CAST(count(*) FILTER (WHERE s.score >= b.threshold AND s.label = 1) AS BIGINT) AS tp,
+        CAST(count(*) FILTER (WHERE s.score >= b.threshold AND s.label = 0) AS BIGINT) AS fp,
+        CAST(count(*) FILTER (WHERE NOT (s.score >= b.threshold) AND s.label = 0) AS BIGINT) AS tn,
+        CAST(count(*) FILTER (WHERE NOT (s.score >= b.threshold) AND s.label = 1) AS BIGINT) AS fn,
+        avg(CAST(s.label AS DOUBLE)) AS positive_rate
+      FROM {best} b, {src} s GROUP BY b.threshold)"""
+CUM = """
+SELECT *, sum(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS tp,
+          sum(neg) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS fp
+FROM (SELECT score, sum(label) AS pos, sum(1 - label) AS neg FROM {src} GROUP BY score)"""
+AUC = ("SELECT sum(neg * ((tp - pos) + pos * 0.5::DOUBLE)) / (CAST(sum(pos) AS DOUBLE) * sum(neg)) AS roc_auc "
+       "FROM ({cum})")
+AP = "SELECT sum(pos * (tp / CAST(tp + fp AS DOUBLE))) / sum(pos) AS avg_precision FROM ({cum})"
+PROJ = """
+SELECT e AS expected_failures, CAST(trunc(e * recall) AS INTEGER) AS daily_detected,
+  CAST(trunc((18000 - e) * (fp / CAST(greatest(tn + fp, 1) AS DOUBLE))) AS INTEGER) AS daily_false_alarms
+FROM (SELECT *, CAST(trunc(18000 * positive_rate) AS INTEGER) AS e FROM conf)"""
+
+
+def _metric_ctes(src: str, suffix: str = "") -> dict:
+    sweep, best, conf = f"sweep{suffix}", f"best{suffix}", f"conf{suffix}"
+    return {
+        sweep: SWEEP.format(src=src),
+        best: BEST.format(sweep=sweep),
+        conf: CONF.format(best=best, src=src),
+        f"cum{suffix}": CUM.format(src=src),
+    }
+
+
+_M = {"clean": CLEAN, "scored": SCORED, "grid": GRID, **_metric_ctes("scored")}
+
+ORACLE["rule_scores"] = W(f"SELECT delivery_id, {TRACE}, score, label FROM scored", "deliveries",
+                          extra={"clean": CLEAN, "scored": SCORED})
+ORACLE["threshold_sweep"] = W("SELECT * FROM sweep", "deliveries", extra=_M)
+ORACLE["best_threshold"] = W("SELECT * FROM best", "deliveries", extra=_M)
+ORACLE["roc_auc"] = W(f"SELECT {_rnd('roc_auc', 4)} AS roc_auc FROM ({AUC.format(cum='SELECT * FROM cum')})",
+                      "deliveries", extra=_M)
+ORACLE["average_precision"] = W(
+    f"SELECT {_rnd('avg_precision', 4)} AS avg_precision FROM ({AP.format(cum='SELECT * FROM cum')})",
+    "deliveries", extra=_M)
+ORACLE["confusion"] = W("SELECT * EXCLUDE (positive_rate) FROM conf", "deliveries", extra=_M)
+ORACLE["daily_projection"] = W(PROJ, "deliveries", extra=_M)
+_CR = {
+    "per": """
+  SELECT '0' AS cls, tn AS t, fn AS fpos, fp AS fneg FROM conf
+  UNION ALL SELECT '1', tp, fp, fn FROM conf""",
+    "m": """
+  SELECT cls,
+    CASE WHEN t + fpos = 0 THEN 0.0::DOUBLE ELSE t / CAST(t + fpos AS DOUBLE) END AS precision,
+    CASE WHEN t + fneg = 0 THEN 0.0::DOUBLE ELSE t / CAST(t + fneg AS DOUBLE) END AS recall,
+    CASE WHEN 2 * t + fpos + fneg = 0 THEN 0.0::DOUBLE ELSE 2 * t / CAST(2 * t + fpos + fneg AS DOUBLE) END AS f1,
+    CAST(t + fneg AS DOUBLE) AS support FROM per"""}
+ORACLE["classification_report"] = W("""
+SELECT cls, precision, recall, f1, CAST(support AS BIGINT) AS support FROM m
+UNION ALL SELECT 'accuracy', a, a, a, CAST(total AS BIGINT) FROM (
+  SELECT (tp + tn) / CAST(tp + tn + fp + fn AS DOUBLE) AS a, tp + tn + fp + fn AS total FROM conf)
+UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), CAST(sum(support) AS BIGINT) FROM m
+UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+  sum(f1 * support) / sum(support), CAST(sum(support) AS BIGINT) FROM m""", "deliveries", extra={**_M, **_CR})
+
+
+def _evaluate_sql(suffix: str) -> str:
+    cum = f"SELECT * FROM cum{suffix}"
+    return f"""
+SELECT {_rnd('a.roc_auc', 4)} AS roc_auc, {_rnd('p.avg_precision', 4)} AS avg_precision,
+  {_rnd('b.f1', 4)} AS f1_optimal, {_rnd('c.threshold', 3)} AS best_threshold,
+  {_rnd('c.recall', 4)} AS recall_fallo, {_rnd('c.precision', 4)} AS precision_fallo,
+  c.tp, c.fp, c.tn, c.fn,
+  CAST(trunc(CAST(trunc(18000 * c.positive_rate) AS INTEGER) * c.recall) AS INTEGER) AS daily_detected,
+  CAST(trunc((18000 - CAST(trunc(18000 * c.positive_rate) AS INTEGER))
+       * (c.fp / CAST(greatest(c.tn + c.fp, 1) AS DOUBLE))) AS INTEGER) AS daily_false_alarms
+FROM ({AUC.format(cum=cum)}) a, ({AP.format(cum=cum)}) p, best{suffix} b, conf{suffix} c"""
+
+
+ORACLE["model_comparison"] = W(f"""
+SELECT * EXCLUDE (_o), row_number() OVER (ORDER BY avg_precision DESC, _o) = 1 AS is_best FROM (
+  SELECT 'rule_scorecard' AS model, 0 AS _o, * FROM ({_evaluate_sql('')})
+  UNION ALL SELECT 'rule_scorecard_weather', 1, * FROM ({_evaluate_sql('_w')}))""",
+    "deliveries", "weather_daily",
+    extra={**_M, "enriched_clean": ENRICHED_CLEAN, "scored_w": SCORED_W, **_metric_ctes("scored_w", "_w")})
