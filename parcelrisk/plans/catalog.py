@@ -291,8 +291,7 @@ def q_average_precision(spark, sf):
 
 
 def _confusion(spark, sf):
-    s = scored(spark, sf)
-    return M.confusion(s, M.best_threshold(M.threshold_sweep(s)))
+    return M.confusion_at_best(M.threshold_sweep(scored(spark, sf)))
 
 
 @query("confusion")

@@ -475,11 +475,12 @@ ENRICHED_CLEAN = ENRICHED.replace("FROM deliveries d LEFT JOIN", "FROM clean d L
 GRID = ("SELECT 0.2::DOUBLE + i * ((0.2::DOUBLE + 0.02::DOUBLE) - 0.2::DOUBLE) AS threshold "
         "FROM range(25) t(i)")
 SWEEP = """
-SELECT threshold, tp, fp, fn, CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0::DOUBLE
+SELECT threshold, tp, fp, tn, fn, CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0::DOUBLE
   ELSE CAST(2 * tp AS DOUBLE) / CAST(2 * tp + fp + fn AS DOUBLE) END AS f1
 FROM (SELECT g.threshold,
         CAST(count(*) FILTER (WHERE s.score >= g.threshold AND s.label = 1) AS BIGINT) AS tp,
         CAST(count(*) FILTER (WHERE s.score >= g.threshold AND s.label = 0) AS BIGINT) AS fp,
+        CAST(count(*) FILTER (WHERE NOT (s.score >= g.threshold) AND s.label = 0) AS BIGINT) AS tn,
         CAST(count(*) FILTER (WHERE NOT (s.score >= g.threshold) AND s.label = 1) AS BIGINT) AS fn
       FROM grid g, {src} s GROUP BY g.threshold)"""
 BEST = "SELECT * FROM {sweep} ORDER BY f1 DESC, threshold ASC LIMIT 1"
