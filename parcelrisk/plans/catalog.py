@@ -313,3 +313,107 @@ def q_daily_projection(spark, sf):
 def q_model_comparison(spark, sf):
     return M.compare_models([("rule_scorecard", M.evaluate(scored(spark, sf))),
                              ("rule_scorecard_weather", M.evaluate(scored(spark, sf, enriched=True)))])
+
+
+# ------------------------------------------------------------------ operations layer
+from parcelrisk.operators import risk as RK  # noqa: E402
+
+CUTOFF_DATE = "1998-01-01"          # earlier deliveries = previous runs / training period
+AS_OF = "2001-10-01 10:00:00"       # "now" for the recent-history rollup
+
+
+def banded(spark, sf):
+    return RK.band(scored(spark, sf), "score")
+
+
+@query("risk_bands")
+def q_risk_bands(spark, sf):
+    return banded(spark, sf).select("delivery_id", *TRACE, "prob_fallo", "risk_level", "action")
+
+
+@query("risk_summary")
+def q_risk_summary(spark, sf):
+    return RK.risk_summary(banded(spark, sf))
+
+
+@query("actionable")
+def q_actionable(spark, sf):
+    return RK.actionable(banded(spark, sf)).select("delivery_id", *TRACE, "prob_fallo", "risk_level")
+
+
+@query("ranked_panel")
+def q_ranked_panel(spark, sf):
+    return RK.ranked_panel(banded(spark, sf))
+
+
+@query("city_risk_map")
+def q_city_risk_map(spark, sf):
+    return RK.city_risk_map(banded(spark, sf))
+
+
+@query("city_zone_risk")
+def q_city_zone_risk(spark, sf):
+    return RK.city_risk_map(banded(spark, sf), grain=("zone", "zone_type"))
+
+
+@query("alerts")
+def q_alerts(spark, sf):
+    return RK.alerts(banded(spark, sf))
+
+
+@query("alert_summary")
+def q_alert_summary(spark, sf):
+    return RK.alert_summary(RK.alerts(banded(spark, sf)))
+
+
+def _prior_alerts(spark, sf):
+    return RK.alerts(banded(spark, sf).filter(F.col("date") < F.lit(CUTOFF_DATE).cast("date")))
+
+
+@query("new_alerts")
+def q_new_alerts(spark, sf):
+    return RK.new_alerts(RK.alerts(banded(spark, sf)), _prior_alerts(spark, sf))
+
+
+@query("alert_flags")
+def q_alert_flags(spark, sf):
+    a = RK.alerts(banded(spark, sf))
+    return RK.flag_already_alerted(a, _prior_alerts(spark, sf)).select("delivery_id", "already_alerted")
+
+
+@query("remove_deliveries")
+def q_remove_deliveries(spark, sf):
+    b = banded(spark, sf)
+    ids = b.filter((F.col(C.TARGET) == 1) & (F.col("is_retry") == 1)).select("delivery_id")
+    return RK.remove_ids(b, ids).select("delivery_id", *TRACE, "prob_fallo")
+
+
+@query("append_predictions")
+def q_append_predictions(spark, sf):
+    b = banded(spark, sf).select("delivery_id", *TRACE, "date", "prob_fallo", "risk_level")
+    before = F.col("date") < F.lit(CUTOFF_DATE).cast("date")
+    return RK.append(b.filter(before), b.filter(~before))
+
+
+@query("manual_delivery_defaults")
+def q_manual_delivery_defaults(spark, sf):
+    d = X.deliveries(spark, sf)
+    out = RK.manual_deliveries(d, with_random_ids=False)
+    return out.select("delivery_id", *TRACE, "recipient_failure_rate", "num_previous_attempts",
+                      "driver_quality_score", C.TARGET)
+
+
+def history(spark, sf):
+    b = banded(spark, sf)
+    return RK.prediction_history(b, run_date=F.col("date"), city=F.col("zone"),
+                                 model_version="rule_scorecard_unknown")
+
+
+@query("prediction_history")
+def q_prediction_history(spark, sf):
+    return history(spark, sf)
+
+
+@query("recent_rollup")
+def q_recent_rollup(spark, sf):
+    return RK.recent_rollup(history(spark, sf), AS_OF, days=7)

@@ -570,3 +570,119 @@ SELECT * EXCLUDE (_o), row_number() OVER (ORDER BY avg_precision DESC, _o) = 1 A
   UNION ALL SELECT 'rule_scorecard_weather', 1, * FROM ({_evaluate_sql('_w')}))""",
     "deliveries", "weather_daily",
     extra={**_M, "enriched_clean": ENRICHED_CLEAN, "scored_w": SCORED_W, **_metric_ctes("scored_w", "_w")})
+
+
+# ------------------------------------------------------------------ operations layer
+BANDED = f"""
+SELECT *, CASE WHEN risk_level = 'HIGH' THEN 'REAGENDAR_SMS' WHEN risk_level = 'MEDIUM' THEN 'CAMBIAR_FRANJA'
+               ELSE 'ENTREGA_NORMAL' END AS action
+FROM (SELECT *, {_rnd('score', 4)} AS prob_fallo,
+        CASE WHEN {_rnd('score', 4)} >= 0.5::DOUBLE * 1.3::DOUBLE THEN 'HIGH'
+             WHEN {_rnd('score', 4)} >= 0.5::DOUBLE THEN 'MEDIUM' ELSE 'LOW' END AS risk_level
+      FROM scored)"""
+_B = {"clean": CLEAN, "scored": SCORED, "banded": BANDED}
+
+
+def _cap(x):
+    return f"(upper(substr({x}, 1, 1)) || lower(substr({x}, 2)))"
+
+
+ORACLE["risk_bands"] = W(f"SELECT delivery_id, {TRACE}, prob_fallo, risk_level, action FROM banded",
+                         "deliveries", extra=_B)
+ORACLE["risk_summary"] = W("""
+SELECT total, high, medium, low, high / CAST(total AS DOUBLE) AS high_share,
+  medium / CAST(total AS DOUBLE) AS medium_share, low / CAST(total AS DOUBLE) AS low_share
+FROM (SELECT CAST(count(*) AS BIGINT) AS total,
+        CAST(count(*) FILTER (WHERE risk_level = 'HIGH') AS BIGINT) AS high,
+        CAST(count(*) FILTER (WHERE risk_level = 'MEDIUM') AS BIGINT) AS medium,
+        CAST(count(*) FILTER (WHERE risk_level = 'LOW') AS BIGINT) AS low FROM banded)""",
+                           "deliveries", extra=_B)
+ORACLE["actionable"] = W(f"""
+SELECT delivery_id, {TRACE}, prob_fallo, risk_level FROM banded WHERE risk_level IN ('HIGH', 'MEDIUM')""",
+                         "deliveries", extra=_B)
+
+_REASON = ("concat_ws(' · ', "
+           f"CASE WHEN {_truthy('weather_rain')} THEN '🌧️ Lluvia' END, "
+           f"CASE WHEN {_truthy('is_retry')} THEN '🔁 Reintento' END, "
+           "CASE WHEN zone_type = 'historic_center' THEN '🏛️ Centro histórico' END, "
+           "CASE WHEN driver_quality_score < 0.5 THEN '👷 Conductor bajo' END, "
+           "CASE WHEN recipient_failure_rate > 0.5 THEN '📬 Dest. problemático' END, "
+           "CASE WHEN num_previous_attempts > 1 THEN '🔄 ' || CAST(num_previous_attempts AS VARCHAR) || ' intentos' END, "
+           f"CASE WHEN {_truthy('is_fragile')} THEN '⚠️ Frágil' END)")
+
+ORACLE["ranked_panel"] = W(f"""
+SELECT row_number() OVER (ORDER BY prob_fallo DESC, delivery_id ASC) AS rank, delivery_id,
+  {_cap("coalesce(zone, '—')")} AS city,
+  coalesce(CASE zone_type WHEN 'residential' THEN 'Residencial' WHEN 'offices' THEN 'Oficinas'
+      WHEN 'historic_center' THEN 'Centro histórico' WHEN 'industrial' THEN 'Industrial' END, zone_type, '—')
+    AS zone_type_label,
+  coalesce(CASE product_type WHEN 'standard' THEN '📦 Estándar' WHEN 'fragile' THEN '⚠️ Frágil'
+      WHEN 'bulky' THEN '🏗️ Voluminoso' WHEN 'high_value' THEN '💎 Alto valor'
+      WHEN 'signature_required' THEN '✍️ Firma requerida' END, product_type, '—') AS product_label,
+  coalesce(CASE risk_level WHEN 'HIGH' THEN '🔴 ALTO' WHEN 'MEDIUM' THEN '🟡 MEDIO' WHEN 'LOW' THEN '🟢 BAJO' END,
+    '🟢 BAJO') AS badge,
+  {_rnd('prob_fallo * 100.0::DOUBLE', 1)} AS pct,
+  CASE WHEN {_REASON} = '' THEN '—' ELSE {_REASON} END AS reason,
+  coalesce(CASE action WHEN 'REAGENDAR_SMS' THEN '📱 Reagendar SMS' WHEN 'CAMBIAR_FRANJA' THEN '🕐 Cambiar franja'
+      WHEN 'ENTREGA_NORMAL' THEN '✅ Normal' END, action, '—') AS action_label,
+  risk_level = 'HIGH' AS sms_eligible
+FROM banded""", "deliveries", extra=_B)
+
+_MAP = """
+SELECT {grain}, total, high, medium, low, share AS high_share,
+  CASE WHEN share > 0.5 THEN '#ef4444' WHEN share > 0.2 THEN '#f59e0b' ELSE '#22c55e' END AS color,
+  greatest(12.0::DOUBLE, least(36.0::DOUBLE, 12.0::DOUBLE + total * 0.6::DOUBLE)) AS radius
+FROM (SELECT *, CASE WHEN total > 0 THEN high / CAST(total AS DOUBLE) ELSE 0.0::DOUBLE END AS share FROM (
+  SELECT {grain}, CAST(count(*) AS BIGINT) AS total,
+    CAST(count(*) FILTER (WHERE risk_level = 'HIGH') AS BIGINT) AS high,
+    CAST(count(*) FILTER (WHERE risk_level = 'MEDIUM') AS BIGINT) AS medium,
+    CAST(count(*) FILTER (WHERE risk_level = 'LOW') AS BIGINT) AS low
+  FROM (SELECT * REPLACE (coalesce(zone, 'madrid') AS zone) FROM banded) GROUP BY {grain}))"""
+ORACLE["city_risk_map"] = W(_MAP.format(grain="zone"), "deliveries", extra=_B)
+ORACLE["city_zone_risk"] = W(_MAP.format(grain="zone, zone_type"), "deliveries", extra=_B)
+
+ALERTS = f"""
+SELECT true AS sent, true AS simulated, delivery_id, '+34000000000' AS phone,
+  'RetailCore: Su entrega ' || delivery_id || ' en ' || {_cap("coalesce(zone, 'desconocida')")}
+    || ' tiene un ' || CAST(CAST(round_even(prob_fallo * 100.0::DOUBLE, 0) AS INTEGER) AS VARCHAR)
+    || '% de probabilidad de fallo hoy. Le proponemos cambiar de franja horaria. Responda SI para reprogramar.'
+    AS message,
+  'simulated: no webhook configured' AS detail, coalesce(zone, 'desconocida') AS city, prob_fallo
+FROM {{src}} WHERE prob_fallo >= 0.7::DOUBLE"""
+_A = {**_B, "alerts": ALERTS.format(src="banded"),
+      "prior": ALERTS.format(src="(SELECT * FROM banded WHERE date < DATE '1998-01-01')")}
+
+ORACLE["alerts"] = W("SELECT * FROM alerts", "deliveries", extra=_A)
+ORACLE["alert_summary"] = W("""
+SELECT CAST(count(*) AS BIGINT) AS total_alerts, CAST(count(*) FILTER (WHERE NOT simulated) AS BIGINT) AS real,
+  CAST(count(*) FILTER (WHERE simulated) AS BIGINT) AS simulated FROM alerts""", "deliveries", extra=_A)
+ORACLE["new_alerts"] = W("SELECT * FROM alerts WHERE delivery_id NOT IN (SELECT delivery_id FROM prior)",
+                         "deliveries", extra=_A)
+ORACLE["alert_flags"] = W("""
+SELECT delivery_id, delivery_id IN (SELECT delivery_id FROM prior) AS already_alerted FROM alerts""",
+                          "deliveries", extra=_A)
+ORACLE["remove_deliveries"] = W(f"""
+SELECT delivery_id, {TRACE}, prob_fallo FROM banded
+WHERE delivery_id NOT IN (SELECT delivery_id FROM banded WHERE delivery_failed = 1 AND is_retry = 1)""",
+                                "deliveries", extra=_B)
+ORACLE["append_predictions"] = W(f"""
+SELECT delivery_id, {TRACE}, date, prob_fallo, risk_level FROM banded WHERE date < DATE '1998-01-01'
+UNION ALL
+SELECT delivery_id, {TRACE}, date, prob_fallo, risk_level FROM banded WHERE NOT (date < DATE '1998-01-01')""",
+                                 "deliveries", extra=_B)
+ORACLE["manual_delivery_defaults"] = W(f"""
+SELECT delivery_id, {TRACE}, 0.2::DOUBLE AS recipient_failure_rate,
+  CASE WHEN CAST(is_retry AS DOUBLE) <> 0 THEN 1 ELSE 0 END AS num_previous_attempts,
+  0.75::DOUBLE AS driver_quality_score, CAST(NULL AS INTEGER) AS delivery_failed
+FROM deliveries""", "deliveries")
+
+HISTORY = """
+SELECT date AS run_date, coalesce(delivery_id, '') AS delivery_id, zone AS city, prob_fallo, risk_level, action,
+  'rule_scorecard_unknown' AS model_version FROM banded"""
+ORACLE["prediction_history"] = W("SELECT * FROM history", "deliveries", extra={**_B, "history": HISTORY})
+ORACLE["recent_rollup"] = W("""
+SELECT run_date, city, risk_level, action, CAST(count(*) AS BIGINT) AS total,
+  CAST(sum(CAST(round_even(prob_fallo * 10000.0::DOUBLE, 0) AS BIGINT)) AS DOUBLE) / count(*) / 10000.0::DOUBLE
+    AS avg_prob
+FROM history WHERE CAST(run_date AS TIMESTAMP) >= TIMESTAMP '2001-10-01 10:00:00' - INTERVAL 7 DAY
+GROUP BY 1, 2, 3, 4 ORDER BY run_date DESC""", "deliveries", extra={**_B, "history": HISTORY})
