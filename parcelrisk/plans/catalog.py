@@ -417,3 +417,67 @@ def q_prediction_history(spark, sf):
 @query("recent_rollup")
 def q_recent_rollup(spark, sf):
     return RK.recent_rollup(history(spark, sf), AS_OF, days=7)
+
+
+# ------------------------------------------------------------------ drift
+from parcelrisk.operators import drift as DR  # noqa: E402
+
+
+def _drift_frames(spark, sf):
+    d = X.deliveries(spark, sf)
+    before = F.col("date") < F.lit(CUTOFF_DATE).cast("date")
+    exp = FE.engineer_features(d.filter(before))
+    act = FE.engineer_features(d.filter(~before))
+    feats = DR.float_features(exp, act, FE.model_features(exp, FEATURE_EXCLUDE))
+    return exp, act, feats
+
+
+def _psi(spark, sf):
+    exp, act, feats = _drift_frames(spark, sf)
+    return DR.psi_by_feature(exp, act, feats), act
+
+
+@query("psi_by_feature")
+def q_psi_by_feature(spark, sf):
+    psi, _ = _psi(spark, sf)
+    return psi.select("feature", F.col("psi_rounded").alias("psi"), "severity")
+
+
+@query("drift_summary")
+def q_drift_summary(spark, sf):
+    psi, act = _psi(spark, sf)
+    return DR.drift_summary(psi, act.agg(F.count("*").alias("n")))
+
+
+@query("drift_alerts")
+def q_drift_alerts(spark, sf):
+    psi, _ = _psi(spark, sf)
+    return DR.drift_alert_rows(psi, CUTOFF_DATE)
+
+
+def _seasonal_frames(spark, sf):
+    """Expected = first-half-year deliveries, actual = second half (a season shift)."""
+    d = X.deliveries(spark, sf)
+    first = F.month("date") <= 6
+    exp = FE.engineer_features(d.filter(first))
+    act = FE.engineer_features(d.filter(~first))
+    feats = DR.float_features(exp, act, FE.model_features(exp, FEATURE_EXCLUDE))
+    return exp, act, feats
+
+
+@query("psi_seasonal")
+def q_psi_seasonal(spark, sf):
+    exp, act, feats = _seasonal_frames(spark, sf)
+    return DR.psi_by_feature(exp, act, feats).select("feature", F.col("psi_rounded").alias("psi"), "severity")
+
+
+@query("drift_alerts_seasonal")
+def q_drift_alerts_seasonal(spark, sf):
+    exp, act, feats = _seasonal_frames(spark, sf)
+    return DR.drift_alert_rows(DR.psi_by_feature(exp, act, feats), CUTOFF_DATE)
+
+
+@query("drift_summary_seasonal")
+def q_drift_summary_seasonal(spark, sf):
+    exp, act, feats = _seasonal_frames(spark, sf)
+    return DR.drift_summary(DR.psi_by_feature(exp, act, feats), act.agg(F.count("*").alias("n")))

@@ -686,3 +686,69 @@ SELECT run_date, city, risk_level, action, CAST(count(*) AS BIGINT) AS total,
     AS avg_prob
 FROM history WHERE CAST(run_date AS TIMESTAMP) >= TIMESTAMP '2001-10-01 10:00:00' - INTERVAL 7 DAY
 GROUP BY 1, 2, 3, 4 ORDER BY run_date DESC""", "deliveries", extra={**_B, "history": HISTORY})
+
+
+# ------------------------------------------------------------------ drift
+DRIFT_FEATURES = ["recipient_failure_rate", "driver_quality_score", "weight_kg", "weather_rain",
+                  "weather_wind_speed", "weather_temperature", "hour_sin", "hour_cos", "dow_sin", "dow_cos",
+                  "month", "quarter", "zone_barcelona", "zone_madrid", "zone_sevilla", "zone_valencia",
+                  "zone_type_historic_center", "zone_type_industrial", "zone_type_offices",
+                  "zone_type_residential"]
+_QL = "[" + ", ".join(f"{(i * 10.0) / 100.0!r}::DOUBLE" for i in range(11)) + "]"
+
+
+def _drift_ctes(exp_cond: str, act_cond: str) -> dict:
+    def long(side, cond):
+        return " UNION ALL ".join(
+            f"SELECT '{side}' AS side, {i} AS pos, '{f}' AS feature, CAST({FEATURES[f]} AS DOUBLE) AS value "
+            f"FROM deliveries WHERE {cond}" for i, f in enumerate(DRIFT_FEATURES))
+    return {
+        "dl": long("e", exp_cond) + " UNION ALL " + long("a", act_cond),
+        "edges": f"""
+SELECT feature, [q[1] - 1e-8::DOUBLE] || q[2:10] || [q[11] + 1e-8::DOUBLE] AS e FROM (
+  SELECT feature, quantile_cont(value, {_QL}) AS q FROM dl WHERE side = 'e' GROUP BY feature)""",
+        "lens": "SELECT side, feature, count(*) AS len FROM dl GROUP BY side, feature",
+        "binned": """
+SELECT side, feature, least(len(list_filter(e, lambda x: x <= value)) - 1, 9) AS bin, count(*) AS cnt
+FROM dl JOIN edges USING (feature) WHERE value >= e[1] AND value <= e[11] GROUP BY 1, 2, 3""",
+        "psi": """
+SELECT pos, feature, psi, round_even(psi * 10000.0::DOUBLE, 0) / 10000.0::DOUBLE AS psi_rounded,
+  CASE WHEN psi < 0.1 THEN 'OK' WHEN psi < 0.2 THEN 'WARN' ELSE 'ALERT' END AS severity
+FROM (
+  SELECT g.pos, g.feature, sum((ap - ep) * ln(ap / ep)) AS psi FROM (
+    SELECT g.pos, g.feature, g.bin,
+      CASE WHEN coalesce(be.cnt, 0) / (le.len + 1e-8::DOUBLE) = 0 THEN 1e-8::DOUBLE
+           ELSE coalesce(be.cnt, 0) / (le.len + 1e-8::DOUBLE) END AS ep,
+      CASE WHEN coalesce(ba.cnt, 0) / (la.len + 1e-8::DOUBLE) = 0 THEN 1e-8::DOUBLE
+           ELSE coalesce(ba.cnt, 0) / (la.len + 1e-8::DOUBLE) END AS ap
+    FROM (SELECT DISTINCT pos, feature, b.bin FROM dl, range(10) b(bin) WHERE side = 'e') g
+    LEFT JOIN binned be ON be.side = 'e' AND be.feature = g.feature AND be.bin = g.bin
+    LEFT JOIN binned ba ON ba.side = 'a' AND ba.feature = g.feature AND ba.bin = g.bin
+    JOIN lens le ON le.side = 'e' AND le.feature = g.feature
+    JOIN lens la ON la.side = 'a' AND la.feature = g.feature) g
+  GROUP BY g.pos, g.feature)""",
+        "n_act": f"SELECT count(*) AS n FROM deliveries WHERE {act_cond}",
+    }
+
+
+def _drift_oracles(suffix: str, exp_cond: str, act_cond: str):
+    ctes = _drift_ctes(exp_cond, act_cond)
+    ORACLE[f"psi_{suffix}"] = W("SELECT feature, psi_rounded AS psi, severity FROM psi", "deliveries", extra=ctes)
+    ORACLE[f"drift_alerts_{suffix}"] = W("""
+SELECT DATE '1998-01-01' AS alert_date, feature AS feature_name, psi_rounded AS psi_value, severity
+FROM psi WHERE severity <> 'OK'""", "deliveries", extra=ctes)
+    ORACLE[f"drift_summary_{suffix}"] = W(f"""
+SELECT CASE WHEN (SELECT n FROM n_act) < 1000 THEN 'insufficient_data'
+            WHEN n_alerts > 0 THEN 'ALERT' ELSE 'OK' END AS status,
+  {_rnd('overall', 4)} AS overall_psi, n_features, n_alerts, features_with_drift
+FROM (SELECT CAST(count(*) AS BIGINT) AS n_features, avg(psi_rounded) AS overall,
+        CAST(count(*) FILTER (WHERE severity = 'ALERT') AS BIGINT) AS n_alerts,
+        coalesce(string_agg(feature, ',' ORDER BY pos) FILTER (WHERE severity = 'ALERT'), '')
+          AS features_with_drift FROM psi)""", "deliveries", extra=ctes)
+
+
+_drift_oracles("by_feature", "date < DATE '1998-01-01'", "NOT (date < DATE '1998-01-01')")
+_drift_oracles("seasonal", "month(date) <= 6", "NOT (month(date) <= 6)")
+ORACLE["psi_by_feature"] = ORACLE.pop("psi_by_feature")
+ORACLE["drift_alerts"] = ORACLE.pop("drift_alerts_by_feature")
+ORACLE["drift_summary"] = ORACLE.pop("drift_summary_by_feature")
