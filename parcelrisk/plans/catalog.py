@@ -481,3 +481,92 @@ def q_drift_alerts_seasonal(spark, sf):
 def q_drift_summary_seasonal(spark, sf):
     exp, act, feats = _seasonal_frames(spark, sf)
     return DR.drift_summary(DR.psi_by_feature(exp, act, feats), act.agg(F.count("*").alias("n")))
+
+
+# ------------------------------------------------------------------ models, jobs, streaming
+import uuid  # noqa: E402
+
+from parcelrisk.operators import models as ML  # noqa: E402
+from parcelrisk.plans import jobs as J  # noqa: E402
+from parcelrisk.session import cut_lineage, ensure_checkpoint_dir  # noqa: E402
+
+
+def scratch_dir(spark, name: str) -> str:
+    """A fresh folder under the shared checkpoint location (never a machine-local temp dir)."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/parcelrisk-{name}-{uuid.uuid4().hex[:8]}"
+
+
+def _training(spark, sf):
+    raw = X.deliveries(spark, sf)
+    split, feats = J.prepare_training_data(raw)
+    train = split.filter(F.col("split") == "train")
+    return split, feats, train, FE.class_weights(train)
+
+
+def _fit_eval(spark, sf, name):
+    split, feats, train, weights = _training(spark, sf)
+    models = ML.train_candidates(train, feats, weights, {name: ML.CANDIDATES[name]})
+    return J.evaluate_models(models, split.filter(F.col("split") == "test"))
+
+
+@query("train_logistic_regression")
+def q_train_lr(spark, sf):
+    return _fit_eval(spark, sf, "logistic_regression")
+
+
+@query("train_random_forest")
+def q_train_rf(spark, sf):
+    return _fit_eval(spark, sf, "random_forest")
+
+
+@query("train_boosted_trees")
+def q_train_gbt(spark, sf):
+    return _fit_eval(spark, sf, "xgboost")
+
+
+@query("feature_importance")
+def q_feature_importance(spark, sf):
+    split, feats, train, weights = _training(spark, sf)
+    models = ML.train_candidates(train, feats, weights, {"logistic_regression": ML.CANDIDATES["logistic_regression"]})
+    return ML.feature_importance(models["logistic_regression"], feats)
+
+
+@query("batch_inference")
+def q_batch_inference(spark, sf):
+    """Train on deliveries before the cutoff, save, then score later deliveries as a day's packages."""
+    d = X.deliveries(spark, sf)
+    before = F.col("date") < F.lit(CUTOFF_DATE).cast("date")
+    split, feats = J.prepare_training_data(d.filter(before))
+    train = split.filter(F.col("split") == "train")
+    models = ML.train_candidates(train, feats, FE.class_weights(train),
+                                 {"logistic_regression": ML.CANDIDATES["logistic_regression"]})
+    out = scratch_dir(spark, "model")
+    from parcelrisk.sources import sinks as S
+    S.save_model(models["logistic_regression"], out, "logistic_regression",
+                 {"feature_cols": feats, "best_threshold": C.DEFAULT_THRESHOLD})
+    model, meta = S.load_model(f"{out}/best_model")
+    packages = d.filter(~before).drop("delivery_failed")
+    scored = J.score_packages(model, meta, packages, CUTOFF_DATE, conditions=_conditions(spark, sf))
+    return scored.select("delivery_id", *TRACE, "prob_fallo", "risk_level", "action")
+
+
+@query("incremental_scoring")
+def q_incremental_scoring(spark, sf):
+    """Land the deliveries as CSV files, score them with the stream job, read the result."""
+    from parcelrisk.streaming.incremental import read_scored, start_incremental_scoring
+    base = scratch_dir(spark, "stream")
+    d = X.deliveries(spark, sf)
+    (d.select(*[c for c in BUSINESS], *TRACE).write.option("header", True).csv(f"{base}/landing"))
+    from parcelrisk.sources.files import DELIVERY_SCHEMA
+    from pyspark.sql import types as T
+    schema = T.StructType(list(DELIVERY_SCHEMA.fields) + [
+        T.StructField("src_partkey", T.LongType()), T.StructField("src_suppkey", T.LongType()),
+        T.StructField("src_price", T.DoubleType())])
+
+    def scorer(batch):
+        return RK.band(batch, rule_probability())
+
+    q = start_incremental_scoring(spark, f"{base}/landing", f"{base}/out", f"{base}/checkpoint", scorer,
+                                  schema=schema)
+    q.awaitTermination()
+    return read_scored(spark, f"{base}/out").select("delivery_id", *TRACE, "prob_fallo", "risk_level", "action")

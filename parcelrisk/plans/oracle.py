@@ -752,3 +752,13 @@ _drift_oracles("seasonal", "month(date) <= 6", "NOT (month(date) <= 6)")
 ORACLE["psi_by_feature"] = ORACLE.pop("psi_by_feature")
 ORACLE["drift_alerts"] = ORACLE.pop("drift_alerts_by_feature")
 ORACLE["drift_summary"] = ORACLE.pop("drift_summary_by_feature")
+
+
+# ------------------------------------------------------------------ streaming (same scoring over raw rows)
+ORACLE["incremental_scoring"] = W(f"""
+SELECT delivery_id, {TRACE}, prob_fallo, risk_level,
+  CASE WHEN risk_level = 'HIGH' THEN 'REAGENDAR_SMS' WHEN risk_level = 'MEDIUM' THEN 'CAMBIAR_FRANJA'
+       ELSE 'ENTREGA_NORMAL' END AS action
+FROM (SELECT *, CASE WHEN prob_fallo >= 0.5::DOUBLE * 1.3::DOUBLE THEN 'HIGH'
+                     WHEN prob_fallo >= 0.5::DOUBLE THEN 'MEDIUM' ELSE 'LOW' END AS risk_level
+      FROM (SELECT *, {SCORE} AS prob_fallo FROM deliveries))""", "deliveries")
