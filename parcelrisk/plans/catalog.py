@@ -570,3 +570,29 @@ def q_incremental_scoring(spark, sf):
                                   schema=schema)
     q.awaitTermination()
     return read_scored(spark, f"{base}/out").select("delivery_id", *TRACE, "prob_fallo", "risk_level", "action")
+
+
+# ------------------------------------------------------------------ panel joins, top-k, weather parts
+@query("panel_with_originals")
+def q_panel_with_originals(spark, sf):
+    """Predictions joined back to the first original delivery per id (prediction columns win)."""
+    preds = banded(spark, sf).select("delivery_id", "prob_fallo", "risk_level", "action", "shap_reason",
+                                     F.lit("model").alias("zone"))
+    originals = X.deliveries(spark, sf)
+    j = RK.attach_originals(preds, originals, order=TRACE)
+    return j.select("delivery_id", "prob_fallo", "risk_level", "zone", "zone_type", "weight_kg", *TRACE)
+
+
+@query("top_risk_deliveries")
+def q_top_risk_deliveries(spark, sf):
+    """The 100 riskiest deliveries: a top-k report, where the limit is the feature."""
+    return RK.top_k(banded(spark, sf), 100).select("delivery_id", *TRACE, "prob_fallo", "risk_level")
+
+
+@query("weather_parse_halves")
+def q_weather_parse_halves(spark, sf):
+    """Half-year landed parts unioned by name, then parsed (same result as one read)."""
+    raw = X.weather_raw(spark, sf)
+    first = F.col("obs_seq") % 365 < 182
+    h1, h2 = raw.filter(first), raw.filter(~first)
+    return WX.parse_weather(WX.daily_climate_records(WX.union_parts(h1, h2)))

@@ -58,6 +58,8 @@ def training_job(spark: SparkSession, raw: DataFrame, out_dir: str, run_date: st
     S.write_snapshot(split.drop("split"), f"{out_dir}/silver", run_date)
     stats = FE.scaler_stats(split, feature_cols)
     S.write_table(stats, f"{out_dir}/gold/scaler_stats")
+    S.write_table(spark.createDataFrame(list(enumerate(feature_cols)), "pos int, feature string"),
+                  f"{out_dir}/gold/feature_cols")
     train = split.filter(F.col("split") == "train")
     weights = FE.class_weights(train)
     models = ML.train_candidates(train, feature_cols, weights, candidates)

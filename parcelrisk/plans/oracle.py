@@ -762,3 +762,15 @@ SELECT delivery_id, {TRACE}, prob_fallo, risk_level,
 FROM (SELECT *, CASE WHEN prob_fallo >= 0.5::DOUBLE * 1.3::DOUBLE THEN 'HIGH'
                      WHEN prob_fallo >= 0.5::DOUBLE THEN 'MEDIUM' ELSE 'LOW' END AS risk_level
       FROM (SELECT *, {SCORE} AS prob_fallo FROM deliveries))""", "deliveries")
+
+
+# ------------------------------------------------------------------ panel joins, top-k, weather parts
+ORACLE["panel_with_originals"] = W(f"""
+SELECT b.delivery_id, b.prob_fallo, b.risk_level, 'model' AS zone, o.zone_type, o.weight_kg,
+  o.src_partkey, o.src_suppkey, o.src_price
+FROM banded b LEFT JOIN ({KEEP_FIRST.format(src='deliveries')}) o ON b.delivery_id = o.delivery_id""",
+                                   "deliveries", extra=_B)
+ORACLE["top_risk_deliveries"] = W(f"""
+SELECT delivery_id, {TRACE}, prob_fallo, risk_level FROM banded
+ORDER BY prob_fallo DESC, delivery_id ASC LIMIT 100""", "deliveries", extra=_B)
+ORACLE["weather_parse_halves"] = ORACLE["weather_parse"]
