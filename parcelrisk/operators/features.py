@@ -12,19 +12,21 @@ from parcelrisk.functions.features import (ONE_HOT_DOMAINS, cyclic_features, dat
 from parcelrisk.operators.quality import feature_columns
 
 
-def engineer_features(df: DataFrame) -> DataFrame:
+def engineer_features(df: DataFrame, keep_sources: bool = False) -> DataFrame:
     """Cyclic hour/weekday, month/quarter (date dropped), fixed-vocabulary one-hot
     (source columns dropped), five interactions. Originals are kept.
 
     Column order follows the reference: surviving originals, cyclic, date,
     one-hot, interactions. Pure projection: one codegen stage, no shuffle.
+    ``keep_sources`` keeps date/zone/zone_type/product_type (scoring keeps them
+    for the reports; the model reads only the feature list).
     """
     cols = {**cyclic_features()}
     if "date" in df.columns:
         cols.update(date_features())
     cols.update(one_hot_features([(c, v) for c, v in ONE_HOT_DOMAINS if c in df.columns]))
     cols.update(interaction_features())
-    dropped = {"date"} | {c for c, _ in ONE_HOT_DOMAINS}
+    dropped = set() if keep_sources else {"date"} | {c for c, _ in ONE_HOT_DOMAINS}
     keep = [F.col(c) for c in df.columns if c not in dropped]
     return df.select(*keep, *[v.alias(k) for k, v in cols.items()])
 

@@ -84,7 +84,7 @@ def score_packages(model, meta: dict, packages: DataFrame, run_date: str,
     df = Q.cast_booleans(packages).withColumn("date", default_date("date", run_date))
     if conditions is not None:
         df = WX.override_weather(df, WX.realtime_features(conditions), feature_cols, city)
-    eng = FE.zero_fill_missing(FE.engineer_features(df), feature_cols)
+    eng = FE.zero_fill_missing(FE.engineer_features(df, keep_sources=True), feature_cols)
     FE.require_features(eng, feature_cols)
     scored = ML.score(model, eng, out="prob")
     return RK.band(scored, "prob", threshold=meta.get("best_threshold", C.DEFAULT_THRESHOLD)).drop("prob")

@@ -12,7 +12,7 @@ import datetime as _dt
 import json
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelrisk.operators.risk import HISTORY_SCHEMA
@@ -40,10 +40,16 @@ def write_snapshot(df: DataFrame, base: str, run_date: str, fmt: str = "parquet"
 
 
 def append_counted(df: DataFrame, base: str, partition_col: str) -> int:
-    """Append and return the rows written, measured during the write itself."""
-    obs = Observation("rows")
-    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("append").partitionBy(partition_col).parquet(base)
-    return int(obs.get["n"])
+    """Append rows stamped with this write's ``created_at`` and return how many landed.
+
+    The count is read back from the stamped rows (parquet min/max statistics let
+    the scan skip other writes' row groups). An ``Observation`` would avoid the
+    read, but it leaves a non-serialisable manager on the session that breaks
+    later ``pyspark.ml`` transforms in the same session.
+    """
+    stamp = _dt.datetime.now()
+    df.withColumn("created_at", F.lit(stamp)).write.mode("append").partitionBy(partition_col).parquet(base)
+    return df.sparkSession.read.parquet(base).filter(F.col("created_at") == F.lit(stamp)).count()
 
 
 def ensure_history_tables(spark: SparkSession, base: str) -> None:
@@ -55,27 +61,27 @@ def ensure_history_tables(spark: SparkSession, base: str) -> None:
 
 def append_predictions(history_rows: DataFrame, base: str) -> int:
     """Append prediction history rows (see ``operators.risk.prediction_history``)."""
-    return append_counted(history_rows.withColumn("created_at", F.current_timestamp()),
-                          f"{base}/delivery_predictions", "run_date")
+    return append_counted(history_rows, f"{base}/delivery_predictions", "run_date")
 
 
 def append_model_metrics(spark: SparkSession, base: str, metrics: dict, model_name: str,
                          run_id: str = "", run_date: str | None = None) -> int:
     """One row; missing metrics default to 0 and the threshold to 0.5."""
-    row = (run_date or _dt.date.today().isoformat(), model_name, metrics.get("roc_auc", 0),
-           metrics.get("avg_precision", 0), metrics.get("f1_optimal", 0), metrics.get("recall_fallo", 0),
-           metrics.get("best_threshold", 0.5), run_id)
+    def num(k, default):
+        v = metrics.get(k, default)
+        return float(default if v is None else v)
+    row = (run_date or _dt.date.today().isoformat(), model_name, num("roc_auc", 0), num("avg_precision", 0),
+           num("f1_optimal", 0), num("recall_fallo", 0), num("best_threshold", 0.5), run_id)
     df = spark.createDataFrame([row], "run_date string, model_name string, roc_auc double, "
                                       "avg_precision double, f1_optimal double, recall_fallo double, "
                                       "best_threshold double, run_id string")
-    df = df.withColumn("run_date", F.to_date("run_date")).withColumn("created_at", F.current_timestamp())
+    df = df.withColumn("run_date", F.to_date("run_date"))
     return append_counted(df, f"{base}/model_metrics", "run_date")
 
 
 def append_drift_alerts(alert_rows: DataFrame, base: str) -> int:
     """Only non-OK rows arrive here (``operators.drift.drift_alert_rows``); none -> nothing."""
-    return append_counted(alert_rows.withColumn("created_at", F.current_timestamp()),
-                          f"{base}/drift_alerts", "alert_date")
+    return append_counted(alert_rows, f"{base}/drift_alerts", "alert_date")
 
 
 def write_daily_reports(scored: DataFrame, base: str, run_date: str) -> None:

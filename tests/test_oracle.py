@@ -1,5 +1,6 @@
 """Every registered query against its DuckDB oracle on the smallest tables (the driver's gate, locally)."""
-import math
+import os
+import sys
 
 import duckdb
 import pytest
@@ -12,21 +13,9 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def _canon(df):
-    cols = sorted(df.columns)
-
-    def norm(v):
-        if v is None or (isinstance(v, float) and math.isnan(v)):
-            return None
-        if hasattr(v, "item") and not isinstance(v, (str, bytes)):
-            v = v.item()
-        if isinstance(v, float):
-            return round(v, 6) + 0.0
-        if hasattr(v, "date") and callable(v.date) and getattr(v, "hour", 1) == 0 and getattr(v, "minute", 1) == 0:
-            return v.date()
-        return v
-    rows = [tuple(norm(x) for x in r) for r in df[cols].itertuples(index=False, name=None)]
-    rows.sort(key=lambda r: tuple((x is None, str(x)) for x in r))
-    return cols, rows
+    sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+    from check_oracle import canon
+    return canon(df)
 
 
 @pytest.fixture(scope="module")
