@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from parcelrisk import config as C
 from parcelrisk.functions.common import np_round
+from parcelrisk.session import cut_lineage
 
 
 def float_features(expected: DataFrame, actual: DataFrame, feature_cols, limit: int = C.MAX_DRIFT_FEATURES):
@@ -87,7 +88,9 @@ def quantile_edges(value_counts: DataFrame, buckets: int = C.PSI_BUCKETS,
 def psi_by_feature(expected: DataFrame, actual: DataFrame, features, buckets: int = C.PSI_BUCKETS,
                    eps: float = C.PSI_EPS, warn: float = C.PSI_WARN, alert: float = C.PSI_ALERT) -> DataFrame:
     """(pos, feature, psi, psi_rounded, severity) for every feature, one job."""
-    vc = _value_counts(expected, actual, features)
+    # one row per (side, feature, distinct value); read by five branches below, so it is
+    # materialised once rather than re-derived from both raw frames each time
+    vc = cut_lineage(_value_counts(expected, actual, features))
     edges = quantile_edges(vc, buckets, eps)
     sides = vc.groupBy("side", "feature").agg(F.sum("cnt").alias("len"))
     e = F.col("edges")

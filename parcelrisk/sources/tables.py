@@ -9,6 +9,23 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "benchmark", "labels", "conversations")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazy parquet scan; column pruning and filters reach the reader."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, fan_out_key: str | None = None) -> DataFrame:
+    """Lazy parquet scan; column pruning and filters reach the reader.
+
+    ``fan_out_key``: when the scan yields fewer partitions than the cluster
+    has cores (a few large unsplittable files or single row groups), hash-
+    partition on that key right after the scan so the per-row work that
+    follows runs on every core. A many-file input already has enough
+    partitions, so at scale this adds no shuffle.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if fan_out_key:
+        df = fan_out(df, fan_out_key)
+    return df
+
+
+def fan_out(df: DataFrame, key: str) -> DataFrame:
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, key)
+    return df
