@@ -6,8 +6,8 @@ partial aggregation), so everything after that scales with the number of
 distinct values, not rows.
 
 Quantile edges follow NumPy's linear ``percentile`` exactly: the two order
-statistics around ``q * (n - 1)`` are read off per-feature cumulative counts
-and blended with NumPy's two-sided lerp. (Spark's ``percentile`` blends as
+statistics around ``q * (n - 1)`` are found with a two-level exact search
+(``order_statistics``) and blended with NumPy's two-sided lerp. (Spark's ``percentile`` blends as
 ``(h-p)*lo + (p-l)*hi``, which moves tied edges by an ulp and changes bin
 membership on discrete features.) Repeated edges are allowed; a value goes to
 the last bin whose left edge is <= value, the last bin is closed, values
@@ -46,12 +46,46 @@ def _value_counts(expected: DataFrame, actual: DataFrame, features) -> DataFrame
     return both.groupBy("side", "pos", "feature", "value").agg(F.count("*").alias("cnt"))
 
 
+def order_statistics(values: DataFrame, ranks: DataFrame, buckets: int = 1024,
+                     accuracy: int = 10000) -> DataFrame:
+    """Exact k-th smallest values, without a per-feature window over all values.
+
+    ``values``: (feature, value, cnt) distinct values with multiplicities.
+    ``ranks``: (feature, idx, ...) 0-based target ranks (extra columns are kept).
+    Approximate quantiles split each feature's distinct values into ~``buckets``
+    value ranges; exact counts per range give every range's first rank (a prefix
+    sum over <= buckets + 1 rows per feature); only the ranges that contain a
+    target rank are then ordered, each in its own task. Exactness does not
+    depend on the approximate bounds - they only balance the ranges.
+    """
+    qs = [i / buckets for i in range(1, buckets)]
+    bounds = values.groupBy("feature").agg(F.percentile_approx("value", qs, accuracy).alias("_bounds"))
+    v = F.col("value")
+    tagged = (values.join(F.broadcast(bounds), "feature")  # one row of bounds per feature
+              .withColumn("_bk", F.size(F.filter("_bounds", lambda b: b < v))).drop("_bounds"))
+    per = tagged.groupBy("feature", "_bk").agg(F.sum("cnt").alias("_n"))
+    upto = Window.partitionBy("feature").orderBy("_bk").rowsBetween(Window.unboundedPreceding, 0)
+    per = per.withColumn("_end", F.sum("_n").over(upto)).withColumn("_start", F.col("_end") - F.col("_n"))
+    r = ranks.alias("r")
+    located = (per.alias("p").join(F.broadcast(r), (F.col("r.feature") == F.col("p.feature"))
+                                   & (F.col("r.idx") >= F.col("p._start")) & (F.col("r.idx") < F.col("p._end")))
+               .select("r.*", "p._bk", "p._start"))
+    need = located.select("feature", "_bk", "_start").distinct()        # <= ranks rows
+    inside = tagged.join(F.broadcast(need), ["feature", "_bk"])
+    within = Window.partitionBy("feature", "_bk").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    inside = (inside.withColumn("_e", F.col("_start") + F.sum("cnt").over(within))
+              .withColumn("_s", F.col("_e") - F.col("cnt")).select("feature", "_bk", "value", "_s", "_e"))
+    lo = located.alias("l")
+    hit = inside.alias("i").join(F.broadcast(lo), (F.col("l.feature") == F.col("i.feature"))
+                                 & (F.col("l._bk") == F.col("i._bk")) & (F.col("l.idx") >= F.col("i._s"))
+                                 & (F.col("l.idx") < F.col("i._e")))
+    return hit.select("l.*", F.col("i.value").alias("value")).drop("_bk", "_start")
+
+
 def quantile_edges(value_counts: DataFrame, buckets: int = C.PSI_BUCKETS,
                    eps: float = C.PSI_EPS) -> DataFrame:
     """(pos, feature, n, edges) from the expected side's distinct-value counts."""
     ev = value_counts.filter((F.col("side") == "e") & F.col("value").isNotNull())
-    w = Window.partitionBy("feature").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    cum = ev.withColumn("_end", F.sum("cnt").over(w)).withColumn("_start", F.col("_end") - F.col("cnt"))
     n = ev.groupBy("pos", "feature").agg(F.sum("cnt").alias("n"))
     spark = value_counts.sparkSession
     qs = spark.createDataFrame([(i, (i * (100.0 / buckets)) / 100.0) for i in range(buckets + 1)],
@@ -60,20 +94,11 @@ def quantile_edges(value_counts: DataFrame, buckets: int = C.PSI_BUCKETS,
              .withColumn("_vi", F.col("q") * (F.col("n") - 1))
              .withColumn("_lo", F.floor("_vi")).withColumn("_hi", F.ceil("_vi"))
              .withColumn("_t", F.col("_vi") - F.col("_lo")))
-    look = cum.select("feature", "value", "_start", "_end")
-
-    def at(idx_col, name):
-        c = look.alias("c")
-        r = ranks.alias("r")
-        # the rank table has features x (buckets + 1) rows: broadcast it against the distinct values
-        j = c.join(F.broadcast(r),
-                   (F.col("r.feature") == F.col("c.feature")) & (F.col(f"r.{idx_col}") >= F.col("c._start"))
-                   & (F.col(f"r.{idx_col}") < F.col("c._end")))
-        return j.select(F.col("r.feature").alias("feature"), F.col("r.qi").alias("qi"),
-                        F.col("c.value").alias(name))
-
-    lo = at("_lo", "v_lo")
-    hi = at("_hi", "v_hi")
+    wanted = (ranks.select("feature", "qi", F.lit("lo").alias("side_of"), F.col("_lo").alias("idx"))
+              .unionByName(ranks.select("feature", "qi", F.lit("hi").alias("side_of"), F.col("_hi").alias("idx"))))
+    stats = order_statistics(ev.select("feature", "value", "cnt"), wanted)
+    lo = stats.filter(F.col("side_of") == "lo").select("feature", "qi", F.col("value").alias("v_lo"))
+    hi = stats.filter(F.col("side_of") == "hi").select("feature", "qi", F.col("value").alias("v_hi"))
     pts = ranks.select("pos", "feature", "n", "qi", "_t").join(lo, ["feature", "qi"]).join(hi, ["feature", "qi"])
     diff = F.col("v_hi") - F.col("v_lo")
     lerp = F.when(F.col("_t") >= 0.5, F.col("v_hi") - diff * (F.lit(1.0) - F.col("_t"))) \

@@ -49,7 +49,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not path:
         path = tempfile.mkdtemp(prefix="parcelrisk-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    try:
+        sc = spark.sparkContext
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(path)
+    except Exception:  # noqa: BLE001  (Connect sessions read spark.checkpoint.dir themselves)
+        pass
     return path
 
 

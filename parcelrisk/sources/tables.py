@@ -25,7 +25,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, fan_out_key: str | N
 
 
 def fan_out(df: DataFrame, key: str) -> DataFrame:
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, key)
-    return df
+    try:  # needs the classic API (partition counts); a Connect session keeps the scan as is
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001
+        return df
+    return df.repartition(cores, key) if parts < cores else df
