@@ -596,3 +596,27 @@ def q_weather_parse_halves(spark, sf):
     first = F.col("obs_seq") % 365 < 182
     h1, h2 = raw.filter(first), raw.filter(~first)
     return WX.parse_weather(WX.daily_climate_records(WX.union_parts(h1, h2)))
+
+
+# ------------------------------------------------------------------ file round trips (sources and sinks)
+@query("weather_from_json")
+def q_weather_from_json(spark, sf):
+    """Station records landed as JSON under station=<code>/ folders, read in one multi-file scan
+    (the station comes from the path), normalised and parsed."""
+    from parcelrisk.sources.files import read_json_records
+    base = scratch_dir(spark, "json")
+    X.weather_raw(spark, sf).write.partitionBy("station").json(f"{base}/landed")
+    recs = read_json_records(spark, f"{base}/landed", station_from_path=False, arrays=False)
+    recs = recs.withColumn("station", F.lpad(F.col("station").cast("string"), 4, "0"))
+    recs = recs.withColumn("obs_seq", F.col("obs_seq").cast("int"))
+    return WX.parse_weather(WX.daily_climate_records(recs))
+
+
+@query("recent_rollup_stored")
+def q_recent_rollup_stored(spark, sf):
+    """History appended to a run_date-partitioned table, then rolled up (pruned by run_date)."""
+    from parcelrisk.sources import sinks as S
+    base = scratch_dir(spark, "history")
+    S.append_predictions(history(spark, sf), base, backfill=True)
+    stored = spark.read.parquet(f"{base}/delivery_predictions").drop("created_at")
+    return RK.recent_rollup(stored, AS_OF, days=7)

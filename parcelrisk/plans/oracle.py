@@ -776,3 +776,6 @@ ORACLE["top_risk_deliveries"] = W(f"""
 SELECT delivery_id, {TRACE}, prob_fallo, risk_level FROM banded
 ORDER BY prob_fallo DESC, delivery_id ASC LIMIT 100""", "deliveries", extra=_B)
 ORACLE["weather_parse_halves"] = ORACLE["weather_parse"]
+
+ORACLE["weather_from_json"] = ORACLE["weather_parse"]
+ORACLE["recent_rollup_stored"] = ORACLE["recent_rollup"]

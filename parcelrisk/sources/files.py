@@ -67,13 +67,17 @@ def daily_packages_path(base: str, run_date: str, pattern: str = "today_packages
     return f"{base.rstrip('/')}/{pattern.format(date=run_date)}"
 
 
-def read_json_records(spark: SparkSession, path: str | Sequence[str], station_from_path: bool = True) -> DataFrame:
-    """JSON arrays of records (one file per station/period); all values read as text.
-
-    The station code comes from the file name ``<station>_*.json`` when asked,
-    so several cities are one multi-file read (U2) rather than a union loop.
+def read_json_records(spark: SparkSession, path: str | Sequence[str], station_from_path: bool = True,
+                      arrays: bool = True) -> DataFrame:
+    """Landed weather records; all values read as text.
+
+    ``arrays``: each file is one JSON array of records (as the weather service
+    returns them); otherwise JSON lines. The station code comes from the file
+    name ``<station>_*.json`` when asked (or from a ``station=`` folder by
+    partition discovery), so several cities are one multi-file read (U2)
+    rather than a union loop.
     """
-    df = (spark.read.option("multiLine", True).option("primitivesAsString", True)
+    df = (spark.read.option("multiLine", arrays).option("primitivesAsString", True)
           .json(path if isinstance(path, str) else list(path)))
     if station_from_path and "station" not in df.columns:
         df = df.withColumn("station", F.regexp_extract(F.input_file_name(), r"([^/]+?)_[^/]*\.json$", 1))

@@ -59,8 +59,16 @@ def ensure_history_tables(spark: SparkSession, base: str) -> None:
                   f"PARTITIONED BY ({part}) LOCATION '{base.rstrip('/')}/{name}'")
 
 
-def append_predictions(history_rows: DataFrame, base: str) -> int:
-    """Append prediction history rows (see ``operators.risk.prediction_history``)."""
+def append_predictions(history_rows: DataFrame, base: str, backfill: bool = False) -> int:
+    """Append prediction history rows (see ``operators.risk.prediction_history``).
+
+    A daily run holds one run_date, so every task writes one file. A backfill
+    spanning many dates is first range-partitioned on (run_date, delivery_id):
+    each task then holds a contiguous run of dates (few files per task) and a
+    very large date is still split over several tasks by the id suffix.
+    """
+    if backfill:
+        history_rows = history_rows.repartitionByRange("run_date", "delivery_id")
     return append_counted(history_rows, f"{base}/delivery_predictions", "run_date")
 
 
