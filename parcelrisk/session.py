@@ -12,28 +12,29 @@ def build_session(master: str | None = None, app: str = "parcelrisk",
                   shuffle_partitions: int | None = None) -> SparkSession:
     """Session with the settings every job here assumes.
 
-    On a cluster the master and sizes come from spark-submit; locally we pin
-    a small shuffle width so tiny test tables are not split 200 ways.
+    Locally (tests, bench) we pin the master, driver memory and a small shuffle
+    width so tiny tables are not split 200 ways. On a cluster (spark-submit sets
+    the master) sizing is left to the cluster's configuration; AQE coalesces
+    shuffle partitions to its advisory size and splits skewed join partitions.
     """
     cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = SparkSession.builder.appName(app)
-    if master or not os.environ.get("SPARK_MASTER"):
-        builder = builder.master(master or f"local[{cpus}]")
-    parts = shuffle_partitions or int(cpus)
-    spark = (
-        builder
-        .config("spark.sql.shuffle.partitions", str(parts))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("PARCELRISK_DRIVER_MEM", "16g"))
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        .getOrCreate()
-    )
+    builder = (SparkSession.builder.appName(app)
+               .config("spark.sql.adaptive.enabled", "true")
+               .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+               .config("spark.sql.adaptive.skewJoin.enabled", "true")
+               .config("spark.sql.session.timeZone", "UTC")
+               .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+               .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
+               .config("spark.sql.sources.partitionOverwriteMode", "dynamic"))
+    local = master is not None or not os.environ.get("SPARK_MASTER")
+    if local:
+        builder = (builder.master(master or f"local[{cpus}]")
+                   .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
+                   .config("spark.driver.memory", os.environ.get("PARCELRISK_DRIVER_MEM", "16g")))
+    elif shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark

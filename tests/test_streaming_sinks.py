@@ -97,3 +97,20 @@ def test_json_records_station_from_file_name(spark):
     recs = daily_climate_records(FS.read_json_records(spark, f"{base}/*.json"))
     got = sorted((r["station"], r["fecha"]) for r in recs.collect())
     assert got == [("3195", "2024-01-01"), ("3195", "2024-01-02")]
+
+
+def test_history_ddl_is_idempotent(spark):
+    base = tempfile.mkdtemp(prefix="pr-ddl-")
+    S.ensure_history_tables(spark, base)
+    S.ensure_history_tables(spark, base)
+    cols = {r.col_name for r in spark.sql("DESCRIBE TABLE delivery_predictions").collect()}
+    assert {"run_date", "delivery_id", "prob_fallo", "model_version", "created_at"} <= cols
+
+
+def test_listing_and_enriched_sink(spark):
+    base = tempfile.mkdtemp(prefix="pr-list-")
+    spark.range(3).write.parquet(f"{base}/enriched")
+    S.write_table(spark.range(2), f"{base}/report", csv=True)
+    paths = [r["path"] for r in FS.list_paths(spark, base, "*.parquet").collect()]
+    assert paths and all(p.endswith(".parquet") for p in paths)
+    assert spark.read.option("header", True).csv(f"{base}/report_csv").count() == 2
