@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelrisk import config as C
-from parcelrisk.functions.common import np_round
+from parcelrisk.functions.common import count_below, np_round
 from parcelrisk.session import cut_lineage
 
 
@@ -62,7 +62,7 @@ def order_statistics(values: DataFrame, ranks: DataFrame, buckets: int = 1024,
     bounds = values.groupBy("feature").agg(F.percentile_approx("value", qs, accuracy).alias("_bounds"))
     v = F.col("value")
     tagged = (values.join(F.broadcast(bounds), "feature")  # one row of bounds per feature
-              .withColumn("_bk", F.size(F.filter("_bounds", lambda b: b < v))).drop("_bounds"))
+              .withColumn("_bk", count_below(F.col("_bounds"), v, len(qs), block=32)).drop("_bounds"))
     per = tagged.groupBy("feature", "_bk").agg(F.sum("cnt").alias("_n"))
     upto = Window.partitionBy("feature").orderBy("_bk").rowsBetween(Window.unboundedPreceding, 0)
     per = per.withColumn("_end", F.sum("_n").over(upto)).withColumn("_start", F.col("_end") - F.col("_n"))
