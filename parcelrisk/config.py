@@ -103,3 +103,9 @@ MAP_RED, MAP_AMBER, MAP_GREEN = "#ef4444", "#f59e0b", "#22c55e"
 
 # --- split -------------------------------------------------------------------
 TEST_SIZE, VAL_SIZE, SPLIT_SEED = 0.2, 0.1, 42
+
+
+def snapshot() -> dict:
+    """Plain-data copy of the settings above, stored with every saved model."""
+    return {k: v for k, v in globals().items()
+            if k.isupper() and isinstance(v, (str, int, float, tuple))}

@@ -130,6 +130,8 @@ def enrichment_validation(enriched: DataFrame, target: str = C.TARGET) -> DataFr
     aggs = [F.count_if(F.col(c).isNull() | F.isnan(c)).alias(f"nulls_{c}") for c in WEATHER_COLS]
     aggs += [F.count_if(~F.isnan(c) & ((F.col(c) < lo) | (F.col(c) > hi))).alias(f"out_of_range_{c}")
              for c, lo, hi in VALIDATION_RANGES]
+    # temperatures outside the category span (or missing) get no category: counted, not raised
+    aggs += [F.count_if(F.col("temp_category").isNull()).alias("nulls_temp_category")]
     # correlations are reported to 4 decimals, as the reference prints them
     aggs += [np_round(F.corr("weather_rain", F.col(target).cast("double")), 4).alias("corr_rain_failure"),
              np_round(F.corr("weather_wind_speed", F.col(target).cast("double")), 4).alias("corr_wind_failure"),

@@ -54,8 +54,12 @@ def training_job(spark: SparkSession, raw: DataFrame, out_dir: str, run_date: st
     'val' = tune on validation), save the best with its metadata, log the run."""
     run_id = uuid.uuid4().hex
     S.write_snapshot(raw, f"{out_dir}/bronze", run_date)
+    S.log_run(spark, out_dir, run_id, "bronze", {"columns": len(raw.columns), "run_date": run_date})
     split, feature_cols = prepare_training_data(raw)
     S.write_snapshot(split.drop("split"), f"{out_dir}/silver", run_date)
+    S.log_run(spark, out_dir, run_id, "silver", Q.silver_audit(raw).first().asDict())
+    sizes = {r["split"]: r["count"] for r in split.groupBy("split").count().collect()}  # 3 rows
+    S.log_run(spark, out_dir, run_id, "gold", {"n_features": len(feature_cols), **sizes})
     stats = FE.scaler_stats(split, feature_cols)
     S.write_table(stats, f"{out_dir}/gold/scaler_stats")
     S.write_table(spark.createDataFrame(list(enumerate(feature_cols)), "pos int, feature string"),
@@ -69,7 +73,7 @@ def training_job(spark: SparkSession, raw: DataFrame, out_dir: str, run_date: st
     name = best.pop("model")
     meta = {"feature_cols": feature_cols, "best_threshold": best["best_threshold"],
             "scaler_stats": {r["feature"]: {"mean": r["mean"], "std": r["std"]} for r in stats.collect()},
-            "metrics": best, "target": C.TARGET, "run_id": run_id}
+            "metrics": best, "target": C.TARGET, "run_id": run_id, "config": C.snapshot()}
     path = S.save_model(models[name], f"{out_dir}/models", name, meta)
     S.append_model_metrics(spark, f"{out_dir}/history", best, name, run_id, run_date)
     S.log_run(spark, out_dir, run_id, "evaluate", {**best, "model": name})

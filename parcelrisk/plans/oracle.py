@@ -265,6 +265,7 @@ SELECT
   CAST(count(*) FILTER (WHERE NOT isnan(weather_rain) AND (weather_rain < 0 OR weather_rain > 200)) AS BIGINT) AS out_of_range_weather_rain,
   CAST(count(*) FILTER (WHERE NOT isnan(weather_wind_speed) AND (weather_wind_speed < 0 OR weather_wind_speed > 50)) AS BIGINT) AS out_of_range_weather_wind_speed,
   CAST(count(*) FILTER (WHERE NOT isnan(weather_temperature) AND (weather_temperature < -20 OR weather_temperature > 50)) AS BIGINT) AS out_of_range_weather_temperature,
+  CAST(count(*) FILTER (WHERE temp_category IS NULL) AS BIGINT) AS nulls_temp_category,
   round_even(corr(weather_rain, CAST(delivery_failed AS DOUBLE)) * 10000.0::DOUBLE, 0) / 10000.0::DOUBLE
     AS corr_rain_failure,
   round_even(corr(weather_wind_speed, CAST(delivery_failed AS DOUBLE)) * 10000.0::DOUBLE, 0) / 10000.0::DOUBLE

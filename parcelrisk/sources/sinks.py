@@ -88,7 +88,9 @@ def append_model_metrics(spark: SparkSession, base: str, metrics: dict, model_na
 
 
 def append_drift_alerts(alert_rows: DataFrame, base: str) -> int:
-    """Only non-OK rows arrive here (``operators.drift.drift_alert_rows``); none -> nothing."""
+    """Only non-OK rows arrive here (``operators.drift.drift_alert_rows``); none -> nothing written."""
+    if alert_rows.isEmpty():
+        return 0
     return append_counted(alert_rows, f"{base}/drift_alerts", "alert_date")
 
 

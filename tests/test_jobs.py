@@ -18,6 +18,11 @@ def test_training_then_batch_inference(spark):
     assert res["model"] == "logistic_regression" and 0 <= res["metrics"]["roc_auc"] <= 1
     assert spark.read.parquet(f"{out}/gold/feature_cols").count() == 39
     assert spark.read.parquet(f"{out}/reports/model_comparison").filter("is_best").count() == 1
+    stages = {r["stage"] for r in spark.read.parquet(f"{out}/run_log").select("stage").distinct().collect()}
+    assert stages == {"bronze", "silver", "gold", "evaluate"}
+    from parcelrisk.sources.sinks import load_model
+    _, meta = load_model(res["path"])
+    assert meta["config"]["HIGH_MULTIPLIER"] == 1.3 and len(meta["feature_cols"]) == 39
     conditions = WX.city_conditions(WX.latest_observation(observations(spark, SF_SMALL)), stations(spark))
     packages = d.filter(~before).drop("delivery_failed")
     inf = J.batch_inference_job(spark, res["path"], packages, "2024-01-02", out, conditions=conditions)
