@@ -6,14 +6,29 @@ library operators; nothing here is a special-cased shortcut.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelrisk import config as C
+from parcelrisk.functions.calendar import day_of_week, is_holiday, is_retry, package_flags
+from parcelrisk.functions.common import np_round
+from parcelrisk.functions.risk import round_prob
+from parcelrisk.functions.scorecard import rule_probability
+from parcelrisk.functions.weather import derived_weather
+from parcelrisk.operators import drift as DR
+from parcelrisk.operators import features as FE
+from parcelrisk.operators import metrics as M
+from parcelrisk.operators import models as ML
 from parcelrisk.operators import quality as Q
+from parcelrisk.operators import risk as RK
+from parcelrisk.operators import weather as WX
+from parcelrisk.operators.split import stratified_split
 from parcelrisk.plans import fixtures as X
+from parcelrisk.plans import jobs as J
+from parcelrisk.session import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -101,9 +116,6 @@ def q_row_contract(spark, sf):
 
 
 # ------------------------------------------------------------------ weather layer
-from parcelrisk.functions.weather import derived_weather  # noqa: E402
-from parcelrisk.operators import weather as WX  # noqa: E402
-
 
 
 @query("weather_parse")
@@ -167,13 +179,6 @@ def q_weather_override(spark, sf):
 
 
 # ------------------------------------------------------------------ features & split
-from parcelrisk.functions.calendar import day_of_week, is_holiday, is_retry, package_flags  # noqa: E402
-from parcelrisk.functions.common import np_round  # noqa: E402
-from parcelrisk.functions.risk import round_prob  # noqa: E402
-from parcelrisk.functions.scorecard import rule_probability  # noqa: E402
-from parcelrisk.operators import features as FE  # noqa: E402
-from parcelrisk.operators import metrics as M  # noqa: E402
-from parcelrisk.operators.split import stratified_split  # noqa: E402
 
 FEATURE_EXCLUDE = tuple(C.EXCLUDE_COLS) + tuple(X.INGEST_ORDER)
 
@@ -316,7 +321,6 @@ def q_model_comparison(spark, sf):
 
 
 # ------------------------------------------------------------------ operations layer
-from parcelrisk.operators import risk as RK  # noqa: E402
 
 CUTOFF_DATE = "1998-01-01"          # earlier deliveries = previous runs / training period
 AS_OF = "2001-10-01 10:00:00"       # "now" for the recent-history rollup
@@ -420,7 +424,6 @@ def q_recent_rollup(spark, sf):
 
 
 # ------------------------------------------------------------------ drift
-from parcelrisk.operators import drift as DR  # noqa: E402
 
 
 def _drift_frames(spark, sf):
@@ -484,11 +487,6 @@ def q_drift_summary_seasonal(spark, sf):
 
 
 # ------------------------------------------------------------------ models, jobs, streaming
-import uuid  # noqa: E402
-
-from parcelrisk.operators import models as ML  # noqa: E402
-from parcelrisk.plans import jobs as J  # noqa: E402
-from parcelrisk.session import cut_lineage, ensure_checkpoint_dir  # noqa: E402
 
 
 def scratch_dir(spark, name: str) -> str:
