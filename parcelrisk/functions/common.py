@@ -48,17 +48,3 @@ def lenient_double(c: str | Column, default: float = 0.0) -> Column:
     """Missing or unparseable -> default (the observation reader's ``safe_float``)."""
     return F.coalesce(col_(c).try_cast("double"), F.lit(float(default)))
 
-
-def count_below(sorted_values: Column, value: Column, n: int, block: int = 64) -> Column:
-    """Number of elements of an ascending array (of known length ``n``) that are < ``value``.
-
-    Two-step search: count whole blocks whose last element is below the value,
-    then count inside the next block - about 2*sqrt(n) comparisons instead of n.
-    """
-    full = n // block
-    if full == 0:
-        return F.size(F.filter(sorted_values, lambda b: b < value))
-    lasts = F.array(*[sorted_values[(j + 1) * block - 1] for j in range(full)])
-    c = F.size(F.filter(lasts, lambda b: b < value))
-    nxt = F.slice(sorted_values, c * block + 1, F.lit(block))
-    return c * block + F.size(F.filter(nxt, lambda b: b < value))
