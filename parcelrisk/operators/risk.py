@@ -71,7 +71,12 @@ def attach_originals(predictions: DataFrame, originals: DataFrame, key: str = "d
 
 def ranked_panel(scored: DataFrame) -> DataFrame:
     """The operator's work list: rank by probability (ties by id) and display fields."""
-    ranked = global_row_number(scored, [F.desc("prob_fallo"), F.asc("delivery_id")])
+    # only the columns the panel shows are ranked (and checkpointed by the ranking)
+    needed = ["delivery_id", "prob_fallo", "risk_level", "action", "shap_reason", "zone", "zone_type",
+              "product_type", "weather_rain", "is_retry", "driver_quality_score", "recipient_failure_rate",
+              "num_previous_attempts", "is_fragile"]
+    ranked = global_row_number(scored.select(*[c for c in needed if c in scored.columns]),
+                               [F.desc("prob_fallo"), F.asc("delivery_id")])
     return ranked.select(
         "rank", "delivery_id",
         R.capitalize(F.coalesce(F.col("zone"), F.lit(R.EMPTY_LABEL))).alias("city"),

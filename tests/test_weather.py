@@ -99,3 +99,24 @@ def test_weather_override_touches_only_named_columns(spark):
     assert out["hour"] == 7 and "strong_wind" not in out.asDict()  # absent column is not added
     one = WX.override_weather(d.withColumn("zone", F.lit("sevilla")), cf, ["weather_rain"], city="madrid").first()
     assert one["weather_rain"] == 9.0          # single-city mode applies madrid to every row
+
+
+def test_display_fallback_and_strict_station_lookup(spark):
+    stations = spark.createDataFrame([("madrid", "3195"), ("bilbao", "1082")], "zone string, station string")
+    obs = spark.createDataFrame([("3195", "2024-01-01 08:00:00", "6.24", "3.1", "n/a"),
+                                 ("3195", "2024-01-01 09:00:00", "0.0", "x", "12.26")],
+                                "station string, obs_ts string, prec string, vv string, ta string")
+    obs = obs.withColumn("obs_ts", F.to_timestamp("obs_ts"))
+    cond = WX.city_conditions(WX.latest_observation(obs), stations)
+    got = {r["city"]: r for r in WX.display_weather(cond).collect()}
+    m = got["madrid"]   # latest reading: rain 0.0, wind 'x' -> 0.0, temperature 12.26 -> 12.3
+    assert (m["weather_rain"], m["weather_rain_mm"], m["weather_wind_speed"], m["weather_temperature"],
+            m["source"]) == (0, 0.0, 0.0, 12.3, "aemet")
+    b = got["bilbao"]   # no station readings -> display fallback
+    assert (b["weather_rain_mm"], b["weather_wind_speed"], b["weather_temperature"], b["source"]) == \
+        (0.0, 2.0, 18.0, "fallback")
+    rt = {r["zone"]: r for r in WX.realtime_features(cond, fallback=True).collect()}
+    assert rt["bilbao"]["weather_temperature"] == 0.0 and rt["madrid"]["weather_temperature"] == 12.26
+    unknown = spark.createDataFrame([("paris", None)], "zone string, station string")
+    with pytest.raises(ValueError, match="paris"):
+        WX.city_conditions(WX.latest_observation(obs), unknown, strict=True)
