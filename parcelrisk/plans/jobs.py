@@ -30,9 +30,16 @@ from parcelrisk.sources import sinks as S
 TRACE_EXCLUDE = ("src_partkey", "src_suppkey", "src_price")
 
 
-def prepare_training_data(raw: DataFrame, exclude=C.EXCLUDE_COLS + TRACE_EXCLUDE):
-    """bronze -> silver (gated) -> gold features + exact split; returns (split frame, feature list)."""
+def prepare_training_data(raw: DataFrame, exclude=C.EXCLUDE_COLS + TRACE_EXCLUDE,
+                          labelled_only: bool = True):
+    """bronze -> silver (gated) -> gold features + exact split; returns (split frame, feature list).
+
+    ``labelled_only`` drops rows without a label first (manually appended
+    deliveries have none yet), instead of letting them trip the null gate.
+    """
     Q.validate_schema(raw)
+    if labelled_only:
+        raw = raw.filter(F.col(C.TARGET).isNotNull())
     clean = Q.silver(raw)
     feats = FE.engineer_features(clean)
     feature_cols = FE.model_features(feats, exclude)
@@ -49,9 +56,15 @@ def evaluate_models(models: dict, data: DataFrame, label: str = C.TARGET) -> Dat
 
 
 def training_job(spark: SparkSession, raw: DataFrame, out_dir: str, run_date: str,
-                 candidates=None, tune_on: str = "test") -> dict:
+                 candidates=None, tune_on: str = "test", stats_on: str = "all",
+                 parity_inverse_weight: bool = False) -> dict:
     """Train every enabled candidate, compare on ``tune_on`` ('test' = reference parity,
-    'val' = tune on validation), save the best with its metadata, log the run."""
+    'val' = tune on validation), save the best with its metadata, log the run.
+
+    ``stats_on``: scaler statistics over 'all' rows (reference parity) or 'train'.
+    ``parity_inverse_weight``: weight the boosted-trees positives by n_pos/n_neg,
+    as the reference's positive-class scale does, instead of balanced weights.
+    """
     run_id = uuid.uuid4().hex
     S.write_snapshot(raw, f"{out_dir}/bronze", run_date)
     S.log_run(spark, out_dir, run_id, "bronze", {"columns": len(raw.columns), "run_date": run_date})
@@ -60,13 +73,17 @@ def training_job(spark: SparkSession, raw: DataFrame, out_dir: str, run_date: st
     S.log_run(spark, out_dir, run_id, "silver", Q.silver_audit(raw).first().asDict())
     sizes = {r["split"]: r["count"] for r in split.groupBy("split").count().collect()}  # 3 rows
     S.log_run(spark, out_dir, run_id, "gold", {"n_features": len(feature_cols), **sizes})
-    stats = FE.scaler_stats(split, feature_cols)
+    _, dropped = Q.feature_columns(split.drop("split"), C.EXCLUDE_COLS + TRACE_EXCLUDE)
+    S.log_run(spark, out_dir, run_id, "gold_dropped_non_numeric", {c: "dropped" for c in dropped})
+    stats = FE.scaler_stats(split if stats_on == "all" else split.filter(F.col("split") == "train"),
+                            feature_cols)
     S.write_table(stats, f"{out_dir}/gold/scaler_stats")
     S.write_table(spark.createDataFrame(list(enumerate(feature_cols)), "pos int, feature string"),
                   f"{out_dir}/gold/feature_cols")
     train = split.filter(F.col("split") == "train")
     weights = FE.class_weights(train)
-    models = ML.train_candidates(train, feature_cols, weights, candidates)
+    models = ML.train_candidates(train, feature_cols, weights, candidates,
+                                 parity_inverse_weight=parity_inverse_weight)
     comparison = cut_lineage(evaluate_models(models, split.filter(F.col("split") == tune_on)))
     S.write_table(comparison, f"{out_dir}/reports/model_comparison", csv=True)
     best = comparison.filter("is_best").first().asDict()
@@ -81,13 +98,24 @@ def training_job(spark: SparkSession, raw: DataFrame, out_dir: str, run_date: st
 
 
 def score_packages(model, meta: dict, packages: DataFrame, run_date: str,
-                   conditions: DataFrame | None = None, city: str | None = None) -> DataFrame:
+                   conditions: DataFrame | None = None, city: str | None = None,
+                   scale: bool = False) -> DataFrame:
     """Cast, default the date, override weather with current conditions, engineer, zero-fill,
-    score and band. Pure plan, no action."""
+    score and band. Pure plan, no action.
+
+    Current conditions are in raw units by default (the models are trained on raw
+    units); ``scale=True`` z-scores them with the stored scaler statistics, as the
+    reference does.
+    """
     feature_cols = meta["feature_cols"]
     df = Q.cast_booleans(packages).withColumn("date", default_date("date", run_date))
     if conditions is not None:
-        df = WX.override_weather(df, WX.realtime_features(conditions), feature_cols, city)
+        stats = None
+        if scale and meta.get("scaler_stats"):
+            rows = [(k, float(v["mean"]), float(v["std"] if v["std"] is not None else 0.0))
+                    for k, v in meta["scaler_stats"].items()]      # one row per feature
+            stats = packages.sparkSession.createDataFrame(rows, "feature string, mean double, std double")
+        df = WX.override_weather(df, WX.realtime_features(conditions, scaler_stats=stats), feature_cols, city)
     eng = FE.zero_fill_missing(FE.engineer_features(df, keep_sources=True), feature_cols)
     FE.require_features(eng, feature_cols)
     scored = ML.score(model, eng, out="prob")
@@ -95,9 +123,10 @@ def score_packages(model, meta: dict, packages: DataFrame, run_date: str,
 
 
 def batch_inference_job(spark: SparkSession, model_dir: str, packages: DataFrame, run_date: str,
-                        out_dir: str, conditions: DataFrame | None = None, city: str | None = None) -> dict:
+                        out_dir: str, conditions: DataFrame | None = None, city: str | None = None,
+                        scale: bool = False) -> dict:
     model, meta = S.load_model(model_dir)
-    scored = cut_lineage(score_packages(model, meta, packages, run_date, conditions, city))
+    scored = cut_lineage(score_packages(model, meta, packages, run_date, conditions, city, scale))
     summary = RK.risk_summary(scored).first().asDict()
     S.write_daily_reports(scored, f"{out_dir}/reports", run_date)
     version = f"{meta['model_name']}_{meta.get('saved_at', 'unknown')}"

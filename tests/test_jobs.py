@@ -19,7 +19,7 @@ def test_training_then_batch_inference(spark):
     assert spark.read.parquet(f"{out}/gold/feature_cols").count() == 39
     assert spark.read.parquet(f"{out}/reports/model_comparison").filter("is_best").count() == 1
     stages = {r["stage"] for r in spark.read.parquet(f"{out}/run_log").select("stage").distinct().collect()}
-    assert stages == {"bronze", "silver", "gold", "evaluate"}
+    assert stages == {"bronze", "silver", "gold", "gold_dropped_non_numeric", "evaluate"}
     from parcelrisk.sources.sinks import load_model
     _, meta = load_model(res["path"])
     assert meta["config"]["HIGH_MULTIPLIER"] == 1.3 and len(meta["feature_cols"]) == 39
@@ -31,5 +31,20 @@ def test_training_then_batch_inference(spark):
     assert inf["model_version"].startswith("logistic_regression_")
     hist = spark.read.parquet(f"{out}/history/delivery_predictions")
     assert hist.filter(F.col("run_date") == "2024-01-02").count() == n
+    from parcelrisk.sources.sinks import load_model as _load
+    model, meta2 = _load(res["path"])
+    scaled = J.score_packages(model, meta2, packages, "2024-01-02", conditions=conditions, scale=True)
+    assert scaled.count() == n                       # reference-parity z-scored conditions also score
     risky = spark.read.parquet(f"{out}/reports/high_risk")
     assert risky.filter(~F.col("risk_level").isin("HIGH", "MEDIUM")).count() == 0
+
+
+def test_parity_switches(spark):
+    from parcelrisk.operators import features as FE
+    w = FE.class_weights(spark.createDataFrame([(1,)] * 20 + [(0,)] * 80, "delivery_failed int"))
+    inv = {r["label"]: r["weight"] for r in ML.inverse_positive_weights(w).collect()}
+    assert inv == {1: 20 / 80, 0: 1.0}
+    d = deliveries(spark, SF_SMALL).withColumn(
+        "delivery_failed", F.when(F.col("src_partkey") % 5 == 0, None).otherwise(F.col("delivery_failed")))
+    split, feats = J.prepare_training_data(d)          # unlabelled rows are set aside, no gate error
+    assert split.filter(F.col("delivery_failed").isNull()).count() == 0 and len(feats) == 39
