@@ -17,6 +17,7 @@ import re
 from collections.abc import Iterator
 from html import unescape
 
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +32,7 @@ _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q ruby s samp small span strike strong sub sup time tt u var wbr".split())
 _RAW = frozenset("script style template noscript textarea iframe svg math object select title xmp".split())
-_IMPLIED_END = {"p": frozenset("p".split()), "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
+_IMPLIED_END = {"p": frozenset(["p"]), "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
                 "tr": frozenset(["tr", "td", "th"]), "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]), "option": frozenset(["option"])}
 _SCOPE = frozenset("article section div main aside nav header footer form body ul ol table td blockquote details figure fieldset".split())
 _BOILER_TAGS = frozenset("nav footer aside form button menu dialog head title script style template noscript textarea iframe select svg math object label input".split())
@@ -41,43 +42,53 @@ _BOILER_NAMES = frozenset(
     "navigation newsletter notice notices notification overlay pagination pager popup promo promotion recommended related replies reply "
     "respond responses search share sharing sidebar signup skip social sponsor sponsored subscribe subscription tags toolbar topbar "
     "widget widgets".split())
+_ARTICLE = frozenset(["article", "main"])
+_P = frozenset(["p"])
 _NAME_PART = re.compile(r"[a-z]+")
 
 
-def host_of(url: str | None) -> str:
-    m = re.match(r"(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", url or "")
-    return m[1].rpartition("@")[2].lower() if m else ""
+class Element:
+    """An open block element. Its token is the hash of its path, so that no path is ever spelled out."""
 
+    __slots__ = ("boiler", "depth", "inside", "key", "parent", "step", "tag")
 
-def is_boiler(step: str, path: list[str]) -> bool:
-    """Whether an element, by its step ("tag.class.class"), holds no main text; a header within an article may."""
-    tag, *names = step.split(".")
-    inside = any(x.split(".")[0] in ("article", "main") for x in path)
+    def __init__(self, parent: Element | None, tag: str, names: list[str]):
+        self.parent, self.tag, self.step = parent, tag, ".".join([tag, *names])
+        self.depth = parent.depth + 1 if parent else 0
+        self.key = xxhash.xxh64_intdigest(self.step, parent.key if parent else 0) >> 1
+        self.inside = tag in _ARTICLE or bool(parent and parent.inside)   # of an article
+        self.boiler = bool(parent and parent.boiler) or is_boiler(tag, names, bool(parent and parent.inside))
+
+
+def is_boiler(tag: str, names: list[str], inside: bool) -> bool:
+    """Whether an element by its tag, class and id holds no main text; a header within an article may."""
     if tag in _BOILER_TAGS or (tag == "header" and not inside):
         return True
-    if tag in ("article", "main", "body", "html"):
-        return False
-    return any(p in _BOILER_NAMES for n in names for p in _NAME_PART.findall(n))
+    return tag not in _ARTICLE and tag not in ("body", "html") and any(p in _BOILER_NAMES for n in names for p in _NAME_PART.findall(n))
 
 
-def read_blocks(html: str) -> Iterator[tuple[str, tuple[str, ...], str, bool]]:
-    """("open", path, "", False) for each block element, ("text", path, text, in a link) for each piece of text and
-    ("break", path, "", False) where a block ends or a line breaks. Paths hold the open block elements."""
-    path: list[str] = []
+def read_blocks(html: str) -> Iterator[tuple[str, Element | None, str, bool]]:
+    """("open", element, "", False) for each block element, ("text", element, text, in a link) for each piece of text
+    and ("break", element, "", False) where a block ends or a line breaks; the element is the innermost open one."""
+    path: list[Element] = []
     links = 0
     at, size = 0, len(html)
+
+    def inner() -> Element | None:
+        return path[-1] if path else None
+
     while at < size:
         m = _TAG.search(html, at)
         if m is None:
             rest = html[at:]
             cut = rest.rfind("<")
-            if cut >= 0 and re.match(r"</?[a-zA-Z!]|<$", rest[cut:]):  # a tag that the page's end cuts off
+            if cut >= 0 and re.match(r"</?[a-zA-Z!]|</?$", rest[cut:]):  # a tag that the page's end cuts off
                 rest = rest[:cut]
             if rest:
-                yield "text", tuple(path), rest, links > 0
+                yield "text", inner(), rest, links > 0
             return
         if m.start() > at:
-            yield "text", tuple(path), html[at:m.start()], links > 0
+            yield "text", inner(), html[at:m.start()], links > 0
         at = m.end()
         if m[2] is None:
             continue
@@ -87,113 +98,115 @@ def read_blocks(html: str) -> Iterator[tuple[str, tuple[str, ...], str, bool]]:
                 links = max(0, links - 1)
             elif tag not in _INLINE and tag not in _VOID:
                 for k in range(len(path) - 1, -1, -1):
-                    if path[k].split(".")[0] == tag:
+                    if path[k].tag == tag:
                         del path[k:]
                         break
                 links = 0 if tag in _SCOPE else links
-                yield "break", tuple(path), "", False
+                yield "break", inner(), "", False
         elif tag in _RAW:
             end = re.compile(rf"</{tag}\b[^>]*(?:>|$)", re.I).search(html, at)
-            yield "break", tuple(path), "", False
+            yield "break", inner(), "", False
             at = end.end() if end else size
         elif tag == "a":
             links += 1
         elif tag in _VOID:
             if tag not in ("wbr", "img"):
-                yield "break", tuple(path), "", False
+                yield "break", inner(), "", False
         elif tag not in _INLINE:
-            ends = _IMPLIED_END.get(tag, frozenset(["p"]))
+            ends = _IMPLIED_END.get(tag, _P)
             for k in range(len(path) - 1, -1, -1):
-                name = path[k].split(".")[0]
-                if name in ends:
+                if path[k].tag in ends:
                     del path[k:]
                     break
-                if name in _SCOPE:
+                if path[k].tag in _SCOPE:
                     break
-            names = sorted({x.lower() for a in _ATTR.finditer(m[3]) for x in (a[2] or a[3] or a[4] or "").split()})
-            path.append(".".join([tag, *(n.replace(".", "-").replace("/", "-") for n in names)]))
-            yield "open", tuple(path), "", False
-            yield "break", tuple(path), "", False
-
-
-def page_tokens(html: str) -> dict[str, list[int]]:
-    """For each token its count, and the text and link text in it that lies in no inner token."""
-    out: dict[str, list[int]] = {}
-    for kind, path, text, linked in read_blocks(html):
-        if kind == "open":
-            out.setdefault("/".join(path), [0, 0, 0])[0] += 1
-        elif kind == "text" and path:
+            path.append(Element(inner(), tag, sorted({x.lower() for a in _ATTR.finditer(m[3]) for x in (a[2] or a[3] or a[4] or "").split()})))
+            yield "open", path[-1], "", False
+            yield "break", path[-1], "", False
+
+
+def page_tokens(html: str) -> list[tuple[Element, list[int]]]:
+    """Each token with its count, and the text and link text in it that lies in no inner token."""
+    out: dict[int, tuple[Element, list[int]]] = {}
+    for kind, e, text, linked in read_blocks(html):
+        if e is not None and kind != "break":
+            cell = out.setdefault(e.key, (e, [0, 0, 0]))[1]
             n = len(text.strip())
-            cell = out.setdefault("/".join(path), [0, 0, 0])
+            cell[0] += kind == "open"
             cell[1] += n
             cell[2] += n * linked
-    return out
+    return list(out.values())
 
 
-def deduce_template(tokens: list[tuple[str, int, int, int, int, int]], pages: int) -> dict[str, bool]:
+def deduce_template(tokens: list[dict], size: int) -> dict[int, bool]:
     """For each template token of a host whether its slot is main text.
 
-    ``tokens``: (path, vector, pages, occurrences, text, link text).
+    ``tokens`` have key, parent (-1 for none), tag, boiler, depth, vector, pages, n, text and linked; those on fewer
+    than a share of the host's ``size`` pages are left out, so an element's parent is there if the element is.
     """
-    classes: dict[int, list[tuple]] = {}
+    classes: dict[int, list[dict]] = {}
     for t in tokens:
-        classes.setdefault(t[1], []).append(t)
-    valid = [t for c in classes.values() for t in c if t[2] >= COMMON * pages and t[3] == t[2]]
-    names = {t[0] for t in valid}
-    filled: dict[str, list[int]] = {n: [0, 0] for n in names}
-    for path, _, _, _, text, linked in tokens:  # text goes to the innermost template token
-        steps = path.split("/")
-        for k in range(len(steps), 0, -1):
-            outer = "/".join(steps[:k])
-            if outer in names:
-                if not any(is_boiler(s, steps[:i]) for i, s in enumerate(steps) if i >= k):
-                    filled[outer][0] += text
-                    filled[outer][1] += linked
-                break
-
-    def plain(path: str) -> bool:
-        steps = path.split("/")
-        return not any(is_boiler(s, steps[:i]) for i, s in enumerate(steps)) and filled[path][1] <= LINK_SHARE * filled[path][0]
-
-    good = [n for n in names if plain(n)]
-    under: dict[str, int] = {}
-    for n in good:  # text below each token, its own slot included
-        steps = n.split("/")
-        for k in range(1, len(steps) + 1):
-            outer = "/".join(steps[:k])
-            if outer in names:
-                under[outer] = under.get(outer, 0) + filled[n][0]
-    articles = [n for n in under if n.split("/")[-1].split(".")[0] in ("article", "main")]
-    pool = articles or [n for n in under if n.split("/")[-1].split(".")[0] not in ("html", "body")] or list(under)
+        classes.setdefault(t["vector"], []).append(t)
+    of = {t["key"]: t for t in tokens}
+    names = {t["key"] for c in classes.values() for t in c if t["pages"] >= COMMON * size and t["n"] == t["pages"]}
+    outer_first = sorted(of, key=lambda k: (of[k]["depth"], k))
+    slot: dict[int, int] = {-1: -1}   # the innermost template token that a token lies in
+    filled = {k: [0, 0] for k in names}
+    for k in outer_first:
+        slot[k] = k if k in names else slot.get(of[k]["parent"], -1)
+        if slot[k] != -1 and of[k]["boiler"] == of[slot[k]]["boiler"]:
+            filled[slot[k]][0] += of[k]["text"]
+            filled[slot[k]][1] += of[k]["linked"]
+    good = {k for k in names if not of[k]["boiler"] and filled[k][1] <= LINK_SHARE * filled[k][0]}
+    under = {k: filled[k][0] if k in good else 0 for k in names}   # text in and below
+    nested = [k for k in outer_first if k in names]
+    for k in reversed(nested):
+        outer = slot.get(of[k]["parent"], -1)
+        if outer != -1:
+            under[outer] += under[k]
+    pool = [k for k in nested if of[k]["tag"] in _ARTICLE and not of[k]["boiler"]]
+    articles = bool(pool)
+    pool = pool or [k for k in nested if of[k]["tag"] not in ("html", "body") and not of[k]["boiler"]] or nested
     if not pool:
-        return dict.fromkeys(names, False)
-    most = max(under[n] for n in pool)
-    root = min((n for n in pool if under[n] >= 0.9 * most), key=lambda n: (-n.count("/"), n)) if not articles else min(
-        (n for n in articles if under[n] == most), key=lambda n: (n.count("/"), n))
-    return {n: n in good and (n == root or n.startswith(root + "/")) for n in names}
+        return {}
+    most = max(under[k] for k in pool)
+    root = next(k for k in pool if under[k] == most) if articles else [k for k in pool if under[k] >= 0.9 * most][-1]
+    below: set[int] = set()
+    for k in nested:
+        if k == root or slot.get(of[k]["parent"], -1) in below:
+            below.add(k)
+    return {k: k in good and k in below for k in names}
 
 
-def main_text(html: str, template: dict[str, bool]) -> str:
+def main_text(html: str, template: dict[int, bool]) -> str:
     """The text of the page's main slots, blocks joined by a space."""
     out: list[str] = []
-    has_article = None
-    for kind, path, text, _ in read_blocks(html):
+    known: dict[int, bool] = {}
+    by_names: bool | None = None
+    usable = any(template.values())
+
+    def wanted(e: Element | None) -> bool:
+        nonlocal by_names
+        above, main = [], None
+        while e is not None and main is None:
+            above.append(e)
+            main = known.get(e.key)
+            if main is None and usable and e.key in template:
+                main = template[e.key]
+            e = e.parent
+        if main is None:  # outside of the template, or a page unlike its host's others: by the elements' names
+            if by_names is None:
+                by_names = re.search(r"<(article|main)\b", html, re.I) is not None
+            main = not by_names or bool(above and above[0].inside)
+        for x in reversed(above):
+            main = known[x.key] = main and not x.boiler
+        return main
+
+    for kind, e, text, _ in read_blocks(html):
         if kind == "break":
             out.append(" ")
-        elif kind == "text":
-            main = None
-            for k in range(len(path), 0, -1):
-                main = template.get("/".join(path[:k]))
-                if main is not None:
-                    break
-            if main is None or not main and template and not any(template.values()):
-                # a page unlike its host's others: by the elements' names alone
-                if has_article is None:
-                    has_article = re.search(r"<(article|main)\b", html, re.I) is not None
-                k = 0
-                main = not has_article or any(s.split(".")[0] in ("article", "main") for s in path)
-            if main and not any(is_boiler(s, list(path[:i])) for i, s in enumerate(path) if i >= k):
-                out.append(text)
+        elif kind == "text" and wanted(e):
+            out.append(text)
     return " ".join(unescape("".join(out)).split())
 
 
@@ -208,11 +221,12 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), host.alias("host"), text_or_empty(F.col(html_col)).alias("html"))
 
     def tokens(it: Iterator[tuple]) -> Iterator[dict]:
-        names = ("host", "page", "path", "n", "text", "linked")
+        names = ("host", "page", "key", "parent", "tag", "boiler", "depth", "n", "text", "linked")
         out: dict[str, list] = {n: [] for n in names}
         for page, host_name, html in it:
-            for path, (n, text, linked) in page_tokens(html).items():
-                for name, v in zip(names, (host_name, page, path, n, text, linked), strict=True):
+            for e, (n, text, linked) in page_tokens(html):
+                values = (host_name, page, e.key, e.parent.key if e.parent else -1, e.tag, e.boiler, e.depth, n, text, linked)
+                for name, v in zip(names, values, strict=True):
                     out[name].append(v)
             if len(out["n"]) > 20_000:
                 yield out
@@ -220,31 +234,33 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
         yield out
 
     kind = type_of(rows, "id")
-    seen = map_rows(rows.select("id", "host", "html"), tokens, f"host string, page {kind}, path string, n long, text long, linked long")
-    vectors = seen.groupBy("host", "path").agg(
+    seen = map_rows(rows.select("id", "host", "html"), tokens,
+                    f"host string, page {kind}, key long, parent long, tag string, boiler boolean, depth int, n long, text long, linked long")
+    own = ["key", "parent", "tag", "boiler", "depth"]
+    vectors = seen.groupBy("host", *own).agg(
         F.sum(F.pmod(F.xxhash64("page", "n"), F.lit(1 << 40))).alias("vector"), F.count("*").alias("pages"),
         F.sum("n").alias("n"), F.sum("text").alias("text"), F.sum("linked").alias("linked"))
     sizes = rows.groupBy("host").agg(F.count("*").alias("size"))
     templates = (vectors.join(sizes, "host").filter(F.col("pages") >= COMMON * F.col("size"))
-                 .groupBy("host", "size").agg(F.collect_list(F.struct("path", "vector", "pages", "n", "text", "linked")).alias("tokens")))
+                 .groupBy("host", "size").agg(F.collect_list(F.struct(*own, "vector", "pages", "n", "text", "linked")).alias("tokens")))
 
     def deduce(it: Iterator[tuple]) -> Iterator[dict]:
         for host_name, size, found in it:
-            template = deduce_template([tuple(t.values()) for t in found], size)
-            yield {"host": [host_name], "paths": [list(template)], "main": [list(template.values())]}
+            template = deduce_template(found, size)
+            yield {"host": [host_name], "keys": [list(template)], "main": [list(template.values())]}
 
-    templates = map_rows(templates, deduce, "host string, paths array<string>, main array<boolean>")
+    templates = map_rows(templates, deduce, "host string, keys array<long>, main array<boolean>")
     few = sizes.count() <= SMALL_HOSTS
     joined = rows.join(F.broadcast(templates) if few else templates, "host", "left")
 
     def extract(it: Iterator[tuple]) -> Iterator[dict]:
-        known: dict[str, dict[str, bool]] = {}
+        known: dict[str, dict[int, bool]] = {}
         out: dict[str, list] = {"id": [], "url": [], "text": [], "n_chars": []}
-        for page, url, host_name, html, paths, main in it:
+        for page, url, host_name, html, keys, main in it:
             if host_name not in known:
                 if len(known) > 1000:
                     known.clear()
-                known[host_name] = dict(zip(paths or (), main or (), strict=True))
+                known[host_name] = dict(zip(keys or (), main or (), strict=True))
             text = main_text(html, known[host_name])
             for name, v in zip(out, (page, url, text, len(text)), strict=True):
                 out[name].append(v)
@@ -253,5 +269,5 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
                 out = {n: [] for n in out}
         yield out
 
-    found = map_rows(joined.select("id", "url", "host", "html", "paths", "main"), extract, f"id {kind}, url string, text string, n_chars long")
+    found = map_rows(joined.select("id", "url", "host", "html", "keys", "main"), extract, f"id {kind}, url string, text string, n_chars long")
     return found.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", "n_chars")
