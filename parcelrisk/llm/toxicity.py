@@ -9,8 +9,8 @@ is trained on them. As the kernel is a product of explicit subsequence weights,
 back into one weight per subsequence, which makes scoring a table look-up per subsequence.
 
 Sentences are labelled through their documents: all of a clean one are clean, at least one of a toxic one is
-toxic, so the machine is trained in rounds on each toxic document's best string (multiple-instance learning),
-along with copies of it that have characters inserted.
+toxic. So the machine is trained on the landmarks that toxic documents hold, along with copies that have characters
+inserted, against the strings of clean documents.
 """
 
 from __future__ import annotations
@@ -30,10 +30,11 @@ DECAY = 0.6
 SPAN = 5                     # characters that a subsequence may extend over
 SLOTS = 1 << 20              # subsequences are told apart by their hash
 LANDMARKS = 200
+EVIDENCE = 10.0              # log-likelihood ratio of a landmark at least; chance gives few strings as much
 TRAIN_TEXTS = 5000           # labelled documents learnt from at most, half of each label; bounds what the driver gets
 TRAIN_CHARS = {0: 4000, 1: 20_000}   # of the text of one such document, by label
-CLEAN_STRINGS = 100_000      # distinct ones learnt from at most
-ROUNDS, NEWTON_STEPS, PENALTY = 3, 25, 1e-4
+CLEAN_STRINGS = 40_000       # of clean documents, fitted at once; which ones, all of them decide
+HARD_ROUNDS, NEWTON_STEPS, PENALTY = 2, 25, 1e-4
 KNOWN_STRINGS = 400_000      # scores kept per worker
 STRING_CHARS = 24            # longer words are scored by overlapping parts
 _SENTENCE = re.compile(r"[.!?\n]+")
@@ -132,13 +133,12 @@ def spread(bags: list[set[str]]) -> Counter:
     return Counter(w for ws in groups.values() for w in ws)
 
 
-def choose_landmarks(toxic: list[set[str]], clean: list[set[str]]) -> list[str]:
-    """The strings whose share of toxic documents exceeds that of clean ones by most standard errors."""
+def choose_landmarks(toxic: list[set[str]], clean: list[set[str]], evidence: float = EVIDENCE) -> list[str]:
+    """The strings that occur more often in toxic documents than clean ones let expect, by their log-likelihood ratio."""
     n, m = spread(toxic), spread(clean)
-    a, b = len(toxic), max(1, len(clean))
-    lead = {w: (n[w] / a - m[w] / b) / np.sqrt((n[w] + m[w] + 1) / (a + b) * (1 / a + 1 / b)) for w in n
-            if n[w] > 2 and m[w] / b < 0.1 * n[w] / a}
-    return sorted((w for w in lead if lead[w] > 4), key=lambda w: (-lead[w], w))[:LANDMARKS]
+    expected = {w: (m[w] + 1) * len(toxic) / max(1, len(clean)) for w in n}
+    ratio = {w: n[w] * np.log(n[w] / e) - (n[w] - e) for w, e in expected.items() if n[w] > 2 * e}
+    return sorted((w for w in ratio if ratio[w] > evidence), key=lambda w: (-ratio[w], w))[:LANDMARKS]
 
 
 def explicit(strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -198,40 +198,39 @@ def train_toxicity(pairs: list[tuple[str, int]], seed: int = 5) -> StringKernelM
             out.append(x @ phi.T @ root)
         return np.concatenate(out)
 
-    negatives = sorted({w for ws in clean for w in ws})
-    if len(negatives) > CLEAN_STRINGS:
-        negatives = [negatives[i] for i in np.sort(rng.choice(len(negatives), CLEAN_STRINGS, replace=False))]
-    negative = features(negatives)
-    names = sorted({w for ws in toxic for w in ws})
-    place = {w: i for i, w in enumerate(names)}
-    named = features(names)
+    clean_counts = Counter(w for ws in clean for w in ws)
     marked = set(landmarks)
-    witnesses = Counter(w for ws in toxic for w in ws & marked)
-    clean_set = {w for ws in clean for w in ws}
-    for _ in range(ROUNDS):
-        strings, weight = [], []
-        for w, n in sorted(witnesses.items()):
-            for x, share in ((w, 1.0), *((x, 0.3) for x in with_insertions(w, rng) if x not in clean_set)):
-                strings.append(x)
-                weight.append(share * np.sqrt(n))
-        cost = np.concatenate([np.array(weight), np.full(len(negative), 0.3)])
-        x = np.concatenate([features(strings), negative])
-        machine = fit_machine(x, np.concatenate([np.ones(len(strings)), -np.ones(len(negative))]), cost)
-        value = named @ machine[:-1] + machine[-1]
-        best = (max(ws, key=lambda w: (value[place[w]], w)) for ws in toxic if not ws & marked)
-        witnesses = Counter(w for ws in toxic for w in ws & marked) + Counter(w for w in best if w not in clean_set and value[place[w]] > 0)
-    weights = np.zeros(SLOTS)
-    weights[slots] = phi.T @ (root @ machine[:-1])
-    model = StringKernelMachine(weights, float(machine[-1]))
+    witnesses = Counter(w for ws in toxic for w in ws & marked)  # what makes its documents toxic
+    strings, cost = [], []
+    for w, n in sorted(witnesses.items()):
+        for x, share in ((w, 1.0), *((x, 0.1) for x in with_insertions(w, rng) if x not in clean_counts)):
+            strings.append(x)
+            cost.append(share * np.sqrt(n))
+    positive = features(strings)
+
+    def fitted(negatives: list[str]) -> StringKernelMachine:
+        x = np.concatenate([positive, features(negatives)])
+        y = np.concatenate([np.ones(len(strings)), -np.ones(len(negatives))])
+        machine = fit_machine(x, y, np.concatenate([np.array(cost), [0.3 * np.sqrt(clean_counts[w]) for w in negatives]]))
+        weights = np.zeros(SLOTS)
+        weights[slots] = phi.T @ (root @ machine[:-1])
+        return StringKernelMachine(weights, float(machine[-1]))
+
+    every = sorted(clean_counts, key=lambda w: (zlib.crc32(w.encode()), w))
+    model = fitted(every[:CLEAN_STRINGS])
+    for _ in range(HARD_ROUNDS):  # then the clean strings that come nearest, of all of them
+        value = np.concatenate([model.values_of(every[i:i + 20_000]) for i in range(0, len(every), 20_000)])
+        hard = [every[i] for i in np.sort(np.argsort(-value, kind="stable")[:CLEAN_STRINGS])]
+        model = fitted(hard)
     _calibrate(model, [t for t, _ in pairs], np.array([label for _, label in pairs]))
     return model
 
 
 def _calibrate(model: StringKernelMachine, texts: list[str], labels: np.ndarray) -> None:
-    """A logistic curve through the training documents' values, both labels weighing equally."""
+    """A logistic curve through the training documents' values; a clean document's share weighs five times a toxic one's."""
     s = model.best_of_texts(texts)
     model._known.clear()
-    w = np.where(labels == 1, 0.5 / max(1, (labels == 1).sum()), 0.5 / max(1, (labels == 0).sum()))
+    w = np.where(labels == 1, 1 / max(1, (labels == 1).sum()), 5 / max(1, (labels == 0).sum()))
     order = np.argsort(s, kind="stable")
     loss = w[labels == 0].sum() + np.cumsum(np.where(labels == 1, w, -w)[order])  # with the cut just above each value
     loss[:-1][s[order][:-1] == s[order][1:]] = np.inf
