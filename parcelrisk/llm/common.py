@@ -17,6 +17,9 @@ from pyspark.sql.types import StructType
 from parcelrisk.session import ensure_checkpoint_dir
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -24,11 +27,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared checkpoint folder and read back.
 
-    Later stages read the files, so a lost executor costs no recomputation.
+    Later stages read the files, so a lost executor costs no recomputation, and the shuffle files that led to them
+    are deleted as soon as they are written.
     """
     spark = df.sparkSession
     path = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
