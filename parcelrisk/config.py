@@ -92,7 +92,7 @@ PSI_BUCKETS = 10
 PSI_EPS = 1e-8
 PSI_WARN, PSI_ALERT = 0.1, 0.2
 MIN_SAMPLES_FOR_DRIFT = 1000
-MAX_DRIFT_FEATURES = 20
+MAX_DRIFT_FEATURES = 20  # the published job's limit; ours checks all features unless it is passed
 
 # --- fixed values: manual deliveries -----------------------------------------
 MANUAL_RECIPIENT_RATE = 0.2
@@ -109,3 +109,6 @@ def snapshot() -> dict:
     """Plain-data copy of the settings above, stored with every saved model."""
     return {k: v for k, v in globals().items()
             if k.isupper() and isinstance(v, (str, int, float, tuple))}
+
+# column that the bronze step adds: a row's place in the ingested data
+INGEST_POSITION = "ingest_pos"

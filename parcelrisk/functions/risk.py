@@ -28,8 +28,9 @@ REASON_RECIPIENT = "📬 Dest. problemático"
 REASON_ATTEMPTS = "🔄 {} intentos"
 REASON_FRAGILE = "⚠️ Frágil"
 REASON_SEPARATOR = " · "
-# alert message template: id, City, percent
-SMS_TEMPLATE = ("RetailCore: Su entrega %s en %s tiene un %d%% de probabilidad de fallo hoy. "
+# alert message template: sender, id, City, percent
+SMS_SENDER = "Entregas"
+SMS_TEMPLATE = ("%s: Su entrega %s en %s tiene un %d%% de probabilidad de fallo hoy. "
                 "Le proponemos cambiar de franja horaria. Responda SI para reprogramar.")
 
 
@@ -55,7 +56,7 @@ def round_prob(prob: str | Column) -> Column:
 def capitalize(s: str | Column) -> Column:
     """Upper first character, lower the rest (Python ``str.capitalize``)."""
     c = col_(s)
-    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1 << 20)))
+    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substr(c, F.lit(2))))
 
 
 def percent_int(prob: str | Column) -> Column:
@@ -63,15 +64,16 @@ def percent_int(prob: str | Column) -> Column:
     return F.rint(col_(prob) * F.lit(100.0)).cast("int")
 
 
-def sms_message(delivery_id: str | Column, city: str | Column, prob: str | Column) -> Column:
-    return F.format_string(SMS_TEMPLATE, col_(delivery_id), capitalize(city), percent_int(prob))
+def sms_message(delivery_id: str | Column, city: str | Column, prob: str | Column,
+                sender: str = SMS_SENDER) -> Column:
+    return F.format_string(SMS_TEMPLATE, F.lit(sender), col_(delivery_id), capitalize(city), percent_int(prob))
 
 
 def label(c: str | Column, table) -> Column:
-    """Map a code to its display label; unknown passes through; NULL -> '—'."""
+    """Map a code to its display label; unknown passes through; NULL or empty -> '—'."""
     m = F.create_map(*[F.lit(x) for kv in table for x in kv])
     v = col_(c)
-    return F.coalesce(m[v], v, F.lit(EMPTY_LABEL))
+    return F.coalesce(m[v], F.nullif(v, F.lit("")), F.lit(EMPTY_LABEL))
 
 
 def risk_badge(level: str | Column) -> Column:

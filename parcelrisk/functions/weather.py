@@ -41,7 +41,7 @@ def temp_category(temp: str | Column, closed: str = "right") -> Column:
                 .when((t > e2) & (t <= e3), F.lit(2))
                 .when((t > e3) & (t <= hi), F.lit(3)))
     return (F.when(t < e1, F.lit(0.0)).when(t < e2, F.lit(1.0))
-            .when(t < e3, F.lit(2.0)).otherwise(F.lit(3.0)))
+            .when(t < e3, F.lit(2.0)).when(t.isNotNull(), F.lit(3.0)))
 
 
 def wind_chill(temp: str | Column, wind_ms: str | Column) -> Column:

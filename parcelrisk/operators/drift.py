@@ -26,8 +26,8 @@ from parcelrisk.functions.common import np_round
 from parcelrisk.session import cut_lineage
 
 
-def float_features(expected: DataFrame, actual: DataFrame, feature_cols, limit: int = C.MAX_DRIFT_FEATURES):
-    """Float-typed features present in both frames, in ``feature_cols`` order, first ``limit``."""
+def float_features(expected: DataFrame, actual: DataFrame, feature_cols, limit: int | None = None):
+    """Float-typed features present in both frames, in ``feature_cols`` order; ``limit`` takes the first ones only."""
     def is_float(df, c):
         return c in df.columns and isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType))
     cols = [c for c in feature_cols if is_float(expected, c) and is_float(actual, c)]
@@ -122,7 +122,7 @@ def psi_by_feature(expected: DataFrame, actual: DataFrame, features, buckets: in
     v = F.col("value")
     idx = F.size(F.filter(e, lambda x: x <= v)) - 1
     inside = (v >= e[0]) & (v <= e[buckets])
-    binned = (vc.join(F.broadcast(edges.select("feature", "edges")), "feature")  # <= 20 rows
+    binned = (vc.join(F.broadcast(edges.select("feature", "edges")), "feature")  # a row per feature
               .filter(inside)
               .withColumn("bin", F.least(idx, F.lit(buckets - 1)))
               .groupBy("side", "feature", "bin").agg(F.sum("cnt").alias("cnt")))

@@ -145,21 +145,29 @@ def drop_exact_duplicates(df: DataFrame, subset=None) -> DataFrame:
     return df.dropDuplicates(subset) if subset else df.dropDuplicates()
 
 
-def dedup_deliveries(df: DataFrame, key: str = "delivery_id", order=None,
-                     business=C.DELIVERY_COLUMNS) -> DataFrame:
-    """Exact-duplicate removal then keep-first per delivery id, in one aggregation.
+def ingest_order(df: DataFrame, key: str, order=None) -> list[str]:
+    """The columns that say which row came first: those given, else the ingest position that the
+    bronze step stores, else all other columns, so that the choice never depends on partitioning."""
+    if order:
+        return list(order)
+    return [C.INGEST_POSITION] if C.INGEST_POSITION in df.columns else [c for c in df.columns if c != key]
+
+
+def dedup_deliveries(df: DataFrame, key: str = "delivery_id", order=None) -> DataFrame:
+    """Exact-duplicate removal then keep-first per delivery id, in one aggregation. Keeps every column.
 
     Keep-first over the raw rows returns the same business values as doing the
     two steps in sequence, because exact duplicates carry identical values.
     """
-    from parcelrisk.plans.fixtures import INGEST_ORDER
-    order = list(order or INGEST_ORDER)
-    return keep_first(df, key, order).select(*[c for c in df.columns if c in business or c in order])
+    return keep_first(df, key, ingest_order(df, key, order))
 
 
-def dedup_counts(df: DataFrame, key: str = "delivery_id", business=C.DELIVERY_COLUMNS) -> DataFrame:
-    """rows_in, exact-duplicate rows and repeated-id rows, from one grouped pass."""
-    cols = [c for c in business if c in df.columns]
+def dedup_counts(df: DataFrame, key: str = "delivery_id", position=()) -> DataFrame:
+    """rows_in, exact-duplicate rows and repeated-id rows, from one grouped pass.
+
+    ``position``: columns that only say where a row came from and don't make it another one.
+    """
+    cols = [c for c in df.columns if c not in position and c != C.INGEST_POSITION]
     groups = df.groupBy(*cols).agg(F.count("*").alias("_n"))
     per_id = groups.groupBy(key).agg(F.sum("_n").alias("_rows"), F.count("*").alias("_distinct"))
     return per_id.agg(
@@ -188,7 +196,7 @@ def with_drop_reason(df: DataFrame) -> DataFrame:
 
 
 def silver_audit(raw: DataFrame, key: str = "delivery_id", order=None,
-                 target: str = C.TARGET, business=C.DELIVERY_COLUMNS) -> DataFrame:
+                 target: str = C.TARGET) -> DataFrame:
     """One-row audit: rows in/out, drops by cause, drop ratio, failure rate and count.
 
     One pass over the raw rows: exact-duplicate groups (map-side combined) ->
@@ -196,9 +204,9 @@ def silver_audit(raw: DataFrame, key: str = "delivery_id", order=None,
     rule tags -> one aggregate. Dedup, the two duplicate counts and the rule
     drops all come from that single chain.
     """
-    from parcelrisk.plans.fixtures import INGEST_ORDER
-    order = list(order or INGEST_ORDER)
-    biz = [c for c in business if c in raw.columns]
+    position = [c for c in (order or (C.INGEST_POSITION,)) if c in raw.columns]
+    biz = [c for c in raw.columns if c not in position]
+    order = ingest_order(raw, key, order)
     rest = [c for c in biz if c != key]
     exact = cast_booleans(raw).groupBy(*biz).agg(F.count("*").alias("_n"),
                                                  F.min(F.struct(*order)).alias("_o"))

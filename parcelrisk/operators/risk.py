@@ -19,11 +19,12 @@ PREDICTION_COLS = ("prob_fallo", "risk_level", "action", "shap_reason")
 # ------------------------------------------------------------------ F16 / F17 / M9
 def band(df: DataFrame, prob: str | Column, threshold=C.DEFAULT_THRESHOLD,
          high_multiplier: float = C.HIGH_MULTIPLIER) -> DataFrame:
-    """prob_fallo (4 dp, half-even), risk_level, action and an empty shap_reason."""
-    p = R.round_prob(prob)
-    level = R.risk_level(F.col("prob_fallo"), threshold, high_multiplier)
-    return (df.withColumn("prob_fallo", p)
-            .withColumn("risk_level", level)
+    """prob_fallo (4 dp, half-even), risk_level, action and an empty shap_reason.
+
+    The band is taken from the probability itself; only what is shown is rounded.
+    """
+    level = R.risk_level(prob, threshold, high_multiplier)
+    return (df.withColumns({"prob_fallo": R.round_prob(prob), "risk_level": level})
             .withColumn("action", R.risk_action("risk_level"))
             .withColumn("shap_reason", F.lit(None).cast("string")))
 

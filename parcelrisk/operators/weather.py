@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelrisk import config as C
+from parcelrisk.operators.quality import keep_first
 from parcelrisk.functions.common import lenient_double, np_round
 from parcelrisk.functions.weather import (derived_weather, parse_date,
                                           parse_decimal_comma, parse_rain, zscore)
@@ -47,7 +48,7 @@ def daily_climate_records(raw: DataFrame, station_col: str = "station") -> DataF
     if "obs_seq" in df.columns:
         w = Window.partitionBy(station_col, "fecha").orderBy("obs_seq")
         return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
-    return df.dropDuplicates([station_col, "fecha"])
+    return keep_first(df, [station_col, "fecha"], [c for c in df.columns if c not in (station_col, "fecha")])
 
 
 # ------------------------------------------------------------------ F8-F12, W1, W3, P16
@@ -89,16 +90,16 @@ def enrich_with_weather(deliveries: DataFrame, weather: DataFrame,
     """Left join daily weather on (date, zone); unmatched rows keep their own values.
 
     Originals are kept as ``<col>_synthetic``; derived weather flags are added;
-    columns are ordered originals, weather, derived, synthetic. The weather side
-    is one row per (date, zone): bounded by days x cities, so it is broadcast.
+    columns are ordered originals, weather, derived, synthetic. Of several weather
+    rows of a key the smallest one counts. Spark broadcasts the weather side if it is small.
     """
     keys = list(keys)
-    w = (weather.select(*keys, *[F.col(c).alias(f"_w_{c}") for c in WEATHER_COLS])
-         .dropDuplicates(keys))
+    w = keep_first(weather.select(*keys, *[F.col(c).alias(f"_w_{c}") for c in WEATHER_COLS]), keys,
+                   [f"_w_{c}" for c in WEATHER_COLS])
     originals = [c for c in deliveries.columns if c not in WEATHER_COLS]
     present = [c for c in WEATHER_COLS if c in deliveries.columns]
     d = deliveries.withColumns({f"{c}_synthetic": F.col(c) for c in present})
-    j = d.join(F.broadcast(w), keys, "left")
+    j = d.join(w, keys, "left")
     if keep_coverage:
         j = j.withColumn("_matched", F.col("_w_weather_rain").isNotNull())
     j = j.withColumns({c: (F.coalesce(F.col(f"_w_{c}"), F.col(c)) if c in present else F.col(f"_w_{c}"))
@@ -150,11 +151,11 @@ def zone_weather_means(weather: DataFrame, digits: int = 2) -> DataFrame:
 def latest_observation(obs: DataFrame, station_col: str = "station", ts_col: str = "obs_ts") -> DataFrame:
     """Latest record per station; prec/vv/ta parsed leniently (missing/junk -> 0.0).
 
-    ``max_by`` is a partial aggregation: each map task forwards one row per station.
+    The maximum is a partial aggregation: each map task forwards one row per station.
     """
-    last = F.max_by(F.struct("prec", "vv", "ta"), F.col(ts_col)).alias("_o")
-    return (obs.groupBy(station_col).agg(last, F.max(ts_col).alias(ts_col))
-            .select(station_col, ts_col,
+    last = F.max(F.struct(ts_col, "prec", "vv", "ta")).alias("_o")  # readings break ties of time
+    return (obs.groupBy(station_col).agg(last)
+            .select(station_col, F.col(f"_o.{ts_col}").alias(ts_col),
                     lenient_double("_o.prec").alias("weather_rain_raw"),
                     lenient_double("_o.vv").alias("weather_wind_speed_raw"),
                     lenient_double("_o.ta").alias("weather_temperature_raw")))

@@ -47,7 +47,7 @@ TRACE = list(X.INGEST_ORDER)
 # ------------------------------------------------------------------ quality layer
 @query("dedup_keep_first")
 def q_dedup_keep_first(spark, sf):
-    return Q.dedup_deliveries(X.deliveries(spark, sf)).select(*BUSINESS)
+    return Q.dedup_deliveries(X.deliveries(spark, sf), order=X.INGEST_ORDER).select(*BUSINESS)
 
 
 @query("dedup_exact")
@@ -57,7 +57,7 @@ def q_dedup_exact(spark, sf):
 
 @query("dedup_counts")
 def q_dedup_counts(spark, sf):
-    return Q.dedup_counts(X.deliveries(spark, sf))
+    return Q.dedup_counts(X.deliveries(spark, sf), position=X.INGEST_ORDER)
 
 
 @query("cast_flags")
@@ -99,12 +99,12 @@ def q_weather_consistent(spark, sf):
 
 @query("silver_audit")
 def q_silver_audit(spark, sf):
-    return Q.silver_audit(X.deliveries_dirty(spark, sf))
+    return Q.silver_audit(X.deliveries_dirty(spark, sf), order=X.INGEST_ORDER)
 
 
 @query("silver_clean")
 def q_silver_clean(spark, sf):
-    return Q.silver(X.deliveries_dirty(spark, sf)).select(*BUSINESS)
+    return Q.silver(X.deliveries_dirty(spark, sf), order=X.INGEST_ORDER).select(*BUSINESS)
 
 
 @query("row_contract_violations")
@@ -238,7 +238,7 @@ def q_zscored(spark, sf):
 
 def clean_deliveries(spark, sf):
     """Deduplicated, range- and weather-checked deliveries (silver without the gate action)."""
-    return Q.silver(X.deliveries(spark, sf), gate=False)
+    return Q.silver(X.deliveries(spark, sf), order=X.INGEST_ORDER, gate=False)
 
 
 def split_frame(spark, sf):

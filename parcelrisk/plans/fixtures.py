@@ -34,7 +34,7 @@ def _pick(values, idx0: Column) -> Column:
 
 
 def deliveries(spark: SparkSession, sf_dir: str, with_ingest_order: bool = True) -> DataFrame:
-    l = read_table(spark, sf_dir, "lineitem", fan_out_key="l_orderkey").select(
+    l = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate")
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
@@ -110,7 +110,7 @@ def deliveries_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _order_weather_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders", fan_out_key="o_orderkey").select(
+    o = read_table(spark, sf_dir, "orders").select(
         "o_orderdate", "o_custkey", "o_totalprice")
     return (o.groupBy(F.col("o_orderdate").cast("date").alias("date"),
                       _pick(ZONE_BY_MOD4, F.col("o_custkey") % 4).alias("zone"))
@@ -167,7 +167,7 @@ def weather_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Current station observations (station, obs_ts, prec, vv, ta as text) from events."""
-    e = read_table(spark, sf_dir, "events", fan_out_key="event_id").select("ts", "user_id", "event_type", "value")
+    e = read_table(spark, sf_dir, "events").select("ts", "user_id", "event_type", "value")
     st = F.element_at(F.array(*[F.lit(s) for _, s in C.STATIONS]), (F.col("user_id") % 4 + 1).cast("int"))
     v100 = F.floor(F.col("value") * 100)
     return e.select(

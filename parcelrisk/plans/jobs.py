@@ -27,20 +27,26 @@ from parcelrisk.operators.split import stratified_split
 from parcelrisk.session import cut_lineage
 from parcelrisk.sources import sinks as S
 
-TRACE_EXCLUDE = ("src_partkey", "src_suppkey", "src_price")
+TRACE_EXCLUDE = ("src_partkey", "src_suppkey", "src_price", C.INGEST_POSITION)
 
 
 def prepare_training_data(raw: DataFrame, exclude=C.EXCLUDE_COLS + TRACE_EXCLUDE,
-                          labelled_only: bool = True):
+                          labelled_only: bool = True, order=None):
     """bronze -> silver (gated) -> gold features + exact split; returns (split frame, feature list).
 
     ``labelled_only`` drops rows without a label first (manually appended
     deliveries have none yet), instead of letting them trip the null gate.
     """
     Q.validate_schema(raw)
-    if labelled_only:
-        raw = raw.filter(F.col(C.TARGET).isNotNull())
-    clean = Q.silver(raw)
+    return gold_features(Q.silver(labelled(raw) if labelled_only else raw, order=order), exclude)
+
+
+def labelled(raw: DataFrame) -> DataFrame:
+    return raw.filter(F.col(C.TARGET).isNotNull())
+
+
+def gold_features(clean: DataFrame, exclude=C.EXCLUDE_COLS + TRACE_EXCLUDE):
+    """Engineered features of silver rows with the exact split, and the feature list."""
     feats = FE.engineer_features(clean)
     feature_cols = FE.model_features(feats, exclude)
     split = cut_lineage(stratified_split(feats))
@@ -57,20 +63,30 @@ def evaluate_models(models: dict, data: DataFrame, label: str = C.TARGET) -> Dat
 
 def training_job(spark: SparkSession, raw: DataFrame, out_dir: str, run_date: str,
                  candidates=None, tune_on: str = "test", stats_on: str = "all",
-                 parity_inverse_weight: bool = False) -> dict:
+                 parity_inverse_weight: bool = False, order=None) -> dict:
     """Train every enabled candidate, compare on ``tune_on`` ('test' = reference parity,
     'val' = tune on validation), save the best with its metadata, log the run.
 
     ``stats_on``: scaler statistics over 'all' rows (reference parity) or 'train'.
     ``parity_inverse_weight``: weight the boosted-trees positives by n_pos/n_neg,
     as the reference's positive-class scale does, instead of balanced weights.
+    ``order``: columns that say which of a delivery's rows came first; by default the position that the
+    bronze snapshot stores.
     """
     run_id = uuid.uuid4().hex
-    S.write_snapshot(raw, f"{out_dir}/bronze", run_date)
+    Q.validate_schema(raw)
+    placed = raw if order or C.INGEST_POSITION in raw.columns else raw.withColumn(
+        C.INGEST_POSITION, F.monotonically_increasing_id())
+    S.write_snapshot(placed, f"{out_dir}/bronze", run_date)
+    bronze = (spark.read.parquet(f"{out_dir}/bronze").filter(F.col("run_date") == F.lit(run_date).cast("date"))
+              .select(*placed.columns))
     S.log_run(spark, out_dir, run_id, "bronze", {"columns": len(raw.columns), "run_date": run_date})
-    split, feature_cols = prepare_training_data(raw)
-    S.write_snapshot(split.drop("split"), f"{out_dir}/silver", run_date)
-    S.log_run(spark, out_dir, run_id, "silver", Q.silver_audit(raw).first().asDict())
+    training = labelled(bronze)
+    clean = cut_lineage(Q.silver(training, order=order))
+    S.write_snapshot(clean, f"{out_dir}/silver", run_date)
+    audit = Q.silver_audit(training, order=order).first().asDict()
+    S.log_run(spark, out_dir, run_id, "silver", {**audit, "rows_without_label": bronze.count() - audit["rows_in"]})
+    split, feature_cols = gold_features(clean)
     sizes = {r["split"]: r["count"] for r in split.groupBy("split").count().collect()}  # 3 rows
     S.log_run(spark, out_dir, run_id, "gold", {"n_features": len(feature_cols), **sizes})
     _, dropped = Q.feature_columns(split.drop("split"), C.EXCLUDE_COLS + TRACE_EXCLUDE)
@@ -99,7 +115,7 @@ def training_job(spark: SparkSession, raw: DataFrame, out_dir: str, run_date: st
 
 def score_packages(model, meta: dict, packages: DataFrame, run_date: str,
                    conditions: DataFrame | None = None, city: str | None = None,
-                   scale: bool = False) -> DataFrame:
+                   scale: bool = False, fill_missing: bool = True) -> DataFrame:
     """Cast, default the date, override weather with current conditions, engineer, zero-fill,
     score and band. Pure plan, no action.
 
@@ -115,9 +131,12 @@ def score_packages(model, meta: dict, packages: DataFrame, run_date: str,
             rows = [(k, float(v["mean"]), float(v["std"] if v["std"] is not None else 0.0))
                     for k, v in meta["scaler_stats"].items()]      # one row per feature
             stats = packages.sparkSession.createDataFrame(rows, "feature string, mean double, std double")
-        df = WX.override_weather(df, WX.realtime_features(conditions, scaler_stats=stats), feature_cols, city)
-    eng = FE.zero_fill_missing(FE.engineer_features(df, keep_sources=True), feature_cols)
-    FE.require_features(eng, feature_cols)
+        df = WX.override_weather(df, WX.realtime_features(conditions, scaler_stats=stats, fallback=True), feature_cols, city)
+    eng = FE.engineer_features(df, keep_sources=True)
+    if fill_missing:
+        eng = FE.zero_fill_missing(eng, feature_cols)
+    else:  # strict: a feature that the model needs and the packages lack raises
+        FE.require_features(eng, feature_cols)
     scored = ML.score(model, eng, out="prob")
     return RK.band(scored, "prob", threshold=meta.get("best_threshold", C.DEFAULT_THRESHOLD)).drop("prob")
 

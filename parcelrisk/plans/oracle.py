@@ -580,8 +580,8 @@ BANDED = f"""
 SELECT *, CASE WHEN risk_level = 'HIGH' THEN 'REAGENDAR_SMS' WHEN risk_level = 'MEDIUM' THEN 'CAMBIAR_FRANJA'
                ELSE 'ENTREGA_NORMAL' END AS action
 FROM (SELECT *, {_rnd('score', 4)} AS prob_fallo,
-        CASE WHEN {_rnd('score', 4)} >= 0.5::DOUBLE * 1.3::DOUBLE THEN 'HIGH'
-             WHEN {_rnd('score', 4)} >= 0.5::DOUBLE THEN 'MEDIUM' ELSE 'LOW' END AS risk_level
+        CASE WHEN score >= 0.5::DOUBLE * 1.3::DOUBLE THEN 'HIGH'
+             WHEN score >= 0.5::DOUBLE THEN 'MEDIUM' ELSE 'LOW' END AS risk_level
       FROM scored)"""
 _B = {"clean": CLEAN, "scored": SCORED, "banded": BANDED}
 
@@ -646,7 +646,7 @@ ORACLE["city_zone_risk"] = W(_MAP.format(grain="zone, zone_type"), "deliveries",
 
 ALERTS = f"""
 SELECT true AS sent, true AS simulated, delivery_id, '+34000000000' AS phone,
-  'RetailCore: Su entrega ' || delivery_id || ' en ' || {_cap("coalesce(zone, 'desconocida')")}
+  'Entregas: Su entrega ' || delivery_id || ' en ' || {_cap("coalesce(zone, 'desconocida')")}
     || ' tiene un ' || CAST(CAST(round_even(prob_fallo * 100.0::DOUBLE, 0) AS INTEGER) AS VARCHAR)
     || '% de probabilidad de fallo hoy. Le proponemos cambiar de franja horaria. Responda SI para reprogramar.'
     AS message,
@@ -696,7 +696,9 @@ DRIFT_FEATURES = ["recipient_failure_rate", "driver_quality_score", "weight_kg",
                   "weather_wind_speed", "weather_temperature", "hour_sin", "hour_cos", "dow_sin", "dow_cos",
                   "month", "quarter", "zone_barcelona", "zone_madrid", "zone_sevilla", "zone_valencia",
                   "zone_type_historic_center", "zone_type_industrial", "zone_type_offices",
-                  "zone_type_residential"]
+                  "zone_type_residential", "product_type_bulky", "product_type_fragile",
+                  "product_type_high_value", "product_type_signature_required", "product_type_standard",
+                  "load_x_rain", "score_x_rfr", "score_x_load", "rfr_x_retry"]
 _QL = "[" + ", ".join(f"{(i * 10.0) / 100.0!r}::DOUBLE" for i in range(11)) + "]"
 
 

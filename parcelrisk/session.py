@@ -44,10 +44,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared folder there; we only invent one (a fresh temp
-    folder) when the setting is absent, which happens in local tests.
+    folder) when the setting is absent and the master is local, as in tests.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.conf.get("spark.master", "")
+        if master and not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="parcelrisk-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     try:

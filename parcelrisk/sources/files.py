@@ -103,6 +103,8 @@ def read_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]
     """Read-through cache (S8): reuse the stored table, else build it, store it, read it back."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
-        build().write.mode("overwrite").parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise  # a table that is there but can't be read isn't replaced
+        build().write.parquet(path)
         return spark.read.parquet(path)

@@ -39,6 +39,14 @@ def write_snapshot(df: DataFrame, base: str, run_date: str, fmt: str = "parquet"
     return base
 
 
+def _stored_at(spark: SparkSession, table: str, base: str) -> bool:
+    """Whether there is such a table and it is kept in that folder."""
+    if not spark.catalog.tableExists(table):
+        return False
+    rows = spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'").collect()
+    return any(r["data_type"].rstrip("/").endswith(base.rstrip("/")) for r in rows)
+
+
 def append_counted(df: DataFrame, base: str, partition_col: str) -> int:
     """Append rows stamped with this write's ``created_at`` and return how many landed.
 
@@ -48,8 +56,12 @@ def append_counted(df: DataFrame, base: str, partition_col: str) -> int:
     later ``pyspark.ml`` transforms in the same session.
     """
     stamp = _dt.datetime.now()
+    spark = df.sparkSession
     df.withColumn("created_at", F.lit(stamp)).write.mode("append").partitionBy(partition_col).parquet(base)
-    return df.sparkSession.read.parquet(base).filter(F.col("created_at") == F.lit(stamp)).count()
+    name = base.rstrip("/").rpartition("/")[2]
+    if name in HISTORY_TABLES and _stored_at(spark, name, base):
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")  # so that the table shows the new rows
+    return spark.read.parquet(base).filter(F.col("created_at") == F.lit(stamp)).count()
 
 
 def ensure_history_tables(spark: SparkSession, base: str) -> None:
@@ -106,7 +118,7 @@ def write_table(df: DataFrame, path: str, csv: bool = False) -> None:
     """Small report tables (model comparison S14, scaler stats S6, enriched data S18)."""
     df.write.mode("overwrite").parquet(path)
     if csv:
-        df.coalesce(1).write.mode("overwrite").option("header", True).csv(path + "_csv")
+        df.write.mode("overwrite").option("header", True).csv(path + "_csv")
 
 
 def save_model(model: PipelineModel, base: str, name: str, metadata: dict) -> str:
