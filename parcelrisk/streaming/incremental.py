@@ -29,8 +29,8 @@ def start_incremental_scoring(spark: SparkSession, landing_dir: str, out_dir: st
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         scored = scorer(batch)
-        # one file per run date and batch (a daily landing file is one date)
-        (scored.withColumn("run_date", F.col("date")).repartition("run_date")
+        # few files per run date and batch; one date, as in a daily landing file, is still dealt over the tasks
+        (scored.withColumn("run_date", F.col("date")).repartitionByRange("run_date", "delivery_id")
          .write.mode("overwrite").partitionBy("run_date").parquet(f"{out_dir}/batch_id={batch_id}"))
 
     w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
