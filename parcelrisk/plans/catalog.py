@@ -241,6 +241,13 @@ def clean_deliveries(spark, sf):
     return Q.silver(X.deliveries(spark, sf), order=X.INGEST_ORDER, gate=False)
 
 
+@query("silver_enriched")
+def q_silver_enriched(spark, sf):
+    """Silver over enriched rows: derived flags and the original readings stay."""
+    enriched = WX.enrich_with_weather(X.deliveries(spark, sf), X.weather_daily(spark, sf))
+    return Q.silver(enriched, order=X.INGEST_ORDER, gate=False)
+
+
 def split_frame(spark, sf):
     return stratified_split(clean_deliveries(spark, sf))
 

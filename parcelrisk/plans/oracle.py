@@ -403,6 +403,10 @@ ORACLE["zscored"] = W(
 CLEAN = (f"SELECT * EXCLUDE (_rn) FROM ({KEEP_FIRST.format(src='deliveries')}) "
          f"WHERE ({ALL_RANGE}) AND ({ALL_METEO})")
 
+ORACLE["silver_enriched"] = W(
+    f"SELECT * EXCLUDE (_rn, _matched) FROM ({KEEP_FIRST.format(src='enriched')}) WHERE ({ALL_RANGE}) AND ({ALL_METEO})",
+    "deliveries", "weather_daily", extra={"enriched": ENRICHED})
+
 SPLIT = """
 SELECT c.*, CASE WHEN c._r <= q.t THEN 'test' WHEN c._r <= q.t + q.v THEN 'val' ELSE 'train' END AS split
 FROM (SELECT *, row_number() OVER (PARTITION BY delivery_failed ORDER BY md5('42#' || delivery_id)) AS _r
