@@ -18,6 +18,7 @@ Words are encoded once per worker and kept in a bounded table, because a corpus
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -36,7 +37,7 @@ KNOWN_WORDS = 300_000     # words kept per worker
 BLOCK_CHARS = 1_000_000   # text encoded at once
 
 
-def _byte_chars() -> dict[str, int]:
+def byte_stand_ins() -> dict[str, int]:
     """The printable stand-in of each byte in a byte-level vocabulary."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in set(plain)]
@@ -47,11 +48,12 @@ class ByteBpe:
     """A byte-level BPE vocabulary file with exact joins."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks take the cores
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
-        chars = _byte_chars()
+        chars = byte_stand_ins()
         added = {t.content: i for i, t in self.tok.get_added_tokens_decoder().items()}
         self.added = list(added)
         size = self.tok.get_vocab_size(with_added_tokens=True)
@@ -97,7 +99,7 @@ class ByteBpe:
             else:
                 ids = [t for piece, _ in self.tok.pre_tokenizer.pre_tokenize_str(w) for t in self.encode_unsplit(piece)]
                 out[i] = np.array(ids, "<u4").tobytes()
-        for i, e in zip(short, self.tok.encode_batch([words[i] for i in short], add_special_tokens=False), strict=True):
+        for i, e in zip(short, self.tok.encode_batch_fast([words[i] for i in short], add_special_tokens=False), strict=True):
             out[i] = np.array(e.ids, "<u4").tobytes()
         return out
 

@@ -9,6 +9,9 @@ pieces get their places by their rank among the pieces of their length.
 from __future__ import annotations
 
 import bisect
+import os
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -17,33 +20,65 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from parcelrisk.llm.bpe import byte_stand_ins
 from parcelrisk.llm.common import blocks, map_rows, stored, text_or_empty, type_of
 
 MAX_PATTERNS = 100_000    # patterns offered to the fit; pieces no pattern takes are packed best-fit
 FIT_STEPS = 80
 RANK_ROWS = 100_000       # pieces ranked together
 BLOCK_CHARS = 2_000_000
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 300_000
+#: Printable ASCII and the Latin letters of Western Europe, which are composed already and have simple lower cases.
+_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+#: The vocabulary file's way to cut a word of such characters.
+_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zA-ZÀ-ÖØ-öø-ÿ]+|[0-9]|[^\\sa-zA-Z0-9À-ÖØ-öø-ÿ]+")
 
 
 class WordBpe:
-    """Ids of whole texts for a vocabulary that drops white space, so each word is encoded on its own, once."""
+    """Ids of whole texts for a vocabulary that drops white space, so each word is encoded on its own, once.
+
+    Words of Latin letters and common signs are normalised and cut here, by the vocabulary file's own rules, and only
+    the merges are left to the library; all other words go through the whole library.
+    """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks take the cores
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
+        self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.stand_in = {b: ord(c) for c, b in byte_stand_ins().items()}
         self.known: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def _piece(self, piece: str) -> bytes:
+        found = self.pieces.get(piece)
+        if found is None:
+            mapped = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.stand_in)
+            ids = [t.id for t in self.tok.model.tokenize(mapped)]
+            found = self.pieces[piece] = struct.pack(f"<{len(ids)}I", *ids)
+        return found
+
+    def _learn(self, words: list[bytes]) -> None:
+        rest = []
+        for w in words:
+            text = w.decode()
+            if _PLAIN.fullmatch(text) and not any(a in text for a in self.added):
+                self.known[w] = b"".join([self._piece(x) for x in _PIECES.findall(text.lower())])
+            else:
+                rest.append(w)
+        for w, e in zip(rest, self.tok.encode_batch([w.decode() for w in rest], add_special_tokens=False), strict=True):
+            self.known[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids."""
         words = [t.encode().split() for t in texts]
         if len(self.known) > KNOWN_WORDS:
             self.known.clear()
-        new = [w for w in {w for ws in words for w in ws} if w not in self.known]
-        for w, e in zip(new, self.tok.encode_batch([w.decode() for w in new], add_special_tokens=False), strict=True):
-            self.known[w] = np.array(e.ids, "<u4").tobytes()
+        if len(self.pieces) > KNOWN_WORDS:
+            self.pieces.clear()
+        self._learn([w for w in {w for ws in words for w in ws} if w not in self.known])
         get = self.known.__getitem__
         return [b"".join(map(get, ws)) for ws in words]
 

@@ -137,7 +137,8 @@ def test_kernel_by_definition():
 
 def toy_pairs():
     rng = np.random.default_rng(0)
-    words = [f"{a}{b}{c}" for a in ("mo", "la", "ti", "so") for b in ("ren", "vik", "dal") for c in ("o", "im", "ast")]
+    syllables = ["mo", "la", "ti", "so", "ren", "vik", "dal", "im", "ast", "ko", "pe", "ru"]
+    words = [a + b + c for a in syllables for b in syllables for c in syllables]
     out = []
     for k in range(400):
         text = [str(w) for w in rng.choice(words, 30)]
