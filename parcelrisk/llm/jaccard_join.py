@@ -1,8 +1,8 @@
 """N-gram Jaccard join by universe partitioning and the pigeonhole principle.
 
-A document is the set of its distinct word shingles. Sets are grouped into size bands; two sets that link lie in
-neighbouring bands, so each set is listed for its own band and the next one. For a band the largest possible
-difference H of two linking sets is known. The universe is cut by hash into segments:
+A document is the set of its distinct word shingles. Sets are grouped into size bands; two sets that link lie in one
+band or in neighbouring ones, so a set is listed for its own band and, if large enough, for the next one. For a band
+the largest possible difference H of two linking sets is known. The universe is cut by hash into segments:
 
 * In m = H + 1 + E segments at least E + 1 must agree exactly. A set may so leave out up to E light segments (none
   or one element, which agree by accident); a set with more lists them all the same.
@@ -10,11 +10,12 @@ difference H of two linking sets is known. The universe is cut by hash into segm
   of its one-deletion neighbourhood finds.
 
 Which of the two is cheaper is decided per band from the number of its sets: signatures to shuffle against
-accidental matches to verify. Candidates are verified exactly, on the shingles themselves.
+accidental matches. Candidates are verified exactly, on the shingles themselves.
 
 Equal sets are one class from the start. Within the sets of a signature only the smallest id is compared with the
 others at first, each set with its likeliest partner; what is linked so forms components, and a second round
-compares all candidates that lie in different components. No link between components is lost, and a group of many
+compares the candidates that lie in different components and share as many signatures as linking sets of their
+sizes must. No link between components is lost, and a group of many
 near copies costs a comparison per copy.
 """
 
@@ -25,16 +26,19 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelrisk.llm.common import blocks, map_rows, mix64, stored, text_or_empty, type_of
+from parcelrisk.llm.common import blocks, concat_ranges, map_rows, mix64, stored, text_or_empty, type_of
 from parcelrisk.llm.components import connected_components
 
 KNOWN_WORDS = 500_000
 CHANCE = 0.05    # assumed share of unrelated sets that agree on one element of a segment
-VERIFY = 20.0    # cost of verifying a pair, in shuffled signatures
+VERIFY = 1.0     # cost of an accidental match, in shuffled signatures; most are dropped by their count, unread
+GROWTH = 1.4     # of the size from band to band
+BAND_BITS = 8    # of a signature, which tell its band
 SMALL_IDS = 500_000    # as many ids are broadcast; more of them are joined by a shuffle
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -85,76 +89,100 @@ def links(a: set[bytes], b: set[bytes], percent: int) -> bool:
 
 
 class Bands:
-    """Size bands and, for each, the way it is indexed."""
+    """Size bands and, for each, the way it is indexed.
+
+    A set is listed for its own band and, if it is large enough to link with one of the next band, for that too.
+    """
 
     def __init__(self, percent: int, largest: int):
         self.percent = percent
         self.starts = [1]
-        while self.starts[-1] <= largest:
-            self.starts.append(self.starts[-1] * 100 // percent + 1)
-        self.exact: dict[int, tuple[int, int]] = {}
-        self.deletion: dict[int, int] = {}
-
-    def difference(self, band: int) -> int:
-        """The largest difference of two linking sets listed for a band: those of it and of the one below."""
-        size = 2 * (self.start(band + 1) - 1)
-        return (100 - self.percent) * size // (100 + self.percent)
-
-    def start(self, band: int) -> int:
-        while band >= len(self.starts):
-            self.starts.append(self.starts[-1] * 100 // self.percent + 1)
-        return self.starts[band]
-
-    def band_of(self, size: int) -> int:
-        return int(np.searchsorted(self.starts, size, side="right")) - 1
-
-    def allocate(self, sets_of_band: dict[int, int]) -> Bands:
-        """Chooses the cheaper index for each band, given how many sets it lists."""
-        for band in sorted({b for x in sets_of_band for b in (x, x + 1)}):
-            listed = sets_of_band.get(band, 0) + sets_of_band.get(band - 1, 0)
-            size, h = self.start(band), self.difference(band)
-            m = h + 1
-            light = m * (1 + size / m) * math.exp(-size / m)
-            extra = math.ceil(light + 3 * math.sqrt(light)) if h else 0
-            m, d = m + extra, h // 2 + 1
-            exact = m + VERIFY * m * listed * CHANCE ** max(2, size / m)
-            deletion = d + size + VERIFY * d * listed * CHANCE ** max(1, size / d - 1)
+        while len(self.starts) < 2 or self.starts[-2] <= largest:
+            self.starts.append(max(self.starts[-1] + 1, int(self.starts[-1] * GROWTH)))
+        n = len(self.starts)
+        self.segments, self.extra = np.ones(n, np.int64), np.zeros(n, np.int64)
+        self.deletion = np.zeros(n, bool)
+
+    def difference(self, sizes: int) -> int:
+        """The largest difference of two linking sets, from the sum of their sizes."""
+        return (100 - self.percent) * sizes // (100 + self.percent)
+
+    def band_of(self, sizes: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.starts, sizes, side="right") - 1
+
+    def listed(self, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(set number, band) of all listings."""
+        own = self.band_of(sizes)
+        above = np.minimum(own + 1, len(self.starts) - 1)
+        reach = np.flatnonzero((100 * sizes >= self.percent * np.array(self.starts)[above]) & (above > own))
+        return np.concatenate([np.arange(len(sizes)), reach]), np.concatenate([own, above[reach]])
+
+    def allocate(self, sets_of_size: dict[int, int]) -> Bands:
+        """Chooses the cheaper index for each band, given how many sets there are of each size."""
+        sizes = np.array(sorted(sets_of_size), np.int64)
+        number, band = self.listed(sizes)
+        listed = np.bincount(band, np.array([sets_of_size[int(x)] for x in sizes])[number], len(self.starts)) if len(sizes) else np.zeros(len(self.starts))
+        for b in range(len(self.starts)):
+            top = self.starts[b + 1] - 1 if b + 1 < len(self.starts) else self.starts[b]
+            h, size = self.difference(2 * top), self.starts[b]
+            m, extra = h + 1, 0
+            while h:  # room for the light segments that a set of the band has by chance
+                each = self.percent / 100 * size / m
+                light = m * (1 + each) * math.exp(-each)
+                new = h + 1 + math.ceil(light + 2 * math.sqrt(light))
+                if new <= m or new > 2 * (h + 1):
+                    break
+                m, extra = new, new - h - 1
+            d = h // 2 + 1
+            exact = m + VERIFY * m * listed[b] * CHANCE ** max(2, size / m)
+            deletion = d + size + VERIFY * d * listed[b] * CHANCE ** max(1, size / d - 1)
             if h and deletion < exact:
-                self.deletion[band] = d
+                self.deletion[b], self.segments[b] = True, d
             else:
-                self.exact[band] = (m, extra)
+                self.segments[b], self.extra[b] = m, extra
         return self
 
-    def signatures(self, hashes: np.ndarray, own_band: int) -> np.ndarray:
-        """Distinct 64-bit signatures of a set, for its own band and the next one."""
-        found = []
-        for band in (own_band, own_band + 1):
-            salt = np.uint64(0x51ED270B * (band + 1))
-            m = self.deletion.get(band) or self.exact[band][0]
-            x = mix64(hashes ^ salt)
-            segment = (x >> np.uint64(32)) % np.uint64(m)
-            order = np.argsort(segment, kind="stable")
-            segment, x = segment[order], mix64(x[order] + np.uint64(1))
-            starts = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]]))
-            ids, sums = segment[starts], np.add.reduceat(x, starts)
-            counts = np.diff(np.append(starts, len(x)))
-            tag = mix64(ids + np.uint64(band << 40))
-            if band in self.deletion:
-                whole = mix64(sums ^ tag)
-                less = mix64(np.repeat(sums, counts) - x ^ np.repeat(tag, counts))
-                found += [whole, less]
-                if len(ids) < m:  # an empty segment may match another set's only element
-                    missing = np.setdiff1d(np.arange(m, dtype=np.uint64), ids)
-                    found.append(mix64(mix64(missing + np.uint64(band << 40))))
-            else:
-                extra = self.exact[band][1]
-                light = int((counts < 2).sum()) + m - len(ids)
-                keep = counts > 1 if light <= extra else np.ones(len(ids), bool)
-                found.append(mix64(sums[keep] ^ tag[keep]))
-                if light > extra:
-                    missing = np.setdiff1d(np.arange(m, dtype=np.uint64), ids)
-                    found.append(mix64(mix64(missing + np.uint64(band << 40))))
-        return np.unique(np.concatenate(found))
+    def signatures(self, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """(set number, signature) of sets of hashes, none of them empty. A signature's low bits are its band."""
+        sizes = np.array([len(x) for x in sets], np.int64)
+        starts = np.cumsum(sizes) - sizes
+        number, band = self.listed(sizes)
+        reps = sizes[number]
+        listing = np.repeat(np.arange(len(number)), reps)
+        x = mix64(np.concatenate(sets)[concat_ranges(starts[number], reps)] ^ mix64(band.astype(np.uint64))[listing])
+        m = self.segments[band]
+        base = np.cumsum(m) - m                                    # segments of all listings are numbered through
+        segment = base[listing] + ((x >> np.uint64(33)).astype(np.int64) % m[listing])
+        order = np.argsort(segment, kind="stable")
+        segment, x = segment[order], mix64(x[order] + np.uint64(1))
+        first = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]]))
+        found, sums, counts = segment[first], np.add.reduceat(x, first), np.diff(np.append(first, len(x)))
+        owner = np.searchsorted(base, found, side="right") - 1
+        salt = mix64(((found - base[owner]) << 16 | band[owner]).astype(np.uint64))   # of segment and band
+
+        by_deletion = self.deletion[band]
+        total = int(m.sum())
+        filled = np.bincount(found, minlength=total)
+        light = m - np.add.reduceat(filled, base) + np.bincount(owner, counts < 2, len(band)).astype(np.int64)
+        skips = ~by_deletion & (light <= self.extra[band])        # listings that leave light segments out
+        whole = ~skips[owner] | (counts > 1)
+        out = [(owner[whole], (sums ^ salt)[whole])]
+        empty = np.flatnonzero(filled == 0)
+        empty_owner = np.searchsorted(base, empty, side="right") - 1
+        empty, empty_owner = empty[~skips[empty_owner]], empty_owner[~skips[empty_owner]]
+        out.append((empty_owner, mix64(((empty - base[empty_owner]) << 16 | band[empty_owner]).astype(np.uint64))))
+        less = np.repeat(by_deletion[owner], counts)               # one-deletion neighbourhoods
+        if less.any():
+            out.append((np.repeat(owner, counts)[less], ((np.repeat(sums, counts) - x) ^ np.repeat(salt, counts))[less]))
+        owner, sig = (np.concatenate(v) for v in zip(*out, strict=True))
+        sig = mix64(sig) & ~np.uint64((1 << BAND_BITS) - 1) | (band[owner] % (1 << BAND_BITS)).astype(np.uint64)
+        return number[owner], sig
+
+    def needed(self, band: int, sizes: int) -> int:
+        """How many signatures of a band two linking sets share at least, from the sum of their sizes."""
+        if self.deletion[band]:
+            return 1
+        return max(1, int(self.segments[band]) - self.difference(sizes) - int(self.extra[band]))
 
 
 def shingle_sets(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
@@ -171,19 +199,19 @@ def shingle_sets(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFra
 
 
 def _signature_rows(texts: DataFrame, bands: Bands, n: int) -> DataFrame:
+    """(id, sig) of each text; no row twice."""
     model = texts.sparkSession.sparkContext.broadcast(bands)
 
     def run(rows: Iterator[tuple]) -> Iterator[dict]:
-        for part in blocks(rows, lambda r: len(r[1]), 500_000):
-            ids, sigs = [], []
-            for i, text in part:
-                s = shingle_hashes(text, n)
-                if not len(s):
-                    continue
-                own = model.value.signatures(s, model.value.band_of(len(s)))
-                ids += [i] * len(own)
-                sigs.append(own.view(np.int64))
-            yield {"id": ids, "sig": np.concatenate([np.empty(0, np.int64), *sigs])}
+        for part in blocks(rows, lambda r: len(r[1]), 1_000_000):
+            sets = [(i, s) for i, s in ((i, shingle_hashes(t, n)) for i, t in part) if len(s)]
+            if sets:
+                number, sig = model.value.signatures([s for _, s in sets])
+                order = np.lexsort((sig, number))
+                number, sig = number[order], sig[order]
+                new = np.concatenate([[True], (number[1:] != number[:-1]) | (sig[1:] != sig[:-1])])
+                ids = pa.array([i for i, _ in sets])
+                yield {"id": ids.take(pa.array(number[new])), "sig": sig[new].view(np.int64)}
 
     return map_rows(texts.select("id", "text"), run, f"id {type_of(texts, 'id')}, sig long")
 
@@ -216,6 +244,20 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataF
     return stored(map_rows(joined, run, f"a {kind}, b {kind}"), "links")
 
 
+def _likely(pairs: DataFrame, classes: DataFrame, bands: Bands) -> DataFrame:
+    """Of (a, b, band, k) the pairs whose sizes may link and that share as many signatures as such sets must."""
+    sized = classes.groupBy(F.col("rep").alias("id")).agg(F.min("n_shingles").alias("lo"), F.max("n_shingles").alias("hi"))
+    rows = [(b, int(bands.segments[b] - bands.extra[b]), bool(bands.deletion[b])) for b in range(len(bands.starts))]
+    known = F.broadcast(pairs.sparkSession.createDataFrame(rows, "band long, most long, deletion boolean"))  # a row per band
+    sizes = F.col("ha") + F.col("hb")
+    difference = F.floor((100 - bands.percent) * sizes / (100 + bands.percent))
+    return (pairs.join(sized.select(F.col("id").alias("a"), F.col("lo").alias("la"), F.col("hi").alias("ha")), "a")
+            .join(sized.select(F.col("id").alias("b"), F.col("lo").alias("lb"), F.col("hi").alias("hb")), "b").join(known, "band")
+            .filter((100 * F.col("ha") >= bands.percent * F.col("lb")) & (100 * F.col("hb") >= bands.percent * F.col("la"))
+                    & (F.col("deletion") | (F.col("k") >= F.col("most") - difference)))
+            .select("a", "b").distinct())
+
+
 def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Columns id, n_shingles and component_id, the smallest id that links reach.
 
@@ -227,18 +269,19 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85, id_col: s
     classes = sets.filter((F.col("n_shingles") > 0) & F.col("id").isNotNull()).groupBy("n_shingles", "h1", "h2").agg(F.min("id").alias("rep"))
     classes = stored(classes, "classes")  # one row per different set
     sizes = {r["n_shingles"]: r["count"] for r in classes.groupBy("n_shingles").count().collect()}  # a row per set size
-    bands = Bands(percent, max(sizes, default=1))
-    per_band: dict[int, int] = {}
-    for size, k in sizes.items():
-        per_band[bands.band_of(size)] = per_band.get(bands.band_of(size), 0) + k
-    bands.allocate(per_band)
+    bands = Bands(percent, max(sizes, default=1)).allocate(sizes)
 
+    # signatures that different sets share; of equal sets only the smallest id's text is indexed
     kind = type_of(sets, "id")
     texts = docs.select(F.col(id_col).alias("id"), text_or_empty(F.col(text_col)).alias("text")).filter("id is not null")
-    rows = _signature_rows(texts, bands, n)
-    per_sig = rows.groupBy("sig").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high").drop("high")
     reps = classes.select(F.col("rep").alias("id")).distinct()
-    shared = stored(rows.join(per_sig, "sig").join(reps, "id", "left_semi"), "shared")
+    copies = sets.filter("n_shingles > 0").select("id").distinct().join(reps, "id", "left_anti")
+    copies = stored(copies.filter("id is not null"), "copies")
+    one_each = texts.join(F.broadcast(copies) if copies.count() <= SMALL_IDS else copies, "id", "left_anti")
+    by_sig = Window.partitionBy("sig").orderBy("id")
+    shared = stored(_signature_rows(one_each, bands, n)
+                    .withColumn("low", F.first("id").over(by_sig.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+                    .withColumn("more", F.lead("id").over(by_sig)).filter("low < id or low < more").select("sig", "id", "low"), "shared")
 
     # first round: each set with the smallest id that shares most signatures with it
     stars = shared.filter("low < id").groupBy(F.col("low").alias("a"), F.col("id").alias("b")).agg(F.count("*").alias("k"))
@@ -252,12 +295,9 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85, id_col: s
     mixed = stored(marked.join(spans, "sig").distinct(), "mixed")
     left = mixed.select("sig", F.col("id").alias("a"), F.col("component").alias("ca"))
     right = mixed.select("sig", F.col("id").alias("b"), F.col("component").alias("cb"))
-    open_pairs = left.join(right, "sig").filter((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b"))).select("a", "b").distinct()
-    sized = classes.groupBy(F.col("rep").alias("id")).agg(F.min("n_shingles").alias("lo"), F.max("n_shingles").alias("hi"))
-    open_pairs = (open_pairs.join(sized.select(F.col("id").alias("a"), F.col("lo").alias("la"), F.col("hi").alias("ha")), "a")
-                  .join(sized.select(F.col("id").alias("b"), F.col("lo").alias("lb"), F.col("hi").alias("hb")), "b")
-                  .filter((100 * F.col("ha") >= percent * F.col("lb")) & (100 * F.col("hb") >= percent * F.col("la"))))
-    second = _verified(open_pairs, texts, n, percent)
+    open_pairs = (left.join(right, "sig").filter((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")))
+                  .groupBy("a", "b", F.expr(f"sig & {(1 << BAND_BITS) - 1}").alias("band")).agg(F.count("*").alias("k")))
+    second = _verified(_likely(open_pairs, classes, bands), texts, n, percent)
     equal = (sets.join(classes, ["n_shingles", "h1", "h2"]).filter("id > rep").select(F.col("rep").alias("a"), F.col("id").alias("b")))
     all_links = stored(first.union(second).union(equal), "all-links")
     found = connected_components(all_links, kind)
