@@ -96,7 +96,7 @@ def score_quality(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id
     count as often as they occur; a column of ``docs`` named like one of the results is replaced; an empty table
     gives an empty one.
     """
-    ids = trusted_ids.select(id_col).filter(F.col(id_col).isNotNull()).distinct()
+    ids = trusted_ids.select(id_col).filter(F.col(id_col).isNotNull()).distinct().hint("merge")  # ids grow with the data
     raw = bucket_counts(docs, text_col)
     target = bucket_counts(docs.select(id_col, text_col).join(ids, id_col, "left_semi"), text_col)
     table = ",".join(f"{x:.6f}" for x in log_ratios(target, raw))
