@@ -125,11 +125,11 @@ class StringKernelMachine:
 
 
 def spread(bags: list[set[str]]) -> Counter:
-    """For each string, in how many groups of documents it occurs; near copies share their smallest hash, and so a group."""
-    groups: dict[int, set[str]] = {}
+    """For each string, in how many groups of documents it occurs; near copies mostly share their smallest hashes, and so a group."""
+    groups: dict[tuple, set[str]] = {}
     for ws in bags:
         if ws:
-            groups.setdefault(min(zlib.crc32(w.encode()) for w in ws), set()).update(ws)
+            groups.setdefault(tuple(sorted(zlib.crc32(w.encode()) for w in ws)[:2]), set()).update(ws)
     return Counter(w for ws in groups.values() for w in ws)
 
 
@@ -219,7 +219,7 @@ def train_toxicity(pairs: list[tuple[str, int]], seed: int = 5) -> StringKernelM
     every = sorted(clean_counts, key=lambda w: (zlib.crc32(w.encode()), w))
     model = fitted(every[:CLEAN_STRINGS])
     for _ in range(HARD_ROUNDS):  # then the clean strings that come nearest, of all of them
-        value = np.concatenate([model.values_of(every[i:i + 20_000]) for i in range(0, len(every), 20_000)])
+        value = np.concatenate([model.values_of(every[i:i + 10_000]) for i in range(0, len(every), 10_000)])
         hard = [every[i] for i in np.sort(np.argsort(-value, kind="stable")[:CLEAN_STRINGS])]
         model = fitted(hard)
     _calibrate(model, [t for t, _ in pairs], np.array([label for _, label in pairs]))
@@ -248,8 +248,8 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
         return []
     share = F.element_at(F.create_map(*[F.lit(x) for y, n in counts.items() for x in (y, min(1.0, TRAIN_TEXTS / 2 / n))]), F.col("_y"))
     h = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1_000_000))
-    picked = marks.withColumn("_h", h).filter(F.col("_h") < share * 1_000_000)
-    rows = (docs.select(id_col, text_col).filter(F.col(text_col).isNotNull()).join(picked, id_col)
+    picked = marks.withColumn("_h", h).filter(F.col("_h") < share * 1_000_000).orderBy("_h", "_y", id_col).limit(2 * TRAIN_TEXTS)
+    rows = (docs.select(id_col, text_col).filter(F.col(text_col).isNotNull()).join(F.broadcast(picked), id_col)  # bounded by the limit
             .orderBy("_h", "_y", id_col, text_col).limit(2 * TRAIN_TEXTS))
     length = F.when(F.col("_y") == 1, TRAIN_CHARS[1]).otherwise(TRAIN_CHARS[0])
     start = F.pmod(F.xxhash64("_h"), F.greatest(F.length(text_col) - length, F.lit(0)) + 1) + 1
