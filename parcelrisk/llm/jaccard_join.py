@@ -4,8 +4,8 @@ A document is the set of its distinct word shingles. Sets are grouped into size
 band or in neighbouring ones, so a set is listed for its own band and, if large enough, for the next one. For a band
 the largest possible difference H of two linking sets is known. The universe is cut by hash into segments:
 
-* In m = H + 1 + E segments at least E + 1 must agree exactly. A set may so leave out up to E light segments (none
-  or one element, which agree by accident); a set with more lists them all the same.
+* In m = H + 1 + E segments at least E + 1 must agree exactly. A set may so leave out up to E empty segments, which
+  agree by accident; a set with more lists them all the same.
 * Of m = H // 2 + 1 segments one must differ by one element at most, which a segment's signature along with those
   of its one-deletion neighbourhood finds.
 
@@ -35,7 +35,7 @@ from parcelrisk.llm.common import blocks, concat_ranges, map_rows, mix64, stored
 from parcelrisk.llm.components import connected_components
 
 KNOWN_WORDS = 500_000
-CHANCE = 0.05    # assumed share of unrelated sets that agree on one element of a segment
+CHANCE = 0.005   # assumed share of unrelated sets that agree on one element of a segment
 VERIFY = 1.0     # cost of an accidental match, in shuffled signatures; most are dropped by their count, unread
 GROWTH = 1.4     # of the size from band to band
 BAND_BITS = 8    # of a signature, which tell its band
@@ -126,10 +126,9 @@ class Bands:
             top = self.starts[b + 1] - 1 if b + 1 < len(self.starts) else self.starts[b]
             h, size = self.difference(2 * top), self.starts[b]
             m, extra = h + 1, 0
-            while h:  # room for the light segments that a set of the band has by chance
-                each = self.percent / 100 * size / m
-                light = m * (1 + each) * math.exp(-each)
-                new = h + 1 + math.ceil(light + 2 * math.sqrt(light))
+            while h:  # room for the empty segments that a set of the band has by chance
+                empty = m * math.exp(-self.percent / 100 * size / m)
+                new = h + 1 + math.ceil(empty + 2 * math.sqrt(empty))
                 if new <= m or new > 2 * (h + 1):
                     break
                 m, extra = new, new - h - 1
@@ -163,10 +162,8 @@ class Bands:
         by_deletion = self.deletion[band]
         total = int(m.sum())
         filled = np.bincount(found, minlength=total)
-        light = m - np.add.reduceat(filled, base) + np.bincount(owner, counts < 2, len(band)).astype(np.int64)
-        skips = ~by_deletion & (light <= self.extra[band])        # listings that leave light segments out
-        whole = ~skips[owner] | (counts > 1)
-        out = [(owner[whole], (sums ^ salt)[whole])]
+        skips = ~by_deletion & (m - np.add.reduceat(filled, base) <= self.extra[band])   # listings that leave empty segments out
+        out = [(owner, sums ^ salt)]
         empty = np.flatnonzero(filled == 0)
         empty_owner = np.searchsorted(base, empty, side="right") - 1
         empty, empty_owner = empty[~skips[empty_owner]], empty_owner[~skips[empty_owner]]

@@ -117,7 +117,7 @@ def test_signatures_of_linking_sets_meet():
 
 
 def test_both_indexes_are_used():
-    bands = Bands(85, 2000).allocate(dict.fromkeys(range(1, 2000), 1000))
+    bands = Bands(85, 2000).allocate(dict.fromkeys(range(1, 2000), 1_000_000))
     assert bands.deletion.any() and not bands.deletion.all()
 
 
