@@ -1,13 +1,14 @@
 """Language-model scoring by a weighted backoff automaton.
 
-The states are the root and one per frequent word, which is the history after reading that word. A state's arcs
+The states are the root and one per training word, which is the history after reading that word. A state's arcs
 are the pairs seen in training, with an absolutely discounted probability; a word without an arc is read over the
-failure arc, whose weight is the mass left by the discount, from the root. The root's arcs are the frequent words
+failure arc, whose weight is the mass left by the discount, from the root. The root's arcs are the training words
 and the class of all other words, which spells a word by its smoothed count within the class. A text is scored in
 one traversal from left to right, which carries the state and adds up log-probabilities.
 
-The automaton's size is bounded by the number of states, whatever the corpus. Counts of all other words are not:
-each chunk of texts gets the counts of its own words, joined to it by the chunk's number.
+States and arcs grow with the corpus, and none come to the driver. Tasks count the words and pairs of each chunk of
+texts; a window over each pair adds up its counts in all chunks, and each chunk gets the part of the automaton that
+its own texts can reach, by the chunk's number.
 """
 
 from __future__ import annotations
@@ -18,19 +19,20 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from parcelrisk.llm.common import blocks, fold, map_rows, stored, text_or_empty, type_of
 
-STATES = 1000               # histories, the most frequent training words; arcs are as many as their pairs at most
 DISCOUNT = 0.75
 CHUNK_BYTES = 8 << 20       # text of a chunk, about
 FLUSH_TOKENS = 2_000_000    # counted in a task before counts are handed on
 KNOWN_WORDS = 500_000
+BATCH = 200_000             # rows handed on at once
 END = 1                     # key of the end token; words' keys are hashes
+START, OTHER, WORD = 2, 3, 4     # the history at a text's start, the class of all other words, and what counts of words stand under
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
@@ -57,57 +59,63 @@ def token_keys(text: str) -> np.ndarray:
 
 
 class Automaton:
-    """Arcs of the frequent words' states; state 0 is the start of a text, class 0 all other words."""
-
-    def __init__(self, words: list[tuple[int, int]], pairs: np.ndarray, pair_counts: np.ndarray, total: int, distinct: int):
-        """``words``: (key, count) of the frequent words; ``pairs``: history * size + class, and their counts; ``total``
-        tokens and ``distinct`` words in training."""
-        order = sorted(words)
-        self.keys = np.array([k for k, _ in order], np.int64)
-        counts = np.array([c for _, c in order], np.float64)
-        n = len(order) + 1
-        self.total, self.distinct = total, distinct
-        self.other = max(0.0, total - counts.sum())          # tokens that are other words
-        self.other_distinct = max(0, distinct - len(order))
-        root = np.concatenate([[self.other + 1], counts + 1]) / (self.other + counts.sum() + n)
-        self.root = np.log10(root)
-        table = np.zeros((n + 1, n))
-        table.flat[pairs] = pair_counts
-        seen = table.sum(axis=1)
-        arcs = (table > 0).sum(axis=1)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            left = np.where(seen > 0, DISCOUNT * arcs / np.maximum(seen, 1), 1.0)   # weight of the failure arc
-            p = np.maximum(table - DISCOUNT, 0) / np.maximum(seen, 1)[:, None] + left[:, None] * root
-        self.failure = np.log10(left).astype(np.float32)
-        rows, cols = np.nonzero(table)
-        self.arc_keys = rows.astype(np.int64) * n + cols       # sorted
-        self.arc_logs = np.log10(p[rows, cols]).astype(np.float32)
-        self.size = n
-
-    def classes(self, keys: np.ndarray) -> np.ndarray:
-        """1 and up for frequent words, 0 for all others."""
+    """The part of the automaton that a chunk's texts can reach."""
+
+    def __init__(self, table: dict[str, np.ndarray], ends: dict[int, tuple[int, int]], total: int, size: int, other: int,
+                 other_distinct: int, frequent: np.ndarray | None):
+        """``table`` has rows (a, b, c, arcs): the count of a pair, or under WORD a word's count and the arcs of its state.
+        ``ends`` has the tokens after START and OTHER, and their arcs; ``size`` classes and ``total`` tokens are in training,
+        ``other`` of them in the class of other words, which has ``other_distinct``. Without ``frequent`` all are states."""
+        word = table["a"] == WORD
+        self.keys, first = np.unique(table["b"][word], return_index=True)
+        self.counts, arcs = table["c"][word][first], table["arcs"][word][first]
+        self.frequent = frequent
+        n = len(self.keys)
+        self.start, self.other, self.size = n, n + 1, n + 2
+        seen = np.concatenate([self.counts, [ends.get(START, (0, 0))[0], ends.get(OTHER, (0, 0))[0]]]).astype(np.float64)
+        arcs = np.concatenate([arcs, [ends.get(START, (0, 0))[1], ends.get(OTHER, (0, 0))[1]]])
+        self.seen = np.maximum(seen, 1)
+        self.left = np.where(seen > 0, DISCOUNT * arcs / self.seen, 1.0)    # weight of the failure arc
+        self.root = (np.concatenate([self.counts, [0, other]]) + 1) / (total + size)
+        self.spells = other + other_distinct + 1
+        arc = self.place(table["a"][~word]) * self.size + self.place(table["b"][~word])
+        self.arcs, first = np.unique(arc, return_index=True)
+        self.arc_counts = table["c"][~word][first]
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The places of words, and whether they are known."""
         if not len(self.keys):
-            return np.zeros(len(keys), np.int64)
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, at + 1, 0)
+        return at, self.keys[at] == keys
 
-    def traverse(self, cls: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """log10 of the probability of each class after the one before it; ``starts`` marks texts' first tokens.
+    def place(self, keys: np.ndarray) -> np.ndarray:
+        """The numbers of classes and histories; a word that is no state has the class of all other words."""
+        at, known = self.find(keys)
+        return np.where(known, at, np.where(keys == START, self.start, self.other))
+
+    def traverse(self, keys: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log10 of the probability of each token after the one before it, and its count in training; ``starts`` marks
+        texts' first tokens.
 
         The state after a token is given by the token alone, so the steps of a whole block are looked up at once.
         """
+        at, known = self.find(keys)
+        counts = np.where(known, self.counts[at], 0) if len(self.keys) else np.zeros(len(keys), np.int64)
+        cls = self.place(classes(keys, self.frequent))
         history = np.empty(len(cls), np.int64)
         history[1:] = cls[:-1]
-        history[starts] = self.size                            # the start of a text
+        history[starts] = self.start
         want = history * self.size + cls
-        if not len(self.arc_keys):
-            return self.failure[history] + self.root[cls]
-        at = np.minimum(np.searchsorted(self.arc_keys, want), len(self.arc_keys) - 1)
-        return np.where(self.arc_keys[at] == want, self.arc_logs[at], self.failure[history] + self.root[cls])
+        p = self.left[history] * self.root[cls]
+        if len(self.arcs):
+            at = np.minimum(np.searchsorted(self.arcs, want), len(self.arcs) - 1)
+            p += np.where(self.arcs[at] == want, np.maximum(self.arc_counts[at] - DISCOUNT, 0) / self.seen[history], 0)
+        return np.log10(p) + np.where(cls == self.other, np.log10((counts + 1) / self.spells), 0), counts
+
 
-    def spelled(self, counts: np.ndarray) -> np.ndarray:
-        """log10 of other words' probability within their class, with one added to each count."""
-        return np.log10((counts + 1) / (self.other + self.other_distinct + 1))
+def classes(keys: np.ndarray, frequent: np.ndarray | None) -> np.ndarray:
+    return keys if frequent is None else np.where(np.isin(keys, frequent), keys, OTHER)
 
 
 def with_chunks(docs: DataFrame, id_col: str, text_col: str, folds: int, held: int) -> DataFrame:
@@ -138,75 +146,72 @@ def word_counts(rows: DataFrame) -> DataFrame:
     return stored(map_rows(rows.select("text", "trains"), run, "key long, c long").groupBy("key").agg(F.sum("c").alias("c")), "words")
 
 
-def _rare_rows(rows: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """(chunk, key) of the words of each chunk that aren't frequent."""
+def _counted_pairs(rows: DataFrame, frequent: np.ndarray | None) -> DataFrame:
+    """(chunk, a, b, c): the pairs of classes of each chunk with their training counts, and its words under WORD. Those that
+    only texts held out have are there too, with a count of 0."""
     known = rows.sparkSession.sparkContext.broadcast(frequent)
 
     def run(it: Iterator[tuple]) -> Iterator[dict]:
         for part in blocks(it, lambda r: len(r[0]), FLUSH_TOKENS * 6):
-            groups: dict[int, list[np.ndarray]] = {}
-            for text, chunk in part:
-                groups.setdefault(chunk, []).append(token_keys(text))
-            out = [(c, np.setdiff1d(np.concatenate(g), known.value)) for c, g in groups.items()]
-            yield {"chunk": np.concatenate([np.full(len(k), c, np.int64) for c, k in out]), "key": np.concatenate([k for _, k in out])}
-
-    return map_rows(rows.select("text", "chunk"), run, "chunk long, key long")
-
-
-def _pair_rows(rows: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """(pair, c): class pairs of training texts, as history * size + class."""
-    known = rows.sparkSession.sparkContext.broadcast(frequent)
-    size = len(frequent) + 1
-
-    def run(it: Iterator[tuple]) -> Iterator[dict]:
-        for part in blocks(it, lambda r: len(r[0]), FLUSH_TOKENS * 6):
-            texts = [token_keys(t) for t, trains in part if trains]
-            if not texts:
-                continue
-            keys = np.concatenate(texts)
-            at = np.minimum(np.searchsorted(known.value, keys), max(0, size - 2))
-            cls = np.where(known.value[at] == keys, at + 1, 0) if size > 1 else np.zeros(len(keys), np.int64)
-            history = np.concatenate([[0], cls[:-1]])
-            lens = np.array([len(x) for x in texts])
-            history[np.cumsum(lens) - lens] = size
-            pair, c = _counted([history * size + cls], [np.ones(len(cls))])
-            yield {"pair": pair, "c": c}
-
-    return map_rows(rows.select("text", "trains"), run, "pair long, c long").groupBy("pair").agg(F.sum("c").alias("c"))
-
-
-def score_corpus(docs: DataFrame, folds: int = 7, held: int = 2, states: int = STATES, id_col: str = "doc_id",
+            groups: dict[int, list[tuple]] = {}
+            for text, trains, chunk in part:
+                groups.setdefault(chunk, []).append((token_keys(text), trains))
+            for chunk, texts in groups.items():
+                lens = np.array([len(k) for k, _ in texts])
+                token = np.concatenate([k for k, _ in texts])
+                train = np.repeat([float(t) for _, t in texts], lens)
+                cls = classes(token, known.value)
+                history = np.concatenate([[START], cls[:-1]])
+                history[np.cumsum(lens) - lens] = START
+                values, at = np.unique(np.concatenate([history, cls]), return_inverse=True)
+                pair, place = np.unique(at[:len(cls)] * len(values) + at[len(cls):], return_inverse=True)
+                word, of = np.unique(token, return_inverse=True)
+                a = np.concatenate([np.full(len(word), WORD), values[pair // len(values)]])
+                b = np.concatenate([word, values[pair % len(values)]])
+                c = np.concatenate([np.bincount(of, train), np.bincount(place, train)]).astype(np.int64)
+                for i in range(0, len(a), BATCH):
+                    some = slice(i, i + BATCH)
+                    yield {"chunk": np.full(len(a[some]), chunk, np.int64), "a": a[some], "b": b[some], "c": c[some]}
+
+    return map_rows(rows.select("text", "trains", "chunk"), run, "chunk long, a long, b long, c long")
+
+
+def score_corpus(docs: DataFrame, folds: int = 7, held: int = 2, states: int | None = None, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """Id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row; learnt from the rows not held out.
 
-    Null text counts as empty: only the end token. If nothing trains, all counts are 0. Repeated rows train and are
-    scored as often as they occur; other columns are ignored; an empty table gives an empty one.
+    All training words are states, or the ``states`` most frequent ones. Null text counts as empty: only the end token.
+    If nothing trains, all counts are 0. Repeated rows train and are scored as often as they occur; other columns are
+    ignored; an empty table gives an empty one.
     """
     rows = with_chunks(docs, id_col, text_col, folds, held)
-    words = word_counts(rows)
-    totals = words.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
-    total, distinct = int(totals["n"] or 0), int(totals["v"])
-    # the states: as many as the parameter says, so what comes to the driver is bounded
-    top = [(r["key"], r["c"]) for r in words.orderBy(F.desc("c"), "key").limit(states).collect()]
-    frequent = np.array(sorted(k for k, _ in top), np.int64)
-    pairs = _pair_rows(rows, frequent).toArrow()
-    automaton = Automaton(top, pairs["pair"].to_numpy(), pairs["c"].to_numpy(), total, distinct)
-    shared = docs.sparkSession.sparkContext.broadcast((automaton, {k: c for k, c in top}))
-
-    counts = (_rare_rows(rows, frequent).join(words, "key").groupBy("chunk").agg(
-        F.collect_list("key").alias("keys"), F.collect_list("c").alias("cs")))
+    frequent = None
+    if states is not None:
+        frequent = np.array([r["key"] for r in word_counts(rows).orderBy(F.desc("c"), "key").limit(states).collect()], np.int64)
+    each = Window.partitionBy("a", "b").orderBy("c")
+    everywhere = each.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    counted = stored(_counted_pairs(rows, frequent)
+                     .select("chunk", "a", "b", F.sum("c").over(everywhere).alias("c"), (F.row_number().over(each) == 1).alias("once"))
+                     .filter("c > 0"), "pairs")
+    once = counted.filter("once")
+    top = F.col("b").isin([int(k) for k in frequent]) if frequent is not None else F.lit(True)
+    totals = once.filter(F.col("a") == WORD).agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.sum(F.when(~top, F.col("c"))).alias("n_other"),
+                                                 F.count(F.when(~top, 1)).alias("v_other")).first()
+    total, distinct, other, other_distinct = (int(x or 0) for x in totals)
+    histories = stored(once.filter(F.col("a") != WORD).groupBy("a").agg(F.sum("c").alias("seen"), F.count("*").alias("arcs")), "histories")
+    ends = {r["a"]: (r["seen"], r["arcs"]) for r in histories.filter(F.col("a").isin(START, OTHER)).collect()}
+    shared = docs.sparkSession.sparkContext.broadcast((ends, total, distinct - other_distinct + 1, other, other_distinct, frequent))
+
+    words = (counted.filter(F.col("a") == WORD).join(histories.select(F.col("a").alias("b"), "arcs"), "b", "left")
+             .select("chunk", "a", "b", "c", F.coalesce("arcs", F.lit(0)).alias("arcs")))
+    reached = counted.filter(F.col("a") != WORD).select("chunk", "a", "b", "c", F.lit(0).cast("long").alias("arcs")).unionAll(words)
     kind = type_of(docs, id_col)
     schema = (f"{id_col} {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        model, common = shared.value
-        rare = np.array([x for ks in right["keys"].to_pylist() for x in ks], np.int64) if len(right) else np.empty(0, np.int64)
-        rare_c = np.array([x for cs in right["cs"].to_pylist() for x in cs], np.int64) if len(right) else np.empty(0, np.int64)
-        keys = np.concatenate([rare, np.array(list(common), np.int64)])
-        c_of = np.concatenate([rare_c, np.array(list(common.values()), np.int64)])
-        keys, first = np.unique(keys, return_index=True)
-        c_of = c_of[first]
+        columns = ("a", "b", "c", "arcs")
+        model = Automaton({n: right[n].to_numpy() if len(right) else np.empty(0, np.int64) for n in columns}, *shared.value)
         out: dict[str, list] = {f.name: [] for f in arrow}
         scale = np.log10(total + 1) + np.log10(distinct + 1)
         table = zip(left["id"].to_pylist(), left["text"].to_pylist(), left["trains"].to_pylist(), strict=True)
@@ -214,15 +219,11 @@ def score_corpus(docs: DataFrame, folds: int = 7, held: int = 2, states: int = S
             texts = [token_keys(r[1]) for r in part]
             lens = np.array([len(x) for x in texts])
             starts = np.cumsum(lens) - lens
-            token = np.concatenate(texts)
-            at = np.minimum(np.searchsorted(keys, token), max(0, len(keys) - 1))
-            c = np.where(keys[at] == token, c_of[at], 0) if len(keys) else np.zeros(len(token), np.int64)
-            cls = model.classes(token)
-            steps = model.traverse(cls, starts) + np.where(cls == 0, model.spelled(c), 0)
+            steps, c = model.traverse(np.concatenate(texts), starts)
             values = ([r[0] for r in part], [not r[2] for r in part], lens.tolist(), np.add.reduceat((c > 0).astype(np.int64), starts).tolist(),
                       [total] * len(part), np.add.reduceat(np.log10(c + 1) - scale, starts).tolist(), np.add.reduceat(steps, starts).tolist())
             for name, v in zip(out, values, strict=True):
                 out[name] += v
         return pa.table(out, arrow)
 
-    return (rows.select("id", "text", "trains", "chunk").groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInArrow(run, schema))
+    return (rows.select("id", "text", "trains", "chunk").groupBy("chunk").cogroup(reached.groupBy("chunk")).applyInArrow(run, schema))

@@ -280,6 +280,14 @@ def test_lm_without_training_rows(spark):
     assert (r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) == (3, 0, 0, 0.0)
 
 
+def test_lm_states_grow_with_the_corpus(spark, texts, odd):
+    rows = QUERIES["op9_lm_scoring"](spark, SF).collect()
+    check_lm(rows, list(texts.items()), None)    # every training word is a state
+    held = [r for r in rows if r["held_out"]]
+    assert sum(r["score"] for r in held) > 0.8 * sum(r["base_score"] for r in held)
+    check_lm(score_corpus(odd).collect(), ODD, None)
+
+
 # -- pages --------------------------------------------------------------------------------------------------------
 
 def brute_article(html):
