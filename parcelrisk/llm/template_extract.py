@@ -1,10 +1,12 @@
 """Main text of web pages by equivalence-class template deduction.
 
-A page's block elements are its tokens, each named by its path of tags with their class and id. Over the pages of
-a host, tokens that occur equally often on every page share an occurrence vector and form an equivalence class.
-Classes on most pages, once on each, are valid: nested by their paths they are the host's template. Every text
-lies in the slot of its innermost template token. Slots are told apart by what fills them on all pages of the host,
-by their elements' names and by their share of link text, and the article's slots are read out of each page.
+A page's tokens are its block elements, each named by its path of tags with their class and id, and the texts that
+stand in them, each named by its words and its element's path. Over the pages of a host, tokens that occur equally
+often on every page share an occurrence vector and form an equivalence class. Classes on most pages, once on each and
+in one order, are valid: nested by their paths they are the host's template. Every text lies in the slot of its
+innermost template token, or is a template token and no main text. Slots are told apart by what fills them on all
+pages of the host, by their elements' names and by their share of link text, and the article's slots are read out of
+each page.
 
 Occurrence vectors are compared through an order-free sum of hashes of (page, count), so they are aggregated per
 task before the shuffle, however many pages a host has. What is gathered per host are tokens on half of its
@@ -21,10 +23,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelrisk.llm.common import map_rows, text_or_empty, type_of
+from parcelrisk.llm.common import map_rows, stored, text_or_empty, type_of
 
 SMALL_HOSTS = 20_000       # as many templates are broadcast; more of them are joined by a shuffle
 COMMON = 0.5               # share of a host's pages that a template token is on
+ORDERED = 0.9              # share of its pages on which the tokens of a class come in one order
+TEXT_PAGES = 3             # pages of different content that a constant text is on at least; a repeated page has no template
 LINK_SHARE = 0.6           # of a slot's text; a menu has more
 
 _TAG = re.compile(r"<(?:!--(?:.*?-->|.*$)|(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(>|$)|[!?/][^>]*(?:>|$))", re.S)
@@ -125,30 +129,76 @@ def read_blocks(html: str) -> Iterator[tuple[str, Element | None, str, bool]]:
             yield "break", path[-1], "", False
 
 
-def page_tokens(html: str) -> list[tuple[Element, list[int]]]:
-    """Each token with its count, and the text and link text in it that lies in no inner token."""
-    out: dict[int, tuple[Element, list[int]]] = {}
-    for kind, e, text, linked in read_blocks(html):
-        if e is not None and kind != "break":
-            cell = out.setdefault(e.key, (e, [0, 0, 0]))[1]
-            n = len(text.strip())
-            cell[0] += kind == "open"
-            cell[1] += n
-            cell[2] += n * linked
-    return list(out.values())
+TEXT = "#text"               # the tag of a text's token
+
 
+def read_units(html: str) -> Iterator[tuple[Element | None, int | None, list[tuple[str, bool]]]]:
+    """(element, its key, []) for each block element, and (innermost element, key, [(piece, in a link)]) for each text between
+    blocks; the key is None if there are no words. Line breaks are spaces."""
+    owner: Element | None = None
+    pieces: list[tuple[str, bool]] = []
 
-def deduce_template(tokens: list[dict], size: int) -> dict[int, bool]:
-    """For each template token of a host whether its slot is main text.
+    def run() -> tuple[Element | None, int | None, list[tuple[str, bool]]]:
+        words = " ".join(unescape("".join(t for t, _ in pieces)).split())
+        return owner, xxhash.xxh64_intdigest(f"{TEXT} {words}".encode("utf-8", "surrogatepass"), owner.key if owner else 0) >> 1 if words else None, pieces
+
+    for kind, e, text, linked in read_blocks(html):
+        if kind == "break":
+            pieces.append((" ", False))
+            continue
+        if pieces and (kind == "open" or e is not owner):
+            yield run()
+            pieces = []
+        owner = e
+        if kind == "open":
+            yield e, e.key, []
+        else:
+            pieces.append((text, linked))
+    if pieces:
+        yield run()
+
+
+def page_tokens(html: str) -> list[tuple]:
+    """(key, parent, tag, boiler, depth, n, text, linked) of each token: its count, and an element's text and link text that
+    lies in no inner element."""
+    out: dict[int, list] = {}
+    for e, key, pieces in read_units(html):
+        if e is not None:
+            cell = out.setdefault(e.key, [e.key, e.parent.key if e.parent else -1, e.tag, e.boiler, e.depth, 0, 0, 0])
+            cell[5] += not pieces
+            for text, linked in pieces:
+                n = len(text.strip())
+                cell[6] += n
+                cell[7] += n * linked
+        if pieces and key is not None:
+            place = (e.key, e.boiler, e.depth + 1) if e else (-1, False, 0)
+            out.setdefault(key, [key, place[0], TEXT, place[1], place[2], 0, 0, 0])[5] += 1
+    return list(map(tuple, out.values()))
+
+
+def class_orders(html: str, vectors: dict[int, int]) -> dict[int, int]:
+    """For each class that the page has, a hash of its tokens in the page's order; ``vectors`` has the tokens' classes."""
+    out: dict[int, int] = {}
+    for _, key, _ in read_units(html):
+        if key in vectors:
+            out[vectors[key]] = xxhash.xxh64_intdigest(key.to_bytes(8, "little"), out.get(vectors[key], 0)) >> 1
+    return out
+
+
+def deduce_template(tokens: list[dict], size: int, unordered: set[int] = frozenset()) -> dict[int, bool]:
+    """For each template token of a host whether its slot is main text; a constant text is none.
 
     ``tokens`` have key, parent (-1 for none), tag, boiler, depth, vector, pages, n, text and linked; those on fewer
     than a share of the host's ``size`` pages are left out, so an element's parent is there if the element is.
+    ``unordered`` are the vectors of classes whose tokens come in no one order.
     """
     classes: dict[int, list[dict]] = {}
     for t in tokens:
         classes.setdefault(t["vector"], []).append(t)
-    of = {t["key"]: t for t in tokens}
-    names = {t["key"] for c in classes.values() for t in c if t["pages"] >= COMMON * size and t["n"] == t["pages"]}
+    valid = [t for v, c in classes.items() if v not in unordered for t in c if t["pages"] >= COMMON * size and t["n"] == t["pages"]]
+    constant = {t["key"] for t in valid if t["tag"] == TEXT}
+    of = {t["key"]: t for t in tokens if t["tag"] != TEXT}
+    names = {t["key"] for t in valid if t["tag"] != TEXT}
     outer_first = sorted(of, key=lambda k: (of[k]["depth"], k))
     slot: dict[int, int] = {-1: -1}   # the innermost template token that a token lies in
     filled = {k: [0, 0] for k in names}
@@ -168,14 +218,14 @@ def deduce_template(tokens: list[dict], size: int) -> dict[int, bool]:
     articles = bool(pool)
     pool = pool or [k for k in nested if of[k]["tag"] not in ("html", "body") and not of[k]["boiler"]] or nested
     if not pool:
-        return {}
+        return dict.fromkeys(constant, False)
     most = max(under[k] for k in pool)
     root = next(k for k in pool if under[k] == most) if articles else [k for k in pool if under[k] >= 0.9 * most][-1]
     below: set[int] = set()
     for k in nested:
         if k == root or slot.get(of[k]["parent"], -1) in below:
             below.add(k)
-    return {k: k in good and k in below for k in names}
+    return {k: k in good and k in below for k in names} | dict.fromkeys(constant, False)
 
 
 def main_text(html: str, template: dict[int, bool]) -> str:
@@ -197,16 +247,14 @@ def main_text(html: str, template: dict[int, bool]) -> str:
         if main is None:  # outside of the template, or a page unlike its host's others: by the elements' names
             if by_names is None:
                 by_names = re.search(r"<(article|main)\b", html, re.I) is not None
-            main = not by_names or bool(above and above[0].inside)
+            return (not by_names or bool(above and above[0].inside)) and not (above and above[0].boiler)
         for x in reversed(above):
             main = known[x.key] = main and not x.boiler
         return main
 
-    for kind, e, text, _ in read_blocks(html):
-        if kind == "break":
-            out.append(" ")
-        elif kind == "text" and wanted(e):
-            out.append(text)
+    for e, key, pieces in read_units(html):
+        main = key is not None and bool(pieces) and key not in template and wanted(e)   # a text in the template is constant
+        out += [text for text, _ in pieces] if main else " "
     return " ".join(unescape("".join(out)).split())
 
 
@@ -221,12 +269,12 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), host.alias("host"), text_or_empty(F.col(html_col)).alias("html"))
 
     def tokens(it: Iterator[tuple]) -> Iterator[dict]:
-        names = ("host", "page", "key", "parent", "tag", "boiler", "depth", "n", "text", "linked")
+        names = ("host", "page", "content", "key", "parent", "tag", "boiler", "depth", "n", "text", "linked")
         out: dict[str, list] = {n: [] for n in names}
         for page, host_name, html in it:
-            for e, (n, text, linked) in page_tokens(html):
-                values = (host_name, page, e.key, e.parent.key if e.parent else -1, e.tag, e.boiler, e.depth, n, text, linked)
-                for name, v in zip(names, values, strict=True):
+            content = 1 << xxhash.xxh64_intdigest(html.encode("utf-8", "surrogatepass")) % 63
+            for token in page_tokens(html):
+                for name, v in zip(names, (host_name, page, content, *token), strict=True):
                     out[name].append(v)
             if len(out["n"]) > 20_000:
                 yield out
@@ -235,22 +283,41 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
 
     kind = type_of(rows, "id")
     seen = map_rows(rows.select("id", "host", "html"), tokens,
-                    f"host string, page {kind}, key long, parent long, tag string, boiler boolean, depth int, n long, text long, linked long")
+                    f"host string, page {kind}, content long, key long, parent long, tag string, boiler boolean, depth int, n long, text long, linked long")
     own = ["key", "parent", "tag", "boiler", "depth"]
     vectors = seen.groupBy("host", *own).agg(
         F.sum(F.pmod(F.xxhash64("page", "n"), F.lit(1 << 40))).alias("vector"), F.count("*").alias("pages"),
-        F.sum("n").alias("n"), F.sum("text").alias("text"), F.sum("linked").alias("linked"))
+        F.bit_count(F.bit_or("content")).alias("contents"), F.sum("n").alias("n"), F.sum("text").alias("text"), F.sum("linked").alias("linked"))
     sizes = rows.groupBy("host").agg(F.count("*").alias("size"))
-    templates = (vectors.join(sizes, "host").filter(F.col("pages") >= COMMON * F.col("size"))
-                 .groupBy("host", "size").agg(F.collect_list(F.struct(*own, "vector", "pages", "n", "text", "linked")).alias("tokens")))
+    common = (F.col("pages") >= COMMON * F.col("size")) & ((F.col("tag") != TEXT) | (F.col("contents") >= TEXT_PAGES))
+    hosts = stored(vectors.join(sizes, "host").filter(common)
+                   .groupBy("host", "size").agg(F.collect_list(F.struct(*own, "vector", "pages", "n", "text", "linked")).alias("tokens")), "tokens")
+    few = sizes.count() <= SMALL_HOSTS
+
+    def orders(it: Iterator[tuple]) -> Iterator[dict]:
+        known: dict[str, dict[int, int]] = {}
+        for host_name, html, keys, of in it:
+            if host_name not in known:
+                if len(known) > 1000:
+                    known.clear()
+                known[host_name] = dict(zip(keys, of, strict=True))
+            found = class_orders(html, known[host_name])
+            yield {"host": [host_name] * len(found), "vector": list(found), "order": list(found.values())}
+
+    once = F.filter("tokens", lambda t: t["n"] == t["pages"])
+    classes = hosts.select("host", once["key"].alias("keys"), once["vector"].alias("of"))
+    ordered = map_rows(rows.join(F.broadcast(classes) if few else classes, "host").select("host", "html", "keys", "of"), orders,
+                       "host string, vector long, order long").groupBy("host", "vector", "order").agg(F.count("*").alias("n"))
+    unordered = (ordered.groupBy("host", "vector").agg(F.max("n").alias("most"), F.sum("n").alias("all"))
+                 .filter(F.col("most") < ORDERED * F.col("all")).groupBy("host").agg(F.collect_list("vector").alias("unordered")))
 
     def deduce(it: Iterator[tuple]) -> Iterator[dict]:
-        for host_name, size, found in it:
-            template = deduce_template(found, size)
+        for host_name, size, found, bad in it:
+            template = deduce_template(found, size, set(bad or ()))
             yield {"host": [host_name], "keys": [list(template)], "main": [list(template.values())]}
 
-    templates = map_rows(templates, deduce, "host string, keys array<long>, main array<boolean>")
-    few = sizes.count() <= SMALL_HOSTS
+    templates = map_rows(hosts.join(unordered, "host", "left").select("host", "size", "tokens", "unordered"), deduce,
+                         "host string, keys array<long>, main array<boolean>")
     joined = rows.join(F.broadcast(templates) if few else templates, "host", "left")
 
     def extract(it: Iterator[tuple]) -> Iterator[dict]:

@@ -12,6 +12,7 @@ import xxhash
 from parcelrisk.llm import langid, quality_llr, template_extract, toxicity
 from parcelrisk.llm.lm_automaton import score_corpus
 from parcelrisk.llm.queries import QUERIES
+from parcelrisk.llm.template_extract import page_tokens
 
 from .conftest import ODD, SF
 
@@ -340,3 +341,34 @@ def test_classes_share_vectors():
               (4, 2, "p", False, 2, 8, 10, 31, 900, 0), (5, 1, "div", False, 1, 9, 6, 6, 500, 0)]
     template = template_extract.deduce_template([dict(zip(names, t, strict=True)) for t in tokens], 10)
     assert template == {1: False, 2: True, 3: False, 5: False}
+
+
+def test_constant_text_of_an_article_goes():
+    page = "<body><article><p>Sign up for our letter<div>Part {0} has<br>our words</div><p>All rights reserved</p></article></body>"
+    pages = [page.format(i) for i in range(10)]
+    names = ("key", "parent", "tag", "boiler", "depth", "n", "text", "linked")
+    counted = {}
+    for html in pages:
+        for token in page_tokens(html):
+            t = counted.setdefault(token[0], dict(zip(names, (*token[:5], 0, 0, 0), strict=True)) | {"pages": 0})
+            t["pages"] += 1
+            for name, v in zip(names[5:], token[5:], strict=True):
+                t[name] += v
+    tokens = [t | {"vector": t["pages"]} for t in counted.values() if t["pages"] >= 5]
+    assert [template_extract.main_text(p, template_extract.deduce_template(tokens, 10)) for p in pages] == [f"Part {i} has our words" for i in range(10)]
+    # without one order, the tokens are no template and the texts stay
+    kept = template_extract.main_text(pages[3], template_extract.deduce_template(tokens, 10, {10}))
+    assert kept == "Sign up for our letter Part 3 has our words All rights reserved"
+
+
+def test_constant_text_and_order_over_hosts(spark):
+    one, two = "<p class=x>Notice one</p>", "<div class=y>Notice two</div>"
+    page = "<html><body><article>{1}<h1>Head {0}</h1>{2}<p>Words {0}</p></article></body></html>"
+    rows = [(i, f"http://same.example/{i}", page.format(i, one, two)) for i in range(8)]
+    rows += [(100 + i, f"http://mixed.example/{i}", page.format(i, *((one, two) if i % 2 else (two, one)))) for i in range(8)]
+    rows += [(200, "http://again.example/", page.format(0, one, two))] * 8
+    got = template_extract.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got if r["page_id"] < 100} == {i: f"Head {i} Words {i}" for i in range(8)}
+    for r in got:
+        if r["page_id"] >= 100:
+            assert "Notice one" in r["text"] and "Notice two" in r["text"]
