@@ -24,15 +24,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelrisk.llm.common import blocks, fold, map_rows, mix64, text_or_empty, type_of
+from parcelrisk.llm.common import blocks, fold, map_rows, mix64, stored, text_or_empty, type_of
 
 DECAY = 0.6
 SPAN = 5                     # characters that a subsequence may extend over
 SLOTS = 1 << 20              # subsequences are told apart by their hash
 LANDMARKS = 200
 EVIDENCE = 10.0              # log-likelihood ratio of a landmark at least; chance gives few strings as much
-TRAIN_TEXTS = 5000           # labelled documents learnt from at most, half of each label; bounds what the driver gets
-TRAIN_CHARS = {0: 4000, 1: 20_000}   # of the text of one such document, by label
+TRAIN_TEXTS = 5000           # labelled documents learnt from at most, half of each label; their whole texts
 CLEAN_STRINGS = 40_000       # of clean documents, fitted at once; which ones, all of them decide
 HARD_ROUNDS, NEWTON_STEPS, PENALTY = 2, 25, 1e-4
 KNOWN_STRINGS = 400_000      # scores kept per worker
@@ -172,12 +171,118 @@ def fit_machine(x: np.ndarray, y: np.ndarray, cost: np.ndarray) -> np.ndarray:
     return v
 
 
-def train_toxicity(pairs: list[tuple[str, int]], seed: int = 5) -> StringKernelMachine | None:
-    """The machine for (text, label) pairs; None unless both labels occur and some string goes with label 1."""
+def bag_of(text: str) -> set[str]:
+    return {p for s in _SENTENCE.split(text) for w in strings_of(s) for p in parts_of(w)}
+
+
+def _crc(word: str) -> int:
+    return zlib.crc32(word.encode("utf-8", "surrogatepass"))
+
+
+class LocalTexts:
+    """What is learnt from (text, label) pairs at hand."""
+
+    def __init__(self, pairs: list[tuple[str, int]]):
+        self.pairs = pairs
+        bags = {y: [bag_of(t) for t, label in pairs if label == y] for y in (0, 1)}
+        self.toxic, self.clean = [ws for ws in bags[1] if ws], bags[0]
+        self.counts = Counter(w for ws in self.clean for w in ws)
+        self.every = sorted(self.counts, key=lambda w: (_crc(w), w))
+
+    def landmarks(self) -> list[str]:
+        return choose_landmarks(self.toxic, self.clean) if self.toxic and self.clean else []
+
+    def witnesses(self, marked: list[str]) -> dict[str, int]:
+        """In how many toxic documents each string is."""
+        return Counter(w for ws in self.toxic for w in ws & set(marked))
+
+    def clean_among(self, strings: list[str]) -> set[str]:
+        return {w for w in strings if w in self.counts}
+
+    def first_clean(self, n: int) -> list[tuple[str, int]]:
+        """Some strings of clean documents, in how many each is."""
+        return [(w, self.counts[w]) for w in self.every[:n]]
+
+    def nearest_clean(self, model: StringKernelMachine, n: int) -> list[tuple[str, int]]:
+        """Those of the largest values, of all strings."""
+        value = np.concatenate([model.values_of(self.every[i:i + 10_000]) for i in range(0, len(self.every), 10_000)])
+        return [(self.every[i], self.counts[self.every[i]]) for i in np.sort(np.argsort(-value, kind="stable")[:n])]
+
+    def best_of_all(self, model: StringKernelMachine) -> tuple[np.ndarray, np.ndarray]:
+        """The value of each document's whole text, and the labels."""
+        return model.best_of_texts([t for t, _ in self.pairs]), np.array([label for _, label in self.pairs])
+
+
+class SparkTexts:
+    """The same from a frame (text, label): strings are counted over whole texts, and only a bounded number of them and one
+    value of each document come to the driver."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows = rows
+
+        def run(it: Iterator[tuple]) -> Iterator[dict]:
+            for text, label in it:
+                ws = sorted(bag_of(text)) or [None]     # a document without strings is counted too
+                crcs = [_crc(w or "") for w in ws]
+                small = sorted(crcs)[:2]
+                for i in range(0, len(ws), 100_000):
+                    some = ws[i:i + 100_000]
+                    yield {"label": [label] * len(some), "near": [small[0] << 31 ^ small[-1]] * len(some), "w": some,
+                           "crc": crcs[i:i + 100_000], "head": [i + k == 0 for k in range(len(some))]}
+
+        strings = stored(map_rows(rows, run, "label int, near long, w string, crc long, head boolean"), "toxic-strings")
+        toxic, clean = F.col("label") == 1, F.col("label") == 0
+        sizes = strings.filter("head").agg(F.count(F.when(toxic & F.col("w").isNotNull(), 1)), F.count(F.when(clean, 1))).first()
+        self.toxic, self.clean = (int(x) for x in sizes)
+        near = strings.filter("w is not null").groupBy("w", "crc", "label", "near").agg(F.count("*").alias("c"))
+        self.counts = stored(near.groupBy("w", "crc").agg(
+            F.sum(F.when(toxic, F.col("c")).otherwise(0)).alias("in_toxic"), F.sum(F.when(clean, F.col("c")).otherwise(0)).alias("in_clean"),
+            F.count(F.when(toxic, 1)).alias("n"), F.count(F.when(clean, 1)).alias("m")), "toxic-counts")
+
+    def landmarks(self) -> list[str]:
+        """As choose_landmarks has them."""
+        e = (F.col("m") + 1) * self.toxic / max(1, self.clean)
+        ratio = F.col("n") * F.log(F.col("n") / F.col("e")) - (F.col("n") - F.col("e"))
+        found = self.counts.filter("n > 0").withColumn("e", e).filter("n > 2 * e").withColumn("ratio", ratio).filter(F.col("ratio") > EVIDENCE)
+        return [r["w"] for r in found.orderBy(F.desc("ratio"), "w").limit(LANDMARKS).collect()] if self.toxic and self.clean else []
+
+    def witnesses(self, marked: list[str]) -> dict[str, int]:
+        return {r["w"]: r["in_toxic"] for r in self.counts.filter(F.col("w").isin(marked)).collect() if r["in_toxic"]}
+
+    def clean_among(self, strings: list[str]) -> set[str]:
+        return {r["w"] for r in self.counts.filter(F.col("w").isin(strings) & (F.col("in_clean") > 0)).collect()}
+
+    def first_clean(self, n: int) -> list[tuple[str, int]]:
+        return [(r["w"], r["in_clean"]) for r in self.counts.filter("in_clean > 0").orderBy("crc", "w").limit(n).collect()]
+
+    def nearest_clean(self, model: StringKernelMachine, n: int) -> list[tuple[str, int]]:
+        machine = self.rows.sparkSession.sparkContext.broadcast(model)
+
+        def run(it: Iterator[tuple]) -> Iterator[dict]:
+            for part in blocks(it, lambda r: 1, 10_000):
+                w, crc, c = (list(x) for x in zip(*part, strict=True))
+                yield {"w": w, "crc": crc, "c": c, "value": machine.value.values_of(w)}
+
+        found = map_rows(self.counts.filter("in_clean > 0").select("w", "crc", "in_clean"), run, "w string, crc long, c long, value double")
+        best = found.orderBy(F.desc("value"), "crc", "w").limit(n).collect()
+        return [(r["w"], r["c"]) for r in sorted(best, key=lambda r: (r["crc"], r["w"]))]
+
+    def best_of_all(self, model: StringKernelMachine) -> tuple[np.ndarray, np.ndarray]:
+        machine = self.rows.sparkSession.sparkContext.broadcast(model)
+
+        def run(it: Iterator[tuple]) -> Iterator[dict]:
+            for part in blocks(it, lambda r: len(r[0]), 2_000_000):
+                yield {"value": machine.value.best_of_texts([r[0] for r in part]), "label": [r[1] for r in part]}
+
+        found = sorted((r["value"], r["label"]) for r in map_rows(self.rows, run, "value double, label int").collect())
+        return np.array([v for v, _ in found]), np.array([y for _, y in found])
+
+
+def train_toxicity(pairs: list[tuple[str, int]] | DataFrame, seed: int = 5) -> StringKernelMachine | None:
+    """The machine for (text, label) pairs, or a frame of them; None unless both labels occur and some string goes with label 1."""
     rng = np.random.default_rng(seed)
-    bags = {y: [{p for s in _SENTENCE.split(t) for w in strings_of(s) for p in parts_of(w)} for t, label in pairs if label == y] for y in (0, 1)}
-    toxic, clean = [ws for ws in bags[1] if ws], bags[0]
-    landmarks = choose_landmarks(toxic, clean) if toxic and clean else []
+    texts = SparkTexts(pairs) if isinstance(pairs, DataFrame) else LocalTexts(pairs)
+    landmarks = texts.landmarks()
     if not landmarks:
         return None
     slots, phi = explicit(landmarks)
@@ -198,37 +303,34 @@ def train_toxicity(pairs: list[tuple[str, int]], seed: int = 5) -> StringKernelM
             out.append(x @ phi.T @ root)
         return np.concatenate(out)
 
-    clean_counts = Counter(w for ws in clean for w in ws)
-    marked = set(landmarks)
-    witnesses = Counter(w for ws in toxic for w in ws & marked)  # what makes its documents toxic
+    witnesses = texts.witnesses(landmarks)   # what makes its documents toxic
+    inserted = {w: with_insertions(w, rng) for w in sorted(witnesses)}
+    known = texts.clean_among([x for xs in inserted.values() for x in xs])
     strings, cost = [], []
     for w, n in sorted(witnesses.items()):
-        for x, share in ((w, 1.0), *((x, 0.1) for x in with_insertions(w, rng) if x not in clean_counts)):
+        for x, share in ((w, 1.0), *((x, 0.1) for x in inserted[w] if x not in known)):
             strings.append(x)
             cost.append(share * np.sqrt(n))
     positive = features(strings)
 
-    def fitted(negatives: list[str]) -> StringKernelMachine:
+    def fitted(clean: list[tuple[str, int]]) -> StringKernelMachine:
+        negatives, counts = [w for w, _ in clean], [c for _, c in clean]
         x = np.concatenate([positive, features(negatives)])
         y = np.concatenate([np.ones(len(strings)), -np.ones(len(negatives))])
-        machine = fit_machine(x, y, np.concatenate([np.array(cost), [0.3 * np.sqrt(clean_counts[w]) for w in negatives]]))
+        machine = fit_machine(x, y, np.concatenate([np.array(cost), 0.3 * np.sqrt(counts)]))
         weights = np.zeros(SLOTS)
         weights[slots] = phi.T @ (root @ machine[:-1])
         return StringKernelMachine(weights, float(machine[-1]))
 
-    every = sorted(clean_counts, key=lambda w: (zlib.crc32(w.encode()), w))
-    model = fitted(every[:CLEAN_STRINGS])
+    model = fitted(texts.first_clean(CLEAN_STRINGS))
     for _ in range(HARD_ROUNDS):  # then the clean strings that come nearest, of all of them
-        value = np.concatenate([model.values_of(every[i:i + 10_000]) for i in range(0, len(every), 10_000)])
-        hard = [every[i] for i in np.sort(np.argsort(-value, kind="stable")[:CLEAN_STRINGS])]
-        model = fitted(hard)
-    _calibrate(model, [t for t, _ in pairs], np.array([label for _, label in pairs]))
+        model = fitted(texts.nearest_clean(model, CLEAN_STRINGS))
+    _calibrate(model, *texts.best_of_all(model))
     return model
 
 
-def _calibrate(model: StringKernelMachine, texts: list[str], labels: np.ndarray) -> None:
+def _calibrate(model: StringKernelMachine, s: np.ndarray, labels: np.ndarray) -> None:
     """A logistic curve through the training documents' values; a clean document's share weighs five times a toxic one's."""
-    s = model.best_of_texts(texts)
     model._known.clear()
     w = np.where(labels == 1, 1 / max(1, (labels == 1).sum()), 5 / max(1, (labels == 0).sum()))
     order = np.argsort(s, kind="stable")
@@ -240,20 +342,17 @@ def _calibrate(model: StringKernelMachine, texts: list[str], labels: np.ndarray)
     model.centre = float(cut - np.log(0.7 / 0.3) / model.steep)  # 0.7 at the best cut
 
 
-def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> list[tuple[str, int]]:
-    """At most TRAIN_TEXTS (text part, label) pairs, chosen by a hash."""
+def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
+    """(text, label) of at most TRAIN_TEXTS labelled documents, chosen by a hash, with all of their text."""
     marks = labels.select(F.col(id_col), F.col(label_col).cast("int").alias("_y")).filter(F.col("_y").isin(0, 1)).distinct()
     counts = {r["_y"]: r["count"] for r in marks.groupBy("_y").count().collect()}
     if not counts:
-        return []
+        return docs.sparkSession.createDataFrame([], "text string, label int")
     share = F.element_at(F.create_map(*[F.lit(x) for y, n in counts.items() for x in (y, min(1.0, TRAIN_TEXTS / 2 / n))]), F.col("_y"))
     h = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1_000_000))
     picked = marks.withColumn("_h", h).filter(F.col("_h") < share * 1_000_000).orderBy("_h", "_y", id_col).limit(2 * TRAIN_TEXTS)
-    rows = (docs.select(id_col, text_col).filter(F.col(text_col).isNotNull()).join(F.broadcast(picked), id_col)  # bounded by the limit
-            .orderBy("_h", "_y", id_col, text_col).limit(2 * TRAIN_TEXTS))
-    length = F.when(F.col("_y") == 1, TRAIN_CHARS[1]).otherwise(TRAIN_CHARS[0])
-    start = F.pmod(F.xxhash64("_h"), F.greatest(F.length(text_col) - length, F.lit(0)) + 1) + 1
-    return [(r["t"], r["_y"]) for r in rows.select(F.substring(F.col(text_col), start.cast("int"), length).alias("t"), "_y").collect()]
+    rows = docs.select(id_col, text_col).filter(F.col(text_col).isNotNull()).join(F.broadcast(picked), id_col)  # bounded by the limit
+    return stored(rows.select(F.col(text_col).cast("string").alias("text"), F.col("_y").alias("label")), "toxic-texts")
 
 
 def score_toxicity(docs: DataFrame, model: StringKernelMachine | None, id_col: str = "doc_id", text_col: str = "text",

@@ -166,6 +166,24 @@ def test_toxicity_odd(odd, nothing):
     assert toxicity.train_toxicity([]) is None and toxicity.train_toxicity([("a b", 0)]) is None
 
 
+def test_toxicity_learns_from_whole_texts(spark):
+    pairs = toy_pairs()
+    filler = " ".join(t for t, y in pairs if not y)[:30_000]
+    pairs += [(f"{filler} zorgle", 1) for _ in range(40)]      # evidence only at the end of a long text
+    pairs += [(f"{filler} frabjin", 0) for _ in range(40)]
+    docs = spark.createDataFrame([(i, f"{t} x{'abcdefgh'[i % 8]}{'klmnopqr'[i // 8 % 8]}{'stuvwxyz'[i // 64]}q") for i, (t, _) in enumerate(pairs)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(pairs)], "doc_id long, toxic int")
+    texts = toxicity.labelled_texts(docs, labels, "doc_id", "text", "toxic")
+    whole, kept = {r["text"] for r in docs.collect()}, texts.collect()
+    assert {r["text"] for r in kept} <= whole and len(kept) == len(pairs)
+    shared, local = toxicity.SparkTexts(texts), toxicity.LocalTexts([(r["text"], r["label"]) for r in kept])
+    assert shared.landmarks() == local.landmarks() != []
+    assert dict(shared.first_clean(10**6)) == local.counts and "^frabjin$" in local.counts
+    model = toxicity.train_toxicity(texts)
+    for mine, theirs in zip(shared.best_of_all(model), local.best_of_all(model), strict=True):
+        assert np.allclose(np.sort(mine), np.sort(theirs))
+
+
 # -- language -----------------------------------------------------------------------------------------------------
 
 def test_language_on_held_out_rows(spark):
