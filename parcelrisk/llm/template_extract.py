@@ -46,6 +46,8 @@ _BOILER_NAMES = frozenset(
     "navigation newsletter notice notices notification overlay pagination pager popup promo promotion recommended related replies reply "
     "respond responses search share sharing sidebar signup skip social sponsor sponsored subscribe subscription tags toolbar topbar "
     "widget widgets".split())
+_READERS = frozenset("comment comments commentlist discussion disqus replies reply respond responses".split())   # differ from page to page
+_STRUCTURED = frozenset("template noscript svg math object select".split())   # of _RAW, those whose content is tags
 _ARTICLE = frozenset(["article", "main"])
 _P = frozenset(["p"])
 _NAME_PART = re.compile(r"[a-z]+")
@@ -54,21 +56,43 @@ _NAME_PART = re.compile(r"[a-z]+")
 class Element:
     """An open block element. Its token is the hash of its path, so that no path is ever spelled out."""
 
-    __slots__ = ("boiler", "depth", "inside", "key", "parent", "step", "tag")
+    __slots__ = ("boiler", "depth", "inside", "key", "parent", "soft", "step", "tag")
 
     def __init__(self, parent: Element | None, tag: str, names: list[str]):
         self.parent, self.tag, self.step = parent, tag, ".".join([tag, *names])
         self.depth = parent.depth + 1 if parent else 0
         self.key = xxhash.xxh64_intdigest(self.step, parent.key if parent else 0) >> 1
         self.inside = tag in _ARTICLE or bool(parent and parent.inside)   # of an article
-        self.boiler = bool(parent and parent.boiler) or is_boiler(tag, names, bool(parent and parent.inside))
+        sure, named = is_boiler(tag, names, bool(parent and parent.inside))
+        self.boiler = bool(parent and parent.boiler) or sure or named
+        self.soft = self.boiler and not sure and (parent is None or not parent.boiler or parent.soft)   # by names alone
 
 
-def is_boiler(tag: str, names: list[str], inside: bool) -> bool:
-    """Whether an element by its tag, class and id holds no main text; a header within an article may."""
+def is_boiler(tag: str, names: list[str], inside: bool) -> tuple[bool, bool]:
+    """Whether an element surely holds no main text, by its tag or as readers' words, and whether its class or id says so; a
+    header within an article may."""
     if tag in _BOILER_TAGS or (tag == "header" and not inside):
-        return True
-    return tag not in _ARTICLE and tag not in ("body", "html") and any(p in _BOILER_NAMES for n in names for p in _NAME_PART.findall(n))
+        return True, False
+    if tag in _ARTICLE or tag in ("body", "html"):
+        return False, False
+    parts = {p for n in names for p in _NAME_PART.findall(n)}
+    return not parts.isdisjoint(_READERS), not parts.isdisjoint(_BOILER_NAMES)
+
+
+def raw_end(html: str, at: int, tag: str, path: list[Element]) -> int:
+    """Where an element without main text ends whose start tag ends at ``at``: at its end tag or, if that is missing or comes
+    later, at the end of the element around it; a script without one goes to the page's end."""
+    m = re.compile(rf"</{tag}\b[^>]*(?:>|$)", re.I).search(html, at)
+    if m and tag not in _STRUCTURED:
+        return m.end()
+    outer = next((e.tag for e in reversed(path) if e.tag in _SCOPE), None)
+    if outer and tag not in ("script", "style"):
+        depth = 1
+        for x in re.compile(rf"<(/?){outer}\b", re.I).finditer(html, at, m.start() if m else len(html)):
+            depth += -1 if x[1] else 1
+            if not depth:
+                return x.start()
+    return m.end() if m else len(html)
 
 
 def read_blocks(html: str) -> Iterator[tuple[str, Element | None, str, bool]]:
@@ -108,9 +132,9 @@ def read_blocks(html: str) -> Iterator[tuple[str, Element | None, str, bool]]:
                 links = 0 if tag in _SCOPE else links
                 yield "break", inner(), "", False
         elif tag in _RAW:
-            end = re.compile(rf"</{tag}\b[^>]*(?:>|$)", re.I).search(html, at)
             yield "break", inner(), "", False
-            at = end.end() if end else size
+            if tag not in ("svg", "math") or not m[3].endswith("/"):
+                at = raw_end(html, at, tag, path)
         elif tag == "a":
             links += 1
         elif tag in _VOID:
@@ -159,12 +183,12 @@ def read_units(html: str) -> Iterator[tuple[Element | None, int | None, list[tup
 
 
 def page_tokens(html: str) -> list[tuple]:
-    """(key, parent, tag, boiler, depth, n, text, linked) of each token: its count, and an element's text and link text that
+    """(key, parent, tag, boiler, depth, n, text, linked, soft) of each token: its count, and an element's text and link text that
     lies in no inner element."""
     out: dict[int, list] = {}
     for e, key, pieces in read_units(html):
         if e is not None:
-            cell = out.setdefault(e.key, [e.key, e.parent.key if e.parent else -1, e.tag, e.boiler, e.depth, 0, 0, 0])
+            cell = out.setdefault(e.key, [e.key, e.parent.key if e.parent else -1, e.tag, e.boiler, e.depth, 0, 0, 0, e.soft])
             cell[5] += not pieces
             for text, linked in pieces:
                 n = len(text.strip())
@@ -172,7 +196,7 @@ def page_tokens(html: str) -> list[tuple]:
                 cell[7] += n * linked
         if pieces and key is not None:
             place = (e.key, e.boiler, e.depth + 1) if e else (-1, False, 0)
-            out.setdefault(key, [key, place[0], TEXT, place[1], place[2], 0, 0, 0])[5] += 1
+            out.setdefault(key, [key, place[0], TEXT, place[1], place[2], 0, 0, 0, False])[5] += 1
     return list(map(tuple, out.values()))
 
 
@@ -190,6 +214,7 @@ def deduce_template(tokens: list[dict], size: int, unordered: set[int] = frozens
 
     ``tokens`` have key, parent (-1 for none), tag, boiler, depth, vector, pages, n, text and linked; those on fewer
     than a share of the host's ``size`` pages are left out, so an element's parent is there if the element is.
+    ``soft`` ones are boilerplate by their names alone, and hold main text within the main slot unless most of it is links.
     ``unordered`` are the vectors of classes whose tokens come in no one order.
     """
     classes: dict[int, list[dict]] = {}
@@ -221,10 +246,27 @@ def deduce_template(tokens: list[dict], size: int, unordered: set[int] = frozens
         return dict.fromkeys(constant, False)
     most = max(under[k] for k in pool)
     root = next(k for k in pool if under[k] == most) if articles else [k for k in pool if under[k] >= 0.9 * most][-1]
+    outer = root
+    while of[outer]["tag"] not in _SCOPE and slot.get(of[outer]["parent"], -1) != -1:   # a paragraph is no slot, what holds it is
+        outer = slot[of[outer]["parent"]]
+    if outer in pool and of[outer]["tag"] in _SCOPE:
+        root = outer
     below: set[int] = set()
     for k in nested:
         if k == root or slot.get(of[k]["parent"], -1) in below:
             below.add(k)
+    within = {k: list(filled[k]) for k in names}
+    for k in reversed(nested):
+        outer = slot.get(of[k]["parent"], -1)
+        if outer != -1:
+            within[outer] = [a + b for a, b in zip(within[outer], within[k], strict=True)]
+    dropped: set[int] = set()
+    for k in nested:
+        if k in below and of[k].get("soft"):
+            if slot.get(of[k]["parent"], -1) in dropped or within[k][1] > LINK_SHARE * within[k][0]:
+                dropped.add(k)
+            else:
+                good.add(k)
     return {k: k in good and k in below for k in names} | dict.fromkeys(constant, False)
 
 
@@ -247,9 +289,9 @@ def main_text(html: str, template: dict[int, bool]) -> str:
         if main is None:  # outside of the template, or a page unlike its host's others: by the elements' names
             if by_names is None:
                 by_names = re.search(r"<(article|main)\b", html, re.I) is not None
-            return (not by_names or bool(above and above[0].inside)) and not (above and above[0].boiler)
+            return (not by_names or bool(above and above[0].inside)) and not (above and above[0].boiler and not (by_names and above[0].soft))
         for x in reversed(above):
-            main = known[x.key] = main and not x.boiler
+            main = known[x.key] = main and (not x.boiler or x.soft)
         return main
 
     for e, key, pieces in read_units(html):
@@ -269,7 +311,7 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), host.alias("host"), text_or_empty(F.col(html_col)).alias("html"))
 
     def tokens(it: Iterator[tuple]) -> Iterator[dict]:
-        names = ("host", "page", "content", "key", "parent", "tag", "boiler", "depth", "n", "text", "linked")
+        names = ("host", "page", "content", "key", "parent", "tag", "boiler", "depth", "n", "text", "linked", "soft")
         out: dict[str, list] = {n: [] for n in names}
         for page, host_name, html in it:
             content = 1 << xxhash.xxh64_intdigest(html.encode("utf-8", "surrogatepass")) % 63
@@ -283,8 +325,8 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
 
     kind = type_of(rows, "id")
     seen = map_rows(rows.select("id", "host", "html"), tokens,
-                    f"host string, page {kind}, content long, key long, parent long, tag string, boiler boolean, depth int, n long, text long, linked long")
-    own = ["key", "parent", "tag", "boiler", "depth"]
+                    f"host string, page {kind}, content long, key long, parent long, tag string, boiler boolean, depth int, n long, text long, linked long, soft boolean")
+    own = ["key", "parent", "tag", "boiler", "depth", "soft"]
     vectors = seen.groupBy("host", *own).agg(
         F.sum(F.pmod(F.xxhash64("page", "n"), F.lit(1 << 40))).alias("vector"), F.count("*").alias("pages"),
         F.bit_count(F.bit_or("content")).alias("contents"), F.sum("n").alias("n"), F.sum("text").alias("text"), F.sum("linked").alias("linked"))

@@ -370,7 +370,7 @@ def test_constant_text_of_an_article_goes():
         for token in page_tokens(html):
             t = counted.setdefault(token[0], dict(zip(names, (*token[:5], 0, 0, 0), strict=True)) | {"pages": 0})
             t["pages"] += 1
-            for name, v in zip(names[5:], token[5:], strict=True):
+            for name, v in zip(names[5:], token[5:8], strict=True):
                 t[name] += v
     tokens = [t | {"vector": t["pages"]} for t in counted.values() if t["pages"] >= 5]
     assert [template_extract.main_text(p, template_extract.deduce_template(tokens, 10)) for p in pages] == [f"Part {i} has our words" for i in range(10)]
@@ -390,3 +390,20 @@ def test_constant_text_and_order_over_hosts(spark):
     for r in got:
         if r["page_id"] >= 100:
             assert "Notice one" in r["text"] and "Notice two" in r["text"]
+
+
+@pytest.mark.parametrize(("html", "text"), [
+    ("<article><p>One<svg width=1/>two</p><math/><p>three</p></article>", "One two three"),
+    ("<article><p>One</p><div><select><option>no</div><p>two</p><form><select></select></form></article>", "One two"),
+    ("<article><p>One</p><div><object>no</div><p>two</p></article>", "One two"),
+    ("<article><div class='entry-content ad-free'>One</div><section class=legal>two</section><div class=comments>no</div></article>", "One two")])
+def test_nothing_else_is_dropped(html, text):
+    assert template_extract.main_text(html, {}) == text
+
+
+def test_names_only_break_ties(spark):
+    page = ("<html><body><div class=content><div class=post-header><h1>Head {0}</h1></div><p>Words {0} are many and long here</p>"
+            "<div class=related><a href=x>Link to {0}</a></div></div></body></html>")
+    rows = [(i, f"http://h.example/{i}", page.format(i)) for i in range(8)]
+    got = template_extract.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == {i: f"Head {i} Words {i} are many and long here" for i in range(8)}
