@@ -213,7 +213,7 @@ def score_corpus(docs: DataFrame, folds: int = 7, held: int = 2, states: int | N
         columns = ("a", "b", "c", "arcs")
         model = Automaton({n: right[n].to_numpy() if len(right) else np.empty(0, np.int64) for n in columns}, *shared.value)
         out: dict[str, list] = {f.name: [] for f in arrow}
-        scale = np.log10(total + 1) + np.log10(distinct + 1)
+        scale = np.log10(total + distinct + 1)
         table = zip(left["id"].to_pylist(), left["text"].to_pylist(), left["trains"].to_pylist(), strict=True)
         for part in blocks(table, lambda r: len(r[1]), 1_000_000):
             texts = [token_keys(r[1]) for r in part]
