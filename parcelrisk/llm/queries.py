@@ -12,6 +12,7 @@ from parcelrisk.llm.jaccard_join import jaccard_components
 from parcelrisk.llm.langid import language_of_documents
 from parcelrisk.llm.lm_automaton import score_corpus
 from parcelrisk.llm.packing import pack_documents
+from parcelrisk.llm.periodic import runs_of_documents
 from parcelrisk.llm.quality_llr import quality_of_documents
 from parcelrisk.llm.substring_dedup import remove_repeats
 from parcelrisk.llm.template_extract import extract_main_text
@@ -58,7 +59,12 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs_of_documents(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_best_fit_packing, op3_toxicity, op4_language_id, op5_bpe_round_trip,
-    op6_suffix_array_dedup, op7_ngram_jaccard_join, op8_html_extraction, op9_lm_scoring, op10_document_fingerprints)}
+    op6_suffix_array_dedup, op7_ngram_jaccard_join, op8_html_extraction, op9_lm_scoring, op10_document_fingerprints,
+    op13_periodic_runs)}
 ORACLE: dict[str, str] = {}
