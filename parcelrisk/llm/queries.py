@@ -10,6 +10,7 @@ from parcelrisk.llm.common import read_table
 from parcelrisk.llm.fingerprints import fingerprint_documents
 from parcelrisk.llm.jaccard_join import jaccard_components
 from parcelrisk.llm.langid import language_of_documents
+from parcelrisk.llm.licenses import scan_licenses
 from parcelrisk.llm.lm_automaton import score_corpus
 from parcelrisk.llm.packing import pack_documents
 from parcelrisk.llm.periodic import runs_of_documents
@@ -59,6 +60,10 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op12_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs_of_documents(read_table(spark, sf_dir, "documents"))
 
@@ -66,5 +71,5 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_best_fit_packing, op3_toxicity, op4_language_id, op5_bpe_round_trip,
     op6_suffix_array_dedup, op7_ngram_jaccard_join, op8_html_extraction, op9_lm_scoring, op10_document_fingerprints,
-    op13_periodic_runs)}
+    op12_license_scans, op13_periodic_runs)}
 ORACLE: dict[str, str] = {}
