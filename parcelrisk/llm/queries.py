@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from parcelrisk.llm import blocked_search
 from parcelrisk.llm.bpe import bpe_round_trip
 from parcelrisk.llm.common import read_table
 from parcelrisk.llm.fingerprints import fingerprint_documents
@@ -60,6 +61,10 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocked_search.ranked_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op12_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(read_table(spark, sf_dir, "documents"))
 
@@ -71,5 +76,5 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_best_fit_packing, op3_toxicity, op4_language_id, op5_bpe_round_trip,
     op6_suffix_array_dedup, op7_ngram_jaccard_join, op8_html_extraction, op9_lm_scoring, op10_document_fingerprints,
-    op12_license_scans, op13_periodic_runs)}
-ORACLE: dict[str, str] = {}
+    op11_ranked_search, op12_license_scans, op13_periodic_runs)}
+ORACLE = {"op11_ranked_search": blocked_search.ORACLE_SQL}
