@@ -51,8 +51,57 @@ def daily_climate_records(raw: DataFrame, station_col: str = "station") -> DataF
     return keep_first(df, [station_col, "fecha"], [c for c in df.columns if c not in (station_col, "fecha")])
 
 
+def check_stations(stations: DataFrame) -> DataFrame:
+    """The (zone, station) dimension, or an error if a station stands for two cities, or a city or a code is missing."""
+    bad = [r["station"] for r in stations.groupBy("station").agg(
+        F.count("*").alias("n"), F.count("zone").alias("zones")).filter("n > 1 or zones < n or station is null").collect()]
+    if bad:  # a row per station of the dimension
+        raise ValueError(f"stations without one city each: {sorted(map(str, bad))}")
+    return stations.select("zone", "station")
+
+
+def service_climate(records: DataFrame, stations: DataFrame) -> DataFrame:
+    """Records from ``sources.files.read_service_records`` as (zone, station, file, pos, fecha, prec, velmedia, tmed).
+
+    The city comes from the station dimension; records of stations that it doesn't know raise. A file without any
+    ``fecha`` is dated by the first 10 characters of ``fecobs``. Of the records of one day the first to arrive counts, within
+    a file and between files of a station. Where no file of a station has temperatures at all, the fixed one stands in.
+    """
+    known = check_stations(stations)
+    seen = records.select("station").distinct()
+    strange = [r["station"] for r in seen.join(known, "station", "left_anti").collect()]  # station codes
+    if strange:
+        raise ValueError(f"records of unknown stations: {sorted(map(str, strange))}")
+    dated = (records.join(known, "station")
+             .withColumn("fecha", F.when(F.col("has_fecha"), F.col("fecha")).otherwise(F.substring("fecobs", 1, 10)))
+             .filter(F.col("has_fecha") | F.col("has_fecobs")))
+    # of a day the first record of the station, of what is no day the first record of the file
+    of = [F.col("station"), F.col("fecha"), F.when(parse_date("fecha").isNull(), F.col("file"))]
+    first = (dated.withColumn("_rn", F.row_number().over(Window.partitionBy(*of).orderBy("file", "pos")))
+             .filter("_rn = 1"))
+    no_temperature = ~F.max("has_tmed").over(Window.partitionBy("station"))
+    return first.withColumn("tmed", F.when(no_temperature, F.lit(str(C.MISSING_TEMPERATURE))).otherwise(F.col("tmed"))).select(
+        "zone", "station", "file", "pos", "fecha", "prec", "velmedia", "tmed")
+
+
+def service_weather_daily(records: DataFrame, stations: DataFrame) -> DataFrame:
+    """The service's records as daily weather (date, zone, rain, wind, temperature), read in order of arrival."""
+    return parse_weather(service_climate(records, stations), order_col=("file", "pos"))
+
+
+def station_coverage(records: DataFrame, stations: DataFrame) -> DataFrame:
+    """Per city of the dimension: files, records, days and the span of valid dates; zeros where nothing arrived."""
+    climate = service_climate(records, stations).withColumn("date", parse_date("fecha"))
+    days = climate.groupBy("station").agg(F.count_distinct("date").alias("days"), F.min("date").alias("first_day"),
+                                          F.max("date").alias("last_day"))
+    landed = records.groupBy("station").agg(F.count_distinct("file").alias("files"), F.count("*").alias("records"))
+    out = check_stations(stations).join(landed, "station", "left").join(days, "station", "left")
+    return out.select("zone", "station", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("files", "records", "days")],
+                      "first_day", "last_day")
+
+
 # ------------------------------------------------------------------ F8-F12, W1, W3, P16
-def parse_weather(raw: DataFrame, zone_col: str = "zone", order_col: str = "obs_seq") -> DataFrame:
+def parse_weather(raw: DataFrame, zone_col: str = "zone", order_col: str | tuple[str, ...] = "obs_seq") -> DataFrame:
     """Station strings -> (date, zone, weather_rain, weather_wind_speed, weather_temperature).
 
     Rain: 'Ip' -> 0.1, missing -> 0, 1 dp. Wind: missing -> 0, a city whose
@@ -63,12 +112,13 @@ def parse_weather(raw: DataFrame, zone_col: str = "zone", order_col: str = "obs_
     """
     cols = set(raw.columns)
     city = Window.partitionBy(zone_col)
-    upto = city.orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    order = [order_col] if isinstance(order_col, str) else list(order_col)
+    upto = city.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rain = parse_rain("prec") if "prec" in cols else F.lit(0.0)
     wind0 = F.coalesce(parse_decimal_comma("velmedia"), F.lit(0.0)) if "velmedia" in cols else F.lit(0.0)
     temp0 = parse_decimal_comma("tmed") if "tmed" in cols else F.lit(C.MISSING_TEMPERATURE)
     df = raw.select(
-        F.col(zone_col).alias("zone"), F.col(order_col),
+        F.col(zone_col).alias("zone"), *order,
         parse_date("fecha").alias("date"),
         rain.alias("_rain"), wind0.alias("_wind"), temp0.alias("_temp"))
     df = df.withColumns({

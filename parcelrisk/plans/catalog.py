@@ -617,6 +617,25 @@ def q_weather_from_json(spark, sf):
     return WX.parse_weather(WX.daily_climate_records(recs))
 
 
+def _service_records(spark, sf):
+    from parcelrisk.sources.files import read_service_records
+    base = scratch_dir(spark, "service")
+    X.land_service_replies(spark, sf, base)
+    return read_service_records(spark, f"{base}/replies", station=r"station=([^/]+)/")
+
+
+@query("weather_service_daily")
+def q_weather_service_daily(spark, sf):
+    """The weather service's replies, landed as arrays without city or sequence, through to daily weather:
+    repeated days, a station dated by fecobs in part and a station without readings."""
+    return WX.service_weather_daily(_service_records(spark, sf), X.stations(spark))
+
+
+@query("weather_service_coverage")
+def q_weather_service_coverage(spark, sf):
+    return WX.station_coverage(_service_records(spark, sf), X.stations(spark))
+
+
 @query("recent_rollup_stored")
 def q_recent_rollup_stored(spark, sf):
     """History appended to a run_date-partitioned table, then rolled up (pruned by run_date)."""

@@ -165,6 +165,29 @@ def weather_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def land_service_replies(spark: SparkSession, sf_dir: str, base: str) -> None:
+    """The raw station records as the weather service replies: an array of records per station and half-year.
+
+    Every thirteenth day comes twice, the second time with other readings; one city's second half-years are dated by
+    ``fecobs`` only; Sevilla's replies are empty. Files lie under station=<code>/period=<half-year>/.
+    """
+    raw = weather_raw(spark, sf_dir).filter(F.col("zone") != "sevilla")
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.col("obs_seq"))
+    half = F.concat(F.year(day), F.when(F.month(day) <= 6, F.lit("a")).otherwise(F.lit("b")))
+    by_time = (F.col("zone") == "valencia") & (F.month(day) > 6)
+    record = F.struct(F.when(~by_time, F.col("fecha")).alias("fecha"), F.when(by_time, F.concat("fecha", F.lit("T06:00:00"))).alias("fecobs"),
+                      "prec", "velmedia", "tmed")
+    again = F.struct(record["fecha"].alias("fecha"), record["fecobs"].alias("fecobs"), F.lit("99,9").alias("prec"),
+                     F.lit("88,8").alias("velmedia"), F.lit("77,7").alias("tmed"))
+    twice = F.when(F.col("obs_seq") % 13 == 0, F.array(record, again)).otherwise(F.array(record))
+    replies = (raw.select("station", half.alias("period"), "obs_seq", F.posexplode(twice).alias("k", "r"))
+               .groupBy("station", "period")
+               .agg(F.array_sort(F.collect_list(F.struct("obs_seq", "k", "r"))).alias("rs"))   # half a year of days
+               .select("station", "period", F.to_json(F.transform("rs", lambda x: x["r"])).alias("value")))
+    none = spark.createDataFrame([(dict(C.STATIONS)["sevilla"], "1992a", "[]")], "station string, period string, value string")
+    replies.unionAll(none).write.partitionBy("station", "period").text(f"{base}/replies")
+
+
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Current station observations (station, obs_ts, prec, vv, ta as text) from events."""
     e = read_table(spark, sf_dir, "events").select("ts", "user_id", "event_type", "value")

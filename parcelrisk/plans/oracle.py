@@ -785,4 +785,24 @@ ORDER BY prob_fallo DESC, delivery_id ASC LIMIT 100""", "deliveries", extra=_B)
 ORACLE["weather_parse_halves"] = ORACLE["weather_parse"]
 
 ORACLE["weather_from_json"] = ORACLE["weather_parse"]
+# the service's replies: each thirteenth day twice (the second one is ignored), a file per station and half-year
+_SERVICE = {
+    "landed": """
+SELECT *, CAST(year(day) AS VARCHAR) || CASE WHEN month(day) <= 6 THEN 'a' ELSE 'b' END AS period
+FROM (SELECT *, DATE '1970-01-01' + obs_seq AS day FROM weather_raw WHERE zone <> 'sevilla')""",
+    "service_days": """
+SELECT zone, station, period, obs_seq, fecha, prec, velmedia, tmed FROM (
+  SELECT *, row_number() OVER (PARTITION BY station, fecha, CASE WHEN TRY_CAST(fecha AS DATE) IS NULL THEN period END
+                               ORDER BY obs_seq) AS _first FROM landed) WHERE _first = 1"""}
+ORACLE["weather_service_daily"] = W(
+    PARSED_WEATHER.replace("row_number() OVER (PARTITION BY station, fecha ORDER BY obs_seq)", "1").replace("weather_raw", "service_days"),
+    "weather_raw", extra=_SERVICE)
+ORACLE["weather_service_coverage"] = W("""
+SELECT s.zone, s.station, coalesce(files, 0) AS files, coalesce(records, 0) AS records, coalesce(days, 0) AS days, first_day, last_day
+FROM stations s
+LEFT JOIN (SELECT station, count(DISTINCT period) AS files, sum(CASE WHEN obs_seq % 13 = 0 THEN 2 ELSE 1 END) AS records
+           FROM landed GROUP BY station) l USING (station)
+LEFT JOIN (SELECT station, count(DISTINCT TRY_CAST(fecha AS DATE)) AS days, min(TRY_CAST(fecha AS DATE)) AS first_day,
+                  max(TRY_CAST(fecha AS DATE)) AS last_day FROM service_days GROUP BY station) d USING (station)""",
+    "weather_raw", "stations", extra=_SERVICE)
 ORACLE["recent_rollup_stored"] = ORACLE["recent_rollup"]

@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,6 +84,29 @@ def read_json_records(spark: SparkSession, path: str | Sequence[str], station_fr
     return df
 
 
+def read_service_records(spark: SparkSession, path: str | Sequence[str],
+                         station: str = r"([^/]+?)_[^/]*\.json$") -> DataFrame:
+    """Replies of the weather service, one JSON array of records per file, in order of arrival.
+
+    Columns station (from the file's path), file, pos (place in the array), the record's fields as text, and which of
+    them the file has at all. Files of one station follow each other by path, so names begin with the
+    period. A reply that is no array (an error message) or can't be read gives no rows; an empty array neither. A
+    reply covers half a year at most, so a file is one row until its records are taken apart.
+    """
+    replies = (spark.read.option("recursiveFileLookup", True).text(path if isinstance(path, str) else list(path), wholetext=True)
+               .select("value", F.col("_metadata.file_path").alias("file"))
+               .filter(F.col("value").rlike(r"^\s*\["))
+               .withColumn("station", F.regexp_extract("file", station, 1))
+               .withColumn("records", F.from_json("value", "array<map<string,string>>")))
+    fields = ("fecha", "fecobs", "prec", "velmedia", "tmed")
+
+    def has(field: str) -> Column:
+        return F.exists("records", lambda r: F.map_contains_key(r, field)).alias(f"has_{field}")
+
+    return (replies.select("station", "file", *map(has, fields), F.posexplode("records").alias("pos", "r"))
+            .select("station", "file", "pos", *[F.col("r")[c].alias(c) for c in fields], *[f"has_{c}" for c in fields]))
+
+
 def list_paths(spark: SparkSession, base: str, glob: str = "*") -> DataFrame:
     """(path, modificationTime, length) under ``base`` matching ``glob`` - contents are not read."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
