@@ -72,13 +72,40 @@ def test_all_is_packed(stages):
     check_packing(stages[5].collect(), [(r["doc_id"], r["text"]) for r in stages[4].collect()], 4096)
 
 
+def one_each(spark, rows):
+    df = spark.createDataFrame([(i, t, lang, "s", 1) for i, t, lang in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    return sorted(((r["doc_id"], r["text"], r["lang"]) for r in CP.one_of_each_group(spark, df, SF).collect()), key=str)
+
+
+def test_an_id_with_two_texts_loses_neither(spark):
+    a, b, c = ("a b c d e f g h", "one two three four five six", "p q r s t u v")
+    assert one_each(spark, [(1, a, "x"), (1, b, "x"), (2, c, "x"), (3, c, "x")]) == sorted([(1, a, "x"), (1, b, "x"), (2, c, "x")], key=str)
+    # a text of such an id that another document has too goes as that one's copy
+    got = one_each(spark, [(5, a, "x"), (5, b, "x"), (7, a, "x"), (7, b, "y")])
+    assert sorted(t for _, t, _ in got) == sorted([a, b])
+    assert one_each(spark, [(4, a, "z"), (4, a, "y"), (4, a, "z")]) == [(4, a, "y")]
+
+
+def test_the_quality_stage_keeps_its_plan_small(spark, stages):
+    plan = CP.drop_poor(spark, stages[1], SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 20_000
+
+
 def test_stages_on_odd_rows(spark, odd, tmp_path):
-    """Nulls, empty and repeated rows go through all stages."""
-    docs = odd.select(*COLUMNS)
+    """Nulls, empty, long and repeated rows, stage by stage."""
+    docs, counts = odd.select(*COLUMNS), []
     for i, (_, stage) in enumerate(CP.STAGES):
         stage(spark, docs, SF).write.parquet(f"{tmp_path}/{i}")
         docs = spark.read.parquet(f"{tmp_path}/{i}")
-    assert docs.count() == 0 or "sequence_id" in docs.columns
+        counts.append(docs.count())
+    assert counts == [11, 0, 0, 0, 0]     # nothing toxic; all are too short, or repeat one word
+    nothing_poor = odd.select(*COLUMNS)
+    found = sorted((r["doc_id"] for r in CP.one_of_each_group(spark, nothing_poor, SF).collect()), key=str)
+    assert found == sorted([0, 1, 2, 4, 5, None, 7, 8, 9], key=str)       # 3 is a copy of 2, and 7 comes twice
+    cut = CP.cut_repeats(spark, nothing_poor, SF).collect()
+    assert len(cut) == 11 and all(r["n_chars"] == (None if r["text"] is None else len(r["text"])) for r in cut)
+    packed = CP.pack(spark, nothing_poor, SF).collect()
+    assert Counter(r["doc_id"] for r in packed if r["piece"] == 0) == Counter(r["doc_id"] for r in nothing_poor.collect())
     empty = odd.select(*COLUMNS).limit(0)
     for _, stage in CP.STAGES:
         assert stage(spark, empty, SF).count() == 0
