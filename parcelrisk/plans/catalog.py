@@ -21,6 +21,7 @@ from parcelrisk.functions.weather import derived_weather
 from parcelrisk.operators import drift as DR
 from parcelrisk.operators import features as FE
 from parcelrisk.operators import metrics as M
+from parcelrisk.operators import model_tables as MT
 from parcelrisk.operators import models as ML
 from parcelrisk.operators import quality as Q
 from parcelrisk.operators import risk as RK
@@ -510,7 +511,7 @@ def _training(spark, sf):
 
 def _fit_eval(spark, sf, name):
     split, feats, train, weights = _training(spark, sf)
-    models = ML.train_candidates(train, feats, weights, {name: ML.CANDIDATES[name]})
+    models = ML.train_candidates(train, feats, weights, {name: ML.CANDIDATES[name]}, validation=split.filter(F.col("split") == "val"))
     return J.evaluate_models(models, split.filter(F.col("split") == "test"))
 
 
@@ -545,16 +546,67 @@ def q_batch_inference(spark, sf):
     train = split.filter(F.col("split") == "train")
     models = ML.train_candidates(train, feats, FE.class_weights(train),
                                  {"logistic_regression": ML.CANDIDATES["logistic_regression"]})
+    tuned = J.evaluate_models(models, split.filter(F.col("split") == "val")).first()["best_threshold"]
     out = scratch_dir(spark, "model")
     from parcelrisk.sources import sinks as S
-    S.save_model(models["logistic_regression"], out, "logistic_regression",
-                 {"feature_cols": feats, "best_threshold": C.DEFAULT_THRESHOLD})
+    S.save_model(models["logistic_regression"], out, "logistic_regression", {"feature_cols": feats, "best_threshold": tuned})
     model, meta = S.load_model(f"{out}/best_model")
     packages = d.filter(~before).drop("delivery_failed")
     scored = J.score_packages(model, meta, packages, CUTOFF_DATE, conditions=_conditions(spark, sf))
     return scored.select("delivery_id", *TRACE, "prob_fallo", "risk_level", "action")
 
 
+def _model_tables(spark, sf, name, **settings):
+    """Fits one model, writes it as a table and scores all rows with the model and with the table: per split and label
+    how many rows there are, and whether the two ways agree on every one."""
+    split, feats, train, weights = _training(spark, sf)
+    model = ML.train_candidates(train, feats, weights, {name: {**ML.CANDIDATES[name], **settings}})[name]
+    base = scratch_dir(spark, "model-table")
+    kind = MT.export_model(spark, model, feats, base)
+    by_model = ML.score(model, split).select("delivery_id", "split", F.col(C.TARGET).alias("label"), "prob")
+    by_table = MT.score_tables(split, spark.read.parquet(f"{base}/{kind}"), kind, "delivery_id", out="_table")
+    same = F.coalesce(F.abs(F.col("prob") - F.col("_table")) <= 1e-9, F.lit(False))
+    return (by_model.join(by_table, "delivery_id", "left").groupBy("split", "label")
+            .agg(F.count("*").alias("n"), F.bool_and(same).alias("agree")).select(F.lit(kind).alias("kind"), "split", "label", "n", "agree"))
+
+
+@query("model_table_linear")
+def q_model_table_linear(spark, sf):
+    return _model_tables(spark, sf, "logistic_regression")
+
+
+@query("model_table_forest")
+def q_model_table_forest(spark, sf):
+    return _model_tables(spark, sf, "random_forest", n_estimators=12, max_depth=8)
+
+
+@query("model_table_boosted")
+def q_model_table_boosted(spark, sf):
+    return _model_tables(spark, sf, "xgboost", n_estimators=8, max_depth=4)
+
+
+@query("stored_model_scores")
+def q_stored_model_scores(spark, sf):
+    """Every delivery's probability by three models that were stored as tables."""
+    d = clean_deliveries(spark, sf)
+    linear = MT.score_tables(d, spark.createDataFrame(X.STORED_LINEAR, MT.LINEAR_SCHEMA), MT.LINEAR, "delivery_id", "linear")
+    trees = spark.createDataFrame(X.STORED_TREES, MT.TREE_SCHEMA)
+    forest, boosted = (MT.score_tables(d, trees, kind, "delivery_id", kind) for kind in (MT.FOREST, MT.BOOSTED))
+    return linear.join(forest, "delivery_id").join(boosted, "delivery_id").select(
+        "delivery_id", *[np_round(c, 6).alias(c) for c in (MT.LINEAR, MT.FOREST, MT.BOOSTED)])
+
+
+@query("stored_model_importance")
+def q_stored_model_importance(spark, sf):
+    """Which features the stored trees rest on, weighed by how many deliveries fall on each side: the nodes' rows are
+    counted anew on the deliveries."""
+    d = clean_deliveries(spark, sf)
+    trees = spark.createDataFrame(X.STORED_TREES, MT.TREE_SCHEMA)
+    reached = MT.node_rows(d, trees, "delivery_id")
+    return MT.table_importance(trees.drop("n_rows", "mass").join(reached.withColumnRenamed("n_rows", "mass"), ["tree", "node"]), MT.FOREST).select(
+        "feature", np_round("importance", 6).alias("importance"))
+
+
 @query("incremental_scoring")
 def q_incremental_scoring(spark, sf):
     """Land the deliveries as CSV files, score them with the stream job, read the result."""

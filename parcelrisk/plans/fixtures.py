@@ -206,6 +206,20 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- fixed values: models that were stored as tables (see ``operators.model_tables``) ---------------
+STORED_LINEAR = [
+    (-1, "(intercept)", 0.0, 1.0, -1.2), (0, "recipient_failure_rate", 0.5, 0.3, 0.8), (1, "driver_quality_score", 0.5, 0.3, -0.4),
+    (2, "weather_rain", 0.2, 0.4, 0.15), (3, "weight_kg", 25.0, 14.0, 0.25), (4, "num_previous_attempts", 1.0, 1.0, 0.3),
+    (5, "is_retry", 1.0, 0.0, 9.0)]
+STORED_TREES = [
+    (0, 1.0, 0, "recipient_failure_rate", 0.45, 1, 2, 0.4, 0.02, 100, 100.0), (0, 1.0, 1, None, None, None, None, 0.25, None, 60, 60.0),
+    (0, 1.0, 2, "weight_kg", 30.0, 3, 4, 0.5, 0.01, 40, 40.0), (0, 1.0, 3, None, None, None, None, 0.5, None, 25, 25.0),
+    (0, 1.0, 4, None, None, None, None, 0.875, None, 15, 15.0),
+    (1, 0.5, 0, "hour", 12.0, 1, 2, 0.3, 0.02, 100, 100.0), (1, 0.5, 1, "driver_quality_score", 0.2, 3, 4, 0.3, 0.01, 50, 50.0),
+    (1, 0.5, 2, None, None, None, None, 0.125, None, 50, 50.0), (1, 0.5, 3, None, None, None, None, 0.75, None, 10, 10.0),
+    (1, 0.5, 4, None, None, None, None, 0.375, None, 40, 40.0), (2, 2.0, 0, None, None, None, None, 0.0625, None, 100, 100.0)]
+
+
 def stations(spark: SparkSession) -> DataFrame:
     """City -> station dimension (4 rows, fixed)."""
     return spark.createDataFrame(list(C.STATIONS), "zone string, station string")

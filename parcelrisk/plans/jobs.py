@@ -63,13 +63,14 @@ def evaluate_models(models: dict, data: DataFrame, label: str = C.TARGET) -> Dat
 
 def training_job(spark: SparkSession, raw: DataFrame, out_dir: str, run_date: str,
                  candidates=None, tune_on: str = "test", stats_on: str = "all",
-                 parity_inverse_weight: bool = False, order=None) -> dict:
+                 parity_inverse_weight: bool = False, order=None, early_stopping: bool = True) -> dict:
     """Train every enabled candidate, compare on ``tune_on`` ('test' = reference parity,
     'val' = tune on validation), save the best with its metadata, log the run.
 
     ``stats_on``: scaler statistics over 'all' rows (reference parity) or 'train'.
     ``parity_inverse_weight``: weight the boosted-trees positives by n_pos/n_neg,
     as the reference's positive-class scale does, instead of balanced weights.
+    ``early_stopping``: boosting ends when the validation split gains no more; False runs all rounds (reference parity).
     ``order``: columns that say which of a delivery's rows came first; by default the position that the
     bronze snapshot stores.
     """
@@ -98,8 +99,8 @@ def training_job(spark: SparkSession, raw: DataFrame, out_dir: str, run_date: st
                   f"{out_dir}/gold/feature_cols")
     train = split.filter(F.col("split") == "train")
     weights = FE.class_weights(train)
-    models = ML.train_candidates(train, feature_cols, weights, candidates,
-                                 parity_inverse_weight=parity_inverse_weight)
+    models = ML.train_candidates(train, feature_cols, weights, candidates, parity_inverse_weight=parity_inverse_weight,
+                                 validation=split.filter(F.col("split") == "val") if early_stopping else None)
     comparison = cut_lineage(evaluate_models(models, split.filter(F.col("split") == tune_on)))
     S.write_table(comparison, f"{out_dir}/reports/model_comparison", csv=True)
     best = comparison.filter("is_best").first().asDict()

@@ -806,3 +806,36 @@ LEFT JOIN (SELECT station, count(DISTINCT TRY_CAST(fecha AS DATE)) AS days, min(
                   max(TRY_CAST(fecha AS DATE)) AS last_day FROM service_days GROUP BY station) d USING (station)""",
     "weather_raw", "stations", extra=_SERVICE)
 ORACLE["recent_rollup_stored"] = ORACLE["recent_rollup"]
+
+# ------------------------------------------------------------------ models as tables
+for _name in ("linear", "forest", "boosted"):
+    ORACLE[f"model_table_{_name}"] = W(f"""
+SELECT '{_name}' AS kind, split, delivery_failed AS label, CAST(count(*) AS BIGINT) AS n, TRUE AS agree
+FROM split GROUP BY split, delivery_failed""", "deliveries", extra=_SPLIT_CTES)
+
+_STORED = {
+    "clean": CLEAN,
+    "linear": """
+SELECT d.delivery_id, 1.0::DOUBLE / (1.0::DOUBLE + exp(-(-1.2::DOUBLE
+  + 0.8::DOUBLE * (recipient_failure_rate - 0.5::DOUBLE) / 0.3::DOUBLE - 0.4::DOUBLE * (driver_quality_score - 0.5::DOUBLE) / 0.3::DOUBLE
+  + 0.15::DOUBLE * (weather_rain - 0.2::DOUBLE) / 0.4::DOUBLE + 0.25::DOUBLE * (weight_kg - 25.0::DOUBLE) / 14.0::DOUBLE
+  + 0.3::DOUBLE * (num_previous_attempts - 1.0::DOUBLE)))) AS p FROM clean d""",
+    "leaves": """
+SELECT delivery_id,
+  CASE WHEN recipient_failure_rate <= 0.45::DOUBLE THEN 0.25::DOUBLE WHEN weight_kg <= 30.0::DOUBLE THEN 0.5::DOUBLE ELSE 0.875::DOUBLE END AS t0,
+  CASE WHEN hour > 12 THEN 0.125::DOUBLE WHEN driver_quality_score <= 0.2::DOUBLE THEN 0.75::DOUBLE ELSE 0.375::DOUBLE END AS t1,
+  0.0625::DOUBLE AS t2 FROM clean"""}
+ORACLE["stored_model_scores"] = W(f"""
+SELECT delivery_id, {_rnd('l.p', 6)} AS linear, {_rnd('(t0 + 0.5::DOUBLE * t1 + 2.0::DOUBLE * t2) / 3.5::DOUBLE', 6)} AS forest,
+  {_rnd('1.0::DOUBLE / (1.0::DOUBLE + exp(-2.0::DOUBLE * (t0 + 0.5::DOUBLE * t1 + 2.0::DOUBLE * t2)))', 6)} AS boosted
+FROM leaves JOIN linear l USING (delivery_id)""", "deliveries", extra=_STORED)
+
+# gain times rows of each split, as shares of its tree, then of all trees
+ORACLE["stored_model_importance"] = W(f"""
+SELECT feature, {_rnd('sum(g / t) / 2.0::DOUBLE', 6)} AS importance FROM (
+  SELECT *, sum(g) OVER (PARTITION BY tree) AS t FROM (
+    SELECT 0 AS tree, 'recipient_failure_rate' AS feature, 0.02::DOUBLE * count(*) AS g FROM clean
+    UNION ALL SELECT 0, 'weight_kg', 0.01::DOUBLE * count(*) FROM clean WHERE recipient_failure_rate > 0.45::DOUBLE
+    UNION ALL SELECT 1, 'hour', 0.02::DOUBLE * count(*) FROM clean
+    UNION ALL SELECT 1, 'driver_quality_score', 0.01::DOUBLE * count(*) FROM clean WHERE hour <= 12))
+GROUP BY feature""", "deliveries", extra={"clean": CLEAN})
