@@ -356,19 +356,21 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
 
 
 def score_toxicity(docs: DataFrame, model: StringKernelMachine | None, id_col: str = "doc_id", text_col: str = "text",
-                   carry: tuple[str, ...] = (), threshold: float = 0.7) -> DataFrame:
-    """Columns id, those to carry, score (0 to 1) and predicted (1 from ``threshold`` on) for every row.
+                   carry: tuple[str, ...] = (), threshold: float = 0.7, with_text: bool = False) -> DataFrame:
+    """Columns id, those to carry, score (0 to 1) and predicted (1 from ``threshold`` on) for every row; ``with_text`` adds
+    the text as _text, so that it needn't be carried beside the one that is scored.
 
-    Null and empty texts get the score of a text without strings. Without a model every score is 0. Repeated rows
+    Null and empty texts get the score of a text without strings, and are empty in _text. Without a model every score is 0. Repeated rows
     and equal texts get equal scores; an empty table gives an empty one.
     """
     machine = docs.sparkSession.sparkContext.broadcast(model)
     names = [id_col, *carry]
-    schema = ", ".join(f"{c} {type_of(docs, c)}" for c in names) + ", score double, predicted int"
+    schema = ", ".join(f"{c} {type_of(docs, c)}" for c in names) + ", score double, predicted int" + ", _text string" * with_text
 
     def run(rows: Iterator[tuple]) -> Iterator[dict]:
         for part in blocks(rows, lambda r: len(r[-1]), 2_000_000):
-            out = dict(zip(names, map(list, zip(*(r[:-1] for r in part), strict=True)), strict=True))
+            text = {"_text": [r[-1] for r in part]} if with_text else {}
+            out = text | dict(zip(names, map(list, zip(*(r[:-1] for r in part), strict=True)), strict=True))
             m = machine.value
             p = m.probabilities([r[-1] for r in part]) if m else np.zeros(len(part))
             yield out | {"score": p.tolist(), "predicted": (p >= threshold).astype(int).tolist()}
