@@ -504,7 +504,7 @@ def scratch_dir(spark, name: str) -> str:
 
 def _training(spark, sf):
     raw = X.deliveries(spark, sf)
-    split, feats = J.prepare_training_data(raw)
+    split, feats = J.prepare_training_data(raw, order=X.INGEST_ORDER)
     train = split.filter(F.col("split") == "train")
     return split, feats, train, FE.class_weights(train)
 
