@@ -694,5 +694,22 @@ def q_recent_rollup_stored(spark, sf):
     from parcelrisk.sources import sinks as S
     base = scratch_dir(spark, "history")
     S.append_predictions(history(spark, sf), base, backfill=True)
-    stored = spark.read.parquet(f"{base}/delivery_predictions").drop("created_at")
-    return RK.recent_rollup(stored, AS_OF, days=7)
+    return RK.recent_rollup(S.read_history(spark, f"{base}/delivery_predictions"), AS_OF, days=7)
+
+
+@query("history_appends")
+def q_history_appends(spark, sf):
+    """History appended in two batches, of which the second is sent again and a third breaks off before its commit:
+    per day the rows that the table shows, and those that the manifest counts."""
+    from parcelrisk.sources import sinks as S
+    base = scratch_dir(spark, "appends")
+    table = f"{base}/delivery_predictions"
+    rows = history(spark, sf)
+    before = F.col("run_date") < F.lit(CUTOFF_DATE).cast("date")
+    S.append_predictions(rows.filter(before), base, backfill=True, batch_id="earlier")
+    for _ in range(2):
+        S.append_predictions(rows.filter(~before), base, backfill=True, batch_id="later")
+    rows.limit(10).withColumn("created_at", F.current_timestamp()).write.partitionBy("run_date").parquet(f"{table}/write_id=broken")
+    shown = S.read_history(spark, table).groupBy("run_date").agg(F.count("*").alias("n_shown"))
+    counted = S.read_manifest(spark, table).groupBy(F.col("value").cast("date").alias("run_date")).agg(F.sum("n_rows").alias("n_counted"))
+    return shown.join(counted, "run_date", "full")

@@ -687,6 +687,9 @@ HISTORY = """
 SELECT date AS run_date, coalesce(delivery_id, '') AS delivery_id, zone AS city, prob_fallo, risk_level, action,
   'rule_scorecard_unknown' AS model_version FROM banded"""
 ORACLE["prediction_history"] = W("SELECT * FROM history", "deliveries", extra={**_B, "history": HISTORY})
+ORACLE["history_appends"] = W("""
+SELECT run_date, CAST(count(*) AS BIGINT) AS n_shown, CAST(count(*) AS BIGINT) AS n_counted FROM history GROUP BY run_date""",
+                              "deliveries", extra={**_B, "history": HISTORY})
 ORACLE["recent_rollup"] = W("""
 SELECT run_date, city, risk_level, action, CAST(count(*) AS BIGINT) AS total,
   CAST(sum(CAST(round_even(prob_fallo * 10000.0::DOUBLE, 0) AS BIGINT)) AS DOUBLE) / count(*) / 10000.0::DOUBLE

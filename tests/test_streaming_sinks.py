@@ -67,6 +67,70 @@ def test_history_append_counts_rows(spark):
     assert r["best_threshold"] == 0.5 and r["avg_precision"] == 0.0
 
 
+def _history(spark, date, ids="ab"):
+    scored = spark.createDataFrame([(i, 0.7, "HIGH", "REAGENDAR_SMS") for i in ids],
+                                   "delivery_id string, prob_fallo double, risk_level string, action string")
+    return RK.prediction_history(scored, date, "madrid", "lr_20240101")
+
+
+def test_a_batch_is_appended_once(spark):
+    base = tempfile.mkdtemp(prefix="pr-batch-")
+    table = f"{base}/delivery_predictions"
+    assert S.append_predictions(_history(spark, "2024-01-05"), base, batch_id="0105") == 2
+    assert S.append_predictions(_history(spark, "2024-01-05", "abc"), base, batch_id="0105") == 2   # a replay
+    assert S.append_predictions(_history(spark, "2024-01-05", "abc"), base, batch_id="0106") == 3
+    assert S.append_predictions(_history(spark, "2024-01-06"), base) == 2                           # batches without an id
+    assert S.append_predictions(_history(spark, "2024-01-06"), base) == 2
+    assert S.read_history(spark, table).count() == 9
+    got = sorted((r["value"], r["n_rows"]) for r in S.read_manifest(spark, table).collect())
+    assert got == [("2024-01-05", 2), ("2024-01-05", 3), ("2024-01-06", 2), ("2024-01-06", 2)]
+    assert "write_id" not in S.read_history(spark, table).columns
+    with pytest.raises(ValueError, match="batch id"):
+        S.append_predictions(_history(spark, "2024-01-05"), base, batch_id="a/b")
+
+
+def test_a_batch_that_broke_off_is_not_shown_and_is_written_anew(spark):
+    base = tempfile.mkdtemp(prefix="pr-broken-")
+    table = f"{base}/delivery_predictions"
+    S.append_predictions(_history(spark, "2024-01-05"), base, batch_id="one")
+    # rows of two days without a commit, as of a driver that was lost
+    for d in ("2024-01-06", "2024-01-07"):
+        _history(spark, d).withColumn("created_at", F.current_timestamp()).write.mode("append").partitionBy("run_date").parquet(f"{table}/write_id=b_two")
+    assert S.read_history(spark, table).count() == 2
+    assert S.append_predictions(_history(spark, "2024-01-06", "xyz"), base, batch_id="two") == 3
+    assert sorted(str(r["run_date"]) for r in S.read_history(spark, table).collect()) == ["2024-01-05"] * 2 + ["2024-01-06"] * 3
+
+
+def test_an_empty_batch_is_committed_too(spark):
+    base = tempfile.mkdtemp(prefix="pr-empty-")
+    table = f"{base}/delivery_predictions"
+    assert S.append_predictions(_history(spark, "2024-01-05").limit(0), base, batch_id="none") == 0
+    assert S.append_predictions(_history(spark, "2024-01-05"), base, batch_id="none") == 0
+    assert [(r["value"], r["n_rows"]) for r in S.read_manifest(spark, table).collect()] == [(None, 0)]
+
+
+def test_an_append_opens_only_its_own_files(spark, monkeypatch):
+    """What is read back lies in the batch's folder; the table gets its partitions by name."""
+    base = tempfile.mkdtemp(prefix="pr-own-")
+    S.append_predictions(_history(spark, "2024-01-05"), base, batch_id="old")
+    read, said = [], []
+    from pyspark.sql.readwriter import DataFrameReader
+    parquet, sql = DataFrameReader.parquet, type(spark).sql
+    monkeypatch.setattr(DataFrameReader, "parquet", lambda self, *p, **k: read.extend(p) or parquet(self, *p, **k))
+    monkeypatch.setattr(type(spark), "sql", lambda self, q, *a, **k: said.append(q) or sql(self, q, *a, **k))
+    monkeypatch.setattr(S, "_stored_at", lambda *a: True)
+    spark.sql("DROP TABLE IF EXISTS delivery_predictions")
+    S.ensure_history_tables(spark, base)
+    S.append_predictions(_history(spark, "2024-01-06"), base, batch_id="new")
+    table = spark.table("delivery_predictions")
+    assert read and all("write_id=b_new" in p for p in read)
+    assert not any("RECOVER" in q or "MSCK" in q for q in said) and any("ADD IF NOT EXISTS PARTITION (write_id = 'b_new'" in q for q in said)
+    assert table.count() == 2 and {str(r["run_date"]) for r in table.collect()} == {"2024-01-06"}   # the older batch was never shown
+    S.append_predictions(_history(spark, "2024-01-05"), base, batch_id="old")                         # a replay shows it
+    assert spark.table("delivery_predictions").count() == 4
+    spark.sql("DROP TABLE delivery_predictions")
+
+
 def test_first_readable_falls_back_and_lists_paths(spark):
     base = tempfile.mkdtemp(prefix="pr-src-")
     spark.createDataFrame([("a", 1)], "delivery_id string, hour int").write.option("header", True).csv(f"{base}/b")
