@@ -17,6 +17,7 @@ from pyspark.sql.types import StructType
 from parcelrisk.session import ensure_checkpoint_dir
 
 
+SLICE = 500   # rows of a batch that are turned into Python values at once
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -79,7 +80,8 @@ def map_rows(df: DataFrame, fn, schema: str) -> DataFrame:
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        rows = (r for b in batches for i in range(0, b.num_rows, SLICE)
+                for r in zip(*(c.to_pylist() for c in b.slice(i, SLICE).columns), strict=True))
         for out in fn(rows):
             yield pa.RecordBatch.from_pydict(out, arrow)
 

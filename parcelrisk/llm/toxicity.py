@@ -113,8 +113,8 @@ class StringKernelMachine:
         if len(self._known) > KNOWN_STRINGS:
             self._known.clear()
         new = [w for w in {w for ws in words for w in ws} if w not in self._known]
-        for i in range(0, len(new), 20_000):
-            some = new[i:i + 20_000]
+        for i in range(0, len(new), 4_000):
+            some = new[i:i + 4_000]
             self._known.update(zip(some, self.values_of(some).tolist(), strict=True))
         get = self._known.__getitem__
         return np.array([max(map(get, ws), default=self.bias) for ws in words])
