@@ -148,7 +148,8 @@ def drift_summary(psi: DataFrame, n_current: DataFrame | None = None,
                   min_samples: int = C.MIN_SAMPLES_FOR_DRIFT) -> DataFrame:
     """One row: status, mean rounded PSI (4 dp), feature count, ALERT features in order.
 
-    ``n_current`` (a one-row frame with ``n``) applies the minimum-sample gate.
+    ``n_current`` (a one-row frame with ``n``) applies the minimum-sample gate: below it there is a status, and nothing
+    is said about features.
     """
     s = psi.agg(
         F.count("*").alias("n_features"),
@@ -159,14 +160,30 @@ def drift_summary(psi: DataFrame, n_current: DataFrame | None = None,
         .alias("features_with_drift"))
     s = s.withColumn("status", F.when(F.col("n_alerts") > 0, F.lit("ALERT")).otherwise(F.lit("OK")))
     if n_current is not None:
-        s = s.crossJoin(n_current.select(F.col("n").alias("_n")))  # one row
-        s = s.withColumn("status", F.when(F.col("_n") < min_samples, F.lit("insufficient_data"))
-                         .otherwise(F.col("status"))).drop("_n")
+        s = s.crossJoin(n_current.select((F.col("n") >= min_samples).alias("_enough")))  # one row
+        nothing = {"status": F.lit("insufficient_data"), "overall_psi": F.lit(None), "n_features": F.lit(0), "n_alerts": F.lit(0),
+                   "features_with_drift": F.lit("")}
+        s = s.withColumns({c: F.when(F.col("_enough"), F.col(c)).otherwise(v) for c, v in nothing.items()})
     return s.select("status", "overall_psi", "n_features", "n_alerts", "features_with_drift")
 
 
-def drift_alert_rows(psi: DataFrame, alert_date: str) -> DataFrame:
-    """History rows for features whose severity is not OK."""
+def drift_alert_rows(psi: DataFrame, alert_date: str, n_current: DataFrame | None = None,
+                     min_samples: int = C.MIN_SAMPLES_FOR_DRIFT) -> DataFrame:
+    """History rows for features whose severity is not OK (S12); none below the minimum sample (``n_current`` as above)."""
+    if n_current is not None:
+        psi = psi.join(F.broadcast(n_current.filter(F.col("n") >= min_samples).select("n")), how="cross")  # one row or none
     return psi.filter(F.col("severity") != "OK").select(
         F.to_date(F.lit(alert_date)).alias("alert_date"), F.col("feature").alias("feature_name"),
         F.col("psi_rounded").alias("psi_value"), "severity")
+
+
+def check_drift(expected: DataFrame, actual: DataFrame, features, alert_date: str,
+                min_samples: int = C.MIN_SAMPLES_FOR_DRIFT) -> tuple[DataFrame, DataFrame]:
+    """(summary, alert rows). The current rows are counted first; below the minimum no PSI is computed at all."""
+    n = actual.agg(F.count("*").alias("n"))
+    spark = expected.sparkSession
+    if n.first()["n"] < min_samples:
+        none = spark.createDataFrame([], "pos int, feature string, psi double, psi_rounded double, severity string")
+        return drift_summary(none, spark.createDataFrame([(0,)], "n long"), max(1, min_samples)), drift_alert_rows(none, alert_date)
+    psi = cut_lineage(psi_by_feature(expected, actual, features))   # a row per feature, read by both
+    return drift_summary(psi), drift_alert_rows(psi, alert_date)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from parcelrisk import config as C
 from parcelrisk.functions import risk as R
 from parcelrisk.functions.common import np_round
-from parcelrisk.operators.quality import keep_first
+from parcelrisk.operators.quality import ingest_order, keep_first
 from parcelrisk.operators.ranking import global_row_number
 
 PREDICTION_COLS = ("prob_fallo", "risk_level", "action", "shap_reason")
@@ -62,9 +62,9 @@ def city_risk_map(scored: DataFrame, grain=("zone",), default_zone: str = "madri
 # ------------------------------------------------------------------ J5 / W6 / T1 / F20 / F21 / F28
 def attach_originals(predictions: DataFrame, originals: DataFrame, key: str = "delivery_id",
                      order=None) -> DataFrame:
-    """Predictions left-joined to their original delivery (first match per id);
-    prediction columns win over same-named original columns."""
-    o = keep_first(originals, key, order) if order else originals.dropDuplicates([key])
+    """Predictions left-joined to their original delivery, the first of an id by ``order``, by the ingest position or by
+    all of its values; prediction columns win over same-named original columns."""
+    o = keep_first(originals, key, ingest_order(originals, key, order))
     pcols = set(predictions.columns)
     o = o.select(key, *[c for c in o.columns if c != key and c not in pcols])
     return predictions.join(o, key, "left")
@@ -99,7 +99,10 @@ def top_k(scored: DataFrame, k: int) -> DataFrame:
 def alerts(scored: DataFrame, threshold: float = C.SMS_THRESHOLD, city: str | None = None,
            phone: str = C.DEFAULT_PHONE, webhook_configured: bool = False,
            timestamp: str | None = None) -> DataFrame:
-    """Alert rows for deliveries with prob >= threshold (message delivery is not done here)."""
+    """Alert rows for deliveries with prob >= threshold (message delivery is not done here).
+
+    ``timestamp`` is when the alerts were raised; "now" takes the time of the query's start.
+    """
     c = F.coalesce(F.col("zone"), F.lit(city) if city else F.lit(None).cast("string"), F.lit(C.UNKNOWN_CITY))
     detail = ("sent through the configured webhook" if webhook_configured
               else "simulated: no webhook configured")
@@ -109,7 +112,8 @@ def alerts(scored: DataFrame, threshold: float = C.SMS_THRESHOLD, city: str | No
         R.sms_message("delivery_id", c, "prob_fallo").alias("message"),
         F.lit(detail).alias("detail"), c.alias("city"), "prob_fallo")
     if timestamp is not None:
-        out = out.withColumn("timestamp", F.lit(timestamp))
+        now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")
+        out = out.withColumn("timestamp", now if timestamp == "now" else F.lit(timestamp))
     return out
 
 

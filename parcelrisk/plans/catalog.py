@@ -61,6 +61,16 @@ def q_dedup_counts(spark, sf):
     return Q.dedup_counts(X.deliveries(spark, sf), position=X.INGEST_ORDER)
 
 
+@query("dedup_exact_repeated")
+def q_dedup_exact_repeated(spark, sf):
+    return Q.drop_exact_duplicates(X.deliveries_repeated(spark, sf, with_ingest_order=False))
+
+
+@query("dedup_counts_repeated")
+def q_dedup_counts_repeated(spark, sf):
+    return Q.dedup_counts(X.deliveries_repeated(spark, sf), position=X.INGEST_ORDER)
+
+
 @query("cast_flags")
 def q_cast_flags(spark, sf):
     d = X.deliveries(spark, sf).select(
@@ -171,6 +181,22 @@ def q_display_weather(spark, sf):
     return WX.display_weather(_conditions(spark, sf))
 
 
+def _conditions_with_gap(spark, sf):
+    """Current conditions of all cities and of one whose station never reports."""
+    more = X.stations(spark).unionAll(spark.createDataFrame([("zaragoza", "9434")], "zone string, station string"))
+    return WX.city_conditions(WX.latest_observation(X.observations(spark, sf)), more)
+
+
+@query("display_weather_gap")
+def q_display_weather_gap(spark, sf):
+    return WX.display_weather(_conditions_with_gap(spark, sf))
+
+
+@query("realtime_weather_gap")
+def q_realtime_weather_gap(spark, sf):
+    return WX.realtime_features(_conditions_with_gap(spark, sf), fallback=True)
+
+
 @query("weather_override")
 def q_weather_override(spark, sf):
     rt = WX.realtime_features(_conditions(spark, sf))
@@ -462,8 +488,17 @@ def q_drift_summary(spark, sf):
 
 @query("drift_alerts")
 def q_drift_alerts(spark, sf):
-    psi, _ = _psi(spark, sf)
-    return DR.drift_alert_rows(psi, CUTOFF_DATE)
+    psi, act = _psi(spark, sf)
+    return DR.drift_alert_rows(psi, CUTOFF_DATE, act.agg(F.count("*").alias("n")))
+
+
+@query("drift_summary_one_day")
+def q_drift_summary_one_day(spark, sf):
+    """The latest day's deliveries against all before them: too few for a verdict."""
+    d = X.deliveries(spark, sf)
+    last = d.agg(F.max("date")).first()[0]
+    exp, act = (FE.engineer_features(d.filter(F.col("date") < F.lit(last))), FE.engineer_features(d.filter(F.col("date") == F.lit(last))))
+    return DR.check_drift(exp, act, DR.float_features(exp, act, FE.model_features(exp, FEATURE_EXCLUDE)), str(last))[0]
 
 
 def _seasonal_frames(spark, sf):
@@ -485,7 +520,7 @@ def q_psi_seasonal(spark, sf):
 @query("drift_alerts_seasonal")
 def q_drift_alerts_seasonal(spark, sf):
     exp, act, feats = _seasonal_frames(spark, sf)
-    return DR.drift_alert_rows(DR.psi_by_feature(exp, act, feats), CUTOFF_DATE)
+    return DR.drift_alert_rows(DR.psi_by_feature(exp, act, feats), CUTOFF_DATE, act.agg(F.count("*").alias("n")))
 
 
 @query("drift_summary_seasonal")

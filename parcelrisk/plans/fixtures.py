@@ -98,6 +98,14 @@ def deliveries_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
+def deliveries_repeated(spark: SparkSession, sf_dir: str, with_ingest_order: bool = True) -> DataFrame:
+    """Deliveries of which some came twice, word for word, as of a file that was landed again."""
+    d = deliveries(spark, sf_dir)
+    cols = d.columns if with_ingest_order else [c for c in d.columns if c not in INGEST_ORDER]
+    copies = F.when(F.col("src_partkey") % 41 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return d.withColumn("_copy", F.explode(copies)).select(*cols)
+
+
 def deliveries_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deliveries with NULL/NaN in critical columns (trips the null gate)."""
     d = deliveries(spark, sf_dir)

@@ -9,6 +9,7 @@ than from the raw files.
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from parcelrisk import config as C
 from parcelrisk.functions.calendar import default_date
 from parcelrisk.functions.risk import model_version
+from parcelrisk.operators import drift as DR
 from parcelrisk.operators import features as FE
 from parcelrisk.operators import metrics as M
 from parcelrisk.operators import models as ML
@@ -25,6 +27,7 @@ from parcelrisk.operators import risk as RK
 from parcelrisk.operators import weather as WX
 from parcelrisk.operators.split import stratified_split
 from parcelrisk.session import cut_lineage
+from parcelrisk.sources import files as FS
 from parcelrisk.sources import sinks as S
 
 TRACE_EXCLUDE = ("src_partkey", "src_suppkey", "src_price", C.INGEST_POSITION)
@@ -144,16 +147,42 @@ def score_packages(model, meta: dict, packages: DataFrame, run_date: str,
 
 def batch_inference_job(spark: SparkSession, model_dir: str, packages: DataFrame, run_date: str,
                         out_dir: str, conditions: DataFrame | None = None, city: str | None = None,
-                        scale: bool = False) -> dict:
+                        scale: bool = False, fill_missing: bool = True, batch_id: str | None = None) -> dict:
+    """Scores the day's packages, writes reports and history.
+
+    ``fill_missing=False`` refuses packages that lack a feature of the model, as the reference does. ``batch_id`` names
+    the append to the history: a job that is run again under the same one appends nothing more.
+    """
     model, meta = S.load_model(model_dir)
-    scored = cut_lineage(score_packages(model, meta, packages, run_date, conditions, city, scale))
+    scored = cut_lineage(score_packages(model, meta, packages, run_date, conditions, city, scale, fill_missing))
     summary = RK.risk_summary(scored).first().asDict()
     S.write_daily_reports(scored, f"{out_dir}/reports", run_date)
     version = f"{meta['model_name']}_{meta.get('saved_at', 'unknown')}"
     hist = RK.prediction_history(scored, run_date, city, version)
-    written = S.append_predictions(hist, f"{out_dir}/history")
+    written = S.append_predictions(hist, f"{out_dir}/history", batch_id=batch_id)
     return {"summary": summary, "history_rows": written, "model_version": version}
 
 
+def daily_inference_job(spark: SparkSession, model_dir: str, folders, run_date: str, out_dir: str, **how) -> dict:
+    """M7 as it runs each morning: finds the day's file in the first of the folders that has it, scores and records it.
+
+    The day and the file name the append, so a second run of the day adds no rows. ``how`` is handed to
+    ``batch_inference_job``.
+    """
+    path = FS.find_daily(spark, folders, run_date)
+    packages = FS.read_daily(spark, path)
+    name = f"{run_date}-{path.rstrip('/').rpartition('/')[2]}"
+    batch = how.pop("batch_id", None) or re.sub(r"[^A-Za-z0-9_.-]", "_", name)
+    return {**batch_inference_job(spark, model_dir, packages, run_date, out_dir, batch_id=batch, **how), "path": path}
+
+
+def drift_job(spark: SparkSession, expected: DataFrame, actual: DataFrame, features, run_date: str, out_dir: str) -> dict:
+    """A23 as a job: the verdict is logged, the alerts of the day are appended once; with too few rows neither is computed."""
+    summary, alerts = DR.check_drift(expected, actual, features, run_date)
+    verdict = summary.first().asDict()
+    S.log_run(spark, out_dir, run_date, "drift", verdict)
+    return {**verdict, "alert_rows": S.append_drift_alerts(alerts, f"{out_dir}/history", batch_id=run_date)}
+
+
 def version_column(meta: dict):
     return model_version(F.lit(meta["model_name"]), F.lit(meta.get("saved_at")))

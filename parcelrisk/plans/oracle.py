@@ -748,20 +748,23 @@ def _drift_oracles(suffix: str, exp_cond: str, act_cond: str):
     ORACLE[f"psi_{suffix}"] = W("SELECT feature, psi_rounded AS psi, severity FROM psi", "deliveries", extra=ctes)
     ORACLE[f"drift_alerts_{suffix}"] = W("""
 SELECT DATE '1998-01-01' AS alert_date, feature AS feature_name, psi_rounded AS psi_value, severity
-FROM psi WHERE severity <> 'OK'""", "deliveries", extra=ctes)
+FROM psi WHERE severity <> 'OK' AND (SELECT n FROM n_act) >= 1000""", "deliveries", extra=ctes)
     ORACLE[f"drift_summary_{suffix}"] = W(f"""
-SELECT CASE WHEN (SELECT n FROM n_act) < 1000 THEN 'insufficient_data'
-            WHEN n_alerts > 0 THEN 'ALERT' ELSE 'OK' END AS status,
-  {_rnd('overall', 4)} AS overall_psi, n_features, n_alerts, features_with_drift
-FROM (SELECT CAST(count(*) AS BIGINT) AS n_features, avg(psi_rounded) AS overall,
+SELECT CASE WHEN NOT enough THEN 'insufficient_data' WHEN n_alerts > 0 THEN 'ALERT' ELSE 'OK' END AS status,
+  CASE WHEN enough THEN {_rnd('overall', 4)} END AS overall_psi, CASE WHEN enough THEN n_features ELSE 0 END AS n_features,
+  CASE WHEN enough THEN n_alerts ELSE 0 END AS n_alerts, CASE WHEN enough THEN features_with_drift ELSE '' END AS features_with_drift
+FROM (SELECT (SELECT n FROM n_act) >= 1000 AS enough, * FROM (SELECT CAST(count(*) AS BIGINT) AS n_features, avg(psi_rounded) AS overall,
         CAST(count(*) FILTER (WHERE severity = 'ALERT') AS BIGINT) AS n_alerts,
         coalesce(string_agg(feature, ',' ORDER BY pos) FILTER (WHERE severity = 'ALERT'), '')
-          AS features_with_drift FROM psi)""", "deliveries", extra=ctes)
+          AS features_with_drift FROM psi))""", "deliveries", extra=ctes)
 
 
 _drift_oracles("by_feature", "date < DATE '1998-01-01'", "NOT (date < DATE '1998-01-01')")
 _drift_oracles("seasonal", "month(date) <= 6", "NOT (month(date) <= 6)")
-ORACLE["psi_by_feature"] = ORACLE.pop("psi_by_feature")
+ORACLE["drift_summary_one_day"] = W("""
+SELECT CASE WHEN count(*) < 1000 THEN 'insufficient_data' END AS status, CAST(NULL AS DOUBLE) AS overall_psi, CAST(0 AS BIGINT) AS n_features,
+  CAST(0 AS BIGINT) AS n_alerts, '' AS features_with_drift
+FROM deliveries WHERE date = (SELECT max(date) FROM deliveries)""", "deliveries")
 ORACLE["drift_alerts"] = ORACLE.pop("drift_alerts_by_feature")
 ORACLE["drift_summary"] = ORACLE.pop("drift_summary_by_feature")
 
@@ -842,3 +845,22 @@ SELECT feature, {_rnd('sum(g / t) / 2.0::DOUBLE', 6)} AS importance FROM (
     UNION ALL SELECT 1, 'hour', 0.02::DOUBLE * count(*) FROM clean
     UNION ALL SELECT 1, 'driver_quality_score', 0.01::DOUBLE * count(*) FROM clean WHERE hour <= 12))
 GROUP BY feature""", "deliveries", extra={"clean": CLEAN})
+
+# ------------------------------------------------------------------ exact duplicates, and a city without a reading
+_TWICE = {"repeated": "SELECT * FROM deliveries UNION ALL SELECT * FROM deliveries WHERE src_partkey % 41 = 0"}
+ORACLE["dedup_exact_repeated"] = W(f"SELECT DISTINCT {BUSINESS} FROM repeated", "deliveries", extra=_TWICE)
+ORACLE["dedup_counts_repeated"] = W(f"""
+SELECT CAST(count(*) AS BIGINT) AS rows_in,
+  CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT {BUSINESS} FROM repeated)) AS BIGINT) AS dropped_row_dups,
+  CAST((SELECT count(*) FROM (SELECT DISTINCT {BUSINESS} FROM repeated)) - count(DISTINCT delivery_id) AS BIGINT) AS dropped_id_dups,
+  CAST(count(DISTINCT delivery_id) AS BIGINT) AS rows_after_dedup
+FROM repeated""", "deliveries", extra=_TWICE)
+
+_MORE = {"more_stations": "SELECT * FROM stations UNION ALL SELECT 'zaragoza', '9434'",
+         "conditions": CONDITIONS.replace("FROM stations s", "FROM more_stations s").replace(
+             "coalesce(", "CASE WHEN l.station IS NOT NULL THEN coalesce(").replace("0.0::DOUBLE) AS", "0.0::DOUBLE) END AS")}
+ORACLE["display_weather_gap"] = ORACLE["display_weather"].replace("conditions AS (" + CONDITIONS, "more_stations AS (" + _MORE["more_stations"]
+                                                                   + "),\nconditions AS (" + _MORE["conditions"])
+ORACLE["realtime_weather_gap"] = W("SELECT zone, " + ", ".join(
+    f"CASE WHEN weather_rain IS NULL THEN 0.0::DOUBLE ELSE {c} END AS {c}" for c in _RT6) + " FROM realtime",
+    "observations", "stations", extra={**_MORE, "realtime": REALTIME})

@@ -67,6 +67,46 @@ def daily_packages_path(base: str, run_date: str, pattern: str = "today_packages
     return f"{base.rstrip('/')}/{pattern.format(date=run_date)}"
 
 
+def find_daily(spark: SparkSession, folders: Sequence[str], run_date: str, pattern: str = "today_packages_{date}.csv") -> str:
+    """The path of the day's landed file in the first of the folders that has one (S21); of several there the smallest.
+
+    The file system's listing decides; no file is opened. The error names every place that was searched.
+    """
+    searched = []
+    for folder in folders:
+        searched.append(daily_packages_path(folder, run_date, pattern))
+        try:
+            found = list_paths(spark, folder, pattern.format(date=run_date)).agg(F.min("path")).first()[0]
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            found = None
+        if found:
+            return found
+    raise FileNotFoundError("no packages of the day; searched:\n  " + "\n  ".join(searched))
+
+
+def read_daily(spark: SparkSession, path: str, schema: T.StructType = DELIVERY_SCHEMA) -> DataFrame:
+    """A landed CSV by its own header: known columns get the contract's types, whatever their order and number.
+
+    ``True`` and ``False`` in whole-number columns count as 1 and 0; what doesn't read as its type is NULL; unknown
+    columns stay text.
+    """
+    raw = spark.read.option("header", True).csv(path)
+    kinds = {f.name: f.dataType for f in schema.fields}
+
+    def typed(c: str) -> Column:
+        value = F.col(f"`{c}`")
+        if c not in kinds:
+            return value
+        cast = value.try_cast(kinds[c])
+        if isinstance(kinds[c], T.IntegerType):
+            cast = F.when(F.lower(F.trim(value)) == "true", F.lit(1)).when(F.lower(F.trim(value)) == "false", F.lit(0)).otherwise(cast)
+        return cast.alias(c)
+
+    return raw.select(*map(typed, raw.columns))
+
+
 def read_json_records(spark: SparkSession, path: str | Sequence[str], station_from_path: bool = True,
                       arrays: bool = True) -> DataFrame:
     """Landed weather records; all values read as text.
