@@ -1,12 +1,12 @@
 """Population Stability Index drift monitoring.
 
 All features are handled in one job. Both frames are unpivoted to
-(side, feature, value) and collapsed to distinct values with counts (a
-partial aggregation), so everything after that scales with the number of
-distinct values, not rows.
+(position, value) and collapsed to distinct values with the counts of both
+sides (a partial aggregation), dealt by ranges; everything after that scales
+with the number of distinct values, not rows.
 
 Quantile edges follow NumPy's linear ``percentile`` exactly: the two order
-statistics around ``q * (n - 1)`` are found with a two-level exact search
+statistics around ``q * (n - 1)`` are found by prefix sums over the ranges
 (``order_statistics``) and blended with NumPy's two-sided lerp. (Spark's ``percentile`` blends as
 ``(h-p)*lo + (p-l)*hi``, which moves tied edges by an ulp and changes bin
 membership on discrete features.) Repeated edges are allowed; a value goes to
@@ -34,114 +34,92 @@ def float_features(expected: DataFrame, actual: DataFrame, feature_cols, limit:
     return cols[:limit]
 
 
-def _long(df: DataFrame, side: str, features) -> DataFrame:
-    kv = F.explode(F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(f).alias("feature"),
-                                      F.col(f).cast("double").alias("value"))
-                             for i, f in enumerate(features)]))
-    return df.select(F.lit(side).alias("side"), kv.alias("kv")).select("side", "kv.*")
+def _value_counts(expected: DataFrame, actual: DataFrame, features) -> DataFrame:
+    """(pos, value, n_e, n_a) per distinct value of each feature, counted on both sides at once.
+
+    Features go by their position: what is hashed and shuffled is an int, a double and two counts.
+    """
+    each = F.posexplode(F.array(*[F.col(f).cast("double") for f in features])).alias("pos", "value")
+    both = (expected.select(F.lit(1).alias("_e"), each).unionByName(actual.select(F.lit(0).alias("_e"), each)))
+    return both.groupBy("pos", "value").agg(F.sum("_e").alias("n_e"), F.sum(F.lit(1) - F.col("_e")).alias("n_a"))
 
 
-def _value_counts(expected: DataFrame, actual: DataFrame, features) -> DataFrame:
-    both = _long(expected, "e", features).unionByName(_long(actual, "a", features))
-    return both.groupBy("side", "pos", "feature", "value").agg(F.count("*").alias("cnt"))
+def _ranged(values: DataFrame, key: str) -> DataFrame:
+    """Distinct values with counts, dealt by ranges of (key, value) that are numbered in ``_range``, and written: the bounds
+    are sampled, so the same deal must be read by all that follows."""
+    return cut_lineage(values.repartitionByRange(key, "value").withColumn("_range", F.spark_partition_id()))
 
 
-def order_statistics(values: DataFrame, ranks: DataFrame, buckets: int = 1024,
-                     accuracy: int = 10000) -> DataFrame:
+def order_statistics(values: DataFrame, ranks: DataFrame, key: str = "feature", count: str = "cnt") -> DataFrame:
     """Exact k-th smallest values, without a per-feature window over all values.
 
-    ``values``: (feature, value, cnt) distinct values with multiplicities.
-    ``ranks``: (feature, idx, ...) 0-based target ranks (extra columns are kept).
-    Approximate quantiles split each feature's distinct values into ~``buckets``
-    value ranges; exact counts per range give every range's first rank (a prefix
-    sum over <= buckets + 1 rows per feature); only the ranges that contain a
-    target rank are then ordered, each in its own task. Exactness does not
-    depend on the approximate bounds - they only balance the ranges.
+    ``values``: (key, value, count) distinct values with multiplicities. ``ranks``: (key, idx, ...) 0-based target ranks
+    (extra columns are kept). The values lie in ranges; totals per key and range, a small table, give each range's
+    first rank, and running sums inside a range do the rest, one range per task.
     """
-    qs = [i / buckets for i in range(1, buckets)]
-    bounds = values.groupBy("feature").agg(F.percentile_approx("value", qs, accuracy).alias("_bounds"))
-    v = F.col("value")
-    tagged = (values.join(F.broadcast(bounds), "feature")  # one row of bounds per feature
-              .withColumn("_bk", F.size(F.filter("_bounds", lambda b: b < v))).drop("_bounds"))
-    per = tagged.groupBy("feature", "_bk").agg(F.sum("cnt").alias("_n"))
-    upto = Window.partitionBy("feature").orderBy("_bk").rowsBetween(Window.unboundedPreceding, 0)
-    per = per.withColumn("_end", F.sum("_n").over(upto)).withColumn("_start", F.col("_end") - F.col("_n"))
-    r = ranks.alias("r")
-    located = (per.alias("p").join(F.broadcast(r), (F.col("r.feature") == F.col("p.feature"))
-                                   & (F.col("r.idx") >= F.col("p._start")) & (F.col("r.idx") < F.col("p._end")))
-               .select("r.*", "p._bk", "p._start"))
-    need = located.select("feature", "_bk", "_start").distinct()        # <= ranks rows
-    inside = tagged.join(F.broadcast(need), ["feature", "_bk"])
-    within = Window.partitionBy("feature", "_bk").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    inside = (inside.withColumn("_e", F.col("_start") + F.sum("cnt").over(within))
-              .withColumn("_s", F.col("_e") - F.col("cnt")).select("feature", "_bk", "value", "_s", "_e"))
-    lo = located.alias("l")
-    hit = inside.alias("i").join(F.broadcast(lo), (F.col("l.feature") == F.col("i.feature"))
-                                 & (F.col("l._bk") == F.col("i._bk")) & (F.col("l.idx") >= F.col("i._s"))
-                                 & (F.col("l.idx") < F.col("i._e")))
-    return hit.select("l.*", F.col("i.value").alias("value")).drop("_bk", "_start")
-
-
-def quantile_edges(value_counts: DataFrame, buckets: int = C.PSI_BUCKETS,
-                   eps: float = C.PSI_EPS) -> DataFrame:
-    """(pos, feature, n, edges) from the expected side's distinct-value counts."""
-    ev = value_counts.filter((F.col("side") == "e") & F.col("value").isNotNull())
-    n = ev.groupBy("pos", "feature").agg(F.sum("cnt").alias("n"))
-    spark = value_counts.sparkSession
-    qs = spark.createDataFrame([(i, (i * (100.0 / buckets)) / 100.0) for i in range(buckets + 1)],
-                               "qi int, q double")
+    v = values if "_range" in values.columns else _ranged(values.filter(F.col("value").isNotNull()), key)
+    per = v.groupBy(key, "_range").agg(F.sum(count).alias("_n"))                      # ranges and keys, no values
+    before = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    first = per.select(key, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    inside = Window.partitionBy(key, "_range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    placed = (v.join(F.broadcast(first), [key, "_range"])
+              .withColumn("_e", F.col("_first") + F.sum(count).over(inside)).withColumn("_s", F.col("_e") - F.col(count))
+              .select(key, "value", "_s", "_e"))
+    hit = placed.alias("p").join(F.broadcast(ranks.alias("r")), (F.col(f"r.{key}") == F.col(f"p.{key}"))   # a few ranks per key
+                                 & (F.col("r.idx") >= F.col("p._s")) & (F.col("r.idx") < F.col("p._e")))
+    return hit.select("r.*", F.col("p.value").alias("value"))
+
+
+def quantile_edges(counts: DataFrame, buckets: int = C.PSI_BUCKETS, eps: float = C.PSI_EPS) -> DataFrame:
+    """(pos, n, edges) from the expected side of ranged value counts."""
+    ev = counts.filter((F.col("n_e") > 0) & F.col("value").isNotNull())
+    n = ev.groupBy("pos").agg(F.sum("n_e").alias("n"))
+    spark = counts.sparkSession
+    qs = spark.createDataFrame([(i, (i * (100.0 / buckets)) / 100.0) for i in range(buckets + 1)], "qi int, q double")
     ranks = (n.crossJoin(F.broadcast(qs))  # features x (buckets + 1) rows
-             .withColumn("_vi", F.col("q") * (F.col("n") - 1))
-             .withColumn("_lo", F.floor("_vi")).withColumn("_hi", F.ceil("_vi"))
-             .withColumn("_t", F.col("_vi") - F.col("_lo")))
-    wanted = (ranks.select("feature", "qi", F.lit("lo").alias("side_of"), F.col("_lo").alias("idx"))
-              .unionByName(ranks.select("feature", "qi", F.lit("hi").alias("side_of"), F.col("_hi").alias("idx"))))
-    stats = order_statistics(ev.select("feature", "value", "cnt"), wanted)
-    lo = stats.filter(F.col("side_of") == "lo").select("feature", "qi", F.col("value").alias("v_lo"))
-    hi = stats.filter(F.col("side_of") == "hi").select("feature", "qi", F.col("value").alias("v_hi"))
-    pts = ranks.select("pos", "feature", "n", "qi", "_t").join(lo, ["feature", "qi"]).join(hi, ["feature", "qi"])
+             .withColumn("_vi", F.col("q") * (F.col("n") - 1)).withColumn("_t", F.col("_vi") - F.floor("_vi")))
+    wanted = ranks.select("pos", "n", "qi", "_t", F.explode(F.array(
+        F.struct(F.lit(0).alias("_hi"), F.floor("_vi").alias("idx")), F.struct(F.lit(1).alias("_hi"), F.ceil("_vi").alias("idx")))).alias("w"))
+    stats = order_statistics(ev, wanted.select("pos", "n", "qi", "_t", "w._hi", "w.idx"), "pos", "n_e")
+    pts = stats.groupBy("pos", "n", "qi", "_t").agg(F.max(F.when(F.col("_hi") == 0, F.col("value"))).alias("v_lo"),
+                                                    F.max(F.when(F.col("_hi") == 1, F.col("value"))).alias("v_hi"))
     diff = F.col("v_hi") - F.col("v_lo")
     lerp = F.when(F.col("_t") >= 0.5, F.col("v_hi") - diff * (F.lit(1.0) - F.col("_t"))) \
         .otherwise(F.col("v_lo") + diff * F.col("_t"))
     edge = (F.when(F.col("qi") == 0, lerp - F.lit(eps))
             .when(F.col("qi") == buckets, lerp + F.lit(eps)).otherwise(lerp))
     pts = pts.withColumn("edge", edge)
-    return pts.groupBy("pos", "feature", "n").agg(
+    return pts.groupBy("pos", "n").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("qi", "edge"))), lambda s: s["edge"]).alias("edges"))
 
 
 def psi_by_feature(expected: DataFrame, actual: DataFrame, features, buckets: int = C.PSI_BUCKETS,
                    eps: float = C.PSI_EPS, warn: float = C.PSI_WARN, alert: float = C.PSI_ALERT) -> DataFrame:
     """(pos, feature, psi, psi_rounded, severity) for every feature, one job."""
-    # one row per (side, feature, distinct value); read by five branches below, so it is
-    # materialised once rather than re-derived from both raw frames each time
-    vc = cut_lineage(_value_counts(expected, actual, features))
+    features = list(features)
+    # one row per feature and distinct value, with the counts of both sides; read by the branches below
+    vc = _ranged(_value_counts(expected, actual, features), "pos")
     edges = quantile_edges(vc, buckets, eps)
-    sides = vc.groupBy("side", "feature").agg(F.sum("cnt").alias("len"))
-    e = F.col("edges")
-    v = F.col("value")
-    idx = F.size(F.filter(e, lambda x: x <= v)) - 1
+    e, v = F.col("edges"), F.col("value")
     inside = (v >= e[0]) & (v <= e[buckets])
-    binned = (vc.join(F.broadcast(edges.select("feature", "edges")), "feature")  # a row per feature
-              .filter(inside)
-              .withColumn("bin", F.least(idx, F.lit(buckets - 1)))
-              .groupBy("side", "feature", "bin").agg(F.sum("cnt").alias("cnt")))
-    grid = edges.select("pos", "feature", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bin"))
-    pe = binned.filter(F.col("side") == "e").select("feature", "bin", F.col("cnt").alias("ce"))
-    pa = binned.filter(F.col("side") == "a").select("feature", "bin", F.col("cnt").alias("ca"))
-    le = sides.filter(F.col("side") == "e").select("feature", F.col("len").alias("le"))
-    la = sides.filter(F.col("side") == "a").select("feature", F.col("len").alias("la"))
-    t = (grid.join(pe, ["feature", "bin"], "left").join(pa, ["feature", "bin"], "left")
-         .join(le, "feature").join(la, "feature"))
+    at = F.least(F.size(F.filter(e, lambda x: x <= v)) - 1, F.lit(buckets - 1))   # one of a few edges
+    per_bin = (vc.join(F.broadcast(edges.select("pos", "edges")), "pos")           # a row per feature
+               .groupBy("pos", F.when(inside, at).alias("bin")).agg(F.sum("n_e").alias("ce"), F.sum("n_a").alias("ca")))
+    every = Window.partitionBy("pos")                                              # buckets + 1 rows per feature
+    binned = per_bin.withColumns({"le": F.sum("ce").over(every), "la": F.sum("ca").over(every)})
+    grid = edges.select("pos", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bin"))
+    totals = binned.groupBy("pos").agg(F.max("le").alias("le"), F.max("la").alias("la"))
+    t = (grid.join(F.broadcast(binned.select("pos", "bin", "ce", "ca")), ["pos", "bin"], "left").join(F.broadcast(totals), "pos"))
     ep = F.coalesce(F.col("ce"), F.lit(0)) / (F.col("le") + F.lit(eps))
     ap = F.coalesce(F.col("ca"), F.lit(0)) / (F.col("la") + F.lit(eps))
     ep = F.when(ep == 0, F.lit(eps)).otherwise(ep)
     ap = F.when(ap == 0, F.lit(eps)).otherwise(ap)
     term = (ap - ep) * F.log(ap / ep)
-    psi = t.groupBy("pos", "feature").agg(F.sum(term).alias("psi"))
+    psi = t.groupBy("pos").agg(F.sum(term).alias("psi"))
     sev = (F.when(F.col("psi") < warn, F.lit("OK")).when(F.col("psi") < alert, F.lit("WARN"))
            .otherwise(F.lit("ALERT")))
-    return psi.select("pos", "feature", "psi", np_round("psi", 4).alias("psi_rounded"), sev.alias("severity"))
+    names = F.array(*[F.lit(f) for f in features])
+    return psi.select("pos", F.get(names, F.col("pos")).alias("feature"), "psi", np_round("psi", 4).alias("psi_rounded"), sev.alias("severity"))
 
 
 def drift_summary(psi: DataFrame, n_current: DataFrame | None = None,

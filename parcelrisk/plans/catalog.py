@@ -350,8 +350,9 @@ def q_daily_projection(spark, sf):
 
 @query("model_comparison")
 def q_model_comparison(spark, sf):
-    return M.compare_models([("rule_scorecard", M.evaluate(scored(spark, sf))),
-                             ("rule_scorecard_weather", M.evaluate(scored(spark, sf, enriched=True)))])
+    plain = clean_deliveries(spark, sf).withColumn("_plain", round_prob(rule_probability()))
+    both = WX.enrich_with_weather(plain, X.weather_daily(spark, sf)).withColumn("_weather", round_prob(rule_probability()))
+    return M.evaluate_together(both, {"rule_scorecard": "_plain", "rule_scorecard_weather": "_weather"}, label=C.TARGET)
 
 
 # ------------------------------------------------------------------ operations layer

@@ -57,11 +57,12 @@ def gold_features(clean: DataFrame, exclude=C.EXCLUDE_COLS + TRACE_EXCLUDE):
 
 
 def evaluate_models(models: dict, data: DataFrame, label: str = C.TARGET) -> DataFrame:
-    rows = []
-    for name, model in models.items():
-        scored = ML.score(model, data).select(F.col("prob").alias("score"), F.col(label).alias("label"))
-        rows.append((name, M.evaluate(scored)))
-    return M.compare_models(rows)
+    """All models' metrics: every model adds its score to the same rows, which are read once."""
+    scores, scored = {}, data
+    for i, (name, model) in enumerate(models.items()):
+        scores[name] = f"_score_{i}"
+        scored = ML.score(model, scored, out=scores[name])
+    return M.evaluate_together(scored, scores, label=label)
 
 
 def training_job(spark: SparkSession, raw: DataFrame, out_dir: str, run_date: str,

@@ -60,3 +60,24 @@ def test_skewed_key_keeps_partial_aggregation(spark):
     out = Q.keep_first(hot, "k", ["o"])
     assert out.count() == 20001
     assert out.filter("k = 'hot'").first()["o"] == 0
+
+
+def test_split_evaluates_its_frame_once(spark):
+    """Cuts are selected from written hashes; what is returned reads the base once and only compares hashes."""
+    from parcelrisk.operators.split import stratified_split
+    from parcelrisk.plans.fixtures import deliveries
+    plan = stratified_split(deliveries(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lineitem.parquet") == 1 and "Window" not in plan
+
+
+def test_models_are_compared_in_one_pass(spark):
+    """The scored rows are melted to counts once; more models add no reading of them."""
+    from parcelrisk.operators import metrics as M
+    rows = spark.range(500).selectExpr("id", "pmod(xxhash64(id), 7) / 7.0 as a", "pmod(xxhash64(id, 1), 400) / 400.0 as b",
+                                       "cast(pmod(xxhash64(id, 2), 3) = 0 as int) as label")
+    plan = M.melted_counts(rows, {"x": "a", "y": "b"})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Range (0") == 1
+    one_by_one = M.compare_models([(m, M.evaluate(rows.select(c, "label"), c)) for m, c in (("x", "a"), ("y", "b"))])
+    together = M.evaluate_together(rows, {"x": "a", "y": "b"})
+    assert together.columns == one_by_one.columns
+    assert sorted(map(tuple, together.collect())) == sorted(map(tuple, one_by_one.collect()))
