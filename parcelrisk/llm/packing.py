@@ -15,6 +15,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -23,11 +24,10 @@ from pyspark.sql import functions as F
 from parcelrisk.llm.bpe import byte_stand_ins
 from parcelrisk.llm.common import blocks, map_rows, stored, text_or_empty, type_of
 
-MAX_PATTERNS = 100_000    # patterns offered to the fit; pieces no pattern takes are packed best-fit
 FIT_STEPS = 80
 RANK_ROWS = 100_000       # pieces ranked together
 BLOCK_CHARS = 2_000_000
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 600_000     # a cache; cleared when full
 #: Printable ASCII and the Latin letters of Western Europe, which are composed already and have simple lower cases.
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 #: The vocabulary file's way to cut a word of such characters.
@@ -78,7 +78,7 @@ class WordBpe:
             self.known.clear()
         if len(self.pieces) > KNOWN_WORDS:
             self.pieces.clear()
-        self._learn([w for w in {w for ws in words for w in ws} if w not in self.known])
+        self._learn(list(set(chain.from_iterable(words)).difference(self.known)))
         get = self.known.__getitem__
         return [b"".join(map(get, ws)) for ws in words]
 
@@ -111,10 +111,10 @@ def cut_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, id_col: s
     return map_rows(rows, run, schema + (", ids array<long>" if with_ids else ""))
 
 
-def enumerate_patterns(counts: np.ndarray, max_patterns: int = MAX_PATTERNS) -> np.ndarray:
-    """Triples of lengths, 0 for none, that sum to the capacity; ``counts`` by length, 0 to the capacity.
+def enumerate_patterns(counts: np.ndarray) -> np.ndarray:
+    """All triples of lengths, 0 for none, that sum to the capacity; ``counts`` by length, 0 to the capacity.
 
-    Of more than ``max_patterns``, those whose scarcest length is most frequent.
+    There are at most capacity^2 / 12 of them, 1.4 million for 4096, however many pieces there are.
     """
     cap = len(counts) - 1
     present = counts > 0
@@ -125,11 +125,7 @@ def enumerate_patterns(counts: np.ndarray, max_patterns: int = MAX_PATTERNS) ->
         c = cap - a - b
         fits = (c >= 0) & (c <= b) & (present[np.maximum(c, 0)] | (c == 0))
         found.append(np.column_stack([np.full(fits.sum(), a), b[fits], c[fits]]))
-    patterns = np.concatenate(found) if found else np.empty((0, 3), np.int64)
-    if len(patterns) > max_patterns:
-        have = np.where(patterns > 0, counts[patterns], counts.max())
-        patterns = patterns[np.sort(np.argsort(-have.min(axis=1), kind="stable")[:max_patterns])]
-    return patterns
+    return np.concatenate(found) if found else np.empty((0, 3), np.int64)
 
 
 def fit_repeats(patterns: np.ndarray, counts: np.ndarray, steps: int = FIT_STEPS) -> np.ndarray:
