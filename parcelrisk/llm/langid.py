@@ -7,7 +7,6 @@ and their log-probabilities are averaged.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,11 +19,9 @@ WINDOW = 256                 # bytes
 WIDTHS = (2, 3, 4, 5)        # bytes that a filter sees
 FILTERS = 10                 # of each width
 EMBED = 8
-TRAIN_TEXTS = 3000           # training documents of a language at most; this bounds what the driver gets
-TRAIN_WINDOWS = 2            # of each
+TRAIN_TEXTS = 1500           # training documents of a language at most; all windows of their whole texts are learnt from
 STEPS, BATCH, RATE = 900, 64, 4e-3
 BLOCK_WINDOWS = 512          # scored at once
-_LETTER = re.compile(r"[^\W\d_]")
 _UPPER = np.arange(256, dtype=np.uint8)
 _UPPER[65:91] += 32
 
@@ -120,8 +117,13 @@ def to_windows(data: bytes) -> np.ndarray:
     return out.reshape(n, WINDOW)
 
 
-def training_windows(docs: DataFrame, id_col: str, text_col: str, label_col: str) -> list[tuple[str, str]]:
-    """(label, window) of at most TRAIN_TEXTS documents of each label, chosen by a hash."""
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter; numeric signs such as a half or a Roman numeral's are none."""
+    return any(map(str.isalpha, text))
+
+
+def training_windows(docs: DataFrame, id_col: str, text_col: str, label_col: str) -> list[tuple[str, np.ndarray]]:
+    """(label, windows of the whole text) of at most TRAIN_TEXTS documents of each label, chosen by a hash. They are cut in tasks."""
     h = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(1_000_000))
     rows = (docs.filter(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
             .select(F.col(label_col).cast("string").alias("label"), F.col(text_col).alias("text"), h.alias("h")))
@@ -129,21 +131,25 @@ def training_windows(docs: DataFrame, id_col: str, text_col: str, label_col: str
     if not counts:
         return []
     share = F.element_at(F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, TRAIN_TEXTS / n))]), F.col("label"))
-    room = F.greatest(F.length("text") - WINDOW, F.lit(0)) + 1
-    cuts = [F.substring(F.col("text"), (F.pmod(F.xxhash64("h", F.lit(i)), room) + 1).cast("int"), F.lit(WINDOW)) for i in range(TRAIN_WINDOWS)]
-    picked = (rows.filter(F.col("h") < share * 1_000_000).orderBy("h", "label", "text").limit(2 * TRAIN_TEXTS * len(counts))
-              .select("label", F.array(*cuts).alias("cuts")))
-    return [(r["label"], c) for r in picked.collect() for c in r["cuts"]]
+    picked = rows.filter(F.col("h") < share * 1_000_000).orderBy("h", "label", "text").limit(2 * TRAIN_TEXTS * len(counts))
+
+    def run(it: Iterator[tuple]) -> Iterator[dict]:
+        for part in blocks(it, lambda r: len(r[1]), 1_000_000):
+            kept = [(y, to_windows(t.encode("utf-8", "surrogatepass")).tobytes()) for y, t in part if has_letter(t)]
+            yield {"label": [y for y, _ in kept], "windows": [w for _, w in kept]}
+
+    found = map_rows(picked.select("label", "text"), run, "label string, windows binary").collect()
+    return [(r["label"], np.frombuffer(r["windows"], np.uint8).reshape(-1, WINDOW)) for r in found]
 
 
 def train_langid(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> ByteConvNet | None:
     """A network for the labels of ``docs``; None if no row has a label and a letter."""
-    pairs = [(y, t) for y, t in training_windows(docs, id_col, text_col, label_col) if _LETTER.search(t)]
+    pairs = training_windows(docs, id_col, text_col, label_col)
     if not pairs:
         return None
     classes = sorted({y for y, _ in pairs})
-    windows = np.concatenate([to_windows(t.encode("utf-8", "surrogatepass"))[:1] for _, t in pairs])
-    return ByteConvNet(classes).train(windows, np.array([classes.index(y) for y, _ in pairs]))
+    labels = np.repeat([classes.index(y) for y, _ in pairs], [len(w) for _, w in pairs])
+    return ByteConvNet(classes).train(np.concatenate([w for _, w in pairs]), labels)
 
 
 def identify_language(docs: DataFrame, net: ByteConvNet | None, id_col: str = "doc_id", text_col: str = "text",
@@ -161,7 +167,7 @@ def identify_language(docs: DataFrame, net: ByteConvNet | None, id_col: str = "d
         for part in blocks(rows, lambda r: len(r[-1]), 1_000_000):
             out = dict(zip(names, map(list, zip(*(r[:-1] for r in part), strict=True)), strict=True))
             found: list[tuple[str, float]] = [("und", 0.0)] * len(part)
-            lettered = [i for i, r in enumerate(part) if _LETTER.search(r[-1])]
+            lettered = [i for i, r in enumerate(part) if has_letter(r[-1])]
             if lettered and model.value:
                 for i, x in zip(lettered, model.value.predict_texts([part[i][-1] for i in lettered]), strict=True):
                     found[i] = x

@@ -222,6 +222,22 @@ def test_windows_hold_all_bytes():
     assert langid.to_windows(b"").shape == (1, langid.WINDOW)
 
 
+def test_numeric_signs_are_no_letters(spark):
+    """Halves, squares, Roman numerals and circled numbers are undetermined; one letter makes a language."""
+    df = spark.createDataFrame([(0, "½ ②"), (1, "² Ⅷ _ 7"), (2, "½ a"), (3, "漢"), (4, "१२३")], "doc_id long, text string")
+    rows = langid.identify_language(df, langid.ByteConvNet(["en", "fr"])).collect()
+    assert {r["doc_id"] for r in rows if r["lang_pred"] == "und"} == {0, 1, 4}
+
+
+def test_language_learns_from_whole_texts(spark):
+    """All windows of a training text, its end included, each of them whole."""
+    text = "é" * 700 + "ende"
+    docs = spark.createDataFrame([(1, text, "fr"), (2, "½", "fr"), (3, None, "fr"), (4, "ok", None)], "doc_id long, text string, lang string")
+    (label, windows), = langid.training_windows(docs, "doc_id", "text", "lang")
+    assert label == "fr" and windows.shape == (-(-len(text.encode()) // langid.WINDOW), langid.WINDOW)
+    assert bytes(windows.ravel()).rstrip(b"\0") == text.encode()
+
+
 def test_language_odd(odd, nothing):
     rows = langid.identify_language(odd, langid.ByteConvNet(["en", "fr"])).collect()
     assert {r["doc_id"] for r in rows if r["lang_pred"] == "und"} == {0, 1, 4} and len(rows) == len(ODD)
