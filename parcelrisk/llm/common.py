@@ -17,7 +17,6 @@ from pyspark.sql.types import StructType
 from parcelrisk.session import ensure_checkpoint_dir
 
 
-SLICE = 500   # rows of a batch that are turned into Python values at once
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -75,13 +74,16 @@ def crc32_fold(doc_id: object, n: int) -> int:
     return zlib.crc32(str(doc_id).encode()) % n
 
 
-def map_rows(df: DataFrame, fn, schema: str) -> DataFrame:
-    """``mapInArrow`` over plain values: ``fn`` takes an iterator of row tuples and yields dicts of column lists."""
+def map_rows(df: DataFrame, fn, schema: str, at_once: int | None = None) -> DataFrame:
+    """``mapInArrow`` over plain values: ``fn`` takes an iterator of row tuples and yields dicts of column lists.
+
+    With ``at_once`` no more rows of a batch are turned into Python values together.
+    """
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (r for b in batches for i in range(0, b.num_rows, SLICE)
-                for r in zip(*(c.to_pylist() for c in b.slice(i, SLICE).columns), strict=True))
+        parts = (b.slice(i, at_once) for b in batches for i in range(0, b.num_rows, at_once)) if at_once else batches
+        rows = (r for b in parts for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
         for out in fn(rows):
             yield pa.RecordBatch.from_pydict(out, arrow)
 

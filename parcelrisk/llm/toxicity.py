@@ -375,7 +375,7 @@ def score_toxicity(docs: DataFrame, model: StringKernelMachine | None, id_col: s
             p = m.probabilities([r[-1] for r in part]) if m else np.zeros(len(part))
             yield out | {"score": p.tolist(), "predicted": (p >= threshold).astype(int).tolist()}
 
-    return map_rows(docs.select(*names, text_or_empty(F.col(text_col)).alias("_text")), run, schema)
+    return map_rows(docs.select(*names, text_or_empty(F.col(text_col)).alias("_text")), run, schema, at_once=500)
 
 
 def toxicity_of_documents(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1) -> DataFrame:
