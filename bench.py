@@ -34,6 +34,7 @@ HEADLINE = [
     "recent_rollup",
     "psi_by_feature",        # drift
     "train_logistic_regression",  # distributed model fit + evaluation
+    "train_boosted_trees",   # boosting with early stopping on the validation split
 ]
 
 
