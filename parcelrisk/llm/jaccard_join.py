@@ -12,11 +12,13 @@ the largest possible difference H of two linking sets is known. The universe is
 Which of the two is cheaper is decided per band from the number of its sets: signatures to shuffle against
 accidental matches. Candidates are verified exactly, on the shingles themselves.
 
-Equal sets are one class from the start. Within the sets of a signature only the smallest id is compared with the
-others at first, each set with its likeliest partner; what is linked so forms components, and a second round
-compares the candidates that lie in different components and share as many signatures as linking sets of their
-sizes must. No link between components is lost, and a group of many
-near copies costs a comparison per copy.
+Equal sets are one class from the start. Within the sets of a signature only one is compared with the others at first,
+each set with its likeliest partner, for a few rounds with another one each; what is linked so forms components, and a
+group of many near copies costs a few comparisons per copy. What is left are candidates in different components. Those
+of small signature groups are compared if they share as many signatures as linking sets of their sizes must. Sets of a
+crowded signature, as of a passage that many documents share, are asked for a second key that linking sets have in
+common: with all their shingles put in one order, the rarest first, one of the first size - overlap + 1, where the
+overlap is the smallest that a link allows for sets of the other's size band. No link between components is lost.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelrisk.llm.common import blocks, concat_ranges, map_rows, mix64, stored, text_or_empty, type_of
@@ -39,6 +41,9 @@ CHANCE = 0.005   # assumed share of unrelated sets that agree on one element of
 VERIFY = 1.0     # cost of an accidental match, in shuffled signatures; most are dropped by their count, unread
 GROWTH = 1.4     # of the size from band to band
 BAND_BITS = 8    # of a signature, which tell its band
+CROWD = 32       # sets of a signature up to which all pairs of them are candidates
+STAR_ROUNDS = 3  # in which each set is compared with one set of a signature
+SIZE_STEP = 0.05   # of the logarithm of sizes, between the size bands of the second key
 SMALL_IDS = 500_000    # as many ids are broadcast; more of them are joined by a shuffle
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -255,6 +260,52 @@ def _likely(pairs: DataFrame, classes: DataFrame, bands: Bands) -> DataFrame:
             .select("a", "b").distinct())
 
 
+def _star_pairs(shared: DataFrame, reached: DataFrame, turn: int) -> DataFrame:
+    """(a, b): each set with the one that leads most of its signatures in this turn, if that lies in another component."""
+    marked = shared.join(reached, "id", "left").select("sig", "id", F.coalesce("component", "id").alias("component"))
+    leads = (marked.groupBy("sig").agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), F.col("id").alias("a"), F.col("component").alias("ca"))).alias("s"),
+                                       F.min("component").alias("lo"), F.max("component").alias("hi"))
+             .filter("lo < hi").select("sig", "s.a", "s.ca"))
+    stars = marked.join(leads, "sig").filter("component <> ca").groupBy("a", F.col("id").alias("b")).agg(F.count("*").alias("k"))
+    return stars.groupBy("b").agg(F.max(F.struct("k", "a")).alias("s")).select(F.col("s.a").alias("a"), "b")
+
+
+def crowded_pairs(crowded: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """(a, b): the pairs of (id, component) in different components that share a second key; all that link are among them.
+
+    Linking sets of sizes s and t share at least percent * (s + t) / (100 + percent) shingles, so in any order of the
+    shingles their first common one is among the first s - overlap + 1 of either. The order is by the number of crowded
+    sets that have the shingle, so a shared passage comes last and hardly ever counts. Sizes go by narrow bands, and a set
+    has keys for its own band with each band that it may link with.
+    """
+    def run(rows: Iterator[tuple]) -> Iterator[dict]:
+        for part in blocks(rows, lambda r: len(r[1]), 500_000):
+            sets = [shingle_hashes(t, n) for _, t in part]
+            lens = np.array([len(x) for x in sets])
+            ids = pa.array([r[0] for r in part]).take(pa.array(np.repeat(np.arange(len(part)), lens)))
+            whole = np.array([int(mix64(x).sum().view(np.int64)) if len(x) else 0 for x in sets], np.int64)
+            yield {"id": ids, "s": np.repeat(whole, lens), "size": np.repeat(lens, lens), "e": np.concatenate(sets).view(np.int64)}
+
+    def band(size: Column) -> Column:
+        return F.floor(F.log(size) / SIZE_STEP).cast("int")
+
+    elements = stored(map_rows(_only(texts, crowded.select("id")).select("id", "text"), run, f"id {type_of(texts, 'id')}, s long, size long, e long"), "elements")
+    several = elements.groupBy("e").agg(F.count("*").alias("df")).filter("df > 1")
+    place = F.dense_rank().over(Window.partitionBy("id", "s").orderBy(F.coalesce("df", F.lit(1)), "e"))
+    least = F.ceil(percent * F.col("size") / 100)                  # of a partner's size, and of the overlap with it
+    first = (elements.join(several, "e", "left").withColumn("place", place)
+             .filter(F.col("df").isNotNull() & (F.col("place") <= F.col("size") - least + 1)))
+    other = F.explode(F.sequence(band(least), band(F.floor(100 * F.col("size") / percent))))
+    smallest = F.greatest(least, F.floor(0.999 * F.exp(F.col("other") * SIZE_STEP)))
+    overlap = F.ceil(percent * (F.col("size") + smallest) / (100 + percent))
+    keys = (first.withColumn("own", band(F.col("size"))).withColumn("other", other).filter(F.col("place") <= F.col("size") - overlap + 1)
+            .select("id", "e", "own", "other").distinct().join(crowded, "id"))
+    keys = stored(keys, "second-keys")
+    left = keys.select(F.col("id").alias("a"), F.col("component").alias("ca"), "e", "own", "other")
+    right = keys.select(F.col("id").alias("b"), F.col("component").alias("cb"), "e", F.col("own").alias("other"), F.col("other").alias("own"))
+    return left.join(right, ["e", "own", "other"]).filter((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b"))).select("a", "b").distinct()
+
+
 def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Columns id, n_shingles and component_id, the smallest id that links reach.
 
@@ -285,16 +336,28 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85, id_col: s
     best = stars.groupBy("b").agg(F.max(F.struct("k", "a")).alias("s")).select(F.col("s.a").alias("a"), "b")
     first = _verified(best, texts, n, percent)
     reached = stored(connected_components(first, kind), "reached")  # id, component; only of ids in a link
-
-    # second round: candidates between different components
-    marked = (shared.join(reached, "id", "left").select("sig", "id", F.coalesce("component", "id").alias("component")))
-    spans = marked.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("sig")
+    for turn in range(1, STAR_ROUNDS):
+        more = _verified(_star_pairs(shared, reached, turn), texts, n, percent)
+        first = stored(first.union(more), "links")
+        reached = stored(connected_components(first, kind), "reached")
+
+    # last round: candidates between different components
+    marked = shared.join(reached, "id", "left").select("sig", "id", F.coalesce("component", "id").alias("component"))
+    spans = (marked.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("sets"))
+             .filter("lo < hi").select("sig", "sets"))
     mixed = stored(marked.join(spans, "sig").distinct(), "mixed")
-    left = mixed.select("sig", F.col("id").alias("a"), F.col("component").alias("ca"))
-    right = mixed.select("sig", F.col("id").alias("b"), F.col("component").alias("cb"))
-    open_pairs = (left.join(right, "sig").filter((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")))
+    crowded = stored(mixed.filter(F.col("sets") > CROWD).select("id", "component").distinct(), "crowded")
+    # a pair of which one isn't crowded shares signatures of small groups only
+    few = mixed.filter(F.col("sets") <= CROWD).join(crowded.select("id", F.lit(True).alias("in_crowd")), "id", "left")
+    few = few.withColumn("in_crowd", F.col("in_crowd").isNotNull())
+    left = few.select("sig", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("in_crowd").alias("wa"))
+    right = few.select("sig", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("in_crowd").alias("wb"))
+    open_pairs = (left.join(right, "sig").filter((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & ~(F.col("wa") & F.col("wb")))
                   .groupBy("a", "b", F.expr(f"sig & {(1 << BAND_BITS) - 1}").alias("band")).agg(F.count("*").alias("k")))
-    second = _verified(_likely(open_pairs, classes, bands), texts, n, percent)
+    last = _likely(open_pairs, classes, bands)
+    if not crowded.isEmpty():
+        last = last.union(crowded_pairs(crowded, texts, n, percent)).distinct()
+    second = _verified(last, texts, n, percent)
     equal = (sets.join(classes, ["n_shingles", "h1", "h2"]).filter("id > rep").select(F.col("rep").alias("a"), F.col("id").alias("b")))
     all_links = stored(first.union(second).union(equal), "all-links")
     found = connected_components(all_links, kind)

@@ -90,6 +90,30 @@ def test_join_of_hot_passage(spark):
     compare(jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")), rows)
 
 
+@pytest.mark.parametrize("crowd", [0, 1, 3])
+def test_crowded_groups_lose_no_link(spark, crowd, monkeypatch):
+    """Near copies in chains, around a passage that all share, all found by the second key."""
+    monkeypatch.setattr(jaccard_join, "CROWD", crowd)
+    monkeypatch.setattr(jaccard_join, "STAR_ROUNDS", 1 + crowd)
+    rng = random.Random(crowd)
+    texts = list(enumerate(near_copies(crowd, 90, 25) + near_copies(crowd + 9, 30, 20)))
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts += [(i + 5000, passage + " " + " ".join(f"w{rng.randrange(40)}" for _ in range(rng.choice([3, 6, 9, 12, 40])))) for i in range(40)]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    compare(jaccard_components(df, 3, 80), texts, 3, 80)
+
+
+def test_a_shared_passage_makes_no_pairs(spark):
+    """300 words that all documents share beside 80 of their own: none link, and the second key opens no pair."""
+    passage = " ".join(f"p{i}" for i in range(300))
+    for count in (50, 100):
+        rows = [(i, passage + " " + " ".join(f"d{i}x{j}" for j in range(80))) for i in range(count)]
+        texts = spark.createDataFrame(rows, "id long, text string")
+        crowded = texts.select("id", texts["id"].alias("component"))
+        assert jaccard_join.crowded_pairs(crowded, texts, 4, 85).count() == 0
+    assert {r["component_id"] for r in jaccard_components(texts.withColumnRenamed("id", "doc_id")).collect()} == set(range(100))
+
+
 def test_join_odd(odd, nothing):
     compare(jaccard_components(odd), ODD)
     assert jaccard_components(nothing).count() == 0
