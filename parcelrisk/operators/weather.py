@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from parcelrisk import config as C
 from parcelrisk.operators.quality import keep_first
 from parcelrisk.functions.common import lenient_double, np_round
+from parcelrisk.session import stored
 from parcelrisk.functions.weather import (derived_weather, parse_date,
                                           parse_decimal_comma, parse_rain, zscore)
 
@@ -141,11 +142,12 @@ def enrich_with_weather(deliveries: DataFrame, weather: DataFrame,
 
     Originals are kept as ``<col>_synthetic``; derived weather flags are added;
     columns are ordered originals, weather, derived, synthetic. Of several weather
-    rows of a key the smallest one counts. Spark broadcasts the weather side if it is small.
+    rows of a key the smallest one counts. The weather, a row per key, is written first: by the size of its files
+    Spark broadcasts it if it is small, where an estimate from its source would shuffle and sort all deliveries.
     """
     keys = list(keys)
-    w = keep_first(weather.select(*keys, *[F.col(c).alias(f"_w_{c}") for c in WEATHER_COLS]), keys,
-                   [f"_w_{c}" for c in WEATHER_COLS])
+    w = stored(keep_first(weather.select(*keys, *[F.col(c).alias(f"_w_{c}") for c in WEATHER_COLS]), keys,
+                          [f"_w_{c}" for c in WEATHER_COLS]), "weather-by-key")
     originals = [c for c in deliveries.columns if c not in WEATHER_COLS]
     present = [c for c in WEATHER_COLS if c in deliveries.columns]
     d = deliveries.withColumns({f"{c}_synthetic": F.col(c) for c in present})
