@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from parcelrisk import config as C
 from parcelrisk.functions.common import is_missing
+from parcelrisk.session import stored
 
 
 # ---------------------------------------------------------------- S3 / P1 / P6
@@ -181,9 +182,11 @@ def dedup_counts(df: DataFrame, key: str = "delivery_id", position=()) -> DataFr
 # ---------------------------------------------------------------- A3
 def silver(df: DataFrame, key: str = "delivery_id", order=None, gate: bool = True,
            target: str = C.TARGET) -> DataFrame:
-    """cast -> dedup -> (gate) -> ranges -> weather, as one lazy plan."""
+    """cast -> dedup -> (gate) -> ranges -> weather; without the gate as one lazy plan, with it the deduplicated rows
+    are written once, and the gate and all that follows read them."""
     df = dedup_deliveries(cast_booleans(df), key, order)
     if gate:
+        df = stored(df, "deduplicated")
         validate_quality(df, target)
     return apply_weather_rules(apply_range_rules(df))
 
