@@ -1,4 +1,5 @@
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -136,3 +137,28 @@ def test_cast_booleans(spark):
     out = Q.cast_booleans(df)
     assert dict(out.dtypes)["b"] == "double"
     assert sorted(r["b"] for r in out.collect()) == [0.0, 1.0]
+
+
+def test_audit_shuffles_the_columns_of_a_row_once(spark):
+    """By id only positions and verdicts are shuffled, not the rows that the exact duplicates were found by."""
+    from parcelrisk.plans import fixtures as X
+    from conftest import SF_SMALL
+    plan = Q.first_verdicts(X.deliveries_dirty(spark, SF_SMALL), order=X.INGEST_ORDER)._jdf.queryExecution().executedPlan()
+    by_id = re.findall(r"Aggregate\(key=\[delivery_id#\d+\], .*", plan.toString())
+    assert by_id and not any(c in line for line in by_id for c in ("zone_type", "recipient_id", "product_type"))
+
+
+def test_audit_of_rows_that_share_a_position(spark):
+    """The first row among several of one position is the one that keep-first chooses, null ids included."""
+    rows = [("a", 1, 50.0, 1), ("a", 1, 10.0, 0), ("b", 1, 10.0, 1), ("b", 1, 10.0, 0), ("b", 2, -90.0, 1), ("c", 1, 10.0, 1),
+            ("c", 1, 10.0, 1), (None, None, 60.0, 0), (None, None, 10.0, 1), (None, 3, 10.0, None), ("d", 4, 10.0, None),
+            ("e", 1, 46.0, 1), ("e", 1, 47.0, 1)]
+    df = spark.createDataFrame(rows, "delivery_id string, o int, weather_temperature double, delivery_failed int")
+    a = Q.silver_audit(df, order=["o"]).first()
+    silver = Q.silver(df, order=["o"], gate=False)
+    want = silver.agg(F.count("*").alias("n"), F.sum("delivery_failed").alias("f"), F.avg("delivery_failed").alias("r")).first()
+    assert (a["rows_in"], a["rows_out"], a["failures"], a["failure_rate"]) == (13, want["n"], want["f"], want["r"])
+    assert (a["dropped_row_dups"], a["dropped_id_dups"]) == (1, 6)
+    assert a["dropped_ranges"] + a["dropped_meteo"] == 6 - a["rows_out"]
+    none = Q.silver_audit(df.limit(0), order=["o"]).first()
+    assert none["rows_out"] == 0 and none["rows_in"] is None and none["failure_rate"] is None
