@@ -13,7 +13,7 @@ from parcelrisk.llm.components import connected_components
 from parcelrisk.llm.fingerprints import PrefixHash, common_extension, edited_text, fingerprint_documents, likeness
 from parcelrisk.llm.jaccard_join import Bands, jaccard_components, links, shingle_hashes, shingle_set
 from parcelrisk.llm.queries import QUERIES
-from parcelrisk.llm.substring_dedup import remove_repeats, suffix_order, window_names
+from parcelrisk.llm.substring_dedup import _sorted, remove_repeats, suffix_order, window_names
 
 from .conftest import ODD, SF
 
@@ -226,6 +226,16 @@ def test_suffix_order():
         assert prefixes == sorted(prefixes)
 
 
+def test_keys_are_sorted_with_their_places():
+    """Packed with the place or, where that is too long, as they are: equal keys come by place either way."""
+    rng = np.random.default_rng(4)
+    for top in (3, 1 << 40, 1 << 62):
+        for n in (0, 1, 7, 5000):
+            key = np.concatenate([rng.integers(0, top, n), rng.integers(0, 3, n)])
+            order, ordered = _sorted(key)
+            assert (order == np.argsort(key, kind="stable")).all() and (ordered == np.sort(key)).all()
+
+
 def test_window_names_depend_on_the_window():
     d = np.random.default_rng(0).integers(97, 100, 400).astype(np.uint8)
     names = window_names(d, 50)
