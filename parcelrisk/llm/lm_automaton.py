@@ -7,8 +7,9 @@ and the class of all other words, which spells a word by its smoothed count with
 one traversal from left to right, which carries the state and adds up log-probabilities.
 
 States and arcs grow with the corpus, and none come to the driver. Tasks count the words and pairs of each chunk of
-texts; a window over each pair adds up its counts in all chunks, and each chunk gets the part of the automaton that
-its own texts can reach, by the chunk's number.
+texts and deal them by history to buckets, each chunk's share of a bucket as one row. A bucket adds up the counts of
+all chunks and sends each chunk its own, in the chunk's order and so without the keys; a chunk has them again from its
+texts. The pairs of very frequent histories are dealt by both words, and their arcs are summed over the buckets.
 """
 
 from __future__ import annotations
@@ -18,19 +19,23 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (as pa.compute)
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from parcelrisk.llm.common import blocks, fold, map_rows, stored, text_or_empty, type_of
+from parcelrisk.llm.common import blocks, fold, map_rows, mix64, stored, text_or_empty, type_of
 
 DISCOUNT = 0.75
-CHUNK_BYTES = 8 << 20       # text of a chunk, about
-FLUSH_TOKENS = 2_000_000    # counted in a task before counts are handed on
-KNOWN_WORDS = 500_000
-BATCH = 200_000             # rows handed on at once
+CHUNK_BYTES = 4 << 20       # text of a chunk, about
+BUCKET_BYTES = 8 << 20     # text whose pairs are added up at once, about
+HEAVY = 500_000             # occurrences from which a history's pairs are dealt by both words
+FLUSH_TOKENS = 700_000    # of words counted in a task before counts are handed on
+HELD_TOKENS = 2_000_000     # of chunks whose pairs a task counts together
+KNOWN_WORDS = 150_000
+ROWS = 500                  # rows handed on at once
 END = 1                     # key of the end token; words' keys are hashes
 START, OTHER, WORD = 2, 3, 4     # the history at a text's start, the class of all other words, and what counts of words stand under
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -58,74 +63,91 @@ def token_keys(text: str) -> np.ndarray:
     return np.fromiter((*map(_keys().__getitem__, words), END), np.int64, len(words) + 1)
 
 
+class Chunk:
+    """The words and pairs of a chunk's texts, each once: ``a`` is WORD or a history, ``b`` the word or the class after it.
+
+    Words come first, then pairs, both by their keys; ``word`` and ``pair`` have the place of each token's own.
+    """
+
+    def __init__(self, texts: list[np.ndarray], frequent: np.ndarray | None, heavy: np.ndarray, buckets: int):
+        self.lens = np.array([len(x) for x in texts])
+        self.starts = np.cumsum(self.lens) - self.lens
+        words, self.word = np.unique(np.concatenate(texts), return_inverse=True)
+        self.words = len(words)
+        values, at = np.unique(np.append(classes(words, frequent), START), return_inverse=True)
+        cls = at[:-1][self.word]
+        history = np.empty(len(cls), np.int64)
+        history[1:] = cls[:-1]
+        history[self.starts] = at[-1]
+        pairs, place = np.unique(history * len(values) + cls, return_inverse=True)
+        self.history, self.cls = pairs // len(values), pairs % len(values)   # places in values
+        self.values, self.class_of = values, at[:-1]
+        self.pair = place
+        self.a = np.concatenate([np.full(len(words), WORD), values[self.history]])
+        self.b = np.concatenate([words, values[self.cls]])
+        by = mix64(values.astype(np.uint64))
+        both = np.isin(values, heavy)[self.history]
+        dealt = np.where(both, mix64(by[self.history] + values[self.cls].astype(np.uint64)), by[self.history])
+        dealt = np.concatenate([mix64(words.astype(np.uint64)), dealt])      # a word goes where its arcs go
+        self.bucket = ((dealt >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+
+    def shares(self) -> Iterator[tuple[int, np.ndarray]]:
+        """Each bucket with the places of its words and pairs, in their order."""
+        order = np.argsort(self.bucket, kind="stable")
+        first = np.flatnonzero(np.diff(self.bucket[order], prepend=-1))
+        for i, j in zip(first.tolist(), [*first[1:].tolist(), len(order)], strict=True):
+            yield int(self.bucket[order[i]]), order[i:j]
+
+
 class Automaton:
     """The part of the automaton that a chunk's texts can reach."""
 
-    def __init__(self, table: dict[str, np.ndarray], ends: dict[int, tuple[int, int]], total: int, size: int, other: int,
-                 other_distinct: int, frequent: np.ndarray | None):
-        """``table`` has rows (a, b, c, arcs): the count of a pair, or under WORD a word's count and the arcs of its state.
-        ``ends`` has the tokens after START and OTHER, and their arcs; ``size`` classes and ``total`` tokens are in training,
-        ``other`` of them in the class of other words, which has ``other_distinct``. Without ``frequent`` all are states."""
-        word = table["a"] == WORD
-        self.keys, first = np.unique(table["b"][word], return_index=True)
-        self.counts, arcs = table["c"][word][first], table["arcs"][word][first]
-        self.frequent = frequent
-        n = len(self.keys)
-        self.start, self.other, self.size = n, n + 1, n + 2
+    def __init__(self, chunk: Chunk, c: np.ndarray, arcs: np.ndarray, ends: dict[int, tuple[int, int]], total: int, size: int,
+                 other: int, other_distinct: int, frequent: np.ndarray | None):
+        """``c`` has the training counts of the chunk's words and pairs, and ``arcs`` the arcs of its words' states. ``ends``
+        has the tokens after START, OTHER and very frequent histories, and their arcs; ``size`` classes and ``total`` tokens
+        are in training, ``other`` of them in the class of other words, which has ``other_distinct``. Without ``frequent``
+        all training words are states."""
+        n = chunk.words
+        self.chunk, self.counts, words = chunk, c[:n], chunk.b[:n]
+        known = self.counts > 0 if frequent is None else (self.counts > 0) & np.isin(words, frequent)
         seen = np.concatenate([self.counts, [ends.get(START, (0, 0))[0], ends.get(OTHER, (0, 0))[0]]]).astype(np.float64)
+        many = [k for k in ends if k not in (START, OTHER)]
+        at = np.minimum(np.searchsorted(words, many), n - 1).astype(np.int64)
+        hit = words[at] == many
         arcs = np.concatenate([arcs, [ends.get(START, (0, 0))[1], ends.get(OTHER, (0, 0))[1]]])
-        self.seen = np.maximum(seen, 1)
-        self.left = np.where(seen > 0, DISCOUNT * arcs / self.seen, 1.0)    # weight of the failure arc
-        self.root = (np.concatenate([self.counts, [0, other]]) + 1) / (total + size)
-        self.spells = other + other_distinct + 1
-        arc = self.place(table["a"][~word]) * self.size + self.place(table["b"][~word])
-        self.arcs, first = np.unique(arc, return_index=True)
-        self.arc_counts = table["c"][~word][first]
-
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The places of words, and whether they are known."""
-        if not len(self.keys):
-            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return at, self.keys[at] == keys
-
-    def place(self, keys: np.ndarray) -> np.ndarray:
-        """The numbers of classes and histories; a word that is no state has the class of all other words."""
-        at, known = self.find(keys)
-        return np.where(known, at, np.where(keys == START, self.start, self.other))
-
-    def traverse(self, keys: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """log10 of the probability of each token after the one before it, and its count in training; ``starts`` marks
-        texts' first tokens.
-
-        The state after a token is given by the token alone, so the steps of a whole block are looked up at once.
+        arcs[at[hit]] = np.array([ends[k][1] for k in many], np.int64)[hit]
+        left = np.where(seen > 0, DISCOUNT * arcs / np.maximum(seen, 1), 1.0)    # weight of the failure arc
+        root = (np.concatenate([self.counts, [0, other]]) + 1) / (total + size)
+        state = np.where(known, np.arange(n), n + 1)         # a word that is no state has the class of all other words
+        of = np.full(len(chunk.values), n + 1)
+        of[chunk.class_of] = np.where(chunk.values[chunk.class_of] == OTHER, n + 1, state)
+        of[chunk.values == START] = n
+        history, cls, pairs = of[chunk.history], of[chunk.cls], c[n:]
+        p = left[history] * root[cls] + np.where(pairs > 0, np.maximum(pairs - DISCOUNT, 0) / np.maximum(seen[history], 1), 0)
+        self.steps = np.log10(p)                             # of each pair
+        self.spelt = np.where(known, 0.0, np.log10((self.counts + 1) / (other + other_distinct + 1)))
+
+    def traverse(self) -> tuple[np.ndarray, np.ndarray]:
+        """log10 of the probability of each token after the one before it, and its count in training.
+
+        The state after a token is given by the token alone, so the steps of a whole chunk are looked up at once.
         """
-        at, known = self.find(keys)
-        counts = np.where(known, self.counts[at], 0) if len(self.keys) else np.zeros(len(keys), np.int64)
-        cls = self.place(classes(keys, self.frequent))
-        history = np.empty(len(cls), np.int64)
-        history[1:] = cls[:-1]
-        history[starts] = self.start
-        want = history * self.size + cls
-        p = self.left[history] * self.root[cls]
-        if len(self.arcs):
-            at = np.minimum(np.searchsorted(self.arcs, want), len(self.arcs) - 1)
-            p += np.where(self.arcs[at] == want, np.maximum(self.arc_counts[at] - DISCOUNT, 0) / self.seen[history], 0)
-        return np.log10(p) + np.where(cls == self.other, np.log10((counts + 1) / self.spells), 0), counts
+        return self.steps[self.chunk.pair] + self.spelt[self.chunk.word], self.counts[self.chunk.word]
 
 
 def classes(keys: np.ndarray, frequent: np.ndarray | None) -> np.ndarray:
     return keys if frequent is None else np.where(np.isin(keys, frequent), keys, OTHER)
 
 
-def with_chunks(docs: DataFrame, id_col: str, text_col: str, folds: int, held: int) -> DataFrame:
-    """(id, text, trains, chunk): rows of one piece of a file share a few chunks of bounded size."""
+def with_chunks(docs: DataFrame, id_col: str, text_col: str, folds: int, held: int) -> tuple[DataFrame, int]:
+    """(id, text, trains, chunk): rows of one piece of a file share a few chunks of bounded size. And the bytes of all texts."""
     rows = (docs.select(F.col(id_col).alias("id"), text_or_empty(F.col(text_col)).alias("text"),
                         F.input_file_name().alias("f"), F.input_file_block_start().alias("s"))
             .withColumn("trains", fold(F.col("id"), folds) != held))
-    most = rows.groupBy("f", "s").agg(F.sum(F.octet_length("text")).alias("b")).agg(F.max("b").alias("b")).first()["b"] or 0
-    part = F.pmod(F.xxhash64("id", "text"), F.lit(int(most) // CHUNK_BYTES + 1))
-    return rows.withColumn("chunk", F.xxhash64("f", "s", part)).drop("f", "s")
+    most, total = rows.groupBy("f", "s").agg(F.sum(F.octet_length("text")).alias("b")).agg(F.max("b"), F.sum("b")).first()
+    part = F.pmod(F.xxhash64("id", "text"), F.lit(int(most or 0) // CHUNK_BYTES + 1))
+    return rows.withColumn("chunk", F.xxhash64("f", "s", part)).drop("f", "s"), int(total or 0)
 
 
 def _counted(keys: list[np.ndarray], weights: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -146,34 +168,113 @@ def word_counts(rows: DataFrame) -> DataFrame:
     return stored(map_rows(rows.select("text", "trains"), run, "key long, c long").groupBy("key").agg(F.sum("c").alias("c")), "words")
 
 
-def _counted_pairs(rows: DataFrame, frequent: np.ndarray | None) -> DataFrame:
-    """(chunk, a, b, c): the pairs of classes of each chunk with their training counts, and its words under WORD. Those that
-    only texts held out have are there too, with a count of 0."""
-    known = rows.sparkSession.sparkContext.broadcast(frequent)
+def _key_of(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return mix64(a.astype(np.uint64)) + b.astype(np.uint64)
+
+
+def _dealt_pairs(rows: DataFrame, frequent: np.ndarray | None, heavy: np.ndarray, buckets: int) -> DataFrame:
+    """(chunk, bucket, a, n, b, c): the words and pairs of each chunk by bucket with their counts in the chunk's training texts.
+    ``a`` is written once for each of its runs, ``n`` is a run's length. Those that only texts held out have are there too."""
+    known = rows.sparkSession.sparkContext.broadcast((frequent, heavy))
+
+    def counted(groups: dict[int, list[tuple]]) -> Iterator[dict]:
+        while groups:
+            number, texts = groups.popitem()
+            chunk = Chunk([k for k, _ in texts], *known.value, buckets)
+            train = np.repeat([float(t) for _, t in texts], chunk.lens)
+            c = np.concatenate([np.bincount(chunk.word, train, chunk.words), np.bincount(chunk.pair, train, len(chunk.cls))]).astype("<i4")
+            out: dict[str, list] = {x: [] for x in ("chunk", "bucket", "a", "n", "b", "c")}
+            for bucket, at in chunk.shares():
+                a = chunk.a[at]
+                run = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
+                lens = np.diff(np.append(run, len(a))).astype("<i4")
+                row = (number, bucket, a[run].astype("<i8").tobytes(), lens.tobytes(), chunk.b[at].astype("<i8").tobytes(), c[at].tobytes())
+                for held, v in zip(out.values(), row, strict=True):
+                    held.append(v)
+                if len(out["chunk"]) == ROWS:
+                    yield out
+                    out = {x: [] for x in out}
+            yield out
 
     def run(it: Iterator[tuple]) -> Iterator[dict]:
-        for part in blocks(it, lambda r: len(r[0]), FLUSH_TOKENS * 6):
-            groups: dict[int, list[tuple]] = {}
-            for text, trains, chunk in part:
-                groups.setdefault(chunk, []).append((token_keys(text), trains))
-            for chunk, texts in groups.items():
-                lens = np.array([len(k) for k, _ in texts])
-                token = np.concatenate([k for k, _ in texts])
-                train = np.repeat([float(t) for _, t in texts], lens)
-                cls = classes(token, known.value)
-                history = np.concatenate([[START], cls[:-1]])
-                history[np.cumsum(lens) - lens] = START
-                values, at = np.unique(np.concatenate([history, cls]), return_inverse=True)
-                pair, place = np.unique(at[:len(cls)] * len(values) + at[len(cls):], return_inverse=True)
-                word, of = np.unique(token, return_inverse=True)
-                a = np.concatenate([np.full(len(word), WORD), values[pair // len(values)]])
-                b = np.concatenate([word, values[pair % len(values)]])
-                c = np.concatenate([np.bincount(of, train), np.bincount(place, train)]).astype(np.int64)
-                for i in range(0, len(a), BATCH):
-                    some = slice(i, i + BATCH)
-                    yield {"chunk": np.full(len(a[some]), chunk, np.int64), "a": a[some], "b": b[some], "c": c[some]}
-
-    return map_rows(rows.select("text", "trains", "chunk"), run, "chunk long, a long, b long, c long")
+        groups: dict[int, list[tuple]] = {}
+        held = 0
+        for text, trains, number in it:
+            keys = token_keys(text)
+            groups.setdefault(number, []).append((keys, trains))
+            held += len(keys)
+            if held >= HELD_TOKENS:
+                yield from counted(groups)
+                groups, held = {}, 0
+        yield from counted(groups)
+
+    return map_rows(rows.select("text", "trains", "chunk"), run, "chunk long, bucket long, a binary, n binary, b binary, c binary")
+
+
+_SUMS = "chunk long, bucket long, mark long, c binary, arcs binary, a long, seen long, n long"
+
+
+def _added_up(dealt: DataFrame, heavy: np.ndarray) -> DataFrame:
+    """(chunk, bucket, mark, c, arcs): the counts in all training texts of each chunk's words and pairs in a bucket, in the
+    chunk's order, and the arcs of its words' states. ``mark`` is the sum of their keys. Rows without a chunk
+    have a very frequent history ``a`` with the tokens and arcs after it, as far as they are in the bucket."""
+    known = dealt.sparkSession.sparkContext.broadcast(heavy)
+    arrow = to_arrow_schema(StructType.fromDDL(_SUMS))
+
+    def joined(column: pa.ChunkedArray, kind: str) -> np.ndarray:
+        return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("chunk")
+        bucket = table["bucket"][0].as_py()
+        numbers, row_of = np.unique(table["chunk"].to_numpy(), return_inverse=True)
+        owner = np.repeat(row_of.astype(np.int32), pa.compute.binary_length(table["b"]).to_numpy() // 8)
+        a, b, c = np.repeat(joined(table["a"], "<i8"), joined(table["n"], "<i4")), joined(table["b"], "<i8"), joined(table["c"], "<i4")
+        del table
+        key = _key_of(a, b)
+        order = np.argsort(key)
+        first = np.flatnonzero(np.concatenate([[True], key[order[1:]] != key[order[:-1]]]))
+        sums = np.add.reduceat(c[order].astype(np.int64), first)
+        total = np.empty(len(key), np.int64)
+        total[order] = np.repeat(sums, np.diff(np.append(first, len(key))))
+        once, sums = order[first][sums > 0], sums[sums > 0]
+        once, sums = once[a[once] != WORD], sums[a[once] != WORD]
+        histories, of = np.unique(a[once], return_inverse=True)
+        arcs, seen = np.bincount(of, minlength=len(histories)), np.bincount(of, sums, len(histories)).astype(np.int64)
+        if len(numbers) < len(row_of):      # a chunk whose texts were counted in several goes
+            order = np.lexsort((b, a, a != WORD, owner))
+            new = np.concatenate([[True], (np.diff(owner[order]) != 0) | (a[order[1:]] != a[order[:-1]]) | (b[order[1:]] != b[order[:-1]])])
+            owner, a, b, key, total = (x[order[new]] for x in (owner, a, b, key, total))
+        out: dict[str, list] = {f.name: [] for f in arrow}
+        bounds = np.searchsorted(owner, np.arange(len(numbers) + 1))
+        for number, i, j in zip(numbers.tolist(), bounds[:-1], bounds[1:], strict=True):
+            word = b[i:j][a[i:j] == WORD]
+            at = np.minimum(np.searchsorted(histories, word), max(0, len(histories) - 1))
+            after = np.zeros(len(word), "<i8")
+            if len(histories):
+                after = np.where((histories[at] == word) & ~np.isin(word, known.value), arcs[at], 0).astype("<i8")
+            row = (number, bucket, int(key[i:j].sum().view(np.int64)), total[i:j].astype("<i8").tobytes(), after.tobytes(), None, None, None)
+            for held, v in zip(out.values(), row, strict=True):
+                held.append(v)
+        for i in np.flatnonzero(np.isin(histories, known.value)).tolist():
+            for held, v in zip(out.values(), (None, None, None, None, None, int(histories[i]), int(seen[i]), int(arcs[i])), strict=True):
+                held.append(v)
+        return pa.table(out, arrow)
+
+    return dealt.groupBy("bucket").applyInArrow(run, _SUMS)
+
+
+def _counts_of(chunk: Chunk, sums: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The counts of the chunk's words and pairs, and the arcs of its words' states."""
+    c, arcs = np.empty(len(chunk.a), np.int64), np.zeros(chunk.words, np.int64)
+    rows = {r["bucket"]: r for r in sums.select(["bucket", "mark", "c", "arcs"]).to_pylist()}
+    for bucket, at in chunk.shares():
+        r = rows.get(bucket)
+        if not r or len(r["c"]) != 8 * len(at) or int(_key_of(chunk.a[at], chunk.b[at]).sum().view(np.int64)) != r["mark"]:
+            raise RuntimeError("the texts of a chunk changed, or its files were split in another way, since they were counted")
+        c[at] = np.frombuffer(r["c"], "<i8")
+        arcs[at[at < chunk.words]] = np.frombuffer(r["arcs"], "<i8")
+    return c, arcs
 
 
 def score_corpus(docs: DataFrame, folds: int = 7, held: int = 2, states: int | None = None, id_col: str = "doc_id",
@@ -184,46 +285,35 @@ def score_corpus(docs: DataFrame, folds: int = 7, held: int = 2, states: int | N
     If nothing trains, all counts are 0. Repeated rows train and are scored as often as they occur; other columns are
     ignored; an empty table gives an empty one.
     """
-    rows = with_chunks(docs, id_col, text_col, folds, held)
-    frequent = None
+    rows, size = with_chunks(docs, id_col, text_col, folds, held)
+    words = word_counts(rows)
+    frequent, top = None, F.lit(True)
     if states is not None:
-        frequent = np.array([r["key"] for r in word_counts(rows).orderBy(F.desc("c"), "key").limit(states).collect()], np.int64)
-    each = Window.partitionBy("a", "b").orderBy("c")
-    everywhere = each.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    counted = stored(_counted_pairs(rows, frequent)
-                     .select("chunk", "a", "b", F.sum("c").over(everywhere).alias("c"), (F.row_number().over(each) == 1).alias("once"))
-                     .filter("c > 0"), "pairs")
-    once = counted.filter("once")
-    top = F.col("b").isin([int(k) for k in frequent]) if frequent is not None else F.lit(True)
-    totals = once.filter(F.col("a") == WORD).agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.sum(F.when(~top, F.col("c"))).alias("n_other"),
-                                                 F.count(F.when(~top, 1)).alias("v_other")).first()
+        frequent = np.array([r["key"] for r in words.orderBy(F.desc("c"), "key").limit(states).collect()], np.int64)
+        top = F.col("key").isin(frequent.tolist())
+    totals = words.agg(F.sum("c"), F.count("*"), F.sum(F.when(~top, F.col("c"))), F.count(F.when(~top, 1))).first()
     total, distinct, other, other_distinct = (int(x or 0) for x in totals)
-    histories = stored(once.filter(F.col("a") != WORD).groupBy("a").agg(F.sum("c").alias("seen"), F.count("*").alias("arcs")), "histories")
-    ends = {r["a"]: (r["seen"], r["arcs"]) for r in histories.filter(F.col("a").isin(START, OTHER)).collect()}
+    # few: each has at least HEAVY of all tokens
+    heavy = np.array([START, OTHER, *(r["key"] for r in words.filter(F.col("c") >= HEAVY).select("key").collect())], np.int64)
+    buckets = size // BUCKET_BYTES + 1
+    sums = stored(_added_up(_dealt_pairs(rows, frequent, heavy, buckets), heavy), "counts")
+    summed = sums.filter("chunk is null").groupBy("a").agg(F.sum("seen").alias("seen"), F.sum("n").alias("n")).collect()
+    ends = {r["a"]: (r["seen"], r["n"]) for r in summed}
     shared = docs.sparkSession.sparkContext.broadcast((ends, total, distinct - other_distinct + 1, other, other_distinct, frequent))
 
-    words = (counted.filter(F.col("a") == WORD).join(histories.select(F.col("a").alias("b"), "arcs"), "b", "left")
-             .select("chunk", "a", "b", "c", F.coalesce("arcs", F.lit(0)).alias("arcs")))
-    reached = counted.filter(F.col("a") != WORD).select("chunk", "a", "b", "c", F.lit(0).cast("long").alias("arcs")).unionAll(words)
     kind = type_of(docs, id_col)
     schema = (f"{id_col} {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        columns = ("a", "b", "c", "arcs")
-        model = Automaton({n: right[n].to_numpy() if len(right) else np.empty(0, np.int64) for n in columns}, *shared.value)
-        out: dict[str, list] = {f.name: [] for f in arrow}
-        scale = np.log10(total + distinct + 1)
-        table = zip(left["id"].to_pylist(), left["text"].to_pylist(), left["trains"].to_pylist(), strict=True)
-        for part in blocks(table, lambda r: len(r[1]), 1_000_000):
-            texts = [token_keys(r[1]) for r in part]
-            lens = np.array([len(x) for x in texts])
-            starts = np.cumsum(lens) - lens
-            steps, c = model.traverse(np.concatenate(texts), starts)
-            values = ([r[0] for r in part], [not r[2] for r in part], lens.tolist(), np.add.reduceat((c > 0).astype(np.int64), starts).tolist(),
-                      [total] * len(part), np.add.reduceat(np.log10(c + 1) - scale, starts).tolist(), np.add.reduceat(steps, starts).tolist())
-            for name, v in zip(out, values, strict=True):
-                out[name] += v
-        return pa.table(out, arrow)
-
-    return (rows.select("id", "text", "trains", "chunk").groupBy("chunk").cogroup(reached.groupBy("chunk")).applyInArrow(run, schema))
+        frequent = shared.value[-1]
+        texts = [token_keys(t) for i in range(0, len(left), 500) for t in left["text"].slice(i, 500).to_pylist()]
+        chunk = Chunk(texts, frequent, heavy, buckets)
+        steps, c = Automaton(chunk, *_counts_of(chunk, right), *shared.value).traverse()
+        add = lambda x: np.add.reduceat(x, chunk.starts)  # noqa: E731  by text
+        values = (left["id"], pa.compute.invert(left["trains"]), chunk.lens, add((c > 0).astype(np.int64)), np.full(len(texts), total),
+                  add(np.log10(c + 1) - np.log10(total + distinct + 1)), add(steps))
+        return pa.table(list(values), schema=arrow)
+
+    known = sums.filter("chunk is not null").select("chunk", "bucket", "mark", "c", "arcs")
+    return rows.select("id", "text", "trains", "chunk").groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(run, schema)

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from parcelrisk.llm import langid, quality_llr, template_extract, toxicity
+from parcelrisk.llm import langid, lm_automaton, quality_llr, template_extract, toxicity
 from parcelrisk.llm.lm_automaton import score_corpus
 from parcelrisk.llm.queries import QUERIES
 from parcelrisk.llm.template_extract import page_tokens
@@ -327,6 +327,29 @@ def test_lm_without_training_rows(spark):
     assert (r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) == (3, 0, 0, 0.0)
 
 
+@pytest.mark.parametrize("states", [None, 20])
+def test_lm_counts_are_dealt_to_buckets(spark, texts, states, monkeypatch):
+    """Several buckets, very frequent histories, small chunks and chunks counted in several goes give the same scores."""
+    for name, value in (("BUCKET_BYTES", 100_000), ("CHUNK_BYTES", 50_000), ("HEAVY", 40), ("HELD_TOKENS", 3_000)):
+        monkeypatch.setattr(lm_automaton, name, value)
+    some = list(texts.items())[:150]
+    docs = spark.createDataFrame(some, "doc_id long, text string").repartition(3)
+    check_lm(score_corpus(docs, states=states).collect(), some, states)
+
+
+def test_lm_pairs_are_dealt_in_few_bytes(spark, texts):
+    """A pair takes little more than the eight bytes of its second word (32 as a row of its own), and its counts' way back two
+    numbers without keys."""
+    rows, _ = lm_automaton.with_chunks(spark.read.parquet(f"{SF}/documents.parquet"), "doc_id", "text", 7, 2)
+    heavy = np.array([lm_automaton.START, lm_automaton.OTHER], np.int64)
+    dealt = lm_automaton._dealt_pairs(rows, None, heavy, 2)
+    parts = [tuple(len(x) for x in r) for r in dealt.select("a", "n", "b").collect()]
+    pairs = sum(b for _, _, b in parts) / 8
+    assert sum(map(sum, parts)) < 14 * pairs and len(parts) < pairs / 100
+    back = lm_automaton._added_up(dealt, heavy).filter("chunk is not null").collect()
+    assert sum(len(r["c"]) for r in back) == 8 * pairs and sum(len(r["arcs"]) for r in back) < 8 * pairs
+
+
 def test_lm_states_grow_with_the_corpus(spark, texts, odd):
     every, few = (sum(r["score"] for r in QUERIES["op9_lm_scoring"](spark, SF).collect() if r["held_out"]),
                   sum(r["score"] for r in score_corpus(spark.read.parquet(f"{SF}/documents.parquet"), states=20).collect() if r["held_out"]))
