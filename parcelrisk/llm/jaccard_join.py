@@ -16,9 +16,11 @@ Equal sets are one class from the start. Within the sets of a signature only one
 each set with its likeliest partner, for a few rounds with another one each; what is linked so forms components, and a
 group of many near copies costs a few comparisons per copy. What is left are candidates in different components. Those
 of small signature groups are compared if they share as many signatures as linking sets of their sizes must. Sets of a
-crowded signature, as of a passage that many documents share, are asked for a second key that linking sets have in
+crowded signature, as of a passage that many documents in different components share, are asked for a second key that linking sets have in
 common: with all their shingles put in one order, the rarest first, one of the first size - overlap + 1, where the
-overlap is the smallest that a link allows for sets of the other's size band. No link between components is lost.
+overlap is the smallest that a link allows for sets of the other's size band. Of the pairs that share such a key, those
+whose sketches differ by more bits than linking sets have different shingles are never made: a sketch has the parity of the
+set's shingles in each of 256 hash classes, so each different shingle changes one bit at most. No link between components is lost.
 """
 
 from __future__ import annotations
@@ -41,7 +43,8 @@ CHANCE = 0.005   # assumed share of unrelated sets that agree on one element of
 VERIFY = 1.0     # cost of an accidental match, in shuffled signatures; most are dropped by their count, unread
 GROWTH = 1.4     # of the size from band to band
 BAND_BITS = 8    # of a signature, which tell its band
-CROWD = 32       # sets of a signature up to which all pairs of them are candidates
+CROWD = 32       # of other components' sets that a set of a signature meets on average, up to which all such pairs are candidates
+WIDE = 256       # sets of a signature, beyond which they are crowded in any case
 STAR_ROUNDS = 3  # in which each set is compared with one set of a signature
 SIZE_STEP = 0.05   # of the logarithm of sizes, between the size bands of the second key
 SMALL_IDS = 500_000    # as many ids are broadcast; more of them are joined by a shuffle
@@ -187,6 +190,14 @@ class Bands:
         return max(1, int(self.segments[band]) - self.difference(sizes) - int(self.extra[band]))
 
 
+def sketches_of(sets: list[np.ndarray]) -> np.ndarray:
+    """256 bits of each set of hashes, as four integers: the parity of its elements of each class."""
+    out = np.empty((len(sets), 4), np.int64)
+    for i, x in enumerate(sets):
+        out[i] = np.packbits((np.bincount((x >> np.uint64(56)).astype(np.int64), minlength=256) & 1).astype(np.uint8)).view(np.int64)
+    return out
+
+
 def shingle_sets(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
     """(id, n_shingles, h1, h2): the set's size and a 128-bit hash of it, which doesn't depend on order."""
     def run(rows: Iterator[tuple]) -> Iterator[dict]:
@@ -276,34 +287,46 @@ def crowded_pairs(crowded: DataFrame, texts: DataFrame, n: int, percent: int) ->
     Linking sets of sizes s and t share at least percent * (s + t) / (100 + percent) shingles, so in any order of the
     shingles their first common one is among the first s - overlap + 1 of either. The order is by the number of crowded
     sets that have the shingle, so a shared passage comes last and hardly ever counts. Sizes go by narrow bands, and a set
-    has keys for its own band with each band that it may link with.
+    has keys for its own band with each band that it may link with. A pair whose sketches differ too much is left out.
     """
+    parities = ["p0", "p1", "p2", "p3"]
+
     def run(rows: Iterator[tuple]) -> Iterator[dict]:
         for part in blocks(rows, lambda r: len(r[1]), 500_000):
             sets = [shingle_hashes(t, n) for _, t in part]
             lens = np.array([len(x) for x in sets])
             ids = pa.array([r[0] for r in part]).take(pa.array(np.repeat(np.arange(len(part)), lens)))
             whole = np.array([int(mix64(x).sum().view(np.int64)) if len(x) else 0 for x in sets], np.int64)
-            yield {"id": ids, "s": np.repeat(whole, lens), "size": np.repeat(lens, lens), "e": np.concatenate(sets).view(np.int64)}
+            head = (np.cumsum(lens) - lens)[lens > 0]            # a set's sketch stands beside its first element
+            sketches, none = np.zeros((lens.sum(), 4), np.int64), np.ones(lens.sum(), bool)
+            sketches[head], none[head] = sketches_of([x for x in sets if len(x)]), False
+            yield ({"id": ids, "s": np.repeat(whole, lens), "size": np.repeat(lens, lens), "e": np.concatenate(sets).view(np.int64)}
+                   | {p: pa.array(sketches[:, i], mask=none) for i, p in enumerate(parities)})
 
     def band(size: Column) -> Column:
         return F.floor(F.log(size) / SIZE_STEP).cast("int")
 
-    elements = stored(map_rows(_only(texts, crowded.select("id")).select("id", "text"), run, f"id {type_of(texts, 'id')}, s long, size long, e long"), "elements")
+    elements = stored(map_rows(_only(texts, crowded.select("id")).select("id", "text"), run, f"id {type_of(texts, 'id')}, s long, size long, e long, p0 long, p1 long, p2 long, p3 long"), "elements")
     several = elements.groupBy("e").agg(F.count("*").alias("df")).filter("df > 1")
-    place = F.dense_rank().over(Window.partitionBy("id", "s").orderBy(F.coalesce("df", F.lit(1)), "e"))
+    by_set = Window.partitionBy("id", "s")
+    # shingles of no other set come first; only those of several are joined and placed after them
+    shared = (elements.select("id", "s", "size", "e").join(several, "e").withColumn("rank", F.dense_rank().over(by_set.orderBy("df", "e")))
+              .withColumn("place", F.col("size") - F.max("rank").over(by_set) + F.col("rank")))
     least = F.ceil(percent * F.col("size") / 100)                  # of a partner's size, and of the overlap with it
-    first = (elements.join(several, "e", "left").withColumn("place", place)
-             .filter(F.col("df").isNotNull() & (F.col("place") <= F.col("size") - least + 1)))
+    first = shared.filter(F.col("place") <= F.col("size") - least + 1)
     other = F.explode(F.sequence(band(least), band(F.floor(100 * F.col("size") / percent))))
     smallest = F.greatest(least, F.floor(0.999 * F.exp(F.col("other") * SIZE_STEP)))
     overlap = F.ceil(percent * (F.col("size") + smallest) / (100 + percent))
     keys = (first.withColumn("own", band(F.col("size"))).withColumn("other", other).filter(F.col("place") <= F.col("size") - overlap + 1)
-            .select("id", "e", "own", "other").distinct().join(crowded, "id"))
-    keys = stored(keys, "second-keys")
-    left = keys.select(F.col("id").alias("a"), F.col("component").alias("ca"), "e", "own", "other")
-    right = keys.select(F.col("id").alias("b"), F.col("component").alias("cb"), "e", F.col("own").alias("other"), F.col("other").alias("own"))
-    return left.join(right, ["e", "own", "other"]).filter((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b"))).select("a", "b").distinct()
+            .select("id", "s", "e", "own", "other").distinct())
+    sketches = elements.filter("p0 is not null").select("id", "s", "size", *parities).distinct().join(crowded, "id")
+    keys = stored(keys.join(sketches, ["id", "s"]).drop("s"), "second-keys")
+    left = keys.select(F.col("id").alias("a"), F.col("component").alias("ca"), F.col("size").alias("sa"), "e", "own", "other", *[F.col(p).alias(f"a{p}") for p in parities])
+    right = keys.select(F.col("id").alias("b"), F.col("component").alias("cb"), F.col("size").alias("sb"), "e", F.col("own").alias("other"), F.col("other").alias("own"),
+                        *[F.col(p).alias(f"b{p}") for p in parities])
+    bits = sum((F.bit_count(F.col(f"a{p}").bitwiseXOR(F.col(f"b{p}"))) for p in parities), F.lit(0))
+    near = (100 + percent) * bits <= (100 - percent) * (F.col("sa") + F.col("sb"))
+    return left.join(right, ["e", "own", "other"]).filter((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & near).select("a", "b").distinct()
 
 
 def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -343,12 +366,13 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85, id_col: s
 
     # last round: candidates between different components
     marked = shared.join(reached, "id", "left").select("sig", "id", F.coalesce("component", "id").alias("component"))
-    spans = (marked.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("sets"))
-             .filter("lo < hi").select("sig", "sets"))
+    spans = (marked.groupBy("sig", "component").agg(F.count("*").alias("c"))
+             .groupBy("sig").agg(F.sum("c").alias("sets"), F.sum(F.col("c") * F.col("c")).alias("own"), F.count("*").alias("several")).filter("several > 1")
+             .select("sig", ((F.col("sets") > CROWD) & ((F.col("sets") > WIDE) | (F.col("sets") * F.col("sets") - F.col("own") > CROWD * F.col("sets")))).alias("crowd")))
     mixed = stored(marked.join(spans, "sig").distinct(), "mixed")
-    crowded = stored(mixed.filter(F.col("sets") > CROWD).select("id", "component").distinct(), "crowded")
+    crowded = stored(mixed.filter("crowd").select("id", "component").distinct(), "crowded")
     # a pair of which one isn't crowded shares signatures of small groups only
-    few = mixed.filter(F.col("sets") <= CROWD).join(crowded.select("id", F.lit(True).alias("in_crowd")), "id", "left")
+    few = mixed.filter("not crowd").join(crowded.select("id", F.lit(True).alias("in_crowd")), "id", "left")
     few = few.withColumn("in_crowd", F.col("in_crowd").isNotNull())
     left = few.select("sig", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("in_crowd").alias("wa"))
     right = few.select("sig", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("in_crowd").alias("wb"))

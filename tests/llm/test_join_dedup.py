@@ -114,6 +114,45 @@ def test_a_shared_passage_makes_no_pairs(spark):
     assert {r["component_id"] for r in jaccard_components(texts.withColumnRenamed("id", "doc_id")).collect()} == set(range(100))
 
 
+def test_shared_sentences_make_few_pairs(spark, monkeypatch):
+    """Around a passage, two of a dozen sentences: many sets have a second key in common, but hardly any that don't link
+    become a pair; copies with a word changed at the end are found all the same."""
+    rng = random.Random(3)
+    passage = " ".join(f"p{i}" for i in range(30))
+    sentences = [" ".join(f"s{k}w{i}" for i in range(8)) for k in range(12)]
+    rows = [(i, " ".join([passage, *rng.sample(sentences, 2), f"end{i}"])) for i in range(120)]
+    rows += [(200 + i, rows[i][1] + f" {i}") for i in range(10)]
+    texts = spark.createDataFrame(rows, "id long, text string")
+    pairs = {(r["a"], r["b"]) for r in jaccard_join.crowded_pairs(texts.select("id", texts["id"].alias("component")), texts, 4, 85).collect()}
+    sets = {i: shingle_set(t, 4) for i, t in rows}
+    linked = {(a, b) for a in sets for b in sets if a < b and links(sets[a], sets[b], 85)}
+    assert linked and linked <= pairs and len(pairs) < 2 * len(linked)
+    monkeypatch.setattr(jaccard_join, "CROWD", 2)
+    compare(jaccard_components(texts.withColumnRenamed("id", "doc_id")), rows)
+
+
+def test_sketches_differ_by_no_more_than_the_sets():
+    rng = np.random.default_rng(1)
+    for size in (1, 5, 40, 700):
+        x = np.unique(rng.integers(0, 2 ** 63, size, dtype=np.uint64) * np.uint64(2))
+        y = np.unique(np.concatenate([x[size // 10:], rng.integers(0, 2 ** 63, size // 8, dtype=np.uint64)]))
+        a, b = jaccard_join.sketches_of([x, y]).view(np.uint64)
+        assert int(np.bitwise_count(a ^ b).sum()) <= len(np.setxor1d(x, y))
+        assert not np.bitwise_count(a ^ jaccard_join.sketches_of([x[::-1]]).view(np.uint64)).any()
+
+
+def test_a_stray_set_crowds_no_group(spark, monkeypatch):
+    """Many copies in one component and a single set beside them have few pairs, and need no second key."""
+    def fails(*_):
+        raise AssertionError("no set is crowded")
+
+    monkeypatch.setattr(jaccard_join, "CROWD", 4)
+    monkeypatch.setattr(jaccard_join, "crowded_pairs", fails)
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join([*base, f"e{i}"])) for i in range(30)] + [(100, " ".join([*base[:50], *(f"z{i}" for i in range(8))]))]
+    compare(jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")), rows)
+
+
 def test_join_odd(odd, nothing):
     compare(jaccard_components(odd), ODD)
     assert jaccard_components(nothing).count() == 0
