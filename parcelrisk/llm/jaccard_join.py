@@ -18,9 +18,10 @@ group of many near copies costs a few comparisons per copy. What is left are can
 of small signature groups are compared if they share as many signatures as linking sets of their sizes must. Sets of a
 crowded signature, as of a passage that many documents in different components share, are asked for a second key that linking sets have in
 common: with all their shingles put in one order, the rarest first, one of the first size - overlap + 1, where the
-overlap is the smallest that a link allows for sets of the other's size band. Of the pairs that share such a key, those
-whose sketches differ by more bits than linking sets have different shingles are never made: a sketch has the parity of the
-set's shingles in each of 256 hash classes, so each different shingle changes one bit at most. No link between components is lost.
+overlap is the smallest that a link of their sizes allows. How rare a shingle is, a table of counts by its hash tells, so
+that only those first shingles become rows. Of the pairs that share such a key, those whose sketches differ by more bits than
+linking sets have different shingles are never made: a sketch has the parity of the set's shingles in each of 256 hash classes,
+so each different shingle changes one bit at most. No link between components is lost.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelrisk.llm.common import blocks, concat_ranges, map_rows, mix64, stored, text_or_empty, type_of
@@ -46,7 +47,9 @@ BAND_BITS = 8    # of a signature, which tell its band
 CROWD = 32       # of other components' sets that a set of a signature meets on average, up to which all such pairs are candidates
 WIDE = 256       # sets of a signature, beyond which they are crowded in any case
 STAR_ROUNDS = 3  # in which each set is compared with one set of a signature
-SIZE_STEP = 0.05   # of the logarithm of sizes, between the size bands of the second key
+SLOTS = 1 << 22    # by which the shingles of crowded sets are counted, for the order of the second key
+LEVEL_PARTS = 256  # of the slots, which are added up on their own
+PARITIES = ["p0", "p1", "p2", "p3"]   # of a sketch
 SMALL_IDS = 500_000    # as many ids are broadcast; more of them are joined by a shuffle
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -281,52 +284,102 @@ def _star_pairs(shared: DataFrame, reached: DataFrame, turn: int) -> DataFrame:
     return stars.groupBy("b").agg(F.max(F.struct("k", "a")).alias("s")).select(F.col("s.a").alias("a"), "b")
 
 
+def crowded_sets(crowded: DataFrame, texts: DataFrame, n: int) -> DataFrame:
+    """(id, component, size, e, p0 to p3), written down: the hashes of each set as one packed value, and its sketch."""
+    def run(rows: Iterator[tuple]) -> Iterator[dict]:
+        for part in blocks(rows, lambda r: len(r[2]), 500_000):
+            found = [(i, c, x) for i, c, x in ((i, c, shingle_hashes(t, n)) for i, c, t in part) if len(x)]
+            sketches = sketches_of([x for _, _, x in found])
+            yield ({"id": [i for i, _, _ in found], "component": [c for _, c, _ in found], "size": [len(x) for _, _, x in found],
+                    "e": [x.tobytes() for _, _, x in found]} | {p: sketches[:, i] for i, p in enumerate(PARITIES)})
+
+    kind = type_of(texts, "id")
+    known = F.broadcast(crowded) if crowded.count() <= SMALL_IDS else crowded
+    schema = f"id {kind}, component {kind}, size long, e binary, " + ", ".join(f"{p} long" for p in PARITIES)
+    return stored(map_rows(texts.join(known, "id").select("id", "component", "text"), run, schema), "crowded-sets")
+
+
+def slots_of(hashes: np.ndarray) -> np.ndarray:
+    return (mix64(hashes + np.uint64(2)) & np.uint64(SLOTS - 1)).astype(np.int64)
+
+
+def shingle_levels(sets: DataFrame) -> np.ndarray:
+    """One byte for each of SLOTS slots: eight times the logarithm of how many shingles of the packed sets fall into it, 0 if it is one.
+
+    Tasks count their own rows; the counts are added up by parts of the slots, and what reaches the driver doesn't grow with the sets.
+    """
+    width = SLOTS // LEVEL_PARTS
+
+    def run(rows: Iterator[tuple]) -> Iterator[dict]:
+        counts = np.zeros(SLOTS, np.int32)
+        for (e,) in rows:
+            np.add.at(counts, slots_of(np.frombuffer(e, np.uint64)), 1)
+        for part in range(LEVEL_PARTS):
+            own = counts[part * width:(part + 1) * width]
+            used = np.flatnonzero(own)
+            if len(used):
+                yield {"part": [part], "slots": [used.astype(np.int32).tobytes()], "counts": [own[used].tobytes()]}
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.zeros(width, np.int64)
+        for slots, counts in zip(table["slots"].to_pylist(), table["counts"].to_pylist(), strict=True):
+            total[np.frombuffer(slots, np.int32)] += np.frombuffer(counts, np.int32)
+        levels = np.minimum(255, 8 * np.log2(np.maximum(total, 1))).astype(np.uint8)
+        return pa.table({"part": table["part"][:1], "levels": pa.array([levels.tobytes()], pa.binary())})
+
+    counted = map_rows(sets.select("e"), run, "part int, slots binary, counts binary")
+    found = stored(counted.groupBy("part").applyInArrow(add, "part int, levels binary"), "shingle-levels").collect()
+    out = np.zeros(SLOTS, np.uint8)
+    for r in found:   # SLOTS bytes in all
+        out[r["part"] * width:(r["part"] + 1) * width] = np.frombuffer(r["levels"], np.uint8)
+    return out
+
+
+def second_keys(sets: DataFrame, percent: int) -> DataFrame:
+    """(id, component, size, place, e, p0 to p3): the shingles that may be the first one that a packed set has in common with
+    a linking set, with their places; not those that no other set has."""
+    levels = sets.sparkSession.sparkContext.broadcast(shingle_levels(sets))
+
+    def run(rows: Iterator[tuple]) -> Iterator[dict]:
+        for part in blocks(rows, lambda r: r[2], 100_000):
+            chosen, places = [], []
+            for r in part:
+                x = np.frombuffer(r[3], np.uint64)
+                level = levels.value[slots_of(x)]
+                order = np.lexsort((x, level))[:len(x) + (-percent * len(x)) // 100 + 1]   # size less the least overlap, and one
+                place = np.flatnonzero(level[order] > 0)
+                chosen.append(x[order[place]])
+                places.append(place + 1)
+            reps = pa.array(np.repeat(np.arange(len(part)), [len(x) for x in chosen]))
+            i, component, size, _, *sketch = (pa.array(c).take(reps) for c in zip(*part, strict=True))
+            yield ({"id": i, "component": component, "size": size, "place": np.concatenate(places), "e": np.concatenate(chosen).view(np.int64)}
+                   | dict(zip(PARITIES, sketch, strict=True)))
+
+    kind = type_of(sets, "id")
+    schema = f"id {kind}, component {kind}, size long, place long, e long, " + ", ".join(f"{p} long" for p in PARITIES)
+    return stored(map_rows(sets, run, schema), "second-keys")
+
+
 def crowded_pairs(crowded: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """(a, b): the pairs of (id, component) in different components that share a second key; all that link are among them.
 
     Linking sets of sizes s and t share at least percent * (s + t) / (100 + percent) shingles, so in any order of the
-    shingles their first common one is among the first s - overlap + 1 of either. The order is by the number of crowded
-    sets that have the shingle, so a shared passage comes last and hardly ever counts. Sizes go by narrow bands, and a set
-    has keys for its own band with each band that it may link with. A pair whose sketches differ too much is left out.
+    shingles their first common one is among the first s - overlap + 1 of either. The order is by how many shingles of the
+    crowded sets fall into a shingle's slot, so a shared passage comes last and hardly ever counts; any order by the shingle
+    alone loses no link. Only those first shingles become rows. A pair whose sketches differ too much is left out.
     """
-    parities = ["p0", "p1", "p2", "p3"]
-
-    def run(rows: Iterator[tuple]) -> Iterator[dict]:
-        for part in blocks(rows, lambda r: len(r[1]), 500_000):
-            sets = [shingle_hashes(t, n) for _, t in part]
-            lens = np.array([len(x) for x in sets])
-            ids = pa.array([r[0] for r in part]).take(pa.array(np.repeat(np.arange(len(part)), lens)))
-            whole = np.array([int(mix64(x).sum().view(np.int64)) if len(x) else 0 for x in sets], np.int64)
-            head = (np.cumsum(lens) - lens)[lens > 0]            # a set's sketch stands beside its first element
-            sketches, none = np.zeros((lens.sum(), 4), np.int64), np.ones(lens.sum(), bool)
-            sketches[head], none[head] = sketches_of([x for x in sets if len(x)]), False
-            yield ({"id": ids, "s": np.repeat(whole, lens), "size": np.repeat(lens, lens), "e": np.concatenate(sets).view(np.int64)}
-                   | {p: pa.array(sketches[:, i], mask=none) for i, p in enumerate(parities)})
-
-    def band(size: Column) -> Column:
-        return F.floor(F.log(size) / SIZE_STEP).cast("int")
-
-    elements = stored(map_rows(_only(texts, crowded.select("id")).select("id", "text"), run, f"id {type_of(texts, 'id')}, s long, size long, e long, p0 long, p1 long, p2 long, p3 long"), "elements")
-    several = elements.groupBy("e").agg(F.count("*").alias("df")).filter("df > 1")
-    by_set = Window.partitionBy("id", "s")
-    # shingles of no other set come first; only those of several are joined and placed after them
-    shared = (elements.select("id", "s", "size", "e").join(several, "e").withColumn("rank", F.dense_rank().over(by_set.orderBy("df", "e")))
-              .withColumn("place", F.col("size") - F.max("rank").over(by_set) + F.col("rank")))
-    least = F.ceil(percent * F.col("size") / 100)                  # of a partner's size, and of the overlap with it
-    first = shared.filter(F.col("place") <= F.col("size") - least + 1)
-    other = F.explode(F.sequence(band(least), band(F.floor(100 * F.col("size") / percent))))
-    smallest = F.greatest(least, F.floor(0.999 * F.exp(F.col("other") * SIZE_STEP)))
-    overlap = F.ceil(percent * (F.col("size") + smallest) / (100 + percent))
-    keys = (first.withColumn("own", band(F.col("size"))).withColumn("other", other).filter(F.col("place") <= F.col("size") - overlap + 1)
-            .select("id", "s", "e", "own", "other").distinct())
-    sketches = elements.filter("p0 is not null").select("id", "s", "size", *parities).distinct().join(crowded, "id")
-    keys = stored(keys.join(sketches, ["id", "s"]).drop("s"), "second-keys")
-    left = keys.select(F.col("id").alias("a"), F.col("component").alias("ca"), F.col("size").alias("sa"), "e", "own", "other", *[F.col(p).alias(f"a{p}") for p in parities])
-    right = keys.select(F.col("id").alias("b"), F.col("component").alias("cb"), F.col("size").alias("sb"), "e", F.col("own").alias("other"), F.col("other").alias("own"),
-                        *[F.col(p).alias(f"b{p}") for p in parities])
-    bits = sum((F.bit_count(F.col(f"a{p}").bitwiseXOR(F.col(f"b{p}"))) for p in parities), F.lit(0))
-    near = (100 + percent) * bits <= (100 - percent) * (F.col("sa") + F.col("sb"))
-    return left.join(right, ["e", "own", "other"]).filter((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & near).select("a", "b").distinct()
+    keys = second_keys(crowded_sets(crowded, texts, n), percent)
+    mixed = keys.groupBy("e").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("e")
+    keys = stored(keys.join(mixed, "e", "left_semi").distinct(), "mixed-keys")
+    left, right = (keys.select("e", *[F.col(c).alias(f"{side}_{c}") for c in ("id", "component", "size", "place", *PARITIES)]) for side in "ab")
+    sizes = F.col("a_size") + F.col("b_size")
+    overlap = F.ceil(percent * sizes / (100 + percent))
+    may_link = ((100 * F.col("a_size") >= percent * F.col("b_size")) & (100 * F.col("b_size") >= percent * F.col("a_size"))
+                & (F.col("a_place") <= F.col("a_size") - overlap + 1) & (F.col("b_place") <= F.col("b_size") - overlap + 1))
+    bits = sum((F.bit_count(F.col(f"a_{p}").bitwiseXOR(F.col(f"b_{p}"))) for p in PARITIES), F.lit(0))
+    near = (100 + percent) * bits <= (100 - percent) * sizes
+    return (left.join(right, "e").filter((F.col("a_component") != F.col("b_component")) & (F.col("a_id") < F.col("b_id")) & may_link & near)
+            .select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct())
 
 
 def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

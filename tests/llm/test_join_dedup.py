@@ -131,6 +131,36 @@ def test_shared_sentences_make_few_pairs(spark, monkeypatch):
     compare(jaccard_components(texts.withColumnRenamed("id", "doc_id")), rows)
 
 
+def test_only_first_shingles_of_crowded_sets_become_rows(spark, monkeypatch):
+    """Of sets in a crowd, no step writes a row for each shingle: only those that may be the first common one of a link."""
+    written = {}
+
+    def counting(df, name):
+        out = stored(df, name)
+        written[name] = max(written.get(name, 0), out.count())
+        return out
+
+    stored = jaccard_join.stored
+    monkeypatch.setattr(jaccard_join, "stored", counting)
+    rng = random.Random(6)
+    texts = [(i, " ".join(rng.choice(["a", "b", "c", "d", "e", "f"]) for _ in range(300))) for i in range(60)]
+    texts += [(100 + i, texts[i][1].replace("a b c", "a x c", 1)) for i in range(5)]
+    sets = {i: shingle_set(t, 4) for i, t in texts}
+    df = spark.createDataFrame([*texts, texts[0]], "id long, text string")
+    pairs = {(r["a"], r["b"]) for r in jaccard_join.crowded_pairs(df.select("id", df["id"].alias("component")).distinct(), df, 4, 85).collect()}
+    assert {(a, b) for a in sets for b in sets if a < b and links(sets[a], sets[b], 85)} <= pairs
+    assert max(written.values()) <= 0.2 * sum(map(len, sets.values()))
+
+
+def test_levels_follow_the_counts(spark, monkeypatch):
+    """A shingle of more sets is of no lower level, one of a single set of level 0; parts of all tasks are added up."""
+    monkeypatch.setattr(jaccard_join, "LEVEL_PARTS", 8)
+    x = np.unique(np.random.default_rng(5).integers(0, 2 ** 63, 40, dtype=np.uint64))
+    sets = spark.createDataFrame([(bytearray(x[:n].tobytes()),) for n in range(1, len(x) + 1)], "e binary").repartition(5)
+    level = jaccard_join.shingle_levels(sets)[jaccard_join.slots_of(x)].astype(int)
+    assert level[-1] == 0 and level[0] == int(8 * np.log2(len(x))) and (np.diff(level) <= 0).all()
+
+
 def test_sketches_differ_by_no_more_than_the_sets():
     rng = np.random.default_rng(1)
     for size in (1, 5, 40, 700):
