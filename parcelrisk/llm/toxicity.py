@@ -34,8 +34,9 @@ EVIDENCE = 10.0              # log-likelihood ratio of a landmark at least; chan
 TRAIN_TEXTS = 5000           # labelled documents learnt from at most, half of each label; their whole texts
 CLEAN_STRINGS = 40_000       # of clean documents, fitted at once; which ones, all of them decide
 HARD_ROUNDS, NEWTON_STEPS, PENALTY = 2, 25, 1e-4
-KNOWN_STRINGS = 400_000      # scores kept per worker
+KNOWN_STRINGS = 200_000      # scores kept per worker
 STRING_CHARS = 24            # longer words are scored by overlapping parts
+BLOCK_CHARS = 500_000        # of texts that a worker splits into strings at once
 _SENTENCE = re.compile(r"[.!?\n]+")
 #: Places of the second and third character after the first, and the weight.
 _SKIPS = [(j, k, DECAY ** (k + 1)) for k in range(2, SPAN) for j in range(1, k)]
@@ -271,7 +272,7 @@ class SparkTexts:
         machine = self.rows.sparkSession.sparkContext.broadcast(model)
 
         def run(it: Iterator[tuple]) -> Iterator[dict]:
-            for part in blocks(it, lambda r: len(r[0]), 2_000_000):
+            for part in blocks(it, lambda r: len(r[0]), BLOCK_CHARS):
                 yield {"value": machine.value.best_of_texts([r[0] for r in part]), "label": [r[1] for r in part]}
 
         found = sorted((r["value"], r["label"]) for r in map_rows(self.rows, run, "value double, label int").collect())
@@ -368,7 +369,7 @@ def score_toxicity(docs: DataFrame, model: StringKernelMachine | None, id_col: s
     schema = ", ".join(f"{c} {type_of(docs, c)}" for c in names) + ", score double, predicted int" + ", _text string" * with_text
 
     def run(rows: Iterator[tuple]) -> Iterator[dict]:
-        for part in blocks(rows, lambda r: len(r[-1]), 2_000_000):
+        for part in blocks(rows, lambda r: len(r[-1]), BLOCK_CHARS):
             text = {"_text": [r[-1] for r in part]} if with_text else {}
             out = text | dict(zip(names, map(list, zip(*(r[:-1] for r in part), strict=True)), strict=True))
             m = machine.value

@@ -41,6 +41,12 @@ def test_toxic_documents_go(spark, stages):
     assert rows(stages[1]) == want
 
 
+def test_scored_rows_are_written_before_the_filter(spark):
+    """Texts go to Python in the small batches of what is written in between, not in those of the stage's own write."""
+    kept = CP.drop_toxic(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF)
+    assert "MapInArrow" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
 def test_poor_documents_go(spark, stages):
     before, kept = stages[1].collect(), {r["doc_id"] for r in stages[2].collect()}
     trusted = {r["doc_id"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect() if r["quality"] == 1}
