@@ -654,7 +654,8 @@ def q_incremental_scoring(spark, sf):
     from parcelrisk.streaming.incremental import read_scored, start_incremental_scoring
     base = scratch_dir(spark, "stream")
     d = X.deliveries(spark, sf)
-    (d.select(*[c for c in BUSINESS], *TRACE).write.option("header", True).csv(f"{base}/landing"))
+    # Spark reads compressed files as they are; each of them in one task, and there are as many as tasks that wrote them
+    (d.select(*[c for c in BUSINESS], *TRACE).write.option("header", True).option("compression", "gzip").csv(f"{base}/landing"))
     from parcelrisk.sources.files import DELIVERY_SCHEMA
     from pyspark.sql import types as T
     schema = T.StructType(list(DELIVERY_SCHEMA.fields) + [

@@ -27,11 +27,15 @@ def start_incremental_scoring(spark: SparkSession, landing_dir: str, out_dir: st
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.csv(landing_dir).withColumn("source_file", F.input_file_name())
 
+    order = ("date", "delivery_id")
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        scored = scorer(batch)
-        # few files per run date and batch; one date, as in a daily landing file, is still dealt over the tasks
-        (scored.withColumn("run_date", F.col("date")).repartitionByRange("run_date", "delivery_id")
-         .write.mode("overwrite").partitionBy("run_date").parquet(f"{out_dir}/batch_id={batch_id}"))
+        # few files per run date and batch; one date, as in a daily landing file, is still dealt over the tasks. The rows
+        # as they landed are dealt, so that what the scorer adds isn't shuffled
+        landed = set(order) <= set(batch.columns)
+        scored = scorer(batch.repartitionByRange(*order) if landed else batch)
+        scored = (scored if landed else scored.repartitionByRange(*order)).withColumn("run_date", F.col("date"))
+        scored.write.mode("overwrite").partitionBy("run_date").parquet(f"{out_dir}/batch_id={batch_id}")
 
     w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

@@ -1,4 +1,6 @@
+import datetime
 import os
+import pathlib
 import tempfile
 
 import pytest
@@ -178,3 +180,36 @@ def test_listing_and_enriched_sink(spark):
     paths = [r["path"] for r in FS.list_paths(spark, base, "*.parquet").collect()]
     assert paths and all(p.endswith(".parquet") for p in paths)
     assert spark.read.option("header", True).csv(f"{base}/report_csv").count() == 2
+
+
+def test_rows_are_dealt_before_they_are_scored(spark):
+    """What the scorer adds isn't shuffled, and few files per date are written all the same."""
+    base = tempfile.mkdtemp(prefix="pr-stream-")
+    for day in range(1, 7):
+        _day(spark, f"2024-03-0{day}").coalesce(1).write.option("header", True).csv(f"{base}/landing/d{day}")
+    seen = []
+
+    def scorer(b):
+        seen.append(b._jdf.queryExecution().logical().toString())
+        return RK.band(b, rule_probability())
+
+    start_incremental_scoring(spark, f"{base}/landing/*", f"{base}/out", f"{base}/ckpt", scorer).awaitTermination()
+    assert seen and all("RepartitionByExpression" in plan for plan in seen)
+    for day in range(1, 7):
+        assert 1 <= len(list(pathlib.Path(base).glob(f"out/batch_id=*/run_date=2024-03-0{day}/*.parquet"))) <= 2
+
+
+def test_deliveries_land_compressed(spark, tmp_path):
+    """The stream reads them all the same, each once."""
+    from parcelrisk.plans import catalog
+    spark.createDataFrame([(k, 10 * k, 1 + k % 2, 1, 5.0 + k, 100.0 * k, 0.05, 0.02, "R" if k % 3 else "N", datetime.date(1996, 1, 1 + k % 3)) for k in range(1, 21)],
+                          "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                          "l_discount double, l_tax double, l_returnflag string, l_shipdate date").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(k, k, f"{1 + k % 5}-X") for k in range(1, 21)], "o_orderkey long, o_custkey long, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(1, 10.0), (2, 500.0)], "s_suppkey long, s_acctbal double").write.parquet(f"{tmp_path}/supplier.parquet")
+    folders = set(pathlib.Path(catalog.ensure_checkpoint_dir(spark)).glob("parcelrisk-stream-*"))
+    out = catalog.QUERIES["incremental_scoring"](spark, str(tmp_path))
+    assert sorted(r["delivery_id"] for r in out.collect()) == sorted(f"dlv_{k}_1" for k in range(1, 21))
+    (new,) = set(pathlib.Path(catalog.ensure_checkpoint_dir(spark)).glob("parcelrisk-stream-*")) - folders
+    landed = list(new.glob("landing/part-*"))
+    assert landed and all(f.name.endswith(".csv.gz") for f in landed)
